@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, quality_rules
+from lectern.llm import exact_dedup, quality_rules, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,10 +17,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_repetition(_documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(_documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(_documents(spark, sf_dir), keep="max")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op6_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op5_substring_dedup, op6_exact_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact_dedup.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_substring_dedup": substring_dedup.SQL,
+    "op6_exact_dedup": exact_dedup.SQL,
+}
