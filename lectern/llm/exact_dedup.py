@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm._filter import bit_filter, may_match
 from lectern.llm._store import table_path
 
 #: Rows in a memtable: documents whose digests are gathered, sorted and flushed as one run.
@@ -18,10 +19,6 @@ FILTER_OPTIONS = {
 }
 
 
-#: Bits of the filter that finds hits before their texts are shuffled: 1 MB, whatever the input.
-FILTER_BITS = 1 << 23
-
-
 def digest(text: F.Column) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
@@ -88,24 +85,6 @@ class DigestIndex:
         return any(not r.filter(F.col("digest") == key).isEmpty() for r in self.runs)
 
 
-def _bit(digest_column: str) -> F.Column:
-    return F.expr(f"pmod(xxhash64({digest_column}), {FILTER_BITS}L) + 1")
-
-
-def hit_filter(entries: DataFrame) -> DataFrame:
-    """A bit for each digest of entries, as at most FILTER_BITS / 32768 rows (bucket, bits) of 4 KB."""
-    bit = entries.select(_bit("digest").alias("bit"))
-    return bit.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-
-
-def _passed(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
-    """Rows whose digest's bit is set: all that have a copy, and few others. The filter's size is bounded."""
-    at = F.bitmap_bit_position(_bit("digest"))
-    joined = rows.withColumn("bucket", F.bitmap_bucket_number(_bit("digest"))).join(F.broadcast(bitmap), "bucket")
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return joined.filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop("bucket", "bits")
-
-
 def dedup_exact(docs: DataFrame, keep: str = "min") -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -117,7 +96,7 @@ def dedup_exact(docs: DataFrame, keep: str = "min") -> DataFrame:
     """
     entries = flush_runs(docs, keep)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest(F.col("text")).alias("digest"), _order(keep).alias("rank_id"))
-    hits = _passed(rows, hit_filter(entries.filter("copies > 1")))
+    hits = may_match(rows, "digest", bit_filter(entries.filter("copies > 1"), "digest"))
     # The bytes decide: copies merge in each task, so a hot group is a few rows by the time that it is shuffled.
     groups = hits.groupBy("digest", "text").agg(F.min("rank_id").alias("keep_rank"), F.count("*").alias("group_size"))
     # What a row needs to find its group again: the digest and, should two texts share one, a second hash of the text.
