@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, ngram_join, quality_rules, substring_dedup
+from lectern.llm import exact_dedup, ngram_join, private_data, quality_rules, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_repetition(_documents(spark, sf_dir))
 
 
+def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.find_private_data(_documents(spark, sf_dir))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_near_duplicates(_documents(spark, sf_dir))
 
@@ -29,7 +33,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(_documents(spark, sf_dir), keep="max")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op4_ngram_join, op5_substring_dedup, op6_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_private_data, op4_ngram_join, op5_substring_dedup, op6_exact_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": substring_dedup.SQL,
