@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, ngram_join, private_data, quality_rules, substring_dedup
+from lectern.llm import exact_dedup, language_id, ngram_join, private_data, quality_rules, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(_documents(spark, sf_dir), keep="max")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_private_data, op4_ngram_join, op5_substring_dedup, op6_exact_dedup)}
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_language(_documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_private_data, op4_ngram_join, op5_substring_dedup, op6_exact_dedup, op7_language_id)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": substring_dedup.SQL,
