@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, language_id, ngram_join, packing, private_data, quality_rules, substring_dedup
+from lectern.llm import exact_dedup, language_id, lm_scoring, ngram_join, packing, private_data, quality_rules, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_private_data, op4_ngram_join, op5_substring_dedup, op6_exact_dedup, op7_language_id, op8_packing)}
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_private_data, op4_ngram_join, op5_substring_dedup, op6_exact_dedup, op7_language_id, op8_packing, op9_lm_scoring)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": substring_dedup.SQL,
