@@ -5,23 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm._blocks import Distinct, answers, counted, deal, rows_in_order
 from lectern.llm._components import components
 from lectern.llm._filter import bit_filter, may_match
 from lectern.llm._store import written
 from lectern.llm._words import hashes, mixed, rolling, slices, words
 
-#: Counters of the frequency sketch, and those in one of its rows: 4 MB in all, whatever the input.
-SKETCH, CHUNK = 1 << 20, 1 << 14
 #: Prefixes are lengthened by up to so many tokens, less one; what it costs to verify one pair, in posting entries.
-MAX_MATCH, VERIFY_COST = 4, 50
-#: Documents with a token, as estimated, from which its postings are split.
-HOT = 2000
+MAX_MATCH, VERIFY_COST = 8, 50
 
 
 class Sets:
@@ -49,100 +46,74 @@ class Sets:
         self.sizes = np.diff(self.starts)
 
 
-def _described(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, node, n_shingles) of documents, and (chunk, counts) of the frequency sketch of each task.
-
-    node is a 64-bit hash of the lower-cased word sequence: copies share one, and are joined as one document.
-    """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(SKETCH, np.int32)
-        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
-        for batch in slices(batches):
-            s = Sets(batch.column("text"), width)
-            sketch += np.bincount((s.values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.int32)
-            k = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s.nodes), pa.array(s.sizes), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=schema)
-        chunks = [c for c in range(SKETCH // CHUNK) if sketch[c * CHUNK : (c + 1) * CHUNK].any()]
-        k = len(chunks)
-        blobs = pa.array([sketch[c * CHUNK : (c + 1) * CHUNK].tobytes() for c in chunks], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64())] * 3 + [pa.array(chunks, pa.int32()), blobs], schema=schema)
+def _least_overlap(n: np.ndarray) -> np.ndarray:
+    """Shingles that a set of n shares at least with any set it links with."""
+    return -(-4 * n // 5)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, n_shingles long, chunk int, counts binary")
 
+class _Block:
+    """The shingle sets of a block; copies of a word sequence count once."""
 
-def _sketch(described: DataFrame) -> np.ndarray:
-    """Estimated documents of each shingle hash: a count for each of SKETCH classes of hashes, over all documents."""
+    def __init__(self, block: pa.Table, width: int):
+        self.doc_id, text = rows_in_order(block)
+        self.sets = s = Sets(text, width)
+        first = np.zeros(len(s.nodes), bool)
+        first[np.unique(s.nodes, return_index=True)[1]] = True
+        self.chosen = first[s.text]
+        self.distinct = Distinct(s.values[self.chosen])
 
-    def total(chunk: pa.Table) -> pa.Table:
-        out = np.zeros(CHUNK, np.int64)
-        for b in chunk["counts"].to_pylist():
-            out += np.frombuffer(b, np.int32)
-        return pa.table({"chunk": chunk["chunk"][:1], "counts": pa.array([out.tobytes()], pa.binary())})
 
-    summed = described.filter("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(total, "chunk int, counts binary")
-    sketch = np.zeros(SKETCH, np.int64)
-    for row in summed.collect():  # SKETCH / CHUNK rows
-        sketch[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], np.int64)
-    return sketch
+def _level(count: np.ndarray) -> np.ndarray:
+    """Class of frequency: 0 for a shingle of one document alone, then 1 + floor(log2)."""
+    return np.where(count > 1, 1 + np.log2(np.maximum(count, 1)).astype(np.int64), 0)
 
 
-def _least_overlap(n: np.ndarray) -> np.ndarray:
-    """Shingles that a set of n shares at least with any set it links with."""
-    return -(-4 * n // 5)
+def _prefixes(docs: DataFrame, width: int) -> DataFrame:
+    """Rows (doc_id, node, n_shingles) of all documents, and posting entries (token, node, meta) of their prefixes.
 
-
-def _prefixes(docs: DataFrame, width: int, sketch: np.ndarray) -> DataFrame:
-    """Posting entries (token, node, meta) of each document's prefix in the global order, rarest class first.
-
-    The order is by class of estimated frequency, then by hash. A pair that links shares at least L of the tokens in
-    prefixes of n - ceil(0.8 n) + L tokens. L is chosen for each document by estimated cost: entries that the prefix
-    reads, and pairs to verify if at least L entries must agree. meta packs position, n, L and, for a hot token, which
-    of 15 parts of its postings the entry goes to. A copy that the same task has met before sends nothing.
+    node is a 64-bit hash of the lower-cased word sequence: copies share one, and are joined as one document. The
+    global order of tokens is by class of document frequency, counted over the whole corpus, then by hash. A pair that
+    links shares at least L of the tokens in prefixes of n - ceil(0.8 n) + L tokens. L is chosen for each document by
+    estimated cost: entries that its prefix reads, and pairs to verify if at least L entries must agree. Tokens of one
+    document alone take their place in the prefix but are not sent. meta packs position, n and L.
     """
-    mean = float(sketch.mean())
-    over = sketch - (mean + 6 * np.sqrt(mean) + 8)
-    estimate = np.where(over > 0, sketch - mean, 1.0)
-    level = np.where(over > 0, np.log2(np.maximum(estimate, 1)).astype(np.int64) + 1, 0).astype(np.uint8)
-    estimate = docs.sparkSession.sparkContext.broadcast((estimate.astype(np.float32), level))  # 5 MB
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency, level = estimate.value
-        met: set[int] = set()
-        for batch in slices(batches):
-            s = Sets(batch.column("text"), width)
-            fresh = np.zeros(batch.num_rows, bool)
-            for i, node in enumerate(s.nodes.tolist()):
-                if s.sizes[i] and node not in met:
-                    met.add(node)
-                    fresh[i] = True
-            at = (s.values & np.uint64(SKETCH - 1)).astype(np.int64)
-            order = np.argsort(level[at], kind="stable")
-            order = order[np.argsort(s.text[order].astype(np.uint16 if batch.num_rows <= 1 << 16 else np.int64), kind="stable")]
-            h, at, text = s.values[order], at[order], s.text
-            n = s.sizes
-            cost = np.zeros(len(at) + 1)
-            np.cumsum(frequency[at], out=cost[1:])
-            slack = n - _least_overlap(n)
-            best, match = np.full(len(n), np.inf), np.ones(len(n), np.int64)
-            for k in range(1, MAX_MATCH + 1):
-                entries = cost[s.starts[:-1] + np.minimum(slack + k, n)] - cost[s.starts[:-1]]
-                price = np.where(k <= _least_overlap(n), entries + VERIFY_COST * np.maximum(entries - (slack + k), 0) / k, np.inf)
-                match[price < best] = k
-                best = np.minimum(best, price)
-            position = np.arange(len(h)) - s.starts[text] + 1
-            chosen = fresh[text] & (position <= (slack + match)[text])
-            text, position, token, df = text[chosen], position[chosen], h[chosen], frequency[at[chosen]]
-            node = s.nodes[text]
-            part = np.where(df > HOT, (mixed(node.view(np.uint64)) % np.uint64(15)).astype(np.int64) + 1, 0)
-            meta = (np.minimum(position, (1 << 28) - 1) << 35) | (np.minimum(n[text], (1 << 28) - 1) << 7) | (match[text] << 4) | part
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(node), pa.array(meta)], ["token", "node", "meta"])
-
-    return docs.select("text").mapInArrow(run, "token long, node long, meta long")
+    dealt, n_blocks = deal(docs)
+
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        x = _Block(block, width)
+        s, n, k = x.sets, x.sets.sizes, len(x.doc_id)
+        level = np.zeros(len(s.values), np.uint8)
+        level[x.chosen] = answers(found)[x.distinct.at]
+        order = np.argsort(level, kind="stable")
+        order = order[np.argsort(s.text[order].astype(np.uint16 if k <= 1 << 16 else np.int64), kind="stable")]
+        token, level, text = s.values[order], level[order], s.text
+        others = np.where(level > 0, 1.5 * 2.0 ** (level.astype(np.int64) - 1) - 1, 0)
+        cost = np.zeros(len(token) + 1)
+        np.cumsum(others, out=cost[1:])
+        slack = n - _least_overlap(n)
+        best, match = np.full(k, np.inf), np.ones(k, np.int64)
+        for m in range(1, MAX_MATCH + 1):
+            partners = cost[s.starts[:-1] + np.minimum(slack + m, n)] - cost[s.starts[:-1]]
+            price = np.where(m <= _least_overlap(n), slack + m + partners + VERIFY_COST * partners / m, np.inf)
+            match[price < best] = m
+            best = np.minimum(best, price)
+        position = np.arange(len(token)) - s.starts[text] + 1
+        sent = x.chosen & (level > 0) & (position <= (slack + match)[text])
+        text, position = text[sent], position[sent]
+        most = (1 << 28) - 1
+        meta = (np.minimum(position, most) << 32) | (np.minimum(n[text], most) << 4) | match[text]
+        entries = pa.table({"token": token[sent].view(np.int64), "node": s.nodes[text], "meta": meta})
+        members = pa.table({"doc_id": x.doc_id, "node": s.nodes, "n_shingles": n})
+        names = ["doc_id", "node", "n_shingles", "token", "meta"]
+        return pa.concat_tables([members, entries], promote_options="default").select(names)
+
+    levels = counted(dealt, n_blocks, lambda block: _Block(block, width).distinct, _level)
+    schema = "doc_id long, node long, n_shingles long, token long, meta long"
+    return dealt.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(run, schema)
 
 
 def _field(meta: str, name: str) -> F.Column:
-    shift, bits = {"pos": (35, 28), "n": (7, 28), "match": (4, 3), "part": (0, 4)}[name]
+    shift, bits = {"pos": (32, 28), "n": (4, 28), "match": (0, 4)}[name]
     return F.shiftrightunsigned(meta, shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
 
 
@@ -159,7 +130,15 @@ def _pairs(a: str, b: str) -> list[F.Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _node(width: int):
+    @F.pandas_udf("long")
+    def node(text: pd.Series) -> pd.Series:
+        return pd.Series(Sets(pa.array(text, pa.string()), width).nodes)
+
+    return node
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """The pairs of nodes (a, b) of which 100 * intersection >= 80 * union, by their whole texts' shingle sets."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +152,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             good = 100 * both >= 80 * (x.sizes + y.sizes - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = written(nodes.join(ends, "node").select(F.col("first_id").alias("doc_id"), "node"), "wanted")
+    texts = may_match(docs.select("doc_id", "text"), "doc_id", bit_filter(wanted, "doc_id")).join(wanted, "doc_id")
+    # A doc_id that stands in several rows may bring other texts than the node's.
+    texts = written(texts.filter(_node(width)("text") == F.col("node")).select("node", "text").dropDuplicates(["node"]), "texts")
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
@@ -187,51 +171,35 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     table gives an empty result.
 
     Copies of a word sequence are one node. Nodes that share tokens of their prefixes are joined in two rounds. In the
-    first, each token (each part of a hot one) pairs its nodes with one pivot, the node in which it stands first, and
-    parts pair their pivots: as many pairs as entries at most. The second makes the other pairs, of tokens whose nodes
-    are still in different components, and leaves out those within one component: they cannot change the result. All
-    pairs are verified. Only nodes that share a token have their texts shuffled.
+    first, each token pairs its nodes with one pivot, the node in which it stands first: as many pairs as entries at
+    most. The second makes the other pairs, of tokens whose nodes are still in different components, and leaves out
+    those within one component: they cannot change the result. Pairs are verified by their whole texts. Aggregations
+    combine in each task before they shuffle, and joins on a hot token or node can be split by AQE.
     """
-    described = written(_described(docs, width), "described")
-    sketch = _sketch(described)
-    members = described.filter("doc_id is not null").select("doc_id", "node", "n_shingles")
+    rows = written(_prefixes(docs, width), "prefixes")
+    members = rows.filter("n_shingles is not null").select("doc_id", "node", "n_shingles")
     nodes = written(members.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "nodes")
+    entries = rows.filter("token is not null").select("token", "node", "meta")
 
-    entries = _prefixes(docs, width, sketch).withColumn("part", _field("meta", "part").cast("int"))
-    entries = entries.repartition("token", "part")
-    first = F.min_by("node", F.col("meta")).alias("pivot"), F.min("meta").alias("pivot_meta")
-    tokens = entries.groupBy("token", "part").agg(F.count("*").alias("entries"), *first)
-    shared = entries.join(tokens.filter("entries > 1 or part > 0").hint("shuffle_hash"), ["token", "part"])
-    shared = written(shared.select("token", "part", "entries", "node", "meta", "pivot", "pivot_meta"), "shared")
-
-    pivots = shared.filter("part > 0").select("token", F.col("pivot").alias("node"), F.col("pivot_meta").alias("meta")).distinct()
-    top = pivots.groupBy("token").agg(*first)
-    across = pivots.join(top, "token")
-    near = shared.select("node", "meta", "pivot", "pivot_meta").unionByName(across.select("node", "meta", "pivot", "pivot_meta"))
-    near = near.filter("node <> pivot").filter(_may_link("meta", "pivot_meta")).select(*_pairs("node", "pivot")).distinct()
+    tokens = entries.groupBy("token").agg(F.count("*").alias("entries"), F.min_by("node", "meta").alias("pivot"), F.min("meta").alias("pivot_meta"))
+    shared = written(entries.join(tokens.filter("entries > 1"), "token"), "shared")
+    near = shared.filter("node <> pivot").filter(_may_link("meta", "pivot_meta")).select(*_pairs("node", "pivot")).distinct()
     near = written(near, "pairs")
-
-    ids = nodes.join(shared.select("node").distinct(), "node", "left_semi")
-    wanted = written(ids.select(F.col("first_id").alias("doc_id"), "node"), "wanted")
-    found = may_match(docs.select("doc_id", "text"), "doc_id", bit_filter(wanted, "doc_id"))
-    texts = written(found.join(wanted, "doc_id").select("node", "text").dropDuplicates(["node"]), "texts")
-
-    links = written(_verified(near, texts, width), "links")
+    links = written(_verified(near, docs, nodes, width), "links")
     classes = components(links)
 
-    # Tokens of two nodes are settled by the first round; hot tokens were split, so their parts count as more.
-    mixed_tokens = shared.filter("entries > 2 or part > 0").join(classes, "node", "left")
-    mixed_tokens = mixed_tokens.select("token", "node", "meta", F.coalesce("component", "node").alias("component"))
-    mixed_tokens = written(mixed_tokens, "mixed")
-    open_tokens = mixed_tokens.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-    left = mixed_tokens.join(open_tokens, "token", "left_semi").distinct()
+    # Tokens of two nodes are settled by the first round.
+    labelled = shared.filter("entries > 2").join(classes, "node", "left")
+    labelled = written(labelled.select("token", "node", "meta", F.coalesce("component", "node").alias("component")).distinct(), "labelled")
+    open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
+    left = labelled.join(open_tokens, "token", "left_semi")
     a = left.select("token", F.col("node").alias("a"), F.col("meta").alias("meta_a"), F.col("component").alias("class_a"))
     b = left.select("token", F.col("node").alias("b"), F.col("meta").alias("meta_b"), F.col("component").alias("class_b"))
     rest = a.join(b, "token").filter("a < b and class_a <> class_b").filter(_may_link("meta_a", "meta_b"))
     least = F.min(F.least(_field("meta_a", "match"), _field("meta_b", "match"))).alias("least")
     rest = rest.groupBy("a", "b").agg(F.count("*").alias("common"), least).filter("common >= least").select("a", "b")
     rest = written(rest.join(near, ["a", "b"], "left_anti"), "pairs")
-    more = written(_verified(rest, texts, width), "links")
+    more = written(_verified(rest, docs, nodes, width), "links")
     if not more.isEmpty():
         classes = components(links.unionByName(more))
 

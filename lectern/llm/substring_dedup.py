@@ -8,37 +8,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from lectern.llm._blocks import BLOCK_BYTES, Distinct, answers, counted, deal, rows_in_order
 from lectern.llm._words import covered, per_text, rolling, words
 from lectern.llm._words import hashes as word_hashes
 
 WIDTH = 35
-#: Text bytes in a block of documents; a block's windows and a bucket's hashes each fit in one task.
-BLOCK_BYTES = 12 << 20
 
 
 class _Windows:
-    """The windows of a block: their words, hashes and distinct hashes, in an order fixed by the block's rows."""
+    """The words of a block and its windows' hashes, in an order fixed by the block's rows."""
 
     def __init__(self, block: pa.Table, width: int):
-        block = block.combine_chunks().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        self.doc_id = block["doc_id"].combine_chunks()
-        text = block["text"].combine_chunks()
-        self.words = words(text if isinstance(text, pa.Array) else pa.array([], pa.string()))
+        self.doc_id, text = rows_in_order(block)
+        self.words = words(text)
         h, self.at = rolling(word_hashes(self.words.vocab)[self.words.ids], self.words.starts, width)
-        self.order = np.argsort(h)
-        h = h[self.order]
-        self.new = np.ones(len(h), bool)
-        self.new[1:] = h[1:] != h[:-1]
-        self.distinct = h[self.new]
-        #: Which distinct hashes occur twice or more in this block.
-        self.twice = np.diff(np.append(np.flatnonzero(self.new), len(h))) > 1
-
-
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets by range of hash, so that sorted hashes fall into buckets in order."""
-    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        self.distinct = Distinct(h)
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
@@ -49,49 +34,16 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLO
     kept_text. A null text has no words. A row repeated with the same doc_id counts as another place. Other columns are
     ignored; an empty table gives an empty result.
 
-    Documents are dealt into blocks by doc_id. A block sends each distinct hash once, with a bit that says whether it
-    has it twice, to the hash's bucket, so that a hot window is one entry for each block. A bucket counts its hashes
-    and answers each block with one bit for each hash. The blocks, whose shuffle is used again, then cut the words.
-    Hashes have 64 bits: among n windows, about n * n / 2**65 pairs of different windows are taken for equal.
+    Documents are dealt into blocks by doc_id. A block sends each distinct hash once, with its count, to the hash's
+    bucket. A bucket adds up the counts and answers each block: repeated or not. The blocks, whose shuffle is used
+    again, then cut the words. Hashes have 64 bits: among n windows, about n * n / 2**65 pairs of different windows
+    are taken for equal.
     """
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block"))
-    dealt = dealt.repartition(n, "block")
-
-    def send(block: pa.Table) -> pa.Table:
-        x = _Windows(block, width)
-        ends = np.searchsorted(_bucket(x.distinct, n), np.arange(n + 1, dtype=np.uint64))
-        some = np.flatnonzero(np.diff(ends))
-        return pa.table(
-            {
-                "block": pa.array(np.full(len(some), block["block"][0].as_py()), pa.int32()),
-                "bucket": pa.array(some, pa.int32()),
-                "hashes": pa.array([x.distinct[ends[b] : ends[b + 1]].tobytes() for b in some], pa.binary()),
-                "twice": pa.array([np.packbits(x.twice[ends[b] : ends[b + 1]]).tobytes() for b in some], pa.binary()),
-            }
-        )
-
-    def count(bucket: pa.Table) -> pa.Table:
-        each = [np.frombuffer(x, np.uint64) for x in bucket["hashes"].to_pylist()]
-        sizes = [len(x) for x in each]
-        repeated = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=k) for x, k in zip(bucket["twice"].to_pylist(), sizes, strict=True)]).astype(bool)
-        h = np.concatenate(each)
-        order = np.argsort(h)
-        same = h[order][1:] == h[order][:-1]
-        repeated[order[1:][same]] = True
-        repeated[order[:-1][same]] = True
-        # A hash that one block has twice and others once: the sort has joined them, so all of them are marked.
-        bits = [np.packbits(x).tobytes() for x in np.split(repeated, np.cumsum(sizes)[:-1])]
-        return pa.table({"block": bucket["block"], "bucket": bucket["bucket"], "bits": pa.array(bits, pa.binary()), "n": pa.array(sizes, pa.int64())})
+    dealt, n = deal(docs, block_bytes)
 
     def cut(block: pa.Table, found: pa.Table) -> pa.Table:
         x = _Windows(block, width)
-        found = found.sort_by("bucket")
-        bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=k) for b, k in zip(found["bits"].to_pylist(), found["n"].to_pylist(), strict=True)]
-        repeated = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
-        flags = np.zeros(len(x.at), bool)
-        flags[x.order] = repeated[np.cumsum(x.new) - 1] if len(x.at) else False
+        flags = answers(found).astype(bool)[x.distinct.at]
         w = x.words
         gone = covered(x.at[flags], width, len(w.ids))
         kept = np.zeros(len(w.ids) + 1, np.int64)
@@ -106,10 +58,9 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLO
         }
         return pa.table(out | ({"kept_text": texts} if with_text else {}))
 
-    sent = dealt.groupBy("block").applyInArrow(send, "block int, bucket int, hashes binary, twice binary")
-    answers = sent.groupBy("bucket").applyInArrow(count, "block int, bucket int, bits binary, n long")
+    repeated = counted(dealt, n, lambda block: _Windows(block, width).distinct, lambda count: count > 1)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(cut, schema)
+    return dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(cut, schema)
 
 
 SQL = """
