@@ -10,9 +10,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm._ranks import ranked
 from lectern.llm._store import written
 from lectern.llm._words import slices
 
@@ -171,14 +172,7 @@ def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = False) -> DataF
     keys = (plan[:, 0] << 48) | plan[:, 1]
 
     n_parts = max(16, -(-int(counts.max()) // PART_ROWS))
-    part = F.pmod(F.xxhash64("doc_id", "start"), F.lit(n_parts)).alias("part")
-    dealt = pieces.select("*", part)
-    sizes = dealt.groupBy("length", "part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.select("length", "part", F.coalesce(before, F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "start"))
-    ranked = dealt.withColumn("row", rank).join(sizes, ["length", "part"])
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("row") - 1)
+    ranked_pieces = ranked(pieces, "length", F.xxhash64("doc_id", "start"), ["doc_id", "start"], n_parts)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +185,7 @@ def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = False) -> DataF
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
     types = ", ".join(f"{c} {'array<int>' if c == 'ids' else 'long'}" for c in [*names, "sequence_id", "offset"])
-    return ranked.select(*names, "rank").mapInArrow(place, types)
+    return ranked_pieces.select(*names, "rank").mapInArrow(place, types)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, language_id, lm_scoring, ngram_join, packing, private_data, quality_rules, substring_dedup
+from lectern.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, private_data, quality_rules, substring_dedup, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_repetition(_documents(spark, sf_dir))
 
@@ -45,9 +49,28 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality_rules, op3_private_data, op4_ngram_join, op5_substring_dedup, op6_exact_dedup, op7_language_id, op8_packing, op9_lm_scoring)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_mixing,
+        op2_quality_rules,
+        op3_private_data,
+        op4_ngram_join,
+        op5_substring_dedup,
+        op6_exact_dedup,
+        op7_language_id,
+        op8_packing,
+        op9_lm_scoring,
+        op10_warc,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": substring_dedup.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op10_warc": warc.SQL,
 }
