@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes in a block of documents; a block, and a bucket of about as many hashes, each fit in one task.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
