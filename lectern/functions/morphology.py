@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from lectern.functions.text import ALEF, col, normalize_lexical
 from pyspark.sql import Column
@@ -30,23 +30,23 @@ ROOT_PATTERNS = [
 ]
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that f names many times, evaluated once: a large CASE over it stays small in generated code."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _letter(word: Column, i: int) -> Column:
     return F.substring(word, i + 1, 1)
 
 
 def strip_prefix(word: Column, prefixes: list[str], least: int) -> Column:
     """Without the first prefix of the list that leaves `least` letters."""
-    out = F.when(F.lit(False), word)
-    for p in prefixes:
-        out = out.when(word.startswith(p) & (F.length(word) - len(p) >= least), F.substring(word, F.lit(len(p) + 1), F.length(word)))
-    return out.otherwise(word)
+    return F.regexp_replace(word, f"^(?:{'|'.join(prefixes)})(?=.{{{least}}})", "")
 
 
 def strip_suffix(word: Column, suffixes: list[str], least: int) -> Column:
-    out = F.when(F.lit(False), word)
-    for s in suffixes:
-        out = out.when(word.endswith(s) & (F.length(word) - len(s) >= least), F.substring(word, F.lit(1), F.length(word) - len(s)))
-    return out.otherwise(word)
+    """Without the longest suffix of the list that leaves `least` letters."""
+    return F.regexp_replace(word, f"^(.{{{least},}}?)(?:{'|'.join(suffixes)})$", "$1")
 
 
 def strip_article(word: Column | str) -> Column:
@@ -69,7 +69,10 @@ def light10_text(text: Column | str) -> Column:
 
 def imperfect_stems(word: Column | str) -> Column:
     """Array of what is left without an imperfect prefix, then without a suffix as well; three letters at least."""
-    w = normalize_lexical(word)
+    return once(normalize_lexical(word), _imperfect_stems)
+
+
+def _imperfect_stems(w: Column) -> Column:
     found = []
     for p in IMPERFECT_PREFIXES:
         rest = F.substring(w, F.lit(len(p) + 1), F.length(w))
@@ -80,33 +83,39 @@ def imperfect_stems(word: Column | str) -> Column:
     return F.array_distinct(F.array_compact(F.array(*found)))
 
 
-def _fits(word: Column, pattern: str) -> Column:
-    conditions, first = [F.length(word) == len(pattern)], {}
-    for i, p in enumerate(pattern):
-        if p == "P":
-            conditions.append(_letter(word, i).isin(IMPERFECT_PREFIXES))
-        elif not p.isdigit():
-            conditions.append(_letter(word, i) == p)
-        elif p in first:
-            conditions.append(_letter(word, i) == _letter(word, first[p]))
+def pattern_regex(pattern: str) -> tuple[str, str]:
+    """A word pattern as a regular expression, and its root as a replacement: digits become groups."""
+    out, seen = "", []
+    for p in pattern:
+        if not p.isdigit():
+            out += f"[{''.join(IMPERFECT_PREFIXES)}]" if p == "P" else p
+        elif p in seen:
+            out += f"\\{seen.index(p) + 1}"
         else:
-            first[p] = i
-    return reduce(lambda a, b: a & b, conditions)
+            seen.append(p)
+            out += "(.)"
+    return f"^{out}$", "".join(f"${seen.index(d) + 1}" for d in sorted(seen))
 
 
 def extract_root(word: Column | str) -> Column:
     """Root letters by the first pattern that fits, or null: one ordered CASE, no Python at run time."""
-    w = normalize_lexical(word)
-    out = F.when(F.lit(False), w)
-    for pattern in ROOT_PATTERNS:
-        letters = sorted({p for p in pattern if p.isdigit()})
-        out = out.when(_fits(w, pattern), F.concat(*(_letter(w, pattern.index(d)) for d in letters)))
-    return out
+
+    def first_fit(w: Column) -> Column:
+        out = F.when(F.lit(False), w)
+        for pattern in ROOT_PATTERNS:
+            regex, root = pattern_regex(pattern)
+            out = out.when(w.rlike(regex), F.regexp_replace(w, regex, root))
+        return out
+
+    return once(normalize_lexical(word), first_fit)
 
 
 def weak_roots(root: Column | str) -> Column:
     """The root, then what it may stand for if a letter is weak: array without repeats. Null stays null."""
-    r = col(root)
+    return once(col(root), _weak_roots)
+
+
+def _weak_roots(r: Column) -> Column:
     n, waw, yeh = F.length(r), F.lit("و"), F.lit("ي")
     head, tail = _letter(r, 0), F.substring(r, F.lit(3), n)
     body, rest = F.substring(r, F.lit(1), n - 1), F.substring(r, F.lit(2), n)

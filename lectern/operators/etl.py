@@ -111,7 +111,7 @@ def overlapping_chunks(df: DataFrame, per: list[str], order: str, size: int, ove
     row = F.row_number().over(Window.partitionBy(*per).orderBy(order)) - 1
     numbered = df.withColumn("_row", row)
     first = F.greatest(F.floor((F.col("_row") - size) / step) + 1, F.lit(0))
-    return numbered.withColumn("chunk", F.explode(F.sequence(first, F.floor(F.col("_row") / step))) + 1).drop("_row")
+    return numbered.withColumn("chunk", F.explode(F.sequence(first + 1, F.floor(F.col("_row") / step) + 1))).drop("_row")
 
 
 def renumber(first: DataFrame, second: DataFrame, per: list[str], order: list[str], name: str = "position") -> DataFrame:

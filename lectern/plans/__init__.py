@@ -1 +1,6 @@
-"""Part of lectern: plans."""
+"""Registered queries; importing this package registers them all."""
+
+from lectern.plans import catalogs, retrieval, texts  # noqa: F401
+from lectern.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
