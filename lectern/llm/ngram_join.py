@@ -75,7 +75,7 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
     global order of tokens is by class of document frequency, counted over the whole corpus, then by hash. A pair that
     links shares at least L of the tokens in prefixes of n - ceil(0.8 n) + L tokens. L is chosen for each document by
     estimated cost: entries that its prefix reads, and pairs to verify if at least L entries must agree. Tokens of one
-    document alone take their place in the prefix but are not sent. meta packs position, n and L.
+    document alone take their place in the prefix but are not sent. meta packs position, n and L; before is the token sent before.
     """
     dealt, n_blocks = deal(docs)
 
@@ -102,13 +102,16 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
         text, position = text[sent], position[sent]
         most = (1 << 28) - 1
         meta = (np.minimum(position, most) << 32) | (np.minimum(n[text], most) << 4) | match[text]
-        entries = pa.table({"token": token[sent].view(np.int64), "node": s.nodes[text], "meta": meta})
+        token = token[sent].view(np.int64)
+        before = np.zeros(len(token), np.int64)
+        before[1:] = np.where(text[1:] == text[:-1], token[:-1], 0)
+        entries = pa.table({"token": token, "node": s.nodes[text], "meta": meta, "before": before})
         members = pa.table({"doc_id": x.doc_id, "node": s.nodes, "n_shingles": n})
-        names = ["doc_id", "node", "n_shingles", "token", "meta"]
+        names = ["doc_id", "node", "n_shingles", "token", "meta", "before"]
         return pa.concat_tables([members, entries], promote_options="default").select(names)
 
     levels = counted(dealt, n_blocks, lambda block: _Block(block, width).distinct, _level)
-    schema = "doc_id long, node long, n_shingles long, token long, meta long"
+    schema = "doc_id long, node long, n_shingles long, token long, meta long, before long"
     return dealt.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(run, schema)
 
 
@@ -130,6 +133,28 @@ def _pairs(a: str, b: str) -> list[F.Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _agreeing(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """Pairs of nodes (a, b) whose prefixes agree in as many tokens as the pair asks for, and that can still link.
+
+    The last token that both prefixes hold is the k-th of the two sets' common tokens; after it each set has as many
+    tokens left as it has positions, so k and the smaller rest bound the overlap.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    listed = entries.join(ends, "node", "left_semi").select("node", "token", "meta").distinct()
+    listed = listed.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("meta", "token"))).alias("t"), F.min("meta").alias("meta"))
+    listed = listed.select("node", F.col("t.token").alias("tokens"), F.transform("t", lambda x: F.shiftrightunsigned(x["meta"], 32)).alias("at"), "meta")
+
+    def side(x: str) -> DataFrame:
+        return listed.select(*(F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in listed.columns))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.array_intersect("tokens_a", "tokens_b"))
+    both = both.filter(F.size("common") >= F.least(_field("meta_a", "match"), _field("meta_b", "match")))
+    last = F.element_at("common", -1)
+    rest = [_field(f"meta_{x}", "n") - F.element_at(f"at_{x}", F.array_position(f"tokens_{x}", last).cast("int")) for x in ("a", "b")]
+    need = F.ceil((_field("meta_a", "n") + _field("meta_b", "n")) * 4 / 9)
+    return both.filter(F.size("common") + F.least(*rest) >= need).select("a", "b")
+
+
 def _node(width: int):
     @F.pandas_udf("long")
     def node(text: pd.Series) -> pd.Series:
@@ -173,32 +198,36 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     Copies of a word sequence are one node. Nodes that share tokens of their prefixes are joined in two rounds. In the
     first, each token pairs its nodes with one pivot, the node in which it stands first: as many pairs as entries at
     most. The second makes the other pairs, of tokens whose nodes are still in different components, and leaves out
-    those within one component: they cannot change the result. Pairs are verified by their whole texts. Aggregations
+    those within one component: they cannot change the result. Pairs whose prefixes agree in enough tokens are verified
+    by their whole texts. Aggregations
     combine in each task before they shuffle, and joins on a hot token or node can be split by AQE.
     """
     rows = written(_prefixes(docs, width), "prefixes")
     members = rows.filter("n_shingles is not null").select("doc_id", "node", "n_shingles")
     nodes = written(members.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "nodes")
-    entries = rows.filter("token is not null").select("token", "node", "meta")
+    entries = rows.filter("token is not null").select("token", "node", "meta", "before")
 
     tokens = entries.groupBy("token").agg(F.count("*").alias("entries"), F.min_by("node", "meta").alias("pivot"), F.min("meta").alias("pivot_meta"))
     shared = written(entries.join(tokens.filter("entries > 1"), "token"), "shared")
     near = shared.filter("node <> pivot").filter(_may_link("meta", "pivot_meta")).select(*_pairs("node", "pivot")).distinct()
-    near = written(near, "pairs")
+    near = written(_agreeing(near, shared), "pairs")
     links = written(_verified(near, docs, nodes, width), "links")
     classes = components(links)
 
     # Tokens of two nodes are settled by the first round.
     labelled = shared.filter("entries > 2").join(classes, "node", "left")
-    labelled = written(labelled.select("token", "node", "meta", F.coalesce("component", "node").alias("component")).distinct(), "labelled")
+    labelled = written(labelled.select("token", "node", "meta", "before", F.coalesce("component", "node").alias("component")).distinct(), "labelled")
     open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
     left = labelled.join(open_tokens, "token", "left_semi")
-    a = left.select("token", F.col("node").alias("a"), F.col("meta").alias("meta_a"), F.col("component").alias("class_a"))
-    b = left.select("token", F.col("node").alias("b"), F.col("meta").alias("meta_b"), F.col("component").alias("class_b"))
-    rest = a.join(b, "token").filter("a < b and class_a <> class_b").filter(_may_link("meta_a", "meta_b"))
-    least = F.min(F.least(_field("meta_a", "match"), _field("meta_b", "match"))).alias("least")
-    rest = rest.groupBy("a", "b").agg(F.count("*").alias("common"), least).filter("common >= least").select("a", "b")
-    rest = written(rest.join(near, ["a", "b"], "left_anti"), "pairs")
+
+    def side(x: str) -> DataFrame:
+        names = {"node": x, "meta": f"meta_{x}", "before": f"before_{x}", "component": f"class_{x}"}
+        return left.select("token", *(F.col(c).alias(n) for c, n in names.items()))
+
+    # Where the tokens before agree as well, that token has made the pair.
+    rest = side("a").join(side("b"), "token").filter("a < b and class_a <> class_b and (before_a <> before_b or before_a = 0)")
+    rest = rest.filter(_may_link("meta_a", "meta_b")).select("a", "b").distinct().join(near, ["a", "b"], "left_anti")
+    rest = written(_agreeing(rest, shared), "pairs")
     more = written(_verified(rest, docs, nodes, width), "links")
     if not more.isEmpty():
         classes = components(links.unionByName(more))
