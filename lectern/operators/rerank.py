@@ -60,8 +60,10 @@ def unified(parts: dict[str, DataFrame], ranking: list[tuple[str, str]] | None,
     if ranking and len(ranking) >= 3:
         told = out.sparkSession.createDataFrame([(t, k, i) for i, (t, k) in enumerate(ranking, 1)], "type string, doc_key string, place int")
         out = out.join(F.broadcast(told), ["type", "doc_key"]).withColumn("score", 1 - F.col("place") / 100).drop("place")
-    most = F.create_map(*(F.lit(x) for kv in limits.items() for x in kv))
-    return ranked(out, [F.col("score").desc(), "doc_key"], ["type"]).filter(F.col("rank") <= F.coalesce(most[F.col("type")], F.lit(1 << 30)))
+    out = ranked(out, [F.col("score").desc(), "doc_key"], ["type"])
+    for name, most in limits.items():
+        out = out.filter((F.col("type") != name) | (F.col("rank") <= most))
+    return out
 
 
 def top_breakdown(parts: dict[str, DataFrame], k: int = 5) -> DataFrame:

@@ -13,22 +13,22 @@ _BANDS = "CASE WHEN p_size <= 10 THEN 'small' WHEN p_size <= 30 THEN 'medium' EL
 
 @query(
     f"""WITH p AS (SELECT p_brand, p_type, {_BANDS} AS band, p_retailprice FROM part)
-SELECT 'brand' AS facet, p_brand AS value, count(*) AS n FROM p WHERE band = 'medium' AND p_retailprice > 1000 GROUP BY p_brand
-UNION ALL SELECT 'band', band, count(*) FROM p WHERE p_brand = 'Brand#4' AND p_retailprice > 1000 GROUP BY band
-UNION ALL SELECT 'type', p_type, count(*) FROM p WHERE p_brand = 'Brand#4' AND band = 'medium' AND p_retailprice > 1000 GROUP BY p_type"""
+SELECT 'brand' AS facet, p_brand AS value, count(*) AS n FROM p WHERE band = 'medium' AND p_retailprice > 910 GROUP BY p_brand
+UNION ALL SELECT 'band', band, count(*) FROM p WHERE p_brand = 'Brand#4' AND p_retailprice > 910 GROUP BY band
+UNION ALL SELECT 'type', p_type, count(*) FROM p WHERE p_brand = 'Brand#4' AND band = 'medium' AND p_retailprice > 910 GROUP BY p_type"""
 )
 def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     band = F.expr(_BANDS)
-    filters = {"brand": F.col("p_brand") == "Brand#4", "band": band == "medium", "price": F.col("p_retailprice") > 1000}
+    filters = {"brand": F.col("p_brand") == "Brand#4", "band": band == "medium", "price": F.col("p_retailprice") > 910}
     return catalog.facets(table(spark, sf_dir, "part"), filters, {"brand": F.col("p_brand"), "band": band, "type": F.col("p_type")})
 
 
 @query(
-    """SELECT count(*) FILTER (p_retailprice > 1000 AND p_size > 20) AS big, count(*) FILTER (p_size > 20 AND p_retailprice > 1000) AS dear,
-count(*) FILTER (p_size > 20 AND p_retailprice > 1000 AND p_name IS NOT NULL) AS named FROM part"""
+    """SELECT count(*) FILTER (p_retailprice > 910 AND p_size > 20) AS big, count(*) FILTER (p_size > 20 AND p_retailprice > 910) AS dear,
+count(*) FILTER (p_size > 20 AND p_retailprice > 910 AND p_name IS NOT NULL) AS named FROM part"""
 )
 def facet_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    big, dear = F.col("p_size") > 20, F.col("p_retailprice") > 1000
+    big, dear = F.col("p_size") > 20, F.col("p_retailprice") > 910
     return catalog.feature_counts(table(spark, sf_dir, "part"), {"big": big, "dear": dear}, {"big": big, "dear": dear, "named": F.col("p_name").isNotNull()})
 
 
