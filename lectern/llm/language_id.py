@@ -25,6 +25,8 @@ FEATURES, ORDERS = 1 << 15, (1, 2, 3)
 #: Labelled documents that the classifier is fitted on, of each language, as expected: the documented bound of the
 #: sample. A fifth of them sets the temperature. Document frequencies come from all training documents.
 FIT_DOCUMENTS = 1000
+#: Text bytes of a step; n-gram hashes take about 40 times as much.
+STEP_BYTES = 3 << 20
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.1
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -136,7 +138,7 @@ def train(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model | None:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(FEATURES, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=STEP_BYTES):
             langs, draws = batch.column("lang").to_pylist(), batch.column("draw").to_pylist()
             out: list[tuple] = []
             for lang, u, (at, n) in zip(langs, draws, features(batch.column("text").to_pylist()), strict=True):
@@ -182,7 +184,7 @@ def predict(docs: DataFrame, model: Model | None, lang_pred: str = "lang_pred",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=STEP_BYTES):
             texts = batch.column("text").to_pylist()
             some = np.array([m is not None and t is not None and bool(_LETTER.search(t)) for t in texts], bool)
             names, p = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
