@@ -5,6 +5,8 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
+from lectern.functions.parsing import split_footnotes, strip_footnote_marks, strip_trailing_headings
+from lectern.functions.text import fold_letters, strip_diacritics, to_western_digits
 from lectern.operators.catalog import first_per_group
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -154,3 +156,43 @@ def reject_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(reason, n): rows by the first rule that they break; 'ok' for those that break none."""
     reason = reduce(lambda acc, kv: acc.when(F.coalesce(kv[1], F.lit(False)), kv[0]), rules.items(), F.when(F.lit(False), ""))
     return df.groupBy(reason.otherwise("ok").alias("reason")).agg(F.count("*").alias("n"))
+
+
+def segment_numbered(pages: DataFrame, per: list[str], page: str, text: str, number: str, heading: str, start: str | None = None) -> DataFrame:
+    """Narrations of numbered pages: (per, entry, number, text, page_start, page_end, outer_heading, inner_heading).
+
+    number: a pattern for the start of a line, whose first group is the number. A numbered line is a heading, not a
+    narration, if what follows matches `heading` (diacritics aside), or, with `start` given, does not match that
+    (alef forms folded). Headings before a narration are carried to it; lines run on over pages, in order.
+    """
+    lines = pages.select(*per, page, F.posexplode(F.split(_above_footnotes(text), "\n")).alias("_i", "_line"))
+    after = F.regexp_replace("_line", f"^\\s*{number}", "")
+    numbered, plain = F.col("_line").rlike(f"^\\s*{number}"), strip_diacritics(after)
+    opens = numbered & ~plain.rlike(heading)
+    if start:
+        opens = opens & fold_letters(plain).rlike(start)
+    is_heading = ~opens & strip_diacritics(F.when(numbered, after).otherwise(F.col("_line"))).rlike(heading)
+    outer = F.when(is_heading & strip_diacritics(after).rlike("^\\[?كتاب"), F.trim(after))
+    inner = F.when(is_heading & outer.isNull(), F.trim(after))
+    w = Window.partitionBy(*per).orderBy(page, "_i")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.withColumn("_opens", opens).withColumn("_outer", outer).withColumn("_inner", inner)
+    marked = marked.withColumn("entry", F.count_if("_opens").over(upto)).withColumn("_o", F.last("_outer", ignorenulls=True).over(upto)).withColumn("_section", F.count("_outer").over(upto))
+    marked = marked.withColumn("_n", F.last("_inner", ignorenulls=True).over(Window.partitionBy(*per, "_section").orderBy(page, "_i").rowsBetween(Window.unboundedPreceding, 0)))
+    body = F.when(F.col("_opens"), F.regexp_replace("_line", f"^\\s*{number}", "")).otherwise(F.col("_line"))
+    number_text = F.max(F.when(F.col("_opens"), F.regexp_extract("_line", f"^\\s*{number}", 1)))
+    parts = F.array_sort(F.collect_list(F.struct(page, "_i", body.alias("t"))))
+    out = marked.filter("entry > 0").groupBy(*per, "entry").agg(
+        to_western_digits(number_text).alias("number"),
+        F.trim(strip_trailing_headings(F.array_join(F.transform(parts, lambda x: x["t"]), "\n"))).alias("text"),
+        F.min(page).alias("page_start"),
+        F.max(page).alias("page_end"),
+        F.max(F.when(F.col("_opens"), F.col("_o"))).alias("outer_heading"),
+        F.max(F.when(F.col("_opens"), F.col("_n"))).alias("inner_heading"),
+    )
+    return out
+
+
+def _above_footnotes(text: str) -> Column:
+    """Text of a page above its footnotes, with footnote marks gone from each line."""
+    return F.array_join(F.transform(F.split(split_footnotes(text)["main"], "\n"), strip_footnote_marks), "\n")

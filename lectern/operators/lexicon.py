@@ -13,6 +13,21 @@ VERB_FORMS = [
     ("Form VI", "verb", "ت1ا23"), ("Form VII", "verb", "ان123"), ("Form VIII", "verb", "ا1ت23"), ("Form IX", "verb", "ا1233"), ("Form X", "verb", "است123"),
 ]
 
+NOUN_FORMS = [
+    ("active participle", "noun", "1ا23"), ("passive participle", "noun", "م12و3"), ("verbal noun", "noun", "12ا3"), ("profession", "noun", "12ا3ه"),
+    ("place noun", "noun", "م123"), ("place noun feminine", "noun", "م123ه"), ("Form II masdar", "noun", "ت12ي3"), ("intensive", "noun", "122ا3"),
+    ("adjective", "noun", "12ي3"), ("plural", "noun", "12و3"), ("instrument", "noun", "م12ا3"), ("Form II active participle", "noun", "م1223"),
+    ("Form X active participle", "noun", "مست123"), ("Form IV masdar", "noun", "ا12ا3"), ("Form VII masdar", "noun", "ان12ا3"),
+    ("Form VIII masdar", "noun", "ا1ت2ا3"), ("Form X masdar", "noun", "است12ا3"), ("verbal noun in -an", "noun", "123ان"),
+    ("feminine adjective", "noun", "12ي3ه"), ("feminine passive participle", "noun", "م12و3ه"), ("elative", "noun", "ا123"),
+]
+IMPERFECT_FORMS = [
+    ("Form I imperfect", "verb", "ي123"), ("Form II imperfect", "verb", "ي1223"), ("Form III imperfect", "verb", "ي1ا23"),
+    ("Form IV imperfect", "verb", "ي123"), ("Form V imperfect", "verb", "يت1223"), ("Form VI imperfect", "verb", "يت1ا23"),
+    ("Form VII imperfect", "verb", "ين123"), ("Form VIII imperfect", "verb", "ي1ت23"), ("Form X imperfect", "verb", "يست123"),
+]
+ALL_FORMS = VERB_FORMS + NOUN_FORMS + IMPERFECT_FORMS
+
 
 def _step(tier: str, confidence: str, mode: str, candidates: Column, condition: Column | None = None) -> Column:
     listed = candidates if condition is None else F.when(condition, candidates)
@@ -118,7 +133,7 @@ def root_family(root: str, entries: DataFrame, sub_entries: DataFrame) -> DataFr
     return subs.unionByName(full.select("entry_id", "source", "headword", F.lit("full").alias("kind")))
 
 
-def derived_forms(roots: DataFrame, templates: list[tuple[str, str, str]] = VERB_FORMS) -> DataFrame:
+def derived_forms(roots: DataFrame, templates: list[tuple[str, str, str]] = ALL_FORMS) -> DataFrame:
     """(root, form, part_of_speech, word) of three-letter roots: every template of every root."""
     made = F.array(*(F.struct(F.lit(n).alias("form"), F.lit(p).alias("part_of_speech"), M.apply_template("root", t).alias("word")) for n, p, t in templates))
     return roots.filter(F.length("root") == 3).select("root", F.explode(made).alias("m")).select("root", "m.*")
