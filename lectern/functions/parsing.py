@@ -270,8 +270,8 @@ def split_at(text: Column | str, start: Column | str) -> Column:
     at = F.instr(norm(t), norm(s)) - 1
     # Lengths of the normalised heads rise with the head, so the first that reaches the position is wanted.
     heads = F.sequence(F.lit(1), F.length(t))
-    first = F.get(F.filter(heads, lambda k: F.length(F.rtrim(strip_diacritics(expand_ligatures(F.substring(t, F.lit(1), k))))) >= at), F.lit(0))
-    return F.when(exact > 0, exact).when(at > 0, F.length(F.rtrim(F.substring(t, F.lit(1), first))) + 1).otherwise(-1)
+    first = F.get(F.filter(heads, lambda k: F.length(F.rtrim(strip_diacritics(expand_ligatures(F.substring(t, F.lit(1), k))))) > at), F.lit(0))
+    return F.when(exact > 0, exact).when(at > 0, first - 1).otherwise(-1)
 
 
 # --- languages and model answers ----------------------------------------------------------------------------------
