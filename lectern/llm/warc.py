@@ -33,9 +33,9 @@ def plain_text(html: F.Column) -> F.Column:
     t = F.regexp_replace(t, r"<[^>]*>", "")
     for entity, char in ENTITIES:
         t = F.replace(t, F.lit(entity), F.lit(char))
-    t = F.regexp_replace(t, r"[ \t\r]+", " ")
-    t = F.regexp_replace(t, r" ?\n ?", "\n")
-    t = F.regexp_replace(t, r"\n+", "\n")
+    t = F.regexp_replace(t, r"[ \t\r]{2,}|[\t\r]", " ")
+    t = F.regexp_replace(t, r" \n ?|\n ", "\n")
+    t = F.regexp_replace(t, r"\n{2,}", "\n")
     return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
 
 
