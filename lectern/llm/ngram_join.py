@@ -121,12 +121,10 @@ def _field(meta: str, name: str) -> F.Column:
 
 
 def _may_link(a: str, b: str) -> F.Column:
-    """Whether a common token at these positions allows a link: sizes, and the shingles that may follow it."""
+    """Whether sets whose first common token has these positions can link: by their sizes, and by what may follow."""
     na, nb = _field(a, "n"), _field(b, "n")
-    need = F.ceil((na + nb) * 4 / 9)
-    match = F.least(_field(a, "match"), _field(b, "match"))
     rest = F.least(na - _field(a, "pos"), nb - _field(b, "pos"))
-    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (match + rest >= need)
+    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (1 + rest >= F.ceil((na + nb) * 4 / 9))
 
 
 def _pairs(a: str, b: str) -> list[F.Column]:
