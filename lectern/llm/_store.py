@@ -17,9 +17,22 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+#: Paths of the tables that this driver has written.
+_paths: list[str] = []
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A new path for a written table."""
-    return f"{shared_folder(spark).rstrip('/')}/lectern/{name}-{uuid.uuid4().hex}"
+    _paths.append(f"{shared_folder(spark).rstrip('/')}/lectern/{name}-{uuid.uuid4().hex}")
+    return _paths[-1]
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete the tables written so far. Results that were not written elsewhere can no longer be read."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, name: str, *sorted_by: str, **options: str) -> DataFrame:

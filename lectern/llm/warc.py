@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
@@ -131,6 +131,39 @@ def write_warc(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z"
     serialised(records, date).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
 
 
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """Records of WARC files: warc_type, record_id, target_uri, refers_to, content_type, http_header, payload.
+
+    Files are cut at the two line ends and version mark that part records, so that a large uncompressed file is read
+    by many tasks. A response's block is its HTTP header and payload; other records' blocks are payloads alone.
+    """
+    raw = spark.read.option("lineSep", f"{CRLF}{CRLF}WARC/").text(path)
+    # The last record of a file ends with the two line ends alone.
+    text = F.regexp_replace("value", r"\r\n\r\n$", "")
+    head, block = F.substring_index(text, CRLF * 2, 1), F.expr(f"substring(_text, length(substring_index(_text, '\\r\\n\\r\\n', 1)) + {2 * len(CRLF) + 1})")
+    records = raw.filter(F.length("value") > 0).select(text.alias("_text"), head.alias("_head")).withColumn("_block", block)
+
+    def field(name: str) -> F.Column:
+        return F.nullif(F.regexp_extract("_head", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
+
+    http = (field("WARC-Type") == "response") & F.col("_block").startswith("HTTP/")
+    header = F.concat(F.substring_index("_block", CRLF * 2, 1), F.lit(CRLF * 2))
+    return records.select(
+        field("WARC-Type").alias("warc_type"),
+        field("WARC-Record-ID").alias("record_id"),
+        field("WARC-Target-URI").alias("target_uri"),
+        field("WARC-Refers-To").alias("refers_to"),
+        field("Content-Type").alias("content_type"),
+        F.when(http, header).alias("http_header"),
+        F.when(http, F.substring(F.col("_block"), F.length(header) + 1, F.length("_block"))).otherwise(F.col("_block")).alias("payload"),
+    )
+
+
+def responses_of(records: DataFrame) -> DataFrame:
+    """Response records of read_warc, as derive takes them."""
+    return records.filter("warc_type = 'response'").select("record_id", "target_uri", "http_header", "payload")
+
+
 def parse_record(text: str) -> tuple[dict[str, str], str]:
     """Header fields and block of one serialised record."""
     head, _, block = text.partition(CRLF * 2)

@@ -473,6 +473,31 @@ def test_warc_records_round_trip(spark, tmp_path):
     back = [warc.parse_record(r["value"]) for r in spark.read.option("lineSep", "\r\n\r\nWARC/").text(str(tmp_path / "w")).collect()]
     assert sum(h["WARC-Type"] == "conversion" for h, _ in back) == 2
     assert warc.derive_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    read = {(r["refers_to"], r["warc_type"]): r for r in warc.read_warc(spark, str(tmp_path / "w")).collect()}
+    assert {k: r["payload"] for k, r in read.items()} == {(r["refers_to"], r["warc_type"]): r["block"] for r in records}
+
+
+def test_warc_responses_are_read(spark, tmp_path):
+    body = "<html><p>a\r\n\r\nb</p></html>"
+    http = "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    head = lambda kind, i, block: f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nWARC-Target-URI: http://a/{i}\r\nContent-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    (tmp_path / "x.warc").write_bytes((head("warcinfo", 0, "software: x") + head("response", 1, http + body) + head("response", 2, http)).encode())
+    got = {r["record_id"]: r for r in warc.responses_of(warc.read_warc(spark, str(tmp_path / "x.warc"))).collect()}
+    assert {k: (r["http_header"], r["payload"]) for k, r in got.items()} == {"<urn:uuid:1>": (http, body), "<urn:uuid:2>": (http, "")}
+    blocks = {r["warc_type"]: r["block"] for r in warc.derive(warc.responses_of(warc.read_warc(spark, str(tmp_path / "x.warc")))).filter("refers_to = '<urn:uuid:1>'").collect()}
+    assert blocks["conversion"] == "a\nb"
+
+
+def test_written_tables_can_be_discarded(spark, docs):
+    from pathlib import Path
+
+    from lectern.llm import _store
+
+    _store.written(docs.select("doc_id"), "x").count()
+    path = Path(_store._paths[-1].removeprefix("file:"))
+    assert path.exists()
+    _store.discard(spark)
+    assert not path.exists()
 
 
 # --- pipeline ---
