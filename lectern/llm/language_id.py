@@ -180,10 +180,11 @@ def predict(docs: DataFrame, model: Model | None, lang_pred: str = "lang_pred",
 
     A null text, a text without a letter, and any text if there is no model, get 'und' and 0.0. Only text is read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # features by languages
+    # Features by languages; as a plain tuple, which any Python can read.
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else tuple(model))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = None if shared.value is None else Model(*shared.value)
         for batch in slices(batches, limit=STEP_BYTES):
             texts = batch.column("text").to_pylist()
             some = np.array([m is not None and t is not None and bool(_LETTER.search(t)) for t in texts], bool)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +26,11 @@ PART_ROWS = 1 << 20
 _ODD = re.compile(r"<\||\S{2000}|\s{2000}")
 
 
-@cache
 def encoder(path: Callable[[str], str] = public_tokenizers.path, name: str = TOKENIZER) -> Callable[[str], np.ndarray]:
     """Text to ids of a byte-level BPE vocabulary, given as {name}.json and as ranks in {name}.tiktoken.
 
     Both files hold one vocabulary, and give the same ids; the ranks' library is the faster. Texts with special tokens
-    or very long runs go to the library of the .json file.
+    or very long runs go to the library of the .json file, which is loaded when the first such text comes.
     """
     import base64
 
@@ -42,12 +40,14 @@ def encoder(path: Callable[[str], str] = public_tokenizers.path, name: str = TOK
     with open(path(f"{name}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(path(f"{name}.json"))
+    slow: list[Tokenizer] = []
 
     def encode(text: str) -> np.ndarray:
-        if _ODD.search(text):
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return fast.encode_to_numpy(text)
+        if not _ODD.search(text):
+            return fast.encode_to_numpy(text)
+        if not slow:
+            slow.append(Tokenizer.from_file(path(f"{name}.json")))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     return encode
 
@@ -56,7 +56,7 @@ def cut_pieces(docs: DataFrame, window: int = WINDOW, with_ids: bool = False) ->
     """Pieces of each document's ids and end id: full windows, and one remainder that may be full as well."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+        encode = encoder()  # in a twentieth of a second
         for batch in slices(batches):
             out: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):

@@ -429,12 +429,13 @@ def test_probabilities_sum_to_one():
 
 
 def test_windows_score_each_id_once():
-    coding = lm_scoring.Coding.of(np.zeros(lm_scoring.subwords().size, np.int64), 1)
+    subwords = lm_scoring.Subwords()
+    coding = lm_scoring.Coding.of(np.zeros(subwords.size, np.int64), 1)
     w = words(pa.array(["", "one two three " * 40, "x"]), lower=True)
-    e = lm_scoring.encoded(w)
+    e = lm_scoring.encoded(w, subwords)
     _, y, of = lm_scoring.windows(e, 0, 3, coding)
     for i in range(3):
-        assert y[of == i][y[of == i] >= 0].tolist() == [*e.ids[e.starts[i] : e.starts[i + 1]], lm_scoring.subwords().size]
+        assert y[of == i][y[of == i] >= 0].tolist() == [*e.ids[e.starts[i] : e.starts[i + 1]], subwords.size]
 
 
 def test_scores(docs, empty):
