@@ -405,11 +405,11 @@ def test_encoder_equals_the_reference_library():
 
 
 def test_gradients():
-    coding = lm_scoring.Coding.of(np.arange(300)[::-1].astype(np.int64) % 50, 3)
+    coding = lm_scoring.Coding.of(np.arange(3000)[::-1].astype(np.int64) % 50, 3)
     p = {k: v.astype(np.float64) for k, v in lm_scoring.initial(coding).items()}
     r = np.random.default_rng(0)
-    x, y = r.integers(0, 300, (4, lm_scoring.SPAN)), r.integers(-1, lm_scoring.CLASSES, (4, lm_scoring.SPAN - lm_scoring.OVERLAP))
-    loss = lambda: -lm_scoring.class_log_probabilities(p, x, y).sum() / (y >= 0).sum()
+    x, y = r.integers(0, 300, (4, lm_scoring.SPAN)), r.integers(-1, lm_scoring.INPUTS, (4, lm_scoring.SPAN - lm_scoring.OVERLAP))
+    loss = lambda: -lm_scoring.log_probabilities(p, x, y).sum() / (y >= 0).sum()
     for name, g in lm_scoring.gradients(p, x, y).items():
         at, e = np.unravel_index(np.abs(g).argmax(), g.shape), 1e-5
         p[name][at] += e
@@ -423,9 +423,9 @@ def test_probabilities_sum_to_one():
     coding = lm_scoring.Coding.of(np.arange(500) % 7, 3)
     p = lm_scoring.initial(coding)
     x = np.random.default_rng(0).integers(0, lm_scoring.INPUTS, (1, lm_scoring.SPAN))
-    total = sum(np.exp(lm_scoring.class_log_probabilities(p, x, np.full((1, lm_scoring.SPAN - lm_scoring.OVERLAP), k))) for k in range(lm_scoring.CLASSES))
+    total = sum(np.exp(lm_scoring.log_probabilities(p, x, np.full((1, lm_scoring.SPAN - lm_scoring.OVERLAP), k))) for k in range(lm_scoring.INPUTS))
     assert np.allclose(total, 1, atol=1e-4)
-    assert np.allclose(np.bincount(coding.klass, weights=np.exp(coding.log_share), minlength=lm_scoring.CLASSES)[np.unique(coding.klass)], 1)
+    assert np.allclose(np.bincount(coding.slot, weights=np.exp(coding.log_share), minlength=lm_scoring.INPUTS)[np.unique(coding.slot)], 1)
 
 
 def test_windows_score_each_id_once():
