@@ -235,3 +235,28 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     named = labelled.join(least_id, "component").select("node", "component_id")
     out = members.join(named, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+SQL = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS ws
+    FROM documents
+), e AS (
+    SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS shingle FROM e
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+    SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+), d AS (
+    SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(doc_id, reached) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, d.b FROM r JOIN d ON d.a = r.reached
+)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

@@ -70,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_ngram_join": ngram_join.SQL,
     "op5_substring_dedup": substring_dedup.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op10_warc": warc.SQL,
