@@ -92,7 +92,7 @@ def dedup_exact(docs: DataFrame, keep: str = "min") -> DataFrame:
     doc_id stays (keep='min'), or the largest ('max'). Rows whose digest has one entry are settled by the index. Hits,
     rows that pass a filter of the digests with two entries or more, are verified by their bytes: they are grouped by
     digest and whole text, so that two texts of one digest would be told apart, and a false hit is a group of one. Rows repeated with the same doc_id each count in group_size, and each
-    such row is returned as kept if the id is. Empty tables give empty results; other columns are ignored.
+    such row is returned as kept if the id is. A null doc_id gives way to any other, and stays if there is none. Empty tables give empty results; other columns are ignored.
     """
     entries = flush_runs(docs, keep)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest(F.col("text")).alias("digest"), _order(keep).alias("rank_id"))
@@ -109,7 +109,7 @@ def dedup_exact(docs: DataFrame, keep: str = "min") -> DataFrame:
         "doc_id",
         keep_id.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("doc_id") == keep_id).alias("kept"),
+        F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
 

@@ -190,8 +190,9 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     A document's set is its distinct shingles of `width` lower-cased (A-Z) words, or its whole word sequence if that is
     shorter. A null, empty or blank text has no shingle and is linked with nothing. component_id is the smallest doc_id
-    that links reach. Rows repeated with the same doc_id are linked like copies; other columns are ignored; an empty
-    table gives an empty result.
+    that links reach. Rows repeated with the same doc_id are linked like copies; a row without a doc_id is linked with
+    copies of its word sequence alone, since texts are found by doc_id; other columns are ignored; an empty table gives
+    an empty result.
 
     Copies of a word sequence are one node. Nodes that share tokens of their prefixes are joined in two rounds. In the
     first, each token pairs its nodes with one pivot, the node in which it stands first: as many pairs as entries at

@@ -501,6 +501,29 @@ def test_written_tables_can_be_discarded(spark, docs):
     assert not path.exists()
 
 
+# --- nulls ---
+
+
+def test_null_identifiers_and_columns(spark):
+    rows = [(None, None, None, None, None), (None, "some words that stand here more than once", None, None, 3), (7, "some words that stand here more than once", "xx", None, None), (None, "x" * 200_000, "xx", "s", None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    operators = [mixing.mix, quality_rules.score_repetition, private_data.find_private_data, ngram_join.join_near_duplicates, substring_dedup.dedup_substrings, exact_dedup.dedup_exact, language_id.identify_language, lm_scoring.score_documents]
+    for f in operators:
+        assert f(df).count() == len(rows), f.__name__
+    assert packing.pack(df).select("doc_id").distinct().count() == 2
+    kept = [(r["keep_id"], r["kept"]) for r in exact_dedup.dedup_exact(df).collect() if r["group_size"] == 2]
+    assert sorted(kept) == [(7, False), (7, True)]
+    assert all(r["held_out"] for r in language_id.identify_language(df).filter("doc_id is null").collect())
+    import corpus_pipeline
+
+    docs = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.count() >= 1
+    pages = spark.createDataFrame([(None, None, None), (1, None, "<p>x"), (None, "u", "<!--")], "page_id long, url string, html string")
+    assert warc.derive_pages(pages).count() == 6
+
+
 # --- pipeline ---
 
 
