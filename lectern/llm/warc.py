@@ -23,20 +23,20 @@ def _digest(block: F.Column) -> F.Column:
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
+#: What has no text: comments, scripts and styles; and tags that end a line.
+_HIDDEN = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
+_BLOCK = r"(?i)<(/?(p|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|footer|header|title|blockquote|pre)|br)([ \t\r\n][^>]*)?/?>"
+_TAG, _SPACES, _LINES = r"<[^>]*>", r"[ \t\r]{2,}|[\t\r]", r" ?\n[ \n]*"
+
+
 def plain_text(html: F.Column) -> F.Column:
     """Text of a page: without comments, scripts, styles and tags; blocks end lines; entities are resolved."""
-    t = F.coalesce(html, F.lit(""))
-    t = F.regexp_replace(t, r"(?s)<!--.*?-->", " ")
-    t = F.regexp_replace(t, r"(?is)<script[^>]*>.*?</script>", " ")
-    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
-    t = F.regexp_replace(t, r"(?i)<(/?(p|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|footer|header|title|blockquote|pre)|br)([ \t\r\n][^>]*)?/?>", "\n")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
+    t = F.regexp_replace(F.coalesce(html, F.lit("")), _HIDDEN, " ")
+    t = F.regexp_replace(F.regexp_replace(t, _BLOCK, "\n"), _TAG, "")
     for entity, char in ENTITIES:
         t = F.replace(t, F.lit(entity), F.lit(char))
-    t = F.regexp_replace(t, r"[ \t\r]{2,}|[\t\r]", " ")
-    t = F.regexp_replace(t, r" \n ?|\n ", "\n")
-    t = F.regexp_replace(t, r"\n{2,}", "\n")
-    return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
+    t = F.regexp_replace(F.regexp_replace(t, _SPACES, " "), _LINES, "\n")
+    return F.btrim(t, F.lit(" \n"))
 
 
 def page_responses(pages: DataFrame) -> DataFrame:
@@ -183,18 +183,13 @@ def _sql() -> str:
         return f"('<urn:uuid:' || concat_ws('-', {cut}) || '>')"
 
     text = "html"
-    for pattern, to in (
-        (r"(?s)<!--.*?-->", " "),
-        (r"(?is)<script[^>]*>.*?</script>", " "),
-        (r"(?is)<style[^>]*>.*?</style>", " "),
-        (r"(?i)<(/?(p|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|footer|header|title|blockquote|pre)|br)([ \t\r\n][^>]*)?/?>", "\n"),
-        (r"<[^>]*>", ""),
-    ):
-        text = f"regexp_replace({text}, '{pattern}', {'chr(10)' if to == chr(10) else repr(to)}, 'g')"
+    for pattern, to in ((_HIDDEN, "' '"), (_BLOCK, "chr(10)"), (_TAG, "''")):
+        text = f"regexp_replace({text}, '{pattern}', {to}, 'g')"
     for entity, char in ENTITIES:
         text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    for pattern, to in ((r"[ \t\r]+", "' '"), (r" ?\n ?", "chr(10)"), (r"\n+", "chr(10)"), (r"^[ \n]+|[ \n]+$", "''")):
+    for pattern, to in ((_SPACES, "' '"), (_LINES, "chr(10)")):
         text = f"regexp_replace({text}, '{pattern}', {to}, 'g')"
+    text = f"trim({text}, ' ' || chr(10))"
     crlf = "chr(13) || chr(10)"
     return f"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
