@@ -9,7 +9,7 @@ from lectern.functions.text import DIACRITICS, col, normalize_lexical, normalize
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WORD = "[؀-ۿً-ٰٟ]"
+_WORD = r"[\u0600-\u06FF]"
 _D = "[٠-٩0-9]"
 
 

@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Code points and patterns that define Arabic-script normalisation.
-DIACRITICS = r"[ً-ٰٟ]"
+DIACRITICS = r"[\u064B-\u065F\u0670]"
 ALEF_FORMS = "آأإٱ"
 HAMZA_FORMS = "ءآأؤإئٱ"
 ALEF, HAMZA, ALEF_MAKSURA, YEH, TEH_MARBUTA, HEH = "ا", "ء", "ى", "ي", "ة", "ه"
-ARABIC_SCRIPT = r"[؀-ۿݐ-ݿ]"
-ARABIC_ANY = r"[؀-ۿݐ-ݿࢠ-ࣿﭐ-﷿ﹰ-﻿]"
+ARABIC_SCRIPT = r"[\u0600-\u06FF\u0750-\u077F]"
+ARABIC_ANY = r"[\u0600-\u06FF\u0750-\u077F\u08A0-\u08FF\uFB50-\uFDFF\uFE70-\uFEFF]"
 ARABIC_DIGITS, WESTERN_DIGITS = "٠١٢٣٤٥٦٧٨٩", "0123456789"
-WHITESPACE = r"[\s   -     　﻿]+"
+WHITESPACE = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
 
 
 def col(c: Column | str) -> Column:

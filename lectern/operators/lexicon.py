@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lectern.functions import morphology as M
-from lectern.functions.text import fold_hamza, has_diacritics, normalize_lexical, normalize_vocalized
+from lectern.functions.text import DIACRITICS, fold_hamza, has_diacritics, normalize_lexical, normalize_vocalized
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,7 +144,7 @@ def excerpt(definition: Column | str, word: Column | str, size: int = 300) -> Co
 
     Null if nothing is found, or within the first 40 characters. Ends are moved to spaces within 30 characters.
     """
-    text, optional = F.col(definition) if isinstance(definition, str) else definition, "[ً-ٰٟ]*"
+    text, optional = F.col(definition) if isinstance(definition, str) else definition, f"{DIACRITICS}*"
     pattern = lambda t: F.array_join(F.filter(F.split(t, ""), lambda x: x != ""), optional)
     terms = [M.light_stem(word), M.strip_article(word), normalize_lexical(word)]
     at = F.coalesce(*(F.nullif(F.when(F.length(t) >= 3, F.regexp_instr(text, pattern(t))), F.lit(0)) for t in terms)) - 1

@@ -6,11 +6,11 @@ import re
 from dataclasses import dataclass, field
 
 # Quotation marks, script ranges and thresholds of the query rules.
-_QUOTES = "\"«»„“”"
-_QUOTED = re.compile(f"[{_QUOTES}]([^\n\r  ]*?)[{_QUOTES}]")
-_ARABIC = re.compile("[؀-ۿݐ-ݿ]")
-_NOT_WORD = re.compile("[^؀-ۿA-Za-z0-9_]")
-_DIACRITICS = re.compile("[ً-ٰٟ]")
+_QUOTES = "\"\u00AB\u00BB\u201E\u201C\u201D"
+_QUOTED = re.compile(f"[{_QUOTES}]([^\n\r\u2028\u2029]*?)[{_QUOTES}]")
+_ARABIC = re.compile("[\u0600-\u06FF\u0750-\u077F]")
+_NOT_WORD = re.compile("[^\u0600-\u06FFA-Za-z0-9_]")
+_DIACRITICS = re.compile("[\u064B-\u065F\u0670]")
 MIN_CHARS_FOR_SEMANTIC = 4
 SIMILARITY_FLOORS = [(3, 0.55), (6, 0.40), (12, 0.30)]
 
