@@ -355,8 +355,8 @@ m AS (
     FROM s JOIN h USING (qid) GROUP BY s.qid, n
 ),
 o AS (
-    SELECT qid, round(h5 / n, 6) AS recall_at_5, round(h20 / n, 6) AS recall_at_20, round(h5 / got5, 6) AS precision_at_5,
-        round(coalesce(1.0::DOUBLE / first_rank, 0), 6) AS reciprocal_rank, round(dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, 11) t(i) WHERE i <= n), 6) AS ndcg_at_10 FROM m
+    SELECT qid, h5 / n AS recall_at_5, h20 / n AS recall_at_20, h5 / got5 AS precision_at_5,
+        coalesce(1.0::DOUBLE / first_rank, 0) AS reciprocal_rank, dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, 11) t(i) WHERE i <= n) AS ndcg_at_10 FROM m
 )
 """
 
@@ -369,7 +369,11 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.query_metrics(ranked, gold)
 
 
-@query(_RANKED + "SELECT * FROM o")
+@query(
+    _RANKED
+    + """SELECT qid, round(recall_at_5, 6) AS recall_at_5, round(recall_at_20, 6) AS recall_at_20, round(precision_at_5, 6) AS precision_at_5,
+    round(reciprocal_rank, 6) AS reciprocal_rank, round(ndcg_at_10, 6) AS ndcg_at_10 FROM o"""
+)
 def ir_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("recall_at_5", "recall_at_20", "precision_at_5", "reciprocal_rank", "ndcg_at_10")
     return _metrics(spark, sf_dir).select("qid", *(F.round(c, 6).alias(c) for c in names))
