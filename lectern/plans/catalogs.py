@@ -278,16 +278,14 @@ def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH c AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS prefix, substr(p_name, length(string_split(p_name, ' ')[1]) + 2) AS slug FROM part)
-SELECT a.p_partkey AS a, b.p_partkey AS b FROM c a JOIN c b ON a.prefix = b.prefix AND a.p_partkey < b.p_partkey
-WHERE contains(a.slug, b.slug) OR contains(b.slug, a.slug) OR levenshtein(a.slug, b.slug) <= 2"""
+    """WITH c AS (SELECT substr(c_name, 1, length(c_name) - 2) AS prefix, substr(c_name, length(c_name) - 1) AS slug FROM customer)
+SELECT a.prefix || ':' || a.slug AS a, b.prefix || ':' || b.slug AS b FROM c a JOIN c b ON a.prefix = b.prefix AND a.slug < b.slug
+WHERE contains(a.slug, b.slug) OR contains(b.slug, a.slug) OR levenshtein(a.slug, b.slug) <= 1"""
 )
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", F.substring_index("p_name", " ", 1).alias("prefix"), F.expr("substring(p_name, length(substring_index(p_name, ' ', 1)) + 2)").alias("slug"))
-    a, b = p.alias("a"), p.alias("b")
-    near = F.col("a.slug").contains(F.col("b.slug")) | F.col("b.slug").contains(F.col("a.slug")) | (F.levenshtein("a.slug", "b.slug", 2) >= 0)
-    found = a.join(b, (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.p_partkey") < F.col("b.p_partkey")) & near)
-    return found.select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"))
+    name, size = F.col("c_name"), F.length("c_name")
+    ids = table(spark, sf_dir, "customer").select(F.concat(F.substring(name, F.lit(1), size - 2), F.lit(":"), F.substring(name, size - 1, F.lit(2))).alias("id"))
+    return graph.near_duplicate_ids(ids, edits=1)
 
 
 @query(
