@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from lectern.functions.text import col
 from lectern.operators.index import Index
 from pyspark.sql import Column, DataFrame, Window
@@ -23,20 +25,49 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("qid", F.explode("terms").alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
 
 
-def bm25_scores(index: Index, queries: DataFrame) -> DataFrame:
-    """(qid, doc_id, score) of documents that hold any term of a query.
+#: Rows (query, term) up to which a batch is taken to the driver, to be looked up as literals and broadcast.
+MAX_LITERAL_TERMS = 2000
+
+
+def _scored(index: Index, wanted: DataFrame) -> DataFrame:
+    """(qid, doc_id, score) by BM25 of wanted (qid, term, weight), a term's weight multiplying its score.
 
-    Only query terms leave the scan: the queries' terms meet the exploded terms first, and what is shuffled are their
-    occurrences, combined by document and term. Queries are a table, so that a batch is one plan; one query is a row.
+    A small batch is checked by its size and read first. A document's terms are one row, so its occurrences of few
+    terms are counted within the row; statistics come back as a row for each term; the weights are broadcast, and what
+    is shuffled are partial scores. A large batch is joined to the exploded tokens instead.
     """
-    wanted = query_terms(queries)
-    terms = wanted.select("term").distinct()
-    occurrences = index.docs.select("doc_id", "dl", F.explode("terms").alias("term")).join(terms, "term", "left_semi")
-    tf = occurrences.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    df = index.docs.select(F.explode(F.array_distinct("terms")).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    rows = wanted.limit(MAX_LITERAL_TERMS + 1).collect()
+    if len(rows) > MAX_LITERAL_TERMS:
+        return _scored_by_joins(index, wanted)
+    listed = sorted({r["term"] for r in rows})
+    held = index.docs.select("doc_id", "dl", F.filter("terms", lambda t: t.isin(listed)).alias("found"))
+    each = held.select("dl", F.explode(F.concat(F.array_distinct("found"), F.array(F.lit(None).cast("string")))).alias("term"))
+    counts = {r["term"]: r for r in each.groupBy("term").agg(F.count("*").alias("n"), F.sum("dl").alias("dl")).collect()}
+    n_docs = counts[None]["n"] if counts else 0
+    avgdl = (counts[None]["dl"] or 0) / n_docs if n_docs else 0.0
+    weigh = lambda r: float(r["weight"]) * math.log(1 + (n_docs - counts[r["term"]]["n"] + 0.5) / (counts[r["term"]]["n"] + 0.5))
+    kinds = dict(wanted.dtypes)
+    weights = wanted.sparkSession.createDataFrame([(r["qid"], r["term"], weigh(r)) for r in rows if r["term"] in counts], f"qid {kinds['qid']}, term string, weight double")
+    counted = F.transform(F.array_distinct("found"), lambda t: F.struct(t.alias("term"), F.size(F.filter("found", lambda x: x == t)).alias("tf")))
+    tf = held.select("doc_id", "dl", F.explode(counted).alias("t")).select("doc_id", "t.term", bm25_weight(F.col("t.tf"), F.col("dl"), F.lit(avgdl)).alias("part"))
+    return tf.join(F.broadcast(weights), "term").groupBy("qid", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
+
+
+def _scored_by_joins(index: Index, wanted: DataFrame) -> DataFrame:
+    tokens = index.docs.select("doc_id", "dl", F.explode("terms").alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
+    tf = tokens.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
     weighted = wanted.join(df, "term").join(F.broadcast(index.corpus_stats()))  # statistics are one row
-    scored = tf.join(weighted, "term").withColumn("part", F.col("qtf") * idf(F.col("n_docs"), F.col("df")) * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl")))
-    return scored.groupBy("qid", "doc_id").agg(F.sum("part").alias("score"))
+    part = F.col("weight") * idf(F.col("n_docs"), F.col("df")) * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl"))
+    return tf.join(weighted, "term").withColumn("part", part).groupBy("qid", "doc_id").agg(F.sum("part").alias("score"))
+
+
+def bm25_scores(index: Index, queries: DataFrame) -> DataFrame:
+    """(qid, doc_id, score) of documents that hold any term of a query (qid, terms).
+
+    Queries are a table, so that a batch is one plan; one query is a row.
+    """
+    return _scored(index, query_terms(queries).withColumnRenamed("qtf", "weight"))
 
 
 def top_k(scores: DataFrame, k: int, by: str = "score", per: str = "qid", key: str = "doc_id", rank: str = "rank") -> DataFrame:
@@ -88,12 +119,7 @@ def fuzzy_scores(index: Index, queries: DataFrame) -> DataFrame:
     near = fuzzy_terms(index, queries)
     weight = 1 - F.col("edits") / F.length("query_term")
     near = near.groupBy("qid", "term").agg(F.max(weight).alias("weight"))
-    terms = near.select("term").distinct()
-    tf = index.docs.select("doc_id", "dl", F.explode("terms").alias("term")).join(terms, "term", "left_semi").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    full = tf.join(near.join(df, "term").join(F.broadcast(index.corpus_stats())), "term")
-    part = F.col("weight") * idf(F.col("n_docs"), F.col("df")) * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl"))
-    return full.withColumn("part", part).groupBy("qid", "doc_id").agg(F.sum("part").alias("score"))
+    return _scored(index, near)
 
 
 def with_fuzzy_fallback(index: Index, queries: DataFrame) -> DataFrame:

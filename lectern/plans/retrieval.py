@@ -21,7 +21,7 @@ ex AS (SELECT doc_id, len(terms) AS dl, unnest(terms) AS term FROM tok),
 tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM ex WHERE term IN (SELECT term FROM q) GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 sc AS (
-    SELECT qid, doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))) AS score
+    SELECT qid, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 9) AS score
     FROM tf JOIN q USING (term) JOIN df USING (term) CROSS JOIN st GROUP BY qid, doc_id
 ),
 rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM sc)
@@ -35,6 +35,12 @@ def _values(queries: dict[str, str]) -> str:
     return ", ".join(f"('{q}', '{t}')" for q, text in queries.items() for t in text.split())
 
 
+def bm25_best(spark: SparkSession, sf_dir: str, queries: dict[str, str], k: int) -> DataFrame:
+    """The k best documents of each query; scores are rounded before they are ranked, so that ties are ties."""
+    scores = keyword.bm25_scores(documents_index(spark, sf_dir), queries_table(spark, queries))
+    return keyword.top_k(scores.withColumn("score", F.round("score", 9)), k)
+
+
 def _bm25(queries: dict[str, str]) -> str:
     return _BM25.replace("@queries", _values(queries))
 
@@ -70,13 +76,13 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_bm25({"q": QUERY}) + "SELECT doc_id, round(score, 6) AS score, rank FROM rk WHERE rank <= 50")
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = keyword.top_k(keyword.bm25_scores(documents_index(spark, sf_dir), queries_table(spark, {"q": QUERY})), 50)
+    found = bm25_best(spark, sf_dir, {"q": QUERY}, 50)
     return found.select("doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 @query(_bm25(QUERIES) + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM rk WHERE rank <= 20")
 def bm25_multi_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = keyword.top_k(keyword.bm25_scores(documents_index(spark, sf_dir), queries_table(spark, QUERIES)), 20)
+    found = bm25_best(spark, sf_dir, QUERIES, 20)
     return found.select("qid", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -175,7 +181,7 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents and vectors of the same number stand for one another."""
     found = vector.nearest(table(spark, sf_dir, "embeddings"), _first_vector(spark, sf_dir), 50)
     semantic = found.select(F.col("vec_id").alias("doc_id"), F.col("score").alias("semantic_score"), F.col("rank").alias("semantic_rank"))
-    hits = keyword.top_k(keyword.bm25_scores(documents_index(spark, sf_dir), queries_table(spark, {"q": QUERY})), 50)
+    hits = bm25_best(spark, sf_dir, {"q": QUERY}, 50)
     return semantic, hits.select("doc_id", F.col("score").alias("bm25_score"), F.col("rank").alias("keyword_rank"))
 
 
@@ -206,7 +212,7 @@ SELECT doc_id, round(sum(weight::DOUBLE / (60 + rank)), 6) AS weighted_rrf, roun
 FROM rk JOIN w USING (qid) WHERE rank <= 50 GROUP BY doc_id"""
 )
 def multi_query_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = keyword.top_k(keyword.bm25_scores(documents_index(spark, sf_dir), queries_table(spark, QUERIES)), 50)
+    hits = bm25_best(spark, sf_dir, QUERIES, 50)
     weights = spark.createDataFrame([("q1", 1.0), ("q2", 0.5), ("q3", 0.5), ("q4", 0.1)], "qid string, weight double")
     merged = fusion.merge_queries(hits.withColumnRenamed("score", "bm25_score").join(weights, "qid"), ["doc_id"])
     return merged.select("doc_id", F.round("weighted_rrf", 6).alias("weighted_rrf"), F.round("bm25_score", 6).alias("bm25_score"))

@@ -104,6 +104,14 @@ def test_params():
         SearchParams("q", mode="other")
 
 
+def test_many_terms_are_joined(spark, monkeypatch):
+    index = Index.build(docs(spark), "doc_id", "text")
+    few = sorted(map(tuple, keyword.bm25_scores(index, queries(spark, q="cat dog the", r="mat")).collect()))
+    monkeypatch.setattr(keyword, "MAX_LITERAL_TERMS", 1)
+    many = sorted(map(tuple, keyword.bm25_scores(index, queries(spark, q="cat dog the", r="mat")).collect()))
+    assert [r[:2] for r in few] == [r[:2] for r in many] and [r[2] for r in few] == pytest.approx([r[2] for r in many])
+
+
 def docs(spark):
     rows = [(1, "the cat sat on the mat"), (2, "the dog"), (3, "cat and dog and cat"), (4, None), (5, "")]
     return spark.createDataFrame(rows, "doc_id long, text string")
