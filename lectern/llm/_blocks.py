@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Text bytes in a block of documents; a block, and a bucket of about as many hashes, each fit in one task.
-BLOCK_BYTES = 6 << 20
+#: Text bytes in a block of documents; a block, and a bucket of about as many hashes, each fit in one task, whose arrays
+#: take about 40 times as much. Larger blocks send fewer and longer rows, where executors have the memory.
+BLOCK_BYTES = 4 << 20
 
 
 def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
@@ -53,6 +54,7 @@ def counted(dealt: DataFrame, n: int, distinct: Callable[[pa.Table], Distinct],
     """
 
     def send(block: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the worker kept of the block before
         d = distinct(block)
         ends = _ends(d.values, n)
         some = np.flatnonzero(np.diff(ends))
@@ -67,6 +69,7 @@ def counted(dealt: DataFrame, n: int, distinct: Callable[[pa.Table], Distinct],
         )
 
     def reply(bucket: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         hashes = [np.frombuffer(x, np.uint64) for x in bucket["hashes"].to_pylist()]
         d = Distinct(np.concatenate(hashes))
         counts = np.concatenate([np.frombuffer(x, np.uint16) for x in bucket["counts"].to_pylist()])

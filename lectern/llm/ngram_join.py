@@ -80,6 +80,7 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
     dealt, n_blocks = deal(docs)
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         x = _Block(block, width)
         s, n, k = x.sets, x.sets.sizes, len(x.doc_id)
         level = np.zeros(len(s.values), np.uint8)

@@ -42,6 +42,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLO
     dealt, n = deal(docs, block_bytes)
 
     def cut(block: pa.Table, found: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         x = _Windows(block, width)
         flags = answers(found).astype(bool)[x.distinct.at]
         w = x.words
