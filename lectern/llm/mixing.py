@@ -4,25 +4,26 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Iterator
+from fractions import Fraction
+from itertools import islice
+from math import lcm
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm._ranks import ranked
+from lectern.llm._store import written
 
-#: Rows in a block, the unit that is scheduled. Weights are rounded to shares of so many slots, one period.
-BLOCK_ROWS, PERIOD = 16, 1000
+#: Rows in a block, the unit that is scheduled.
+BLOCK_ROWS = 16
 #: Weight of a source without a given one: its rows to this power. 1 keeps proportions, 0 makes sources equal.
 TEMPERATURE = 0.7
-#: Sources that one schedule can mix. Its table has at most so many phases of PERIOD slots.
-MAX_SOURCES = 1000
 #: Rows of a source are ranked in parts of about so many.
 PART_ROWS = 1 << 20
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
+def shares(weights: dict[str, float], period: int = 1000) -> dict[str, int]:
     """Whole shares that sum to the period, by largest remainder; each source has one at least."""
     total = sum(weights.values())
     period = max(period, len(weights))
@@ -34,96 +35,107 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
 
 
 def period_slots(share: dict[str, int]) -> dict[str, list[int]]:
-    """The slots that each source's blocks get in one period, by earliest deadline first.
-
-    With share q of a period of Q slots, block j is released at floor(j Q / q) and due at ceil((j + 1) Q / q). The
-    shares fill the period, so every block meets its deadline, and after any t slots a source has had more than
-    t q / Q - 1 and less than t q / Q + 1 blocks.
-    """
-    q = sum(share.values())
-    names = sorted(share)
-    release = [(0, i, 0) for i in range(len(names))]
-    heapq.heapify(release)
-    due: list[tuple[int, int, int]] = []
-    slots: dict[str, list[int]] = {s: [] for s in names}
-    for t in range(q):
-        while release and release[0][0] <= t:
-            _, i, j = heapq.heappop(release)
-            heapq.heappush(due, (-(-(j + 1) * q // share[names[i]]), i, j))
-        _, i, j = heapq.heappop(due)
-        slots[names[i]].append(t)
-        if j + 1 < share[names[i]]:
-            heapq.heappush(release, ((j + 1) * q // share[names[i]], i, j + 1))
+    """The slots that each source's blocks get in one period of whole shares."""
+    slots: dict[str, list[int]] = {s: [] for s in sorted(share)}
+    for s, _, _, slot in schedule(share, share):
+        slots[s].append(slot)
     return slots
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[dict]:
-    """Phases of a schedule of all blocks: in each, the sources that have any left share the slots by weight.
+def whole(weights: dict[str, float]) -> dict[str, int]:
+    """Integers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * unit) for s, x in exact.items()}
+
 
-    A phase ends at the first slot whose source has run out. The first phase holds the target weights; in those after
-    it, the weights of what is left are scaled to one. Work grows with sources times the period, not with blocks.
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int, int, int]]:
+    """(source, block, phase, slot) of all blocks, by slot: in each phase, the sources with blocks left share by weight.
+
+    With whole weights q that sum to Q, block j of a phase is released at floor(j Q / q) and due at ceil((j + 1) Q / q)
+    slots after its start, earliest deadline first. The weights fill all slots, so every block meets its deadline, and
+    after any t slots of a phase a source has had more than t q / Q - 1 and less than t q / Q + 1 blocks. A phase ends
+    at the first slot whose source has run out; in the next, the weights of what is left are scaled to one.
+
+    Memory grows with sources, work with blocks: a source is touched in a phase only when its first block is placed,
+    and first blocks are due in the order of weights.
     """
-    left, start, done, phases = {s: n for s, n in blocks.items() if n}, 0, dict.fromkeys(blocks, 0), []
-    while left:
-        share = shares({s: weights[s] for s in left}, period)
-        slots, q = period_slots(share), sum(share.values())
-        end = min(left[s] // share[s] * q + slots[s][left[s] % share[s]] for s in left)
-        if len(left) == 1:
-            end = next(iter(left.values()))
-        used = {s: end // q * share[s] + int(np.searchsorted(slots[s], end % q)) for s in left}
-        phases.append({"start": start, "slots": slots, "period": q, "first": dict(done), "used": used})
-        start += end
-        for s, n in used.items():
-            done[s] += n
-            left[s] -= n
-        left = {s: n for s, n in left.items() if n}
-    return phases
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, temperature: float = TEMPERATURE, period: int = PERIOD) -> DataFrame:
+    q = whole({s: weights[s] for s, n in blocks.items() if n > 0})
+    names = sorted(q, key=lambda s: (-q[s], s))
+    share, left, done = [q[s] for s in names], [blocks[s] for s in names], [0] * len(names)
+    after = [*range(1, len(names) + 1), 0]  # the next source that is left, in the order of weights; the last starts it
+    before = [*range(-1, len(names))]
+    total, start, phase = sum(share), 0, 0
+    while total:
+        release: list[tuple[int, int, int]] = []
+        due: list[tuple[int, int, int]] = []
+        out: list[int] = []
+        fresh, t = after[-1], 0
+        while True:
+            while release and release[0][0] <= t:
+                _, i, j = heapq.heappop(release)
+                heapq.heappush(due, (-(-(j + 1) * total // share[i]), i, j))
+            if fresh < len(names) and (not due or (-(-total // share[fresh]), fresh, 0) <= due[0]):
+                i, j, fresh = fresh, 0, after[fresh]
+            elif due:
+                _, i, j = heapq.heappop(due)
+            else:
+                break
+            if not left[i]:
+                break
+            yield names[i], done[i], phase, start + t
+            done[i] += 1
+            left[i] -= 1
+            if not left[i]:
+                out.append(i)
+            heapq.heappush(release, ((j + 1) * total // share[i], i, j + 1))
+            t += 1
+        for i in out:
+            total -= share[i]
+            after[before[i]], before[after[i]] = after[i], before[i]
+        start, phase = start + t, phase + 1
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, temperature: float = TEMPERATURE, period: int | None = None) -> DataFrame:
     """The place of each row of docs (doc_id, source) in a mix: doc_id, source, block, phase, slot, position.
 
     weights: of sources; one that is not given, or all if none are, has rows ** temperature. A source with weight 0
     or less is refused. Rows of a source are put in blocks in the order of a hash of doc_id; the last may be short.
-    Slots are filled by Pfair's earliest deadline first, so that at any slot of phase 0 each source has had its share
-    of blocks, but for less than one. Phase 0 ends when a source has run out; the rest follows in later phases, so
-    that no row is lost. position orders the rows: slot times block_rows, plus the row's place in its block.
+    Slots are filled by Pfair's earliest deadline first with the exact weights, so that at any slot of phase 0 each
+    source has had its share of blocks, but for less than one, however long the phase is. Phase 0 ends when a source
+    has run out; the rest follows in later phases, so that no row is lost. position orders the rows: slot times
+    block_rows, plus the row's place in its block. A period, if given, rounds the weights to shares of so many slots.
 
-    A null source is a source, of its own name. Repeated rows are rows like others, in any order among themselves.
-    Other columns are ignored; an empty table gives an empty result. The driver sees one count for each source.
+    A null source is a source. Repeated rows are rows like others, in any order among themselves. Other columns are
+    ignored; an empty table gives an empty result. One task goes through the blocks, with memory for the sources.
     """
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"))
-    sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; give rare ones a common name first")
-    named = {"\0null" if s is None else s: n for s, n in sizes.items()}
-    weight = {s: (weights or {}).get(s, n**temperature) for s, n in named.items()}
-    if bad := [s for s, w in weight.items() if not w > 0]:
-        raise ValueError(f"weights must be above 0: {bad}")
-    phases = schedule({s: -(-n // block_rows) for s, n in named.items()}, weight, period)
-
+    source = F.col("source").cast("string")
+    rows = docs.select("doc_id", F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_source"))
+    sizes = written(rows.groupBy("_source").agg(F.count("*").alias("n")), "sources")
+    given = {f"={s}": w for s, w in (weights or {}).items()}
+    if bad := [s for s, w in given.items() if not w > 0]:
+        if found := [r["_source"][1:] for r in sizes.filter(F.col("_source").isin(bad)).collect()]:
+            raise ValueError(f"weights must be above 0: {sorted(found)}")
+
+    def plan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = {s: k for batch in batches for s, k in zip(batch.column("_source").to_pylist(), batch.column("n").to_pylist(), strict=True)}
+        weight = {s: given.get(s, k**temperature) for s, k in n.items()}
+        placed = schedule({s: -(-k // block_rows) for s, k in n.items()}, shares(weight, period) if period and n else weight)
+        while some := list(islice(placed, 1 << 14)):
+            cols = zip(*some, strict=True)
+            types = [pa.string(), pa.int64(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["_source", "block", "phase", "slot"])
+
+    places = sizes.coalesce(1).mapInArrow(plan, "_source string, block long, phase int, slot long")
     key = F.xxhash64("doc_id", F.lit("mix"))
-    parts = max(16, -(-max(sizes.values(), default=0) // PART_ROWS))
-    keyed = rows.withColumn("source", F.coalesce("source", F.lit("\0null"))).withColumn("_key", key)
-    numbered = ranked(keyed, "source", F.col("_key"), ["_key", "doc_id"], parts).select("doc_id", "source", "rank")
-
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            coded = batch.column("source").dictionary_encode()
-            which, rank = coded.indices.to_numpy(), batch.column("rank").to_numpy()
-            block = rank // block_rows
-            phase, slot = np.zeros(len(rank), np.int32), np.zeros(len(rank), np.int64)
-            for i, s in enumerate(coded.dictionary.to_pylist()):
-                mine = np.flatnonzero(which == i)
-                at = [(k, p) for k, p in enumerate(phases) if s in p["used"]]
-                k = np.searchsorted([p["first"][s] for _, p in at], block[mine], side="right") - 1
-                for n, (number, p) in enumerate(at):
-                    here = mine[k == n]
-                    j, own = block[here] - p["first"][s], np.array(p["slots"][s])
-                    phase[here] = number
-                    slot[here] = p["start"] + j // len(own) * p["period"] + own[j % len(own)]
-            source = pa.array([None if s == "\0null" else s for s in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
-            cols = [batch.column("doc_id"), source, pa.array(block), pa.array(phase), pa.array(slot), pa.array(slot * block_rows + rank % block_rows)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "source", "block", "phase", "slot", "position"])
-
-    return numbered.mapInArrow(place, "doc_id long, source string, block long, phase int, slot long, position long")
+    parts = max(16, -(-(sizes.agg(F.max("n")).first()[0] or 0) // PART_ROWS))
+    numbered = ranked(rows.withColumn("_key", key), "_source", F.col("_key"), ["_key", "doc_id"], parts)
+    numbered = numbered.select("doc_id", "_source", F.floor(F.col("rank") / block_rows).alias("block"), (F.col("rank") % block_rows).alias("_at"))
+    return numbered.join(places.hint("merge"), ["_source", "block"]).select(
+        "doc_id",
+        F.when(F.col("_source") != "", F.expr("substring(_source, 2)")).alias("source"),
+        "block",
+        "phase",
+        "slot",
+        (F.col("slot") * block_rows + F.col("_at")).alias("position"),
+    )

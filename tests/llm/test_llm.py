@@ -116,6 +116,26 @@ def test_mix_holds_weights_in_phase_0(spark):
         assert all(abs(had[s] - w * t) < 1 for s, w in {"hot": 0.5, "b": 0.3, "c": 0.2}.items())
 
 
+def test_mix_holds_exact_weights_on_long_schedules():
+    blocks = {"hot": 10_000, **{f"s{i:02}": 1053 for i in range(19)}, "rare": 1}
+    weights = {s: float(n) ** 0.7 for s, n in blocks.items()} | {"rare": 1e-6}
+    total, had, end = sum(weights.values()), collections.Counter(), collections.Counter()
+    for t, (s, block, phase, slot) in enumerate(mixing.schedule(blocks, weights)):
+        assert slot == t and block == end[s]
+        end[s] += 1
+        if phase == 0:
+            had[s] += 1
+            assert abs(had[s] - weights[s] / total * (t + 1)) < 1
+            if t % 500 == 0:
+                assert all(abs(had[x] - w / total * (t + 1)) < 1 for x, w in weights.items())
+    assert end == blocks and sum(had.values()) > 20_000
+
+
+def test_mix_takes_any_number_of_sources(spark):
+    df = spark.range(1500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("source"))
+    assert sorted(r["slot"] for r in mixing.mix(df).collect()) == list(range(1500))
+
+
 # --- 2 quality ---
 
 
