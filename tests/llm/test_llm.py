@@ -569,3 +569,16 @@ def near_components(rows):
         if r[1] and re.search(r"[^\W\d_]", r[1]):
             kept.setdefault(r[1], r[0])
     return len({c for _, c in near_brute([(i, t) for t, i in kept.items()]).values()})
+
+
+def test_pipeline_mix_keeps_all_rows_in_order(spark):
+    import corpus_pipeline
+
+    rows = [(i % 700, f"t{i}", "xx", None if i == 5 else "rare" if i < 5 else f"s{i % 2}", 0) for i in range(1400)]
+    rows += [rows[0], (None, "u", "xx", "s0", 0), (None, "v", "xx", "s1", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = [tuple(r) for r in corpus_pipeline.mix_sources(spark, docs, "").collect()]
+    assert collections.Counter(got) == collections.Counter(rows)
+    runs = [x[3] for x in got]
+    # Sources alternate in blocks: no source stands alone in the first half.
+    assert all(len(set(runs[i : i + 64])) > 1 for i in range(0, 700, 64))
