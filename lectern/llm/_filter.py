@@ -19,6 +19,14 @@ def bit_filter(keys: DataFrame, key: str) -> DataFrame:
     return bit.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
 
 
+def with_match(rows: DataFrame, key: str, bits: DataFrame, match: str) -> DataFrame:
+    """rows with a boolean column, match: whether the key's bit is set. It is for all keys in the filter, and some others."""
+    at = F.bitmap_bit_position(_bit(key))
+    joined = rows.withColumn("_bucket", F.bitmap_bucket_number(_bit(key))).join(F.broadcast(bits.withColumnRenamed("bucket", "_bucket").withColumnRenamed("bits", "_bits")), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return joined.withColumn(match, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits")
+
+
 def may_match(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
     """Rows whose key's bit is set: all whose key is in the filter, and some others."""
     at = F.bitmap_bit_position(_bit(key))

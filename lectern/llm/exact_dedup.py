@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm._filter import bit_filter, may_match
+from lectern.llm._filter import bit_filter, may_match, with_match
 from lectern.llm._store import table_path
 
 #: Rows in a memtable: documents whose digests are gathered, sorted and flushed as one run.
@@ -114,6 +114,21 @@ def dedup_exact(docs: DataFrame, keep: str = "min") -> DataFrame:
     )
 
 
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """Of rows with equal texts the whole row with the smallest doc_id, exactly one; a null doc_id gives way to any other.
+
+    Rows whose digest has one entry stay as they are; the others are grouped by digest and whole text.
+    """
+    bits = bit_filter(flush_runs(docs).filter("copies > 1").select(F.col("digest").alias("_digest")), "_digest")
+    flagged = with_match(docs.withColumn("_digest", digest(F.col("text"))), "_digest", bits, "_hit")
+    others = [c for c in docs.columns if c != "text"]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*others, *(F.col(c).isNull() for c in others)), F.col("text").isNull())
+    row = F.min_by(F.struct(*others, F.col("text").isNull().alias("_null")), order).alias("row")
+    groups = flagged.filter("_hit").groupBy("_digest", F.coalesce("text", F.lit("")).alias("_text")).agg(row)
+    groups = groups.select(*(F.expr("if(row._null, null, _text) AS text") if c == "text" else F.col(f"row.{c}") for c in docs.columns))
+    return flagged.filter("not _hit").select(*docs.columns).unionByName(groups)
+
+
 SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -582,3 +582,20 @@ def test_pipeline_mix_keeps_all_rows_in_order(spark):
     runs = [x[3] for x in got]
     # Sources alternate in blocks: no source stands alone in the first half.
     assert all(len(set(runs[i : i + 64])) > 1 for i in range(0, 700, 64))
+
+
+def test_pipeline_decides_by_row(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (sentences(i, 60, 5000) for i in range(40, 44))
+    near_b, near_d = b + " more", d + " more"
+    rows = [(1, a, "x", "s", 1), (1, a, "x", "s", 1), (1, b, "x", "s", 1), (0, b, "x", "s", 1), (None, c, "x", "s", 1), (None, c, "x", "s", 1)]
+    rows += [(None, b, "x", "s", 1), (None, d, "x", "s", 1), (None, near_d, "x", "s", 1), (2, near_b, "x", "s", 1)]
+    exact = corpus_pipeline.drop_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    expected = [(0, b), (1, a), (2, near_b), (None, c), (None, d), (None, near_d)]
+    assert sorted(((r[0], r[1]) for r in exact.collect()), key=key) == sorted(expected, key=key)
+    for docs in (exact, spark.createDataFrame(rows, SCHEMA)):
+        got = sorted(((r[0], r[1]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()), key=key)
+        assert [x for x in got if x[1] not in (d, near_d)] == [(0, b), (1, a), (None, c)]
+        assert len([x for x in got if x[1] in (d, near_d)]) == 1
