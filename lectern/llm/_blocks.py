@@ -14,18 +14,29 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4 << 20
 
 
-def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """docs (doc_id, text) with the number of its block, dealt by a hash of doc_id; how many blocks there are."""
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block"))
+#: Rows in a block at most, on average: short texts take memory for each row.
+BLOCK_ROWS = 1 << 16
+
+
+def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES, least: int = 1) -> tuple[DataFrame, int]:
+    """docs (doc_id, text, ...) with the number of its block; how many blocks there are, `least` at least.
+
+    Rows are dealt by a hash of doc_id and text, whatever the partitions of docs. So rows without a doc_id, or with one
+    that recurs, spread by their texts; rows that are empty as well are dealt by where they stand, as nothing is in
+    them to compare. Rows that repeat both stay together.
+    """
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    total = docs.agg(F.sum(size), F.count("*")).first()
+    n = max(least, -(-(total[0] or 0) // block_bytes), -(-total[1] // BLOCK_ROWS))
+    salt = F.when(size == 0, F.monotonically_increasing_id()).otherwise(0)
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", salt), F.lit(n)).cast("int"))
     return dealt.repartition(n, "block"), n
 
 
-def rows_in_order(block: pa.Table) -> tuple[pa.Array, pa.Array]:
-    """doc_id and text of a block, in an order that does not depend on how its rows arrived."""
-    block = block.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return pa.concat_arrays(block["doc_id"].chunks), pa.concat_arrays(block["text"].chunks)
+def in_order(block: pa.Table, *columns: str) -> pa.Table:
+    """Columns of a block, in one piece, in an order that does not depend on how its rows arrived."""
+    rows = block.select(list(columns)).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return rows.combine_chunks() if len(rows) else rows
 
 
 class Distinct:
@@ -47,6 +58,12 @@ def _ends(h: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32), np.arange(n + 1, dtype=np.uint64))
 
 
+def bucketed(h: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """(bucket, start, end) of the buckets, of n, that some ascending hashes fall into."""
+    ends = _ends(h, n)
+    return [(int(b), int(ends[b]), int(ends[b + 1])) for b in np.flatnonzero(np.diff(ends))]
+
+
 def counted(dealt: DataFrame, n: int, distinct: Callable[[pa.Table], Distinct], answer: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """(block, bucket, answers): a byte for each distinct hash of a block, in order, given its count in all blocks.
 
@@ -56,15 +73,14 @@ def counted(dealt: DataFrame, n: int, distinct: Callable[[pa.Table], Distinct],
     def send(block: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()  # what the worker kept of the block before
         d = distinct(block)
-        ends = _ends(d.values, n)
-        some = np.flatnonzero(np.diff(ends))
+        some = bucketed(d.values, n)
         counts = np.minimum(d.counts, 65535).astype(np.uint16)
         return pa.table(
             {
                 "block": pa.array(np.full(len(some), block["block"][0].as_py()), pa.int32()),
-                "bucket": pa.array(some, pa.int32()),
-                "hashes": pa.array([d.values[ends[b] : ends[b + 1]].tobytes() for b in some], pa.binary()),
-                "counts": pa.array([counts[ends[b] : ends[b + 1]].tobytes() for b in some], pa.binary()),
+                "bucket": pa.array([b for b, _, _ in some], pa.int32()),
+                "hashes": pa.array([d.values[i:j].tobytes() for _, i, j in some], pa.binary()),
+                "counts": pa.array([counts[i:j].tobytes() for _, i, j in some], pa.binary()),
             }
         )
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, as in tests, a temporary one is set."""
+    """The folder in spark.checkpoint.dir. Where that is unset a temporary one is set, in local mode alone."""
     found = spark.conf.get("spark.checkpoint.dir", None) or (d.get() if (d := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined() else None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -35,9 +37,9 @@ def discard(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def written(df: DataFrame, name: str, *sorted_by: str, **options: str) -> DataFrame:
+def written(df: DataFrame, name: str, *sorted_by: str, partition_by: list[str] | None = None, **options: str) -> DataFrame:
     """df, written as Parquet in the shared folder and read again; sorted_by: within each file."""
     spark = df.sparkSession
     path = table_path(spark, name)
-    (df.sortWithinPartitions(*sorted_by) if sorted_by else df).write.options(**options).parquet(path)
+    (df.sortWithinPartitions(*sorted_by) if sorted_by else df).write.options(**options).parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)

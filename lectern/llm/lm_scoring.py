@@ -14,23 +14,24 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm._blocks import Distinct, bucketed, deal, in_order
 from lectern.llm._counters import parts, summed
 from lectern.llm._store import written
-from lectern.llm._words import Words, per_text, slices, words
+from lectern.llm._words import Words, hashes, keep_freed_memory, per_text, words
 
 TOKENIZER = "byte_bpe_50k"
 #: Positions of a window, and how many of them, at its start, only give context to those after them.
 SPAN, OVERLAP = 32, 8
-#: Width of the model, and clusters of its output by their slots: as many ids are told apart, on either side.
-WIDTH, CLUSTERS, SLOTS = 16, 32, 32
+#: Width of the embedding and of the attention, and clusters of the output by their slots: as many ids are told apart, on
+#: either side.
+EMBED, WIDTH, CLUSTERS, SLOTS = 16, 16, 64, 32
 INPUTS = CLUSTERS * SLOTS
-#: One in so many training documents trains the attention model in each round; counts are taken of all. Rounds, windows
-#: in a step, rate of the steps.
-TRAIN_ONE_IN, ROUNDS, BATCH, RATE = 36, 3, 48, 0.02
-#: Text bytes of a block of documents.
-BLOCK_BYTES = 8 << 20
-#: Stands for the end of a document among words, none of which is empty.
-END = ""
+#: Rounds of training; windows in a step; rate of the steps, and what it is multiplied by in each further round.
+ROUNDS, BATCH, RATE, DECAY = 8, 128, 0.03, 0.7
+#: Text bytes of a block of documents. Each block of training documents is the share of one local run.
+BLOCK_BYTES = 4 << 20
+#: Parameters travel in parts of so many, and are added up in groups of so many blocks.
+PART, FAN = 1 << 14, 64
 
 
 class Subwords:
@@ -90,19 +91,19 @@ Parameters = dict[str, np.ndarray]
 
 
 def initial(coding: Coding, seed: int = 0) -> Parameters:
+    """Small random weights around the slots' prior, which an untrained model gives for any context."""
     r = np.random.default_rng(seed)
     prior = coding.log_prior.reshape(CLUSTERS, SLOTS)
     cluster = np.log(np.exp(prior).sum(axis=1))
     draw = lambda *shape, scale: (r.standard_normal(shape) * scale).astype(np.float32)
     return {
-        "query": draw(INPUTS, WIDTH, scale=0.5),
-        "key": draw(INPUTS, WIDTH, scale=0.5),
-        "value": draw(INPUTS, WIDTH, scale=0.3),
-        "self": draw(INPUTS, WIDTH, scale=0.3),
-        "distance": np.zeros(SPAN, np.float32),
-        "cluster": draw(WIDTH, CLUSTERS, scale=0.3),
+        "embed": draw(INPUTS, EMBED, scale=0.5),
+        "key_value": draw(EMBED, 2 * WIDTH, scale=EMBED**-0.5),
+        "query_self": draw(EMBED, 2 * WIDTH, scale=EMBED**-0.5),
+        "distance": np.maximum(-0.5 * np.arange(SPAN), -3).astype(np.float32),
+        "cluster": draw(WIDTH, CLUSTERS, scale=0.05),
         "cluster_bias": cluster.astype(np.float32),
-        "slot": draw(CLUSTERS, WIDTH, SLOTS, scale=0.3),
+        "slot": draw(CLUSTERS, WIDTH, SLOTS, scale=0.05),
         "slot_bias": (prior - cluster[:, None]).astype(np.float32),
     }
 
@@ -126,13 +127,18 @@ def _exp_and_sum(x: np.ndarray) -> np.ndarray:
 
 def attend(p: Parameters, x: np.ndarray) -> tuple[np.ndarray, ...]:
     """Masked attention of the scored positions over windows of rows x: (batch, SPAN)."""
-    later = x[:, OVERLAP:]
-    q, k, v = p["query"][later], p["key"][x], p["value"][x]
+    e = p["embed"][x]
+    late = e[:, OVERLAP:].reshape(-1, EMBED)
+    kv = (e.reshape(-1, EMBED) @ p["key_value"]).reshape(len(x), SPAN, 2 * WIDTH)
+    qs = (late @ p["query_self"]).reshape(len(x), _STEP, 2 * WIDTH)
+    k, v, q = kv[..., :WIDTH], kv[..., WIDTH:], qs[..., :WIDTH]
     a = np.matmul(q, k.transpose(0, 2, 1))
     a *= _SCALE
     a += p["distance"][_DISTANCE] + _AHEAD
-    a /= _exp_and_sum(a)[..., None]
-    return q, k, v, a, np.tanh(np.matmul(a, v) + p["self"][later])
+    a *= (1 / _exp_and_sum(a))[..., None]
+    h = np.matmul(a, v)
+    h += qs[..., WIDTH:]
+    return e, late, q, k, v, a, np.tanh(h, out=h)
 
 
 def _by_cluster(y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -149,68 +155,69 @@ def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray
     A slot's probability is its cluster's times its own within the cluster; both depend on what was read.
     """
     real = np.flatnonzero(y.ravel() >= 0)
+    order, ranges = _by_cluster(y.ravel()[real])
+    real = real[order]
     u, target = attend(p, x)[-1].reshape(-1, WIDTH)[real], y.ravel()[real]
-    order, ranges = _by_cluster(target)
-    u, target = u[order], target[order]
     each = np.arange(len(target))
     z = u @ p["cluster"]
     z += p["cluster_bias"]
-    found = np.minimum(z[each, target // SLOTS], _CEILING) - np.log(_exp_and_sum(z))
+    found = np.minimum(z[each, target // SLOTS], _CEILING)
+    total = np.log(_exp_and_sum(z))
     z = np.empty((len(target), SLOTS), u.dtype)
     for c, a, b in ranges:
         np.matmul(u[a:b], p["slot"][c], out=z[a:b])
         z[a:b] += p["slot_bias"][c]
-    found += np.minimum(z[each, target % SLOTS], _CEILING) - np.log(_exp_and_sum(z))
+    found += np.minimum(z[each, target % SLOTS], _CEILING)
+    found -= total + np.log(_exp_and_sum(z))
     out = np.zeros(y.size)
-    out[real[order]] = found
+    out[real] = found
     return out.reshape(y.shape)
 
 
 def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> Parameters:
     """Of the mean loss over scored positions with y >= 0."""
-    q, k, v, a, h = attend(p, x)
+    e, late, q, k, v, a, h = attend(p, x)
     real = np.flatnonzero(y.ravel() >= 0)
     order, ranges = _by_cluster(y.ravel()[real])
     real = real[order]
     u, target = h.reshape(-1, WIDTH)[real], y.ravel()[real]
     each, scale = np.arange(len(target)), np.float32(1 / max(1, len(target)))
-    dz = u @ p["cluster"] + p["cluster_bias"]
-    dz /= _exp_and_sum(dz)[:, None]
-    dz[each, target // SLOTS] -= 1
-    dz *= scale
+    dz = u @ p["cluster"]
+    dz += p["cluster_bias"]
+    dz *= (scale / _exp_and_sum(dz))[:, None]
+    dz[each, target // SLOTS] -= scale
     grads = {"cluster": u.T @ dz, "cluster_bias": dz.sum(axis=0), "slot": np.zeros_like(p["slot"]), "slot_bias": np.zeros_like(p["slot_bias"])}
     du = dz @ p["cluster"].T
     dz = np.empty((len(target), SLOTS), u.dtype)
     for c, i, j in ranges:
-        dz[i:j] = u[i:j] @ p["slot"][c] + p["slot_bias"][c]
-    dz /= _exp_and_sum(dz)[:, None]
-    dz[each, target % SLOTS] -= 1
-    dz *= scale
+        np.matmul(u[i:j], p["slot"][c], out=dz[i:j])
+        dz[i:j] += p["slot_bias"][c]
+    dz *= (scale / _exp_and_sum(dz))[:, None]
+    dz[each, target % SLOTS] -= scale
     for c, i, j in ranges:
         grads["slot"][c] = u[i:j].T @ dz[i:j]
         grads["slot_bias"][c] = dz[i:j].sum(axis=0)
         du[i:j] += dz[i:j] @ p["slot"][c].T
+    du *= 1 - u * u
     dh = np.zeros((h.size // WIDTH, WIDTH), h.dtype)
     dh[real] = du
     dh = dh.reshape(h.shape)
-    dh *= 1 - h * h
-    da = np.matmul(dh, v.transpose(0, 2, 1))
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    grads["distance"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=SPAN).astype(np.float32)
+    ds = np.matmul(dh, v.transpose(0, 2, 1))
+    ds -= np.einsum("bij,bij->bi", ds, a)[..., None]
+    ds *= a
+    grads["distance"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=SPAN).astype(h.dtype)
     ds *= _SCALE
-    later = x[:, OVERLAP:]
-    rows = {
-        "query": (later, np.matmul(ds, k)),
-        "key": (x, np.matmul(ds.transpose(0, 2, 1), q)),
-        "value": (x, np.matmul(a.transpose(0, 2, 1), dh)),
-        "self": (later, dh),
-    }
-    for name, (at, g) in rows.items():
-        order = np.argsort(at, axis=None, kind="stable")
-        ranked = at.ravel()[order]
-        first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        grads[name] = np.zeros_like(p[name])
-        grads[name][ranked[first]] = np.add.reduceat(g.reshape(-1, WIDTH)[order], first, axis=0)
+    dkv = np.concatenate([np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dh)], axis=2).reshape(-1, 2 * WIDTH)
+    dqs = np.concatenate([np.matmul(ds, k), dh], axis=2).reshape(-1, 2 * WIDTH)
+    grads["key_value"], grads["query_self"] = e.reshape(-1, EMBED).T @ dkv, late.T @ dqs
+    de = (dkv @ p["key_value"].T).reshape(e.shape)
+    de[:, OVERLAP:] += (dqs @ p["query_self"].T).reshape(len(x), _STEP, EMBED)
+    at = x.ravel().astype(np.uint16)
+    order = np.argsort(at, kind="stable")
+    ranked = at[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    grads["embed"] = np.zeros_like(p["embed"])
+    grads["embed"][ranked[first]] = np.add.reduceat(de.reshape(-1, EMBED)[order], first, axis=0)
     return grads
 
 
@@ -224,9 +231,9 @@ class Adam:
         self.t += 1
         scale = self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
         for k, g in grads.items():
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.01 * (g * g - self.v[k])
-            self.p[k] -= (scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
+            self.m[k] += np.float32(0.1) * (g - self.m[k])
+            self.v[k] += np.float32(0.01) * (g * g - self.v[k])
+            self.p[k] -= np.float32(scale) * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-8))
 
 
 class Encoded(NamedTuple):
@@ -273,85 +280,147 @@ def _in_training() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 != 1, F.lit(False))
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, c) of all training documents, END once for each: words met in one step of a task are added up first."""
+class _Block:
+    """The words of a block of documents, in an order that does not depend on how its rows arrived."""
+
+    def __init__(self, block: pa.Table):
+        self.table = in_order(block, "doc_id", "text", "held_out")
+        self.words = words(self.table["text"].chunk(0), lower=True)
+        self.distinct = Distinct(hashes(self.words.vocab))
+        self.held_out = self.table["held_out"].to_numpy()
+
+    def training_counts(self) -> np.ndarray:
+        """How often each distinct word occurs in training documents."""
+        told = np.repeat(~self.held_out, np.diff(self.words.starts))
+        c = np.bincount(self.words.ids[told], minlength=len(self.words.vocab))
+        return np.bincount(self.distinct.at, weights=c, minlength=len(self.distinct.values)).astype(np.int64)
+
+
+def read_blocks(dealt: DataFrame, n_blocks: int) -> DataFrame:
+    """What is learned from blocks of documents, written: words by bucket and, of each block, the training documents.
+
+    kind 'words': for a bucket of hashes (at), a block's distinct words that fall there and their counts in training
+    documents. kind 'ids': the subword ids of a block's training documents (values) and how many each has (counts).
+    kind 'subwords': a part (at) of the array of counts of subword ids.
+    """
+
+    def run(block: pa.Table) -> pa.Table:
+        keep_freed_memory()
+        x, subwords, number = _Block(block), Subwords(), block["block"][0].as_py()
+        buckets = bucketed(x.distinct.values, n_blocks)
+        counts = x.training_counts().astype(np.int32)
+        rows = [("words", b, x.distinct.values[i:j].tobytes(), counts[i:j].tobytes()) for b, i, j in buckets]
+        e = encoded(x.words, subwords)
+        told = ~x.held_out
+        if told.any():
+            size = np.diff(e.starts)
+            ids = e.ids[np.repeat(told, size)]
+            rows.append(("ids", 0, ids.astype(np.uint16).tobytes(), size[told].astype(np.int32).tobytes()))
+            rows += [("subwords", part, b, None) for part, b in parts(np.bincount(ids, minlength=subwords.size))]
+        kind, at, values, counts = zip(*rows, strict=True) if rows else ([], [], [], [])
+        columns = {"block": pa.array([number] * len(kind), pa.int32()), "at": pa.array(at, pa.int32()), "values": pa.array(values, pa.binary())}
+        return pa.table(columns | {"counts": pa.array(counts, pa.binary()), "kind": pa.array(kind, pa.string())})
+
+    read = dealt.groupBy("block").applyInArrow(run, "block int, at int, values binary, counts binary, kind string")
+    return written(read, "blocks", partition_by=["kind"])
+
+
+def count_words(read: DataFrame) -> DataFrame:
+    """(block, bucket, counts): of each distinct word of a block, in order, its count in all training documents; and of
+    the bucket, once, how many words occur there (distinct) and how often (total)."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        found = [np.frombuffer(x, np.uint64) for x in bucket["values"].to_pylist()]
+        d = Distinct(np.concatenate(found))
+        counts = np.concatenate([np.frombuffer(x, np.int32) for x in bucket["counts"].to_pylist()])
+        total = np.bincount(d.at, weights=counts).astype(np.int64)
+        answers = np.split(total[d.at], np.cumsum([len(x) for x in found])[:-1])
+        once = np.arange(len(found)) == 0
+        return pa.table(
+            {
+                "block": bucket["block"],
+                "bucket": bucket["at"],
+                "counts": pa.array([x.tobytes() for x in answers], pa.binary()),
+                "distinct": once * int((total > 0).sum()),
+                "total": once * int(total.sum()),
+            }
+        )
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            w = words(batch.column("text"), lower=True)
-            c = np.bincount(w.ids, minlength=len(w.vocab))
-            vocab = pa.concat_arrays([w.vocab, pa.array([END])])
-            yield pa.RecordBatch.from_arrays([vocab, pa.array(np.append(c, batch.num_rows).astype(np.int64))], ["word", "c"])
+    told = read.filter("kind = 'words'").select("block", "at", "values", "counts")
+    return written(told.groupBy("at").applyInArrow(run, "block int, bucket int, counts binary, distinct long, total long"), "word-counts")
 
-    told = docs.filter(_in_training()).select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "word string, c long")
-    return written(told.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
 
+def add_up(rows: DataFrame, n: int) -> dict[int, np.ndarray]:
+    """Sums of float64 arrays, by part, of rows (part, at, sums) with at below n: a tree of groups of FAN, each added
+    up in the order of at, so that the result does not depend on partitions."""
 
-def count_subwords(vocabulary: DataFrame, size: int) -> np.ndarray:
-    """Counts of subword ids in all training documents, from those of their words."""
+    def add(found: pa.Table) -> pa.Table:
+        found = found.sort_by("at")
+        total = np.zeros(len(found["sums"][0].as_py()) // 8)
+        for b in found["sums"]:
+            total += np.frombuffer(b.as_buffer())
+        return pa.table({"part": found["part"][:1], "at": found["to"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, subwords = np.zeros(size, np.int64), Subwords()
-        for batch in batches:
-            ids, starts = subwords(batch.column("word"))
-            total += np.bincount(ids, weights=np.repeat(batch.column("c").to_numpy(), np.diff(starts)), minlength=size).astype(np.int64)
-        found = list(parts(total))
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["part", "counts"])
+    while True:
+        to = F.floor(F.col("at") / FAN).cast("int").alias("to")
+        rows = rows.select("part", "at", "sums", to).groupBy("part", "to").applyInArrow(add, "part int, at int, sums binary")
+        n = -(-n // FAN)
+        if n <= 1:
+            return {r["part"]: np.frombuffer(r["sums"]) for r in rows.select("part", "sums").collect()}
 
-    return summed(vocabulary.filter(F.col("word") != END).mapInArrow(run, "part int, counts binary"), size)
 
+def train_locally(p: Parameters, coding: Coding, ids: np.ndarray, sizes: np.ndarray, seed: int) -> int:
+    """Adam steps over the windows of texts, in a random order; p is changed. Returns the number of targets."""
+    e = Encoded(ids, np.append(0, np.cumsum(sizes)))
+    x, y, _ = windows(e, 0, len(sizes), coding)
+    y = np.where(y < 0, -1, coding.slot[y]).astype(np.int32)
+    adam, order = Adam(p, RATE * DECAY**seed), np.random.default_rng(seed).permutation(len(x))
+    for i in range(0, len(x), BATCH):
+        at = order[i : i + BATCH]
+        adam.step(gradients(p, x[at], y[at]))
+    return int((y >= 0).sum())
 
-def train(docs: DataFrame, coding: Coding, one_in: int = TRAIN_ONE_IN, rounds: int = ROUNDS) -> Parameters:
-    """Parameters after rounds of local training and averaging.
 
-    In a round, each task starts from the same parameters, takes Adam steps over the windows of its share of the
-    round's documents (one in `one_in`, by a hash of doc_id, others each round), and gives back what it reached. Spark averages this,
-    weighted by positions, in parts of the parameters, so that the corpus trains the model however large it is.
+def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
+    """Parameters after ROUNDS rounds of local training and averaging, in which each training document takes part once.
+
+    In a round, the training documents of every ROUNDS-th block are used. Each block starts from the same parameters,
+    takes Adam steps over all its windows, and gives back what it reached; the mean of this, weighted by targets,
+    starts the next round. Blocks hold the same documents however the input was partitioned, and so the result is the
+    same. The work grows with the corpus; what reaches the driver does not.
     """
-    spark = docs.sparkSession
-    drawn = docs.filter(_in_training()).withColumn("_draw", F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(one_in)))
+    spark = read.sparkSession
     p = initial(coding)
     shape = {k: v.shape for k, v in p.items()}
-    part = 1 << 16
+    ends = np.cumsum([v.size for v in p.values()])
+    texts = read.filter("kind = 'ids'")
 
-    for seed in range(rounds):
-        chosen = drawn.filter(F.col("_draw") == seed % one_in).select("text")
-        sent: Broadcast = spark.sparkContext.broadcast((p, tuple(coding)))  # about 1 MB
+    for seed in range(ROUNDS):
+        sent: Broadcast = spark.sparkContext.broadcast((p, tuple(coding)))  # about 2 MB
 
         def run(batches: Iterable[pa.RecordBatch], seed: int = seed, sent: Broadcast = sent) -> Iterator[pa.RecordBatch]:
-            start, coding = sent.value[0], Coding(*sent.value[1])
-            own, order, seen = {k: v.copy() for k, v in start.items()}, np.random.default_rng(seed), 0
-            adam, subwords = Adam(own, RATE / (1 + seed)), Subwords()
-            for batch in slices(batches, limit=1 << 20):
-                e = encoded(words(batch.column("text"), lower=True), subwords)
-                x, y, _ = windows(e, 0, batch.num_rows, coding)
-                y = np.where(y < 0, -1, coding.slot[y])
-                order_now = order.permutation(len(x))
-                for i in range(0, len(x), BATCH):
-                    at = order_now[i : i + BATCH]
-                    adam.step(gradients(own, x[at], y[at]))
-                    seen += int((y[at] >= 0).sum())
-            if seen:
-                flat = np.concatenate([own[k].ravel() for k in shape]).astype(np.float64) * seen
-                blobs = [flat[i : i + part].tobytes() for i in range(0, len(flat), part)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int32()), pa.array(blobs, pa.binary()), pa.array([seen] * len(blobs), pa.int64())], ["part", "sums", "n"])
-
-        def mean(found: pa.Table) -> pa.Table:
-            total = np.zeros(len(found["sums"][0].as_py()) // 8)
-            for b in found["sums"].to_pylist():
-                total += np.frombuffer(b)
-            total /= sum(found["n"].to_pylist())
-            return pa.table({"part": found["part"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-        averaged = chosen.mapInArrow(run, "part int, sums binary, n long").groupBy("part").applyInArrow(mean, "part int, sums binary").collect()
-        if averaged:
-            flat = np.concatenate([np.frombuffer(r["sums"]) for r in sorted(averaged)]).astype(np.float32)
-            ends = np.cumsum([int(np.prod(s)) for s in shape.values()])
+            keep_freed_memory()
+            coding = Coding(*sent.value[1])
+            for batch in batches:
+                for block, ids, sizes in zip(*(batch.column(c) for c in ("block", "values", "counts")), strict=True):
+                    own = {k: v.copy() for k, v in sent.value[0].items()}
+                    ids, sizes = np.frombuffer(ids.as_buffer(), np.uint16), np.frombuffer(sizes.as_buffer(), np.int32)
+                    n = train_locally(own, coding, ids, sizes, seed)
+                    flat = np.append(np.concatenate([own[k].ravel() for k in shape]).astype(np.float64) * n, n)
+                    blobs = [flat[i : i + PART].tobytes() for i in range(0, len(flat), PART)]
+                    at = pa.array([block.as_py() // ROUNDS] * len(blobs), pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int32()), at, pa.array(blobs, pa.binary())], ["part", "at", "sums"])
+
+        chosen = texts.filter(F.col("block") % ROUNDS == seed).select("block", "values", "counts")
+        found = add_up(chosen.mapInArrow(run, "part int, at int, sums binary"), -(-n_blocks // ROUNDS))
+        if found:
+            flat = np.concatenate([found[k] for k in sorted(found)])
+            flat = (flat[:-1] / flat[-1]).astype(np.float32)
             p = {k: x.reshape(shape[k]) for k, x in zip(shape, np.split(flat, ends[:-1]), strict=True)}
     return p
 
 
-def score_texts(w: Words, p: Parameters, coding: Coding, subwords: Subwords, step: int = 1024) -> np.ndarray:
+def score_texts(w: Words, p: Parameters, coding: Coding, subwords: Subwords, step: int = 256) -> np.ndarray:
     """log10 probability of each whole text's subword ids and end, each given up to SPAN - 1 ids before it."""
     e = encoded(w, subwords)
     out = np.zeros(len(w.starts) - 1)
@@ -361,7 +430,7 @@ def score_texts(w: Words, p: Parameters, coding: Coding, subwords: Subwords, ste
             target = y[i : i + step]
             real = target >= 0
             found = log_probabilities(p, x[i : i + step], np.where(real, coding.slot[target], -1))
-            found = found + np.where(real, coding.log_share[target], 0)
+            found += np.where(real, coding.log_share[target], 0)
             out[a:b] += np.bincount(of[i : i + step], weights=found.sum(axis=1), minlength=b - a)
     return out / np.log(10)
 
@@ -369,52 +438,47 @@ def score_texts(w: Words, p: Parameters, coding: Coding, subwords: Subwords, ste
 def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from rows whose crc32(doc_id) mod 5 is not 1; a null doc_id is held out. Tokens are the words of the text,
-    A-Z in lower case, and one end. base_score is their smoothed unigram log10 probability by counts over all training
-    rows. score is the attention model's log10 probability of the text, as the subword ids of its words and an end. A
-    null text is empty. Repeated rows each count and get equal scores; other columns are ignored; an empty table gives
-    an empty result, and one without training rows is scored by the untrained model.
+    Learns from all rows whose crc32(doc_id) mod 5 is not 1; a null doc_id is held out. Tokens are the words of the
+    text, A-Z in lower case, and one end. base_score is their smoothed unigram log10 probability by counts over all
+    training rows. score is the attention model's log10 probability of the text, as the subword ids of its words and an
+    end. A null text is empty. Repeated rows each count and get equal scores; other columns are ignored; an empty table
+    gives an empty result, and one without training rows is scored by the untrained model.
 
-    Documents are dealt into blocks by doc_id. A block asks for the counts of its distinct words in one join, so that
-    what is shuffled are texts once, and words once for each block.
+    Documents are dealt into blocks by a hash of doc_id and text. A block sends the 64-bit hashes of its distinct words,
+    with their counts, to buckets, which answer with the counts over all blocks: among n distinct words, about
+    n * n / 2**65 pairs are taken for equal. Texts are shuffled twice, to learn and to score.
     """
     spark = docs.sparkSession
-    vocabulary = count_words(docs)
-    r = vocabulary.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("word") == END, F.col("c")))).first()
-    n_tokens, n_words, n_ends = r[0] or 0, r[1], r[2] or 0
-    coding = Coding.of(count_subwords(vocabulary, Subwords().size), n_ends)
-    model: Broadcast = spark.sparkContext.broadcast((train(docs, coding), tuple(coding)))  # about 2 MB
-
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    dealt = docs.select("doc_id", "text", (~_in_training()).alias("held_out"), F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block"))
-    dealt = dealt.repartition(n, "block")
-
-    def ask(block: pa.Table) -> pa.Table:
-        text = pa.concat_arrays(block["text"].chunks)
-        vocab = words(text, lower=True).vocab
-        return pa.table({"block": pa.array(np.full(len(vocab), block["block"][0].as_py()), pa.int32()), "word": vocab})
+    told = docs.select("doc_id", "text", (~_in_training()).alias("held_out"))
+    dealt, n_blocks = deal(told, block_bytes, least=ROUNDS)
+    read = read_blocks(dealt, n_blocks)
+    counted = count_words(read)
+    r = counted.agg(F.sum("distinct"), F.sum("total")).first()
+    n_ends = told.filter("not held_out").count()
+    n_words, n_tokens = (r[0] or 0) + (n_ends > 0), (r[1] or 0) + n_ends
+    coding = Coding.of(summed(read.filter("kind = 'subwords'").select(F.col("at").alias("part"), F.col("values").alias("counts")), Subwords().size), n_ends)
+    model: Broadcast = spark.sparkContext.broadcast((train(read, n_blocks, coding), tuple(coding)))  # about 2 MB
 
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
+        keep_freed_memory()
         p, coding = model.value[0], Coding(*model.value[1])
-        w = words(pa.concat_arrays(block["text"].chunks), lower=True)
-        at = pc.index_in(w.vocab, value_set=found["word"].combine_chunks())
-        c = np.append(found["c"].to_numpy(), 0)[pc.fill_null(at, len(found)).to_numpy(zero_copy_only=False)]
-        each = np.log10((np.append(c, n_ends) + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-        text = np.repeat(np.arange(len(block)), np.diff(w.starts))
+        x = _Block(block)
+        w, n = x.words, len(x.table)
+        known = np.frombuffer(b"".join(found.sort_by("bucket")["counts"].to_pylist()), np.int64)
+        c = np.append(known[x.distinct.at], n_ends)
+        each = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
+        text = np.repeat(np.arange(n), np.diff(w.starts))
         return pa.table(
             {
-                "doc_id": block["doc_id"],
-                "held_out": block["held_out"],
+                "doc_id": x.table["doc_id"],
+                "held_out": x.table["held_out"],
                 "n_tokens": np.diff(w.starts) + 1,
                 "n_known": per_text((c > 0)[w.ids], w.starts) + (n_ends > 0),
-                "train_tokens": np.full(len(block), n_tokens),
-                "base_score": np.bincount(text, weights=each[w.ids], minlength=len(block)) + each[-1],
+                "train_tokens": np.full(n, n_tokens),
+                "base_score": np.bincount(text, weights=each[w.ids], minlength=n) + each[-1],
                 "score": score_texts(w, p, coding, Subwords()),
             }
         )
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "block int, word string")
-    told = asked.join(vocabulary, "word")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema)
+    return dealt.groupBy("block").cogroup(counted.select("block", "bucket", "counts").groupBy("block")).applyInArrow(score, schema)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm._blocks import Distinct, answers, counted, deal, rows_in_order
+from lectern.llm._blocks import Distinct, answers, counted, deal, in_order
 from lectern.llm._components import components
 from lectern.llm._filter import bit_filter, may_match
 from lectern.llm._store import written
@@ -55,7 +55,8 @@ class _Block:
     """The shingle sets of a block; copies of a word sequence count once."""
 
     def __init__(self, block: pa.Table, width: int):
-        self.doc_id, text = rows_in_order(block)
+        rows = in_order(block, "doc_id", "text")
+        self.doc_id, text = rows["doc_id"].chunk(0), rows["text"].chunk(0)
         self.sets = s = Sets(text, width)
         first = np.zeros(len(s.nodes), bool)
         first[np.unique(s.nodes, return_index=True)[1]] = True
@@ -77,7 +78,7 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
     estimated cost: entries that its prefix reads, and pairs to verify if at least L entries must agree. Tokens of one
     document alone take their place in the prefix but are not sent. meta packs position, n and L; before is the token sent before.
     """
-    dealt, n_blocks = deal(docs)
+    dealt, n_blocks = deal(docs.select("doc_id", "text"))
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()

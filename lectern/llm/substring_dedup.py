@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lectern.llm._blocks import BLOCK_BYTES, Distinct, answers, counted, deal, rows_in_order
+from lectern.llm._blocks import BLOCK_BYTES, Distinct, answers, counted, deal, in_order
 from lectern.llm._words import covered, per_text, rolling, words
 from lectern.llm._words import hashes as word_hashes
 
@@ -20,7 +20,8 @@ class _Windows:
     """The words of a block and its windows' hashes, in an order fixed by the block's rows."""
 
     def __init__(self, block: pa.Table, width: int):
-        self.doc_id, text = rows_in_order(block)
+        rows = in_order(block, "doc_id", "text")
+        self.doc_id, text = rows["doc_id"].chunk(0), rows["text"].chunk(0)
         self.words = words(text)
         h, self.at = rolling(word_hashes(self.words.vocab)[self.words.ids], self.words.starts, width)
         self.distinct = Distinct(h)
@@ -34,12 +35,12 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLO
     kept_text. A null text has no words. A row repeated with the same doc_id counts as another place. Other columns are
     ignored; an empty table gives an empty result.
 
-    Documents are dealt into blocks by doc_id. A block sends each distinct hash once, with its count, to the hash's
+    Documents are dealt into blocks by a hash of doc_id and text. A block sends each distinct hash once, with its count, to the hash's
     bucket. A bucket adds up the counts and answers each block: repeated or not. The blocks, whose shuffle is used
     again, then cut the words. Hashes have 64 bits: among n windows, about n * n / 2**65 pairs of different windows
     are taken for equal.
     """
-    dealt, n = deal(docs, block_bytes)
+    dealt, n = deal(docs.select("doc_id", "text"), block_bytes)
 
     def cut(block: pa.Table, found: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()

@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from lectern.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, private_data, quality_rules, substring_dedup, warc
+from lectern.llm._blocks import deal
 from lectern.llm._components import components
+from lectern.llm._counters import summed
 from lectern.llm._words import rolling, words
 from pyspark.sql import functions as F
 
@@ -474,6 +476,35 @@ def test_scores(docs, empty):
     assert lm_scoring.score_documents(empty).count() == 0
 
 
+def test_model_beats_the_base_whatever_the_partitions(spark):
+    r = random.Random(3)
+    chain = [f"{a}{b}" for a in ("red", "green", "blue", "north", "south") for b in ("ern", "house", "land", "wood", "field")]
+    rows = [(i, " ".join(chain[(at + k) % len(chain)] for k in range(120)), None, None, None) for i, at in enumerate(r.randrange(25) for _ in range(1500))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = {x["doc_id"]: x for x in lm_scoring.score_documents(df.repartition(1)).collect()}
+    held = [x for x in one.values() if x["held_out"]]
+    assert sum(x["score"] for x in held) > 0.8 * sum(x["base_score"] for x in held)
+    many = {x["doc_id"]: x["score"] for x in lm_scoring.score_documents(df.repartition(32)).collect()}
+    assert all(many[i] == pytest.approx(x["score"], abs=1e-6) for i, x in one.items())
+
+
+def test_sums_add_up_in_a_tree(spark):
+    r = np.random.default_rng(0)
+    each = r.standard_normal((500, 3))
+    rows = spark.createDataFrame([(0, i, bytearray(each[i].tobytes())) for i in range(500)], "part int, at int, sums binary").repartition(200)
+    assert np.allclose(lm_scoring.add_up(rows, 500)[0], each.sum(axis=0)) and lm_scoring.add_up(rows.filter("part > 0"), 500) == {}
+    counts = r.integers(0, 9, (400, 20))
+    told = spark.createDataFrame([(0, bytearray(x.astype(np.int64).tobytes())) for x in counts], "part int, counts binary").repartition(300)
+    assert summed(told, 20).tolist() == counts.sum(axis=0).tolist()
+
+
+def test_blocks_spread_rows_without_identifiers(spark):
+    rows = [(None, f"some text {i}") for i in range(2000)] + [(7, f"other text {i}") for i in range(2000)] + [(None, None)] * 100_000
+    dealt, n = deal(spark.createDataFrame(rows, "doc_id long, text string"), 10_000)
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert n == 6 and len(sizes) == n and max(sizes) < 2 * min(sizes)
+
+
 # --- 10 WARC ---
 
 
