@@ -55,6 +55,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _is_octet(digits: str) -> bool:
+    """Whether digits, any number of zeros in front, are 255 at most."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
+
+
 def _iban_holds(code: str) -> bool:
     moved = code[4:] + code[:4]
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
@@ -74,24 +80,19 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
     Each anchor is expanded to the boundaries of the base patterns, leftmost first and without overlap within a kind.
     """
     spans: list[tuple[int, int, int]] = []
-    email_end = digits_end = dotted_end = card_end = secret_end = url_end = iban_end = 0
+    email_end = dotted_end = card_end = secret_end = url_end = iban_end = 0
     for last, (size, parser) in automaton.iter(_folded(text)):
         at = last + 1
         if parser == "digits":
-            if last < digits_end:
-                continue
-            m = _NUMBERS.match(text, last)
-            digits_end = m.end() if last >= dotted_end else digits_end
             if last >= dotted_end:
-                dotted_end = m.end()
+                m = _NUMBERS.match(text, last)
+                dotted_end, start = m.end(), last
                 parts = m.group().split(".")
-                start = last
                 for i in range(0, len(parts) - len(parts) % 4, 4):
                     end = start + sum(map(len, parts[i : i + 4])) + 3
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[i : i + 4]):
+                    if all(_is_octet(p) for p in parts[i : i + 4]):
                         spans.append((1, start, end))
                     start = end + 1
-                digits_end = last + len(parts[0])
             if last >= card_end and (m := _CARD.match(text, last)):
                 card_end = m.end()
                 digits = re.sub(r"[\x20-]", "", m.group())
