@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -55,8 +56,8 @@ class _Block:
     """The shingle sets of a block; copies of a word sequence count once."""
 
     def __init__(self, block: pa.Table, width: int):
-        rows = in_order(block, "doc_id", "text")
-        self.doc_id, text = rows["doc_id"].chunk(0), rows["text"].chunk(0)
+        rows = in_order(block, "doc_id", "text", "key")
+        self.doc_id, self.key, text = rows["doc_id"], rows["key"], rows["text"].chunk(0)
         self.sets = s = Sets(text, width)
         first = np.zeros(len(s.nodes), bool)
         first[np.unique(s.nodes, return_index=True)[1]] = True
@@ -69,8 +70,13 @@ def _level(count: np.ndarray) -> np.ndarray:
     return np.where(count > 1, 1 + np.log2(np.maximum(count, 1)).astype(np.int64), 0)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a hash of doc_id and text, by which a node's text is found again."""
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+
+
 def _prefixes(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, node, n_shingles) of all documents, and posting entries (token, node, meta) of their prefixes.
+    """Rows (doc_id, key, node, n_shingles) of all documents, and posting entries (token, node, meta) of their prefixes.
 
     node is a 64-bit hash of the lower-cased word sequence: copies share one, and are joined as one document. The
     global order of tokens is by class of document frequency, counted over the whole corpus, then by hash. A pair that
@@ -78,7 +84,7 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
     estimated cost: entries that its prefix reads, and pairs to verify if at least L entries must agree. Tokens of one
     document alone take their place in the prefix but are not sent. meta packs position, n and L; before is the token sent before.
     """
-    dealt, n_blocks = deal(docs.select("doc_id", "text"))
+    dealt, n_blocks = deal(_keyed(docs).select("doc_id", "text", "key"))
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
@@ -108,12 +114,12 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
         before = np.zeros(len(token), np.int64)
         before[1:] = np.where(text[1:] == text[:-1], token[:-1], 0)
         entries = pa.table({"token": token, "node": s.nodes[text], "meta": meta, "before": before})
-        members = pa.table({"doc_id": x.doc_id, "node": s.nodes, "n_shingles": n})
-        names = ["doc_id", "node", "n_shingles", "token", "meta", "before"]
+        members = pa.table({"doc_id": x.doc_id, "key": x.key, "node": s.nodes, "n_shingles": n})
+        names = ["doc_id", "key", "node", "n_shingles", "token", "meta", "before"]
         return pa.concat_tables([members, entries], promote_options="default").select(names)
 
     levels = counted(dealt, n_blocks, lambda block: _Block(block, width).distinct, _level)
-    schema = "doc_id long, node long, n_shingles long, token long, meta long, before long"
+    schema = "doc_id long, key long, node long, n_shingles long, token long, meta long, before long"
     return dealt.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(run, schema)
 
 
@@ -129,6 +135,31 @@ def _may_link(a: str, b: str) -> F.Column:
     return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (1 + rest >= F.ceil((na + nb) * 4 / 9))
 
 
+#: Sizes are compared by cells of their logarithm; so many cells make a factor of 5 / 4.
+CELLS = 4
+
+
+def _sharing(entries: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes in different components that share a token, and by its places can link.
+
+    A node of n shingles, r of them from the token on, can link with one of m only if 4 (n + m) <= 9 r: m is at most
+    9 / 4 r - n. Of two nodes that link, each thus reaches the other's size. The larger stands in the cell of its size;
+    the smaller, if it reaches that far, in all cells from its own size to its reach. Where a token comes late in all
+    nodes that hold it, as one of a passage that many documents share, no node reaches another, and no row is made.
+    """
+    n = _field("meta", "n")
+    width = math.log(1.25) / CELLS
+    cell = lambda x: F.floor(F.log(x) / width + 1e-9).cast("int")
+    reach = 9 * (n - _field("meta", "pos") + 1) / 4 - n
+    entries = entries.select("token", "node", "meta", "before", "component", n.alias("n"), reach.alias("reach"))
+    larger = entries.select("token", cell(F.col("n")).alias("cell"), F.struct("node", "meta", "before", "component", "n").alias("x"))
+    cells = F.explode(F.sequence(cell(F.col("n")), F.greatest(cell(F.col("n")), cell(F.col("reach")))))
+    smaller = entries.filter("reach >= n").select("token", cells.alias("cell"), F.struct("node", "meta", "before", "component", "n").alias("y"))
+    # Where the tokens before agree as well, that token has made the pair.
+    both = larger.join(smaller, ["token", "cell"]).filter("x.node <> y.node and x.component <> y.component and x.n >= y.n and (x.before <> y.before or x.before = 0)")
+    return both.filter(_may_link("x.meta", "y.meta")).select(*_pairs("x.node", "y.node")).distinct()
+
+
 def _pairs(a: str, b: str) -> list[F.Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -178,9 +209,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = written(nodes.join(ends, "node").select(F.col("first_id").alias("doc_id"), "node"), "wanted")
-    texts = may_match(docs.select("doc_id", "text"), "doc_id", bit_filter(wanted, "doc_id")).join(wanted, "doc_id")
-    # A doc_id that stands in several rows may bring other texts than the node's.
+    wanted = written(nodes.join(ends, "node").select("key", "node"), "wanted")
+    texts = may_match(_keyed(docs).select("key", "text"), "key", bit_filter(wanted, "key")).join(wanted, "key")
+    # Texts that share a key by chance are told apart by their nodes.
     texts = written(texts.filter(_node(width)("text") == F.col("node")).select("node", "text").dropDuplicates(["node"]), "texts")
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -192,20 +223,20 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     A document's set is its distinct shingles of `width` lower-cased (A-Z) words, or its whole word sequence if that is
     shorter. A null, empty or blank text has no shingle and is linked with nothing. component_id is the smallest doc_id
-    that links reach. Rows repeated with the same doc_id are linked like copies; a row without a doc_id is linked with
-    copies of its word sequence alone, since texts are found by doc_id; other columns are ignored; an empty table gives
-    an empty result.
+    that links reach; it is null where no row that they reach has one. Rows repeated with the same doc_id are linked like
+    copies; other columns are ignored; an empty table gives an empty result.
 
     Copies of a word sequence are one node. Nodes that share tokens of their prefixes are joined in two rounds. In the
     first, each token pairs its nodes with one pivot, the node in which it stands first: as many pairs as entries at
     most. The second makes the other pairs, of tokens whose nodes are still in different components, and leaves out
-    those within one component: they cannot change the result. Pairs whose prefixes agree in enough tokens are verified
+    those within one component: they cannot change the result. It joins by token and by what sizes may follow from the
+    token's place in each node, so that a frequent token pairs nodes that can link, not all that hold it. Pairs whose prefixes agree in enough tokens are verified
     by their whole texts. Aggregations
     combine in each task before they shuffle, and joins on a hot token or node can be split by AQE.
     """
     rows = written(_prefixes(docs, width), "prefixes")
-    members = rows.filter("n_shingles is not null").select("doc_id", "node", "n_shingles")
-    nodes = written(members.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "nodes")
+    members = rows.filter("n_shingles is not null").select("doc_id", "key", "node", "n_shingles")
+    nodes = written(members.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key")), "nodes")
     entries = rows.filter("token is not null").select("token", "node", "meta", "before")
 
     tokens = entries.groupBy("token").agg(F.count("*").alias("entries"), F.min_by("node", "meta").alias("pivot"), F.min("meta").alias("pivot_meta"))
@@ -221,13 +252,7 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     open_tokens = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
     left = labelled.join(open_tokens, "token", "left_semi")
 
-    def side(x: str) -> DataFrame:
-        names = {"node": x, "meta": f"meta_{x}", "before": f"before_{x}", "component": f"class_{x}"}
-        return left.select("token", *(F.col(c).alias(n) for c, n in names.items()))
-
-    # Where the tokens before agree as well, that token has made the pair.
-    rest = side("a").join(side("b"), "token").filter("a < b and class_a <> class_b and (before_a <> before_b or before_a = 0)")
-    rest = rest.filter(_may_link("meta_a", "meta_b")).select("a", "b").distinct().join(near, ["a", "b"], "left_anti")
+    rest = _sharing(left).join(near, ["a", "b"], "left_anti")
     rest = written(_agreeing(rest, shared), "pairs")
     more = written(_verified(rest, docs, nodes, width), "links")
     if not more.isEmpty():
