@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import collections
+import gzip
 import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -217,6 +219,19 @@ def test_private_spans_of_added_kinds(text, kind, found):
     assert found in [text[a:b] for k, a, b in spans if private_data.KINDS[k] == kind]
 
 
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+
+
+def test_private_numbers_of_any_length():
+    automaton = private_data._automaton()
+    cases = ["0" * 5000 + "1.2.3.4", "1.2.3." + "0" * 5000, "9" * 5000 + ".1.1.1", "1." * 500_000, "1.2.3.4.5.6.7.8.9", "01.002.255.256 1.2.3 4.5.6.7", "1 " * 50_000]
+    began = time.perf_counter()
+    for text in cases:
+        expected = [m.span() for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))]
+        assert [(a, b) for kind, a, b in private_data.find_spans(text, automaton) if kind == 1] == expected
+    assert time.perf_counter() - began < 30
+
+
 def test_plain_text_has_no_spans():
     assert private_data.find_spans("The token of esteem, a password, an IBAN: 12 apples.", private_data._automaton()) == []
 
@@ -278,6 +293,45 @@ def test_near_copies_around_the_threshold(spark, seed):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == near_brute(rows)
 
 
+def test_near_copies_without_identifiers(spark):
+    base = sentences(70, 60, 5000)
+    rows = [(None, base), (None, base + " more"), (None, base + " other"), (9, base + " again"), (None, sentences(71, 60, 5000)), (4, None)]
+    rows += [(20 + i, f"{sentences(72, 60, 5000)} w{i}") for i in range(3)]
+    got = collections.Counter((r["doc_id"], r["component_id"]) for r in ngram_join.join_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {(None, 9): 3, (9, 9): 1, (None, None): 1, (4, 4): 1, (20, 20): 1, (21, 20): 1, (22, 20): 1}
+
+
+def test_a_token_of_many_unlinked_nodes_makes_few_pairs(spark):
+    # 20,000 nodes of 100 shingles share a token that comes late in all of them: none can link by it.
+    late = (20 << 32) | (100 << 4) | 1
+    entries = spark.range(20_000).select(F.lit(1).cast("long").alias("token"), F.col("id").alias("node"), F.lit(late).alias("meta"), F.lit(0).cast("long").alias("before"), F.col("id").alias("component"))
+    assert ngram_join._sharing(entries).count() == 0
+    sizes = [100, 100, 110, 125, 126, 60]
+    rows = [(2, i, (1 << 32) | (n << 4) | 1, 0, i) for i, n in enumerate(sizes)]
+    some = spark.createDataFrame(rows, "token long, node long, meta long, before long, component long")
+    found = {(r["a"], r["b"]) for r in ngram_join._sharing(some).collect()}
+    assert found == {(i, j) for i in range(6) for j in range(i + 1, 6) if 5 * min(sizes[i], sizes[j]) >= 4 * max(sizes[i], sizes[j])}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_shared_tokens_reach_all_pairs_that_places_allow(spark, seed):
+    r = random.Random(seed)
+    rows = []
+    for i in range(60):
+        n = r.randrange(1, 60)
+        rows.append((r.randrange(3), i, (r.randrange(1, max(2, n // 4)) << 32) | (n << 4) | 1, 0, i))
+    df = spark.createDataFrame(rows, "token long, node long, meta long, before long, component long")
+    got = {(x["a"], x["b"]) for x in ngram_join._sharing(df).collect()}
+    right = lambda m: ((m >> 4) & ((1 << 28) - 1), m >> 32)
+    expected = set()
+    for a in rows:
+        for b in rows:
+            (na, pa_), (nb, pb) = right(a[2]), right(b[2])
+            if a[0] == b[0] and a[1] < b[1] and 5 * min(na, nb) >= 4 * max(na, nb) and 1 + min(na - pa_, nb - pb) >= math.ceil((na + nb) * 4 / 9):
+                expected.add((a[1], b[1]))
+    assert got == expected
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 140)] + [(500, 500 + i) for i in range(1, 40)] + [(r.randrange(1000, 1100), r.randrange(1000, 1100)) for _ in range(60)]
@@ -338,8 +392,39 @@ def test_exact(docs, empty, keep):
     assert exact_dedup.dedup_exact(empty, keep).count() == 0
 
 
+def test_exact_texts_that_share_a_digest_are_told_apart(spark, docs):
+    weak = lambda text: F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 1)
+    for keep in ("min", "max"):
+        expected = sorted(map(tuple, exact_dedup.dedup_exact(docs, keep).collect()))
+        assert sorted(map(tuple, exact_dedup.dedup_exact(docs, keep, memtable_rows=9, key=weak).collect())) == expected
+    runs = exact_dedup.flush_runs(docs, memtable_rows=9)
+    assert runs.select("run").distinct().count() > 5 and exact_dedup.compact(runs).count() == docs.select("text").na.fill("").distinct().count()
+
+
+def test_exact_with_extreme_identifiers(spark):
+    ids = [-(2**63), 2**63 - 1, 0, None]
+    df = spark.createDataFrame([(i, "a") for i in ids], "doc_id long, text string")
+    assert {r["keep_id"] for r in exact_dedup.dedup_exact(df, "max").collect()} == {2**63 - 1}
+    assert {r["keep_id"] for r in exact_dedup.dedup_exact(df, "min").collect()} == {-(2**63)}
+
+
+def test_exact_hot_group(spark):
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text")).withColumnRenamed("id", "doc_id")
+    got = exact_dedup.dedup_exact(df, "max", memtable_rows=1000)
+    assert got.filter("group_size = 10000 and keep_id = 29997").count() == 10_000 and got.filter("kept").count() == 20_001
+
+
+def test_filter_grows_with_its_keys(spark):
+    from lectern.llm import _filter
+
+    small, large = (_filter.bit_filter(spark.range(n), "id") for n in (10, 200_000))
+    assert small.bits == _filter.FEWEST and large.bits == 1 << 22
+    passed = _filter.may_match(spark.range(400_000), "id", large)
+    assert passed.filter("id < 200000").count() == 200_000 and passed.count() < 220_000
+
+
 def test_digest_index(spark, docs):
-    index = exact_dedup.DigestIndex(spark, max_runs=2)
+    index = exact_dedup.DigestIndex(spark, max_flushes=2)
     for _ in range(4):
         index.insert(docs.filter("doc_id < 20"))
     assert len(index.runs) <= 2 and index.contains("one") and not index.contains("absent")
@@ -529,6 +614,37 @@ def test_warc_records_round_trip(spark, tmp_path):
     assert {k: r["payload"] for k, r in read.items()} == {(r["refers_to"], r["warc_type"]): r["block"] for r in records}
 
 
+def test_pages_of_unclosed_marks_take_linear_time(spark):
+    marks = ["<!--", "<script", "<script>", "<style>", "<p ", "<a href", "<title", "<html lang", "<", "<!-- x --><p>a"]
+    df = spark.createDataFrame([(i, "u", "before" + m * (1_000_000 // len(m))) for i, m in enumerate(marks)], "page_id long, url string, html string")
+    began = time.perf_counter()
+    blocks = {r["page_id"]: r["block"] for r in warc.derive_pages(df).filter("warc_type = 'conversion'").collect()}
+    assert time.perf_counter() - began < 60
+    assert all(blocks[i] == "before" for i in range(4)) and blocks[9].startswith("before\na\na")
+
+
+def test_warc_blocks_may_hold_anything(spark, tmp_path):
+    body = b"abc\r\n\r\nWARC/1.0\r\nWARC-Type: no\r\n\r\n\xff\xfe end"
+    http = b"HTTP/1.1 200 OK\r\n\r\n"
+    head = lambda i, block: b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(block), block)
+    records = [head(i, http + body * (1 + i % 3)) for i in range(50)]
+    (tmp_path / "plain.warc").write_bytes(b"".join(records[:25]))
+    (tmp_path / "zipped.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records[25:]))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    got = {r["record_id"]: bytes(r["body"]) for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert got == {f"<urn:uuid:{i}>": body * (1 + i % 3) for i in range(50)}
+    digests = {r["refers_to"]: r["source_digest"] for r in warc.derive(warc.responses_of(warc.read_warc(spark, str(tmp_path)))).collect()}
+    assert digests["<urn:uuid:30>"] == "sha256:" + hashlib.sha256(body).hexdigest()
+    with pytest.raises(ValueError, match="no record"):
+        list(warc.parse_records(b"junk"))
+
+
+def test_warc_keeps_columns_whatever_their_names(spark):
+    df = spark.createDataFrame([("r", "u", "h", "<p>x", 1, 2, 3)], "record_id string, target_uri string, http_header string, payload string, _text int, _w1 int, _record int")
+    got = warc.derive(df).collect()
+    assert {(r["_text"], r["_w1"], r["_record"]) for r in got} == {(1, 2, 3)} and len(got) == 2
+
+
 def test_warc_responses_are_read(spark, tmp_path):
     body = "<html><p>a\r\n\r\nb</p></html>"
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
