@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
-from typing import NamedTuple
+import sys
+import types
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple, TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+T = TypeVar("T")
+
 #: Text bytes that one numpy step handles at a time; a longer document makes a step of its own.
 SLICE_BYTES = 8 << 20
 
@@ -24,6 +28,15 @@ def keep_freed_memory(size: int = 32 << 20, total: int = 256 << 20) -> None:
         set_option(-1, total)
 
 
+def per_worker(make: Callable[[], T]) -> T:
+    """What `make` returns, made once in each worker process: functions and their globals arrive anew with each task."""
+    held = sys.modules.setdefault("_lectern_held", types.ModuleType("_lectern_held"))
+    name = f"{make.__module__}.{make.__qualname__}"
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
 class Words(NamedTuple):
     """Words of some texts, in order. ids index vocab; text i has ids[starts[i]:starts[i + 1]]."""
 
@@ -101,6 +114,15 @@ def per_text(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return sums[starts[1:]] - sums[starts[:-1]]
 
 
+def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of values within each text; each text's are added up by themselves."""
+    out = np.zeros(len(starts) - 1)
+    some = np.flatnonzero(np.diff(starts))
+    if len(some):
+        out[some] = np.add.reduceat(values, starts[some])
+    return out
+
+
 def covered(first: np.ndarray, length: np.ndarray | int, n: int) -> np.ndarray:
     """Which of n positions lie in a span [first, first + length)."""
     step = np.bincount(first, minlength=n + 1)[: n + 1].astype(np.int64)

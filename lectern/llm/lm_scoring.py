@@ -17,17 +17,19 @@ from pyspark.sql import functions as F
 from lectern.llm._blocks import Distinct, bucketed, deal, in_order
 from lectern.llm._counters import parts, summed
 from lectern.llm._store import written
-from lectern.llm._words import Words, hashes, keep_freed_memory, per_text, words
+from lectern.llm._words import Words, hashes, keep_freed_memory, per_text, per_worker, sums, words
 
 TOKENIZER = "byte_bpe_50k"
 #: Positions of a window, and how many of them, at its start, only give context to those after them.
 SPAN, OVERLAP = 32, 8
-#: Width of the embedding and of the attention, and clusters of the output by their slots: as many ids are told apart, on
-#: either side.
-EMBED, WIDTH, CLUSTERS, SLOTS = 16, 16, 64, 32
-INPUTS = CLUSTERS * SLOTS
+#: Width of embedding and attention, and the output's clusters of ids by falling frequency: how many there are of each
+#: size. As many ids are told apart, on either side.
+WIDTH = 16
+SIZES = np.repeat([16, 32, 64, 128, 512], [4, 6, 4, 4, 2])
+INPUTS, CLUSTERS, FIRST = int(SIZES.sum()), len(SIZES), np.cumsum(SIZES) - SIZES
+CLUSTER_OF = np.repeat(np.arange(CLUSTERS, dtype=np.uint8), SIZES)
 #: Rounds of training; windows in a step; rate of the steps, and what it is multiplied by in each further round.
-ROUNDS, BATCH, RATE, DECAY = 8, 128, 0.03, 0.7
+ROUNDS, BATCH, RATE, DECAY = 8, 512, 0.08, 0.7
 #: Text bytes of a block of documents. Each block of training documents is the share of one local run.
 BLOCK_BYTES = 4 << 20
 #: Parameters travel in parts of so many, and are added up in groups of so many blocks.
@@ -35,7 +37,7 @@ PART, FAN = 1 << 14, 64
 
 
 class Subwords:
-    """Ids of words, each as if after a space, by the ranks of a byte-level BPE vocabulary. Each task reads its own."""
+    """Ids of words, each as if after a space, by the ranks of a byte-level BPE vocabulary. Each worker reads its own."""
 
     def __init__(self, path: Callable[[str], str] = public_tokenizers.path, name: str = TOKENIZER):
         import tiktoken
@@ -93,18 +95,18 @@ Parameters = dict[str, np.ndarray]
 def initial(coding: Coding, seed: int = 0) -> Parameters:
     """Small random weights around the slots' prior, which an untrained model gives for any context."""
     r = np.random.default_rng(seed)
-    prior = coding.log_prior.reshape(CLUSTERS, SLOTS)
-    cluster = np.log(np.exp(prior).sum(axis=1))
+    cluster = np.log(np.add.reduceat(np.exp(coding.log_prior), FIRST))
     draw = lambda *shape, scale: (r.standard_normal(shape) * scale).astype(np.float32)
     return {
-        "embed": draw(INPUTS, EMBED, scale=0.5),
-        "key_value": draw(EMBED, 2 * WIDTH, scale=EMBED**-0.5),
-        "query_self": draw(EMBED, 2 * WIDTH, scale=EMBED**-0.5),
+        "embed": draw(INPUTS, WIDTH, scale=0.5),
+        "key": draw(WIDTH, WIDTH, scale=WIDTH**-0.5),
+        "query": draw(WIDTH, WIDTH, scale=1 / WIDTH),
+        "self": draw(WIDTH, WIDTH, scale=WIDTH**-0.5),
         "distance": np.maximum(-0.5 * np.arange(SPAN), -3).astype(np.float32),
         "cluster": draw(WIDTH, CLUSTERS, scale=0.05),
         "cluster_bias": cluster.astype(np.float32),
-        "slot": draw(CLUSTERS, WIDTH, SLOTS, scale=0.05),
-        "slot_bias": (prior - cluster[:, None]).astype(np.float32),
+        "slot": draw(WIDTH, INPUTS, scale=0.05),
+        "slot_bias": (coding.log_prior - np.repeat(cluster, SIZES)).astype(np.float32),
     }
 
 
@@ -113,40 +115,48 @@ _STEP = SPAN - OVERLAP
 _DISTANCE = np.arange(OVERLAP, SPAN)[:, None] - np.arange(SPAN)
 _AHEAD = np.where(_DISTANCE < 0, -np.inf, 0).astype(np.float32)
 _DISTANCE = np.maximum(_DISTANCE, 0)
-_SCALE = np.float32(WIDTH**-0.5)
-#: Exponents are cut off here; sums of as many such terms as there are stay finite.
-_CEILING = np.float32(60)
+#: Exponents are kept within these limits, for content, distance and output, so that sums stay finite and above zero.
+_CONTENT, _FAR, _OUTPUT = 50, 30, 60
 
 
-def _exp_and_sum(x: np.ndarray) -> np.ndarray:
-    """exp in place; returns the sums over the last axis, as a product with ones."""
-    np.minimum(x, _CEILING, out=x)
-    np.exp(x, out=x)
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, as a product with ones."""
     return x @ np.ones(x.shape[-1], x.dtype)
 
 
-def attend(p: Parameters, x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Masked attention of the scored positions over windows of rows x: (batch, SPAN)."""
-    e = p["embed"][x]
-    late = e[:, OVERLAP:].reshape(-1, EMBED)
-    kv = (e.reshape(-1, EMBED) @ p["key_value"]).reshape(len(x), SPAN, 2 * WIDTH)
-    qs = (late @ p["query_self"]).reshape(len(x), _STEP, 2 * WIDTH)
-    k, v, q = kv[..., :WIDTH], kv[..., WIDTH:], qs[..., :WIDTH]
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= _SCALE
-    a += p["distance"][_DISTANCE] + _AHEAD
-    a *= (1 / _exp_and_sum(a))[..., None]
-    h = np.matmul(a, v)
-    h += qs[..., WIDTH:]
-    return e, late, q, k, v, a, np.tanh(h, out=h)
+def _scores(u: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Exponents of the output for u, which lies within -1 and 1; weights that could pass the limit are rare."""
+    z = u @ weights
+    z += bias
+    if float((np.abs(weights).sum(axis=0) + np.abs(bias)).max()) > _OUTPUT:
+        np.clip(z, -_OUTPUT, _OUTPUT, out=z)
+    return z
 
 
-def _by_cluster(y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """An order of targets by cluster, and each cluster's range in it."""
-    cluster = (y // SLOTS).astype(np.uint8)
+def attend(p: Parameters, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Masked attention of the scored positions over windows of rows x: (batch, SPAN). Values are the embeddings."""
+    e = np.take(p["embed"], x, axis=0)
+    late = np.ascontiguousarray(e[:, OVERLAP:]).reshape(-1, WIDTH)
+    k = (e.reshape(-1, WIDTH) @ p["key"]).reshape(e.shape)
+    q = (late @ p["query"]).reshape(len(x), _STEP, WIDTH)
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    if len(x) and float(np.abs(q).max() * np.abs(k).max()) * WIDTH > _CONTENT:
+        np.clip(a, -_CONTENT, _CONTENT, out=a)
+    a += np.clip(p["distance"], -_FAR, _FAR)[_DISTANCE] + _AHEAD
+    np.exp(a, out=a)
+    a *= (1 / _sums(a))[..., None]
+    h = np.matmul(a, e)
+    h += (late @ p["self"]).reshape(h.shape)
+    return e, late, q, k, a, np.tanh(h, out=h)
+
+
+def _by_cluster(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """The positions with a target, by its cluster; the clusters; and each cluster's range among them."""
+    real = np.flatnonzero(y.ravel() >= 0)
+    cluster = CLUSTER_OF[y.ravel()[real]]
     order = np.argsort(cluster, kind="stable")
-    ends = np.cumsum(np.bincount(cluster, minlength=CLUSTERS))
-    return order, [(c, int(b - n), int(b)) for c, (b, n) in enumerate(zip(ends, np.diff(ends, prepend=0), strict=True)) if n]
+    n = np.bincount(cluster, minlength=CLUSTERS)
+    return real[order], cluster[order], [(c, int(b - k), int(b)) for c, (b, k) in enumerate(zip(np.cumsum(n), n, strict=True)) if k]
 
 
 def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -154,70 +164,66 @@ def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray
 
     A slot's probability is its cluster's times its own within the cluster; both depend on what was read.
     """
-    real = np.flatnonzero(y.ravel() >= 0)
-    order, ranges = _by_cluster(y.ravel()[real])
-    real = real[order]
-    u, target = attend(p, x)[-1].reshape(-1, WIDTH)[real], y.ravel()[real]
-    each = np.arange(len(target))
-    z = u @ p["cluster"]
-    z += p["cluster_bias"]
-    found = np.minimum(z[each, target // SLOTS], _CEILING)
-    total = np.log(_exp_and_sum(z))
-    z = np.empty((len(target), SLOTS), u.dtype)
-    for c, a, b in ranges:
-        np.matmul(u[a:b], p["slot"][c], out=z[a:b])
-        z[a:b] += p["slot_bias"][c]
-    found += np.minimum(z[each, target % SLOTS], _CEILING)
-    found -= total + np.log(_exp_and_sum(z))
+    real, cluster, ranges = _by_cluster(y)
+    target = y.ravel()[real]
+    u = np.take(attend(p, x)[-1].reshape(-1, WIDTH), real, axis=0)
+    z = _scores(u, p["cluster"], p["cluster_bias"])
+    found = z[np.arange(len(z)), cluster]
+    total, inner = _sums(np.exp(z, out=z)), np.empty(len(z), z.dtype)
+    for c, i, j in ranges:
+        a, b = FIRST[c], FIRST[c] + SIZES[c]
+        z = _scores(u[i:j], p["slot"][:, a:b], p["slot_bias"][a:b])
+        found[i:j] += z[np.arange(j - i), target[i:j] - a]
+        inner[i:j] = _sums(np.exp(z, out=z))
     out = np.zeros(y.size)
-    out[real] = found
+    out[real] = found - np.log(total) - np.log(inner)
     return out.reshape(y.shape)
 
 
 def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> Parameters:
     """Of the mean loss over scored positions with y >= 0."""
-    e, late, q, k, v, a, h = attend(p, x)
-    real = np.flatnonzero(y.ravel() >= 0)
-    order, ranges = _by_cluster(y.ravel()[real])
-    real = real[order]
-    u, target = h.reshape(-1, WIDTH)[real], y.ravel()[real]
-    each, scale = np.arange(len(target)), np.float32(1 / max(1, len(target)))
-    dz = u @ p["cluster"]
-    dz += p["cluster_bias"]
-    dz *= (scale / _exp_and_sum(dz))[:, None]
-    dz[each, target // SLOTS] -= scale
-    grads = {"cluster": u.T @ dz, "cluster_bias": dz.sum(axis=0), "slot": np.zeros_like(p["slot"]), "slot_bias": np.zeros_like(p["slot_bias"])}
+    e, late, q, k, a, h = attend(p, x)
+    real, cluster, ranges = _by_cluster(y)
+    target = y.ravel()[real]
+    u = np.take(h.reshape(-1, WIDTH), real, axis=0)
+    scale = np.float32(1 / max(1, len(target)))
+
+    def of_scores(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        np.exp(z, out=z)
+        z *= (scale / _sums(z))[:, None]
+        z[np.arange(len(z)), at] -= scale
+        return z
+
+    dz = of_scores(_scores(u, p["cluster"], p["cluster_bias"]), cluster)
+    grads = {"cluster": u.T @ dz, "cluster_bias": _sums(dz.T), "slot": np.zeros_like(p["slot"]), "slot_bias": np.zeros_like(p["slot_bias"])}
     du = dz @ p["cluster"].T
-    dz = np.empty((len(target), SLOTS), u.dtype)
-    for c, i, j in ranges:
-        np.matmul(u[i:j], p["slot"][c], out=dz[i:j])
-        dz[i:j] += p["slot_bias"][c]
-    dz *= (scale / _exp_and_sum(dz))[:, None]
-    dz[each, target % SLOTS] -= scale
     for c, i, j in ranges:
-        grads["slot"][c] = u[i:j].T @ dz[i:j]
-        grads["slot_bias"][c] = dz[i:j].sum(axis=0)
-        du[i:j] += dz[i:j] @ p["slot"][c].T
-    du *= 1 - u * u
+        s, t = FIRST[c], FIRST[c] + SIZES[c]
+        weights = p["slot"][:, s:t]
+        dz = of_scores(_scores(u[i:j], weights, p["slot_bias"][s:t]), target[i:j] - s)
+        grads["slot"][:, s:t], grads["slot_bias"][s:t] = u[i:j].T @ dz, _sums(dz.T)
+        du[i:j] += dz @ weights.T
+    u *= u
+    du *= np.subtract(1, u, out=u)
     dh = np.zeros((h.size // WIDTH, WIDTH), h.dtype)
     dh[real] = du
     dh = dh.reshape(h.shape)
-    ds = np.matmul(dh, v.transpose(0, 2, 1))
+    ds = np.matmul(dh, e.transpose(0, 2, 1))
     ds -= np.einsum("bij,bij->bi", ds, a)[..., None]
     ds *= a
     grads["distance"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=SPAN).astype(h.dtype)
-    ds *= _SCALE
-    dkv = np.concatenate([np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dh)], axis=2).reshape(-1, 2 * WIDTH)
-    dqs = np.concatenate([np.matmul(ds, k), dh], axis=2).reshape(-1, 2 * WIDTH)
-    grads["key_value"], grads["query_self"] = e.reshape(-1, EMBED).T @ dkv, late.T @ dqs
-    de = (dkv @ p["key_value"].T).reshape(e.shape)
-    de[:, OVERLAP:] += (dqs @ p["query_self"].T).reshape(len(x), _STEP, EMBED)
+    dq = np.matmul(ds, k).reshape(-1, WIDTH)
+    dk = np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, WIDTH)
+    grads["key"], grads["query"], grads["self"] = e.reshape(-1, WIDTH).T @ dk, late.T @ dq, late.T @ dh.reshape(-1, WIDTH)
+    de = np.matmul(a.transpose(0, 2, 1), dh)
+    de += (dk @ p["key"].T).reshape(e.shape)
+    de[:, OVERLAP:] += (dq @ p["query"].T + dh.reshape(-1, WIDTH) @ p["self"].T).reshape(h.shape)
     at = x.ravel().astype(np.uint16)
     order = np.argsort(at, kind="stable")
     ranked = at[order]
     first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     grads["embed"] = np.zeros_like(p["embed"])
-    grads["embed"][ranked[first]] = np.add.reduceat(de.reshape(-1, EMBED)[order], first, axis=0)
+    grads["embed"][ranked[first]] = np.add.reduceat(np.take(de.reshape(-1, WIDTH), order, axis=0), first, axis=0)
     return grads
 
 
@@ -252,7 +258,7 @@ def encoded(w: Words, subwords: Subwords) -> Encoded:
 
 
 def windows(e: Encoded, a: int, b: int, coding: Coding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows of texts a ... b - 1: rows (n, SPAN), target ids (n, SPAN - OVERLAP) or -1, and the text of
+    """Overlapping windows of texts a ... b - 1: rows (n, SPAN), target slots (n, SPAN - OVERLAP) or -1, and the text of
     each window, counted from a. Each id and each end of text is the target of one position."""
     size = np.diff(e.starts[a : b + 1])
     flat = e.ids[e.starts[a] : e.starts[b]]
@@ -261,8 +267,8 @@ def windows(e: Encoded, a: int, b: int, coding: Coding) -> tuple[np.ndarray, np.
     base = np.cumsum(room) - room
     x, y = np.full(room.sum() + SPAN, INPUTS - 1, np.int32), np.full(room.sum() + SPAN, -1, np.int32)
     at = np.arange(len(flat)) + np.repeat(base + OVERLAP - (e.starts[a:b] - e.starts[a]), size)
-    y[at] = flat
-    y[base + OVERLAP + size] = len(coding.row) - 1
+    y[at] = coding.slot[flat]
+    y[base + OVERLAP + size] = INPUTS - 1
     x[at + 1] = coding.row[flat]  # what was the target is the input of the next position; the first has none
     of = np.repeat(np.arange(len(size)), count)
     first = base[of] + (np.arange(len(of)) - (np.cumsum(count) - count)[of]) * _STEP
@@ -296,33 +302,62 @@ class _Block:
         return np.bincount(self.distinct.at, weights=c, minlength=len(self.distinct.values)).astype(np.int64)
 
 
+class Documents(NamedTuple):
+    """A block's documents as numbers: words by the order of the block's distinct hashes, subwords by their ids."""
+
+    doc_id: np.ndarray
+    known_id: np.ndarray  # false where doc_id is null
+    held_out: np.ndarray
+    words: np.ndarray
+    n_words: np.ndarray
+    ids: np.ndarray
+    n_ids: np.ndarray
+
+    @classmethod
+    def of(cls, x: _Block, e: Encoded) -> Documents:
+        doc_id = x.table["doc_id"].chunk(0)
+        number = pc.fill_null(doc_id, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = x.distinct.at[x.words.ids].astype(np.uint32)
+        known = doc_id.is_valid().to_numpy(zero_copy_only=False)
+        return cls(number, known, x.held_out, at, np.diff(x.words.starts).astype(np.uint32), e.ids.astype(np.uint16), np.diff(e.starts).astype(np.uint32))
+
+    @classmethod
+    def read(cls, fields: Iterable[pa.BinaryScalar]) -> Documents:
+        types = (np.int64, np.bool_, np.bool_, np.uint32, np.uint32, np.uint16, np.uint32)
+        return cls(*(np.frombuffer(f.as_buffer(), t) for f, t in zip(fields, types, strict=True)))
+
+    def training(self) -> Encoded:
+        told = ~self.held_out
+        return Encoded(self.ids[np.repeat(told, self.n_ids)], np.append(0, np.cumsum(self.n_ids[told], dtype=np.int64)))
+
+
+#: Columns of read_blocks: of a block's documents, in one row, and of what it tells buckets and parts, in others.
+_TOLD = "block int, at int, hashes binary, counts binary"
+_DOCUMENTS = ", ".join(f"{f} binary" for f in Documents._fields)
+
+
 def read_blocks(dealt: DataFrame, n_blocks: int) -> DataFrame:
-    """What is learned from blocks of documents, written: words by bucket and, of each block, the training documents.
+    """What blocks of documents hold, written: texts are read, cut and encoded once.
 
-    kind 'words': for a bucket of hashes (at), a block's distinct words that fall there and their counts in training
-    documents. kind 'ids': the subword ids of a block's training documents (values) and how many each has (counts).
-    kind 'subwords': a part (at) of the array of counts of subword ids.
+    kind 'documents': a block's Documents, in one row. kind 'words': for a bucket of hashes (at), a block's distinct
+    words that fall there and their counts in training documents. kind 'subwords': a part (at) of the array of counts of
+    subword ids in training documents.
     """
 
     def run(block: pa.Table) -> pa.Table:
         keep_freed_memory()
-        x, subwords, number = _Block(block), Subwords(), block["block"][0].as_py()
-        buckets = bucketed(x.distinct.values, n_blocks)
+        x, subwords, number = _Block(block), per_worker(Subwords), block["block"][0].as_py()
         counts = x.training_counts().astype(np.int32)
-        rows = [("words", b, x.distinct.values[i:j].tobytes(), counts[i:j].tobytes()) for b, i, j in buckets]
-        e = encoded(x.words, subwords)
-        told = ~x.held_out
-        if told.any():
-            size = np.diff(e.starts)
-            ids = e.ids[np.repeat(told, size)]
-            rows.append(("ids", 0, ids.astype(np.uint16).tobytes(), size[told].astype(np.int32).tobytes()))
-            rows += [("subwords", part, b, None) for part, b in parts(np.bincount(ids, minlength=subwords.size))]
-        kind, at, values, counts = zip(*rows, strict=True) if rows else ([], [], [], [])
-        columns = {"block": pa.array([number] * len(kind), pa.int32()), "at": pa.array(at, pa.int32()), "values": pa.array(values, pa.binary())}
-        return pa.table(columns | {"counts": pa.array(counts, pa.binary()), "kind": pa.array(kind, pa.string())})
-
-    read = dealt.groupBy("block").applyInArrow(run, "block int, at int, values binary, counts binary, kind string")
-    return written(read, "blocks", partition_by=["kind"])
+        documents = Documents.of(x, encoded(x.words, subwords))
+        told = [("words", b, x.distinct.values[i:j].tobytes(), counts[i:j].tobytes()) for b, i, j in bucketed(x.distinct.values, n_blocks)]
+        told += [("subwords", part, None, b) for part, b in parts(np.bincount(documents.training().ids, minlength=subwords.size))]
+        kind, at, values, counted = zip(*told, ("documents", 0, None, None), strict=True)
+        columns = {"block": pa.array([number] * len(kind), pa.int32()), "at": pa.array(at, pa.int32()), "hashes": pa.array(values, pa.binary()), "counts": pa.array(counted, pa.binary())}
+        for name, field in zip(Documents._fields, documents, strict=True):
+            columns[name] = pa.array([None] * len(told) + [field.tobytes()], pa.binary())
+        return pa.table(columns | {"kind": pa.array(kind, pa.string())})
+
+    return written(dealt.groupBy("block").applyInArrow(run, f"{_TOLD}, {_DOCUMENTS}, kind string"), "blocks", partition_by=["kind"])
 
 
 def count_words(read: DataFrame) -> DataFrame:
@@ -330,7 +365,7 @@ def count_words(read: DataFrame) -> DataFrame:
     the bucket, once, how many words occur there (distinct) and how often (total)."""
 
     def run(bucket: pa.Table) -> pa.Table:
-        found = [np.frombuffer(x, np.uint64) for x in bucket["values"].to_pylist()]
+        found = [np.frombuffer(x, np.uint64) for x in bucket["hashes"].to_pylist()]
         d = Distinct(np.concatenate(found))
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in bucket["counts"].to_pylist()])
         total = np.bincount(d.at, weights=counts).astype(np.int64)
@@ -346,7 +381,7 @@ def count_words(read: DataFrame) -> DataFrame:
             }
         )
 
-    told = read.filter("kind = 'words'").select("block", "at", "values", "counts")
+    told = read.filter("kind = 'words'").select("block", "at", "hashes", "counts")
     return written(told.groupBy("at").applyInArrow(run, "block int, bucket int, counts binary, distinct long, total long"), "word-counts")
 
 
@@ -369,11 +404,9 @@ def add_up(rows: DataFrame, n: int) -> dict[int, np.ndarray]:
             return {r["part"]: np.frombuffer(r["sums"]) for r in rows.select("part", "sums").collect()}
 
 
-def train_locally(p: Parameters, coding: Coding, ids: np.ndarray, sizes: np.ndarray, seed: int) -> int:
+def train_locally(p: Parameters, coding: Coding, e: Encoded, seed: int) -> int:
     """Adam steps over the windows of texts, in a random order; p is changed. Returns the number of targets."""
-    e = Encoded(ids, np.append(0, np.cumsum(sizes)))
-    x, y, _ = windows(e, 0, len(sizes), coding)
-    y = np.where(y < 0, -1, coding.slot[y]).astype(np.int32)
+    x, y, _ = windows(e, 0, len(e.starts) - 1, coding)
     adam, order = Adam(p, RATE * DECAY**seed), np.random.default_rng(seed).permutation(len(x))
     for i in range(0, len(x), BATCH):
         at = order[i : i + BATCH]
@@ -393,7 +426,7 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
     p = initial(coding)
     shape = {k: v.shape for k, v in p.items()}
     ends = np.cumsum([v.size for v in p.values()])
-    texts = read.filter("kind = 'ids'")
+    texts = read.filter("kind = 'documents'").select("block", *Documents._fields)
 
     for seed in range(ROUNDS):
         sent: Broadcast = spark.sparkContext.broadcast((p, tuple(coding)))  # about 2 MB
@@ -402,16 +435,18 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
             keep_freed_memory()
             coding = Coding(*sent.value[1])
             for batch in batches:
-                for block, ids, sizes in zip(*(batch.column(c) for c in ("block", "values", "counts")), strict=True):
+                for block, *fields in zip(*batch.columns, strict=True):
+                    e = Documents.read(fields).training()
+                    if len(e.starts) == 1:
+                        continue
                     own = {k: v.copy() for k, v in sent.value[0].items()}
-                    ids, sizes = np.frombuffer(ids.as_buffer(), np.uint16), np.frombuffer(sizes.as_buffer(), np.int32)
-                    n = train_locally(own, coding, ids, sizes, seed)
+                    n = train_locally(own, coding, e, seed)
                     flat = np.append(np.concatenate([own[k].ravel() for k in shape]).astype(np.float64) * n, n)
                     blobs = [flat[i : i + PART].tobytes() for i in range(0, len(flat), PART)]
                     at = pa.array([block.as_py() // ROUNDS] * len(blobs), pa.int32())
                     yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int32()), at, pa.array(blobs, pa.binary())], ["part", "at", "sums"])
 
-        chosen = texts.filter(F.col("block") % ROUNDS == seed).select("block", "values", "counts")
+        chosen = texts.filter(F.col("block") % ROUNDS == seed)
         found = add_up(chosen.mapInArrow(run, "part int, at int, sums binary"), -(-n_blocks // ROUNDS))
         if found:
             flat = np.concatenate([found[k] for k in sorted(found)])
@@ -420,17 +455,13 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
     return p
 
 
-def score_texts(w: Words, p: Parameters, coding: Coding, subwords: Subwords, step: int = 256) -> np.ndarray:
+def score_texts(e: Encoded, p: Parameters, coding: Coding, step: int = BATCH) -> np.ndarray:
     """log10 probability of each whole text's subword ids and end, each given up to SPAN - 1 ids before it."""
-    e = encoded(w, subwords)
-    out = np.zeros(len(w.starts) - 1)
+    out = sums(coding.log_share[e.ids], e.starts) + coding.log_share[-1]
     for a, b in steps(e.starts):
         x, y, of = windows(e, a, b, coding)
         for i in range(0, len(x), step):
-            target = y[i : i + step]
-            real = target >= 0
-            found = log_probabilities(p, x[i : i + step], np.where(real, coding.slot[target], -1))
-            found += np.where(real, coding.log_share[target], 0)
+            found = log_probabilities(p, x[i : i + step], y[i : i + step])
             out[a:b] += np.bincount(of[i : i + step], weights=found.sum(axis=1), minlength=b - a)
     return out / np.log(10)
 
@@ -446,7 +477,8 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
 
     Documents are dealt into blocks by a hash of doc_id and text. A block sends the 64-bit hashes of its distinct words,
     with their counts, to buckets, which answer with the counts over all blocks: among n distinct words, about
-    n * n / 2**65 pairs are taken for equal. Texts are shuffled twice, to learn and to score.
+    n * n / 2**65 pairs are taken for equal. Texts are shuffled once and cut once; a block's words and subword ids are
+    written as numbers, which train the model, round by round, and are scored.
     """
     spark = docs.sparkSession
     told = docs.select("doc_id", "text", (~_in_training()).alias("held_out"))
@@ -456,29 +488,29 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     r = counted.agg(F.sum("distinct"), F.sum("total")).first()
     n_ends = told.filter("not held_out").count()
     n_words, n_tokens = (r[0] or 0) + (n_ends > 0), (r[1] or 0) + n_ends
-    coding = Coding.of(summed(read.filter("kind = 'subwords'").select(F.col("at").alias("part"), F.col("values").alias("counts")), Subwords().size), n_ends)
+    coding = Coding.of(summed(read.filter("kind = 'subwords'").select(F.col("at").alias("part"), "counts"), Subwords().size), n_ends)
     model: Broadcast = spark.sparkContext.broadcast((train(read, n_blocks, coding), tuple(coding)))  # about 2 MB
 
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
         keep_freed_memory()
         p, coding = model.value[0], Coding(*model.value[1])
-        x = _Block(block)
-        w, n = x.words, len(x.table)
-        known = np.frombuffer(b"".join(found.sort_by("bucket")["counts"].to_pylist()), np.int64)
-        c = np.append(known[x.distinct.at], n_ends)
-        each = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-        text = np.repeat(np.arange(n), np.diff(w.starts))
+        d = Documents.read(block[name][0] for name in Documents._fields)
+        counts = np.frombuffer(b"".join(found.sort_by("bucket")["counts"].to_pylist()), np.int64)
+        each = np.log10((np.append(counts, n_ends) + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
+        starts = np.append(0, np.cumsum(d.n_words, dtype=np.int64))
+        e = Encoded(d.ids, np.append(0, np.cumsum(d.n_ids, dtype=np.int64)))
         return pa.table(
             {
-                "doc_id": x.table["doc_id"],
-                "held_out": x.table["held_out"],
-                "n_tokens": np.diff(w.starts) + 1,
-                "n_known": per_text((c > 0)[w.ids], w.starts) + (n_ends > 0),
-                "train_tokens": np.full(n, n_tokens),
-                "base_score": np.bincount(text, weights=each[w.ids], minlength=n) + each[-1],
-                "score": score_texts(w, p, coding, Subwords()),
+                "doc_id": pa.array(d.doc_id, mask=~d.known_id),
+                "held_out": d.held_out,
+                "n_tokens": np.diff(starts) + 1,
+                "n_known": per_text((counts > 0)[d.words], starts) + (n_ends > 0),
+                "train_tokens": np.full(len(d.doc_id), n_tokens),
+                "base_score": sums(each[d.words], starts) + each[-1],
+                "score": score_texts(e, p, coding),
             }
         )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("block").cogroup(counted.select("block", "bucket", "counts").groupBy("block")).applyInArrow(score, schema)
+    texts = read.filter("kind = 'documents'").select("block", *Documents._fields)
+    return texts.groupBy("block").cogroup(counted.select("block", "bucket", "counts").groupBy("block")).applyInArrow(score, schema)

@@ -542,7 +542,7 @@ def test_windows_score_each_id_once():
     e = lm_scoring.encoded(w, subwords)
     _, y, of = lm_scoring.windows(e, 0, 3, coding)
     for i in range(3):
-        assert y[of == i][y[of == i] >= 0].tolist() == [*e.ids[e.starts[i] : e.starts[i + 1]], subwords.size]
+        assert y[of == i][y[of == i] >= 0].tolist() == [*coding.slot[e.ids[e.starts[i] : e.starts[i + 1]]], lm_scoring.INPUTS - 1]
 
 
 def test_scores(docs, empty):
