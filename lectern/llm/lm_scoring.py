@@ -302,62 +302,74 @@ class _Block:
         return np.bincount(self.distinct.at, weights=c, minlength=len(self.distinct.values)).astype(np.int64)
 
 
-class Documents(NamedTuple):
-    """A block's documents as numbers: words by the order of the block's distinct hashes, subwords by their ids."""
+class Telling(NamedTuple):
+    """The words of a block's documents, as places among the block's distinct hashes, and what goes with each document."""
 
     doc_id: np.ndarray
     known_id: np.ndarray  # false where doc_id is null
     held_out: np.ndarray
     words: np.ndarray
     n_words: np.ndarray
-    ids: np.ndarray
-    n_ids: np.ndarray
 
     @classmethod
-    def of(cls, x: _Block, e: Encoded) -> Documents:
+    def of(cls, x: _Block) -> Telling:
         doc_id = x.table["doc_id"].chunk(0)
         number = pc.fill_null(doc_id, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        at = x.distinct.at[x.words.ids].astype(np.uint32)
         known = doc_id.is_valid().to_numpy(zero_copy_only=False)
-        return cls(number, known, x.held_out, at, np.diff(x.words.starts).astype(np.uint32), e.ids.astype(np.uint16), np.diff(e.starts).astype(np.uint32))
+        return cls(number, known, x.held_out, x.distinct.at[x.words.ids].astype(np.uint32), np.diff(x.words.starts).astype(np.uint32))
 
     @classmethod
-    def read(cls, fields: Iterable[pa.BinaryScalar]) -> Documents:
-        types = (np.int64, np.bool_, np.bool_, np.uint32, np.uint32, np.uint16, np.uint32)
+    def read(cls, fields: Iterable[pa.BinaryScalar]) -> Telling:
+        types = (np.int64, np.bool_, np.bool_, np.uint32, np.uint32)
         return cls(*(np.frombuffer(f.as_buffer(), t) for f, t in zip(fields, types, strict=True)))
 
+
+class Spelling(NamedTuple):
+    """The subword ids of a block's documents."""
+
+    held_out: np.ndarray
+    ids: np.ndarray
+    n_ids: np.ndarray
+
+    @classmethod
+    def read(cls, fields: Iterable[pa.BinaryScalar]) -> Spelling:
+        return cls(*(np.frombuffer(f.as_buffer(), t) for f, t in zip(fields, (np.bool_, np.uint16, np.uint32), strict=True)))
+
+    def all(self) -> Encoded:
+        return Encoded(self.ids, np.append(0, np.cumsum(self.n_ids, dtype=np.int64)))
+
     def training(self) -> Encoded:
         told = ~self.held_out
         return Encoded(self.ids[np.repeat(told, self.n_ids)], np.append(0, np.cumsum(self.n_ids[told], dtype=np.int64)))
 
 
-#: Columns of read_blocks: of a block's documents, in one row, and of what it tells buckets and parts, in others.
-_TOLD = "block int, at int, hashes binary, counts binary"
-_DOCUMENTS = ", ".join(f"{f} binary" for f in Documents._fields)
+_FIELDS = list(dict.fromkeys(Telling._fields + Spelling._fields))
 
 
 def read_blocks(dealt: DataFrame, n_blocks: int) -> DataFrame:
     """What blocks of documents hold, written: texts are read, cut and encoded once.
 
-    kind 'documents': a block's Documents, in one row. kind 'words': for a bucket of hashes (at), a block's distinct
-    words that fall there and their counts in training documents. kind 'subwords': a part (at) of the array of counts of
-    subword ids in training documents.
+    kind 'words' and 'ids': a block's Telling and Spelling, in a row each. kind 'hashes': for a bucket of hashes (at), a
+    block's distinct words that fall there and their counts in training documents. kind 'subwords': a part (at) of the
+    array of counts of subword ids in training documents.
     """
 
     def run(block: pa.Table) -> pa.Table:
         keep_freed_memory()
         x, subwords, number = _Block(block), per_worker(Subwords), block["block"][0].as_py()
-        counts = x.training_counts().astype(np.int32)
-        documents = Documents.of(x, encoded(x.words, subwords))
-        told = [("words", b, x.distinct.values[i:j].tobytes(), counts[i:j].tobytes()) for b, i, j in bucketed(x.distinct.values, n_blocks)]
-        told += [("subwords", part, None, b) for part, b in parts(np.bincount(documents.training().ids, minlength=subwords.size))]
-        kind, at, values, counted = zip(*told, ("documents", 0, None, None), strict=True)
-        columns = {"block": pa.array([number] * len(kind), pa.int32()), "at": pa.array(at, pa.int32()), "hashes": pa.array(values, pa.binary()), "counts": pa.array(counted, pa.binary())}
-        for name, field in zip(Documents._fields, documents, strict=True):
-            columns[name] = pa.array([None] * len(told) + [field.tobytes()], pa.binary())
-        return pa.table(columns | {"kind": pa.array(kind, pa.string())})
+        counts, e = x.training_counts().astype(np.int32), encoded(x.words, subwords)
+        telling, spelling = Telling.of(x), Spelling(x.held_out, e.ids.astype(np.uint16), np.diff(e.starts).astype(np.uint32))
+        rows = [{"kind": "hashes", "at": b, "hashes": x.distinct.values[i:j], "counts": counts[i:j]} for b, i, j in bucketed(x.distinct.values, n_blocks)]
+        rows += [{"kind": "subwords", "at": part, "counts": b} for part, b in parts(np.bincount(spelling.training().ids, minlength=subwords.size))]
+        rows += [{"kind": "words", **telling._asdict()}, {"kind": "ids", **spelling._asdict()}]
+        binary = lambda v: v.tobytes() if isinstance(v, np.ndarray) else v
+        columns = {"block": pa.array([number] * len(rows), pa.int32()), "at": pa.array([r.get("at") for r in rows], pa.int32())}
+        for name in ["hashes", "counts", *_FIELDS]:
+            columns[name] = pa.array([binary(r.get(name)) for r in rows], pa.binary())
+        return pa.table(columns | {"kind": pa.array([r["kind"] for r in rows], pa.string())})
 
-    return written(dealt.groupBy("block").applyInArrow(run, f"{_TOLD}, {_DOCUMENTS}, kind string"), "blocks", partition_by=["kind"])
+    schema = f"block int, at int, hashes binary, counts binary, {', '.join(f'{f} binary' for f in _FIELDS)}, kind string"
+    return written(dealt.groupBy("block").applyInArrow(run, schema), "blocks", partition_by=["kind"], compression="zstd")
 
 
 def count_words(read: DataFrame) -> DataFrame:
@@ -369,20 +381,22 @@ def count_words(read: DataFrame) -> DataFrame:
         d = Distinct(np.concatenate(found))
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in bucket["counts"].to_pylist()])
         total = np.bincount(d.at, weights=counts).astype(np.int64)
+        wide = np.int64 if total.max(initial=0) >= 1 << 32 else np.uint32
         answers = np.split(total[d.at], np.cumsum([len(x) for x in found])[:-1])
         once = np.arange(len(found)) == 0
         return pa.table(
             {
                 "block": bucket["block"],
                 "bucket": bucket["at"],
-                "counts": pa.array([x.tobytes() for x in answers], pa.binary()),
+                "counts": pa.array([x.astype(wide).tobytes() for x in answers], pa.binary()),
+                "wide": np.full(len(found), wide is np.int64),
                 "distinct": once * int((total > 0).sum()),
                 "total": once * int(total.sum()),
             }
         )
 
-    told = read.filter("kind = 'words'").select("block", "at", "hashes", "counts")
-    return written(told.groupBy("at").applyInArrow(run, "block int, bucket int, counts binary, distinct long, total long"), "word-counts")
+    told = read.filter("kind = 'hashes'").select("block", "at", "hashes", "counts")
+    return written(told.groupBy("at").applyInArrow(run, "block int, bucket int, counts binary, wide boolean, distinct long, total long"), "word-counts")
 
 
 def add_up(rows: DataFrame, n: int) -> dict[int, np.ndarray]:
@@ -426,7 +440,7 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
     p = initial(coding)
     shape = {k: v.shape for k, v in p.items()}
     ends = np.cumsum([v.size for v in p.values()])
-    texts = read.filter("kind = 'documents'").select("block", *Documents._fields)
+    texts = read.filter("kind = 'ids'").select("block", *Spelling._fields)
 
     for seed in range(ROUNDS):
         sent: Broadcast = spark.sparkContext.broadcast((p, tuple(coding)))  # about 2 MB
@@ -436,7 +450,7 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
             coding = Coding(*sent.value[1])
             for batch in batches:
                 for block, *fields in zip(*batch.columns, strict=True):
-                    e = Documents.read(fields).training()
+                    e = Spelling.read(fields).training()
                     if len(e.starts) == 1:
                         continue
                     own = {k: v.copy() for k, v in sent.value[0].items()}
@@ -491,26 +505,37 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     coding = Coding.of(summed(read.filter("kind = 'subwords'").select(F.col("at").alias("part"), "counts"), Subwords().size), n_ends)
     model: Broadcast = spark.sparkContext.broadcast((train(read, n_blocks, coding), tuple(coding)))  # about 2 MB
 
-    def score(block: pa.Table, found: pa.Table) -> pa.Table:
-        keep_freed_memory()
-        p, coding = model.value[0], Coding(*model.value[1])
-        d = Documents.read(block[name][0] for name in Documents._fields)
-        counts = np.frombuffer(b"".join(found.sort_by("bucket")["counts"].to_pylist()), np.int64)
+    def base(block: pa.Table, found: pa.Table) -> pa.Table:
+        t = Telling.read(block[name][0] for name in Telling._fields)
+        found = found.sort_by("bucket")
+        told = zip(found["counts"].to_pylist(), found["wide"].to_pylist(), strict=True)
+        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c, np.int64 if wide else np.uint32) for c, wide in told)])
         each = np.log10((np.append(counts, n_ends) + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-        starts = np.append(0, np.cumsum(d.n_words, dtype=np.int64))
-        e = Encoded(d.ids, np.append(0, np.cumsum(d.n_ids, dtype=np.int64)))
+        starts = np.append(0, np.cumsum(t.n_words, dtype=np.int64))
         return pa.table(
             {
-                "doc_id": pa.array(d.doc_id, mask=~d.known_id),
-                "held_out": d.held_out,
+                "block": pa.array(np.full(len(t.doc_id), block["block"][0].as_py()), pa.int32()),
+                "n": pa.array(np.arange(len(t.doc_id)), pa.int32()),
+                "doc_id": pa.array(t.doc_id, mask=~t.known_id),
+                "held_out": t.held_out,
                 "n_tokens": np.diff(starts) + 1,
-                "n_known": per_text((counts > 0)[d.words], starts) + (n_ends > 0),
-                "train_tokens": np.full(len(d.doc_id), n_tokens),
-                "base_score": sums(each[d.words], starts) + each[-1],
-                "score": score_texts(e, p, coding),
+                "n_known": per_text((counts > 0)[t.words], starts) + (n_ends > 0),
+                "train_tokens": np.full(len(t.doc_id), n_tokens),
+                "base_score": sums(each[t.words], starts) + each[-1],
             }
         )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    texts = read.filter("kind = 'documents'").select("block", *Documents._fields)
-    return texts.groupBy("block").cogroup(counted.select("block", "bucket", "counts").groupBy("block")).applyInArrow(score, schema)
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
+        p, coding = model.value[0], Coding(*model.value[1])
+        for batch in batches:
+            for block, *fields in zip(*batch.columns, strict=True):
+                found = score_texts(Spelling.read(fields).all(), p, coding)
+                columns = [pa.array(np.full(len(found), block.as_py()), pa.int32()), pa.array(np.arange(len(found)), pa.int32()), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "n", "score"])
+
+    schema = "block int, n int, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double"
+    told = read.filter("kind = 'words'").select("block", *Telling._fields).groupBy("block")
+    based = told.cogroup(counted.select("block", "bucket", "counts", "wide").groupBy("block")).applyInArrow(base, schema)
+    modelled = read.filter("kind = 'ids'").select("block", *Spelling._fields).mapInArrow(score, "block int, n int, score double")
+    return based.join(modelled, ["block", "n"]).drop("block", "n")
