@@ -63,19 +63,54 @@ def suffix_array(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def repeats(w: Words) -> np.ndarray:
+def repeats(order: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Of each word position, the words of the longest repeat within the text that starts there."""
-    order, common = suffix_array(w)
-    out = np.zeros(len(w.ids), np.int64)
+    out = np.zeros(len(order), np.int64)
     out[order] = np.maximum(common[:-1], common[1:]) if len(order) else 0
     return out
 
 
+def prefix_intervals(common: np.ndarray, least: int) -> np.ndarray:
+    """Rows (length, first, last) of the intervals of suffixes that share a prefix of `length` words, `least` or more,
+    and no longer one: each is a repeat that no word to its right extends in all of its places."""
+    found, stack, before = [], [], -2
+    for i in [*np.flatnonzero(common >= least).tolist(), -1]:
+        length = int(common[i]) if i == before + 1 else -1
+        left = i
+        while stack and stack[-1][0] > length:
+            top, start = stack.pop()
+            found.append((top, start - 1, before))
+            left = start if length >= 0 else i
+        if i < 0:
+            break
+        length = int(common[i])
+        if not stack or stack[-1][0] < length:
+            stack.append((length, left))
+        before = i
+    return np.array(found, np.int64).reshape(-1, 3)
+
+
+def maximal_repeats(w: Words, order: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """A row (position of one place, length) of each maximal repeat: one that no word to either side extends in all of
+    its places."""
+    intervals = prefix_intervals(common, least)
+    previous = -2 - np.arange(len(w.ids), dtype=np.int64)  # where a text starts there is no word, and none is shared
+    inside = np.ones(len(w.ids), bool)
+    inside[w.starts[:-1][np.diff(w.starts) > 0]] = False
+    previous[1:] = np.where(inside[1:], w.ids[:-1], previous[1:])
+    ranked = previous[order]
+    changes = np.append(0, np.cumsum(ranked[1:] != ranked[:-1])) if len(order) else np.zeros(0, np.int64)
+    length, first, last = intervals.T
+    open_left = changes[last] > changes[first] if len(intervals) else np.zeros(0, bool)
+    return np.stack([order[first[open_left]], length[open_left]], axis=1) if len(intervals) else np.zeros((0, 2), np.int64)
+
+
 def measured(texts: pa.Array, min_repeat: int) -> dict[str, np.ndarray]:
     texts = pc.fill_null(texts, "")
     w = words(texts)
     n, starts = len(w.ids), w.starts
-    longest = repeats(w)
+    order, common = suffix_array(w)
+    longest = repeats(order, common)
     lines = pc.split_pattern(texts, "\n")
     flat = lines.flatten()
     text = np.repeat(np.arange(len(texts)), np.diff(lines.offsets.to_numpy()))
@@ -87,9 +122,7 @@ def measured(texts: pa.Array, min_repeat: int) -> dict[str, np.ndarray]:
     dup = np.bincount(line[again] // (len(coded.dictionary) + 1), minlength=len(texts))
     size = pc.utf8_length(w.vocab).to_numpy(zero_copy_only=False).astype(np.int64)
     three, long = np.flatnonzero(longest >= 3), np.flatnonzero(longest >= min_repeat)
-    inner = np.zeros(n, bool)
-    inner[1:] = longest[:-1] == longest[1:] + 1
-    inner[starts[:-1][np.diff(starts) > 0]] = False
+    maximal = np.searchsorted(starts, maximal_repeats(w, order, common, min_repeat)[:, 0], side="right") - 1
     most = np.zeros(len(texts), np.int64)
     some = np.diff(starts) > 0
     if n:
@@ -102,7 +135,7 @@ def measured(texts: pa.Array, min_repeat: int) -> dict[str, np.ndarray]:
         "n_repeat_words": per_text(covered(three, 3, n), starts),
         "repeat_covered_words": per_text(covered(long, longest[long], n), starts),
         "longest_repeat_words": most,
-        "n_maximal_repeats": per_text((longest >= min_repeat) & ~inner, starts),
+        "n_maximal_repeats": np.bincount(maximal, minlength=len(texts)),
     }
 
 
