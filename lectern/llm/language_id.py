@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm._counters import parts, summed
-from lectern.llm._store import written
+from lectern.llm._store import release, written
 from lectern.llm._words import slices
 
 UNKNOWN = "und"
@@ -25,6 +25,8 @@ FEATURES, ORDERS = 1 << 15, (1, 2, 3)
 #: Labelled documents that the classifier is fitted on, of each language, as expected: the documented bound of the
 #: sample. A fifth of them sets the temperature. Document frequencies come from all training documents.
 FIT_DOCUMENTS = 1000
+#: What the sample's features may take on the driver, about; beyond it fewer documents of each language are drawn.
+FIT_BYTES = 256 << 20
 #: Text bytes of a step; n-gram hashes take about 40 times as much.
 STEP_BYTES = 3 << 20
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.1
@@ -127,13 +129,17 @@ def train(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model | None:
     """A model of all documents (doc_id, text, lang) whose lang is known and whose crc32(doc_id) mod 5 is not 0.
 
     Document frequencies count every such document, in Spark. The weights are fitted on about fit_documents of each
-    language, chosen by a hash of doc_id, whose feature counts reach the driver. None if there is nothing to learn.
+    language, or FIT_BYTES of feature counts in all, chosen by a hash of doc_id, which reach the driver. None if there is
+    nothing to learn.
     """
     known = docs.filter("lang is not null").filter(~held_out()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
+    # A document has a feature of six bytes for each n-gram at most, and no more than there are features.
+    taken = F.sum(F.least(F.coalesce(F.length("text"), F.lit(0)) * len(ORDERS), F.lit(FEATURES)) * 6)
+    told = {r["lang"]: r for r in known.groupBy("lang").agg(F.count("*").alias("n"), taken.alias("bytes")).collect()}
+    if not told:
         return None
-    share = {lang: min(1.0, fit_documents / n) for lang, n in sizes.items()}
+    sizes = {lang: r["n"] for lang, r in told.items()}
+    share = {lang: min(1.0, fit_documents / r["n"], FIT_BYTES / len(told) / max(r["bytes"], 1)) for lang, r in told.items()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)).cast("long").alias("draw")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +158,7 @@ def train(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model | None:
     n_docs = sum(sizes.values())
     idf = np.log((1 + n_docs) / (1 + summed(counted.filter("part is not null"), FEATURES))) + 1
     sample = sorted(counted.filter("lang is not null").select("lang", "calibrates", "at", "n").collect())
+    release(counted)
     languages = sorted(sizes)
     number = {x: i for i, x in enumerate(languages)}
     rows = []
