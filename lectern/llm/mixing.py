@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from lectern.llm._ranks import ranked
 from lectern.llm._store import written
 
-#: Rows in a block, the unit that is scheduled.
-BLOCK_ROWS = 16
+#: Rows in a block, the unit that is scheduled; blocks that one task schedules at most, about a minute's work. Tables of
+#: more rows than both make have larger blocks.
+BLOCK_ROWS, MAX_BLOCKS = 16, 1 << 24
 #: Weight of a source without a given one: its rows to this power. 1 keeps proportions, 0 makes sources equal.
 TEMPERATURE = 0.7
 #: Rows of a source are ranked in parts of about so many.
@@ -96,7 +97,7 @@ def schedule(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tupl
         start, phase = start + t, phase + 1
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, temperature: float = TEMPERATURE, period: int | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int | None = None, temperature: float = TEMPERATURE, period: int | None = None) -> DataFrame:
     """The place of each row of docs (doc_id, source) in a mix: doc_id, source, block, phase, slot, position.
 
     weights: of sources; one that is not given, or all if none are, has rows ** temperature. A source with weight 0
@@ -106,6 +107,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     has run out; the rest follows in later phases, so that no row is lost. position orders the rows: slot times
     block_rows, plus the row's place in its block. A period, if given, rounds the weights to shares of so many slots.
 
+    block_rows is BLOCK_ROWS, or what keeps the schedule within MAX_BLOCKS, unless given.
+
     A null source is a source. Repeated rows are rows like others, in any order among themselves. Other columns are
     ignored; an empty table gives an empty result. One task goes through the blocks, with memory for the sources.
     """
@@ -117,6 +120,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
         if found := [r["_source"][1:] for r in sizes.filter(F.col("_source").isin(bad)).collect()]:
             raise ValueError(f"weights must be above 0: {sorted(found)}")
 
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if block_rows is None:
+        block_rows = max(BLOCK_ROWS, -(-(total or 0) // MAX_BLOCKS))
+
     def plan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = {s: k for batch in batches for s, k in zip(batch.column("_source").to_pylist(), batch.column("n").to_pylist(), strict=True)}
         weight = {s: given.get(s, k**temperature) for s, k in n.items()}
@@ -128,7 +135,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
 
     places = sizes.coalesce(1).mapInArrow(plan, "_source string, block long, phase int, slot long")
     key = F.xxhash64("doc_id", F.lit("mix"))
-    parts = max(16, -(-(sizes.agg(F.max("n")).first()[0] or 0) // PART_ROWS))
+    parts = max(16, -(-(most or 0) // PART_ROWS))
     numbered = ranked(rows.withColumn("_key", key), "_source", F.col("_key"), ["_key", "doc_id"], parts)
     numbered = numbered.select("doc_id", "_source", F.floor(F.col("rank") / block_rows).alias("block"), (F.col("rank") % block_rows).alias("_at"))
     return numbered.join(places.hint("merge"), ["_source", "block"]).select(
