@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm._store import written
+from lectern.llm._store import release, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,16 +20,19 @@ def components(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         to = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))
-        to = written(to, "pointers")
-        hop = to.select(F.col("node").alias("to"), F.col("to").alias("target"))
-        to = written(to.join(hop, "to").select("node", F.col("target").alias("to")), "pointers")
-        if labels is None:
+        once = written(to, "pointers")
+        hop = once.select(F.col("node").alias("to"), F.col("to").alias("target"))
+        to = written(once.join(hop, "to").select("node", F.col("target").alias("to")), "pointers")
+        before = labels
+        if before is None:
             labels = to.select("node", F.col("to").alias("component"))
         else:
             step = to.select(F.col("node").alias("component"), "to")
-            labels = labels.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            labels = before.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
         labels = written(labels, "labels")
         ends = links.join(to.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
         ends = ends.join(to.select(F.col("node").alias("b"), F.col("to").alias("y")), "b").filter("x <> y")
-        links = written(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        rest = written(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        release(once, to, before, links)
+        links = rest
     return labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -19,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
-#: Paths of the tables that this driver has written.
+#: Paths of the tables that this driver has written and not deleted, in that order.
 _paths: list[str] = []
 
 
@@ -29,12 +29,30 @@ def table_path(spark: SparkSession, name: str) -> str:
     return _paths[-1]
 
 
-def discard(spark: SparkSession) -> None:
-    """Delete the tables written so far. Results that were not written elsewhere can no longer be read."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop())
-        path.getFileSystem(conf).delete(path, True)
+def tables_written() -> int:
+    """How many tables there are by now."""
+    return len(_paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _paths.remove(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the tables written since there were so many, but for one. What was not written elsewhere can no longer be
+    read."""
+    for path in _paths[since:]:
+        if path != getattr(keep, "_table", None):
+            _delete(spark, path)
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete written tables that nothing still to be computed reads."""
+    for df in tables:
+        if (path := getattr(df, "_table", None)) in _paths:
+            _delete(df.sparkSession, path)
 
 
 def written(df: DataFrame, name: str, *sorted_by: str, partition_by: list[str] | None = None, **options: str) -> DataFrame:
@@ -42,4 +60,6 @@ def written(df: DataFrame, name: str, *sorted_by: str, partition_by: list[str] |
     spark = df.sparkSession
     path = table_path(spark, name)
     (df.sortWithinPartitions(*sorted_by) if sorted_by else df).write.options(**options).parquet(path, partitionBy=partition_by)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table = path
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm._filter import bit_filter, may_match, with_match
-from lectern.llm._store import written
+from lectern.llm._store import release, written
 
 #: Rows in a memtable, about: documents whose digests one task gathers, sorts and flushes as a run.
 MEMTABLE_ROWS = 1 << 16
@@ -63,14 +63,18 @@ class DigestIndex:
     def insert(self, docs: DataFrame) -> DigestIndex:
         self.runs.append(flush_runs(docs, self.keep, self.memtable_rows, self.key))
         if len(self.runs) > self.max_flushes:
-            self.runs = [compact(*self.runs)]
+            self._compact()
         return self
 
+    def _compact(self) -> None:
+        runs, self.runs = self.runs, [compact(*self.runs)]
+        release(*runs)
+
     def entries(self) -> DataFrame:
         """One entry for each digest after compaction: digest, rank_id, copies."""
         if not self.runs:
             return self.spark.createDataFrame([], "digest string, rank_id long, copies long")
-        self.runs = [compact(*self.runs)]
+        self._compact()
         return self.runs[0].select("digest", "rank_id", "copies")
 
     def contains(self, text: str) -> bool:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lectern.llm._blocks import Distinct, answers, counted, deal, in_order
 from lectern.llm._components import components
 from lectern.llm._filter import bit_filter, may_match
-from lectern.llm._store import written
+from lectern.llm._store import release, written
 from lectern.llm._words import hashes, mixed, rolling, slices, words
 
 #: Prefixes are lengthened by up to so many tokens, less one; what it costs to verify one pair, in posting entries.
@@ -215,7 +215,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -
     texts = written(texts.filter(_node(width)("text") == F.col("node")).select("node", "text").dropDuplicates(["node"]), "texts")
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    links = written(joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
+    release(wanted, texts)
+    return links
 
 
 def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -243,7 +245,7 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     shared = written(entries.join(tokens.filter("entries > 1"), "token"), "shared")
     near = shared.filter("node <> pivot").filter(_may_link("meta", "pivot_meta")).select(*_pairs("node", "pivot")).distinct()
     near = written(_agreeing(near, shared), "pairs")
-    links = written(_verified(near, docs, nodes, width), "links")
+    links = _verified(near, docs, nodes, width)
     classes = components(links)
 
     # Tokens of two nodes are settled by the first round.
@@ -254,9 +256,12 @@ def join_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     rest = _sharing(left).join(near, ["a", "b"], "left_anti")
     rest = written(_agreeing(rest, shared), "pairs")
-    more = written(_verified(rest, docs, nodes, width), "links")
+    more = _verified(rest, docs, nodes, width)
+    release(near, rest, shared, labelled)
     if not more.isEmpty():
+        release(classes)
         classes = components(links.unionByName(more))
+    release(links, more)
 
     labelled = nodes.join(classes, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     least_id = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
