@@ -135,6 +135,13 @@ def test_mix_holds_exact_weights_on_long_schedules():
     assert end == blocks and sum(had.values()) > 20_000
 
 
+def test_mix_blocks_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 10)
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"))
+    got = mixing.mix(df)
+    assert got.agg(F.max("block")).first()[0] == 9 and sorted(r["position"] for r in got.collect()) == list(range(1000))
+
+
 def test_mix_takes_any_number_of_sources(spark):
     df = spark.range(1500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("source"))
     assert sorted(r["slot"] for r in mixing.mix(df).collect()) == list(range(1500))
@@ -169,10 +176,64 @@ def test_suffix_array_repeats():
     r = random.Random(3)
     texts = [" ".join(r.choice("abc") for _ in range(r.randrange(0, 50))) for _ in range(60)] + ["a " * 40, "", "x"]
     w = words(pa.array(texts))
-    got = quality_rules.repeats(w)
+    got = quality_rules.repeats(*quality_rules.suffix_array(w))
     assert got.tolist() == [x for t in texts for x in longest_brute(t.split())]
 
 
+def test_maximal_repeats_equal_brute_force():
+    r = random.Random(7)
+    for _ in range(60):
+        texts = [[r.choice("abc") for _ in range(r.randrange(0, 25))] for _ in range(3)]
+        texts += [["x", "y", "z"] * 3, ["a"] * 12]
+        w = words(pa.array([" ".join(t) for t in texts]))
+        order, common = quality_rules.suffix_array(w)
+        for least in (2, 3):
+            found = collections.Counter()
+            for at, length in quality_rules.maximal_repeats(w, order, common, least).tolist():
+                i = int(np.searchsorted(w.starts, at, side="right")) - 1
+                a = at - w.starts[i]
+                found[i, tuple(texts[i][a : a + length])] += 1
+            expected = collections.Counter()
+            for i, t in enumerate(texts):
+                for p in {tuple(t[a : a + k]) for k in range(least, len(t)) for a in range(len(t) - k + 1)}:
+                    places = [a for a in range(len(t) - len(p) + 1) if tuple(t[a : a + len(p)]) == p]
+                    left = {t[a - 1] if a else None for a in places}
+                    right = {t[a + len(p)] if a + len(p) < len(t) else None for a in places}
+                    if len(places) > 1 and (len(left) > 1 or None in left) and (len(right) > 1 or None in right):
+                        expected[i, p] += 1
+            assert found == expected
+
+
+def verdict_brute(text, least=10):
+    ws = WORD.findall(text or "")
+    best = [max((k for b in range(len(ws)) if b != a for k in [common_words(ws, a, b)]), default=0) for a in range(len(ws))]
+    gone = {a + k for a, n in enumerate(best) if n >= least for k in range(n)}
+    three = collections.Counter(tuple(ws[a : a + 3]) for a in range(len(ws) - 2))
+    again = {a + k for a in range(len(ws) - 2) if three[tuple(ws[a : a + 3])] > 1 for k in range(3)}
+    failed = len(ws) < 50 or 100 * len(again) > 50 * len(ws)
+    return len(gone), max(best, default=0), not failed and len(gone) <= 0.3 * len(ws) and max(best, default=0) <= 100
+
+
+def common_words(ws, a, b):
+    k = 0
+    while max(a, b) + k < len(ws) and ws[a + k] == ws[b + k]:
+        k += 1
+    return k
+
+
+def test_quality_verdict_equals_brute_force(spark):
+    r = random.Random(8)
+    texts = [None, "", "word " * 60]
+    for n in (0, 8, 12, 20, 30, 60):
+        passage = [f"p{k}" for k in range(n)]
+        filler = [f"f{r.randrange(10**6)}" for _ in range(90)]
+        texts += [" ".join(passage + filler + passage), " ".join(filler[:60] + passage * 3 + filler[60:])]
+    texts.append(" ".join([f"q{k}" for k in range(110)] + [f"g{k}" for k in range(900)] + [f"q{k}" for k in range(110)]))
+    got = quality_rules.score_repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {x["doc_id"]: (x["repeat_covered_words"], x["longest_repeat_words"], x["kept"]) for x in got} == {i: verdict_brute(t) for i, t in enumerate(texts)}
+    assert {x["kept"] for x in got} == {True, False}
+
+
 def test_quality(docs, empty):
     got = quality_rules.score_repetition(docs).collect()
     text = dict(rows_of(docs))
@@ -442,6 +503,46 @@ def language_rows():
     return rows + [(1000, None, "xx", None, None), (1001, "123 --- 4", "xx", None, None), (1002, "", None, None, None), (1003, "babobu babu", None, None, None)]
 
 
+def test_regularised_leader_equals_plain_steps(monkeypatch):
+    monkeypatch.setattr(language_id, "EPOCHS", 2)
+    r = np.random.default_rng(0)
+    rows = [(np.sort(r.choice(50, 6, replace=False)), r.random(6)) for _ in range(40)]
+    y = r.integers(0, 3, 40)
+    w, bias = language_id.fit_ftrl(rows, y, 3)
+    size, bias_at = language_id.FEATURES, language_id.FEATURES
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i, c):
+        l1 = 0 if i == bias_at else language_id.L1
+        if abs(z[i, c]) <= l1:
+            return 0.0
+        return -(z[i, c] - math.copysign(l1, z[i, c])) / ((language_id.BETA + math.sqrt(n[i, c])) / language_id.ALPHA + language_id.L2)
+
+    order = np.random.default_rng(0)
+    for _ in range(2):
+        for k in order.permutation(len(rows)):
+            xs = [*zip(rows[k][0].tolist(), rows[k][1].tolist(), strict=True), (bias_at, 1.0)]
+            logits = [sum(x * weight(i, c) for i, x in xs) for c in range(3)]
+            total = sum(math.exp(v) for v in logits)
+            before = {(i, c): weight(i, c) for i, _ in xs for c in range(3)}
+            for c in range(3):
+                p = math.exp(logits[c]) / total - (y[k] == c)
+                for i, x in xs:
+                    g = p * x
+                    z[i, c] += g - (math.sqrt(n[i, c] + g * g) - math.sqrt(n[i, c])) / language_id.ALPHA * before[i, c]
+                    n[i, c] += g * g
+    assert np.allclose([[weight(i, c) for c in range(3)] for i in range(50)], w[:50]) and np.allclose([weight(bias_at, c) for c in range(3)], bias)
+    assert not w[50:size].any() and (w[:50] == 0).any() and (w[:50] != 0).any()
+
+
+def test_temperature_calibrates():
+    r = np.random.default_rng(1)
+    logits = r.standard_normal((4000, 3)) * 2
+    y = np.array([r.choice(3, p=p) for p in language_id.softmax(logits)])
+    assert language_id.fit_temperature(logits * 5, y) == pytest.approx(5, rel=0.15)
+    assert language_id.fit_temperature(logits / 4, y) == pytest.approx(0.25, rel=0.15)
+
+
 def test_language(spark, empty):
     df = spark.createDataFrame(language_rows(), SCHEMA).withColumn("lang_id", F.lit(1))
     got = {r["doc_id"]: r for r in language_id.identify_language(df).collect()}
