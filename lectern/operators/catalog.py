@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from lectern.operators.ranks import numbered
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +73,11 @@ def page(df: DataFrame, order: list[Column | str], limit: int, offset: int = 0)
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def page_with_total(df: DataFrame, order: list[Column | str], limit: int, offset: int = 0) -> DataFrame:
+    """A page of rows, each with the total number of rows; none where the offset lies beyond the last."""
+    return page(df, order, limit, offset).join(F.broadcast(df.agg(F.count("*").alias("total"))))  # the total is one row
+
+
 def numeric_order(id_column: str) -> list[Column]:
     """Order of string ids by their number; others after all numbers, by text."""
     return [F.col(id_column).try_cast("long").asc_nulls_last(), F.col(id_column).asc()]
@@ -83,11 +89,10 @@ def first_per_group(df: DataFrame, per: list[str], order: list[Column | str], n:
     return df.withColumn("_row", F.row_number().over(w)).filter(F.col("_row") <= n).drop("_row")
 
 
-def every_nth(df: DataFrame, order: list[Column | str], per: list[str], samples: int = 50) -> DataFrame:
-    """Of each group every ceil(n / samples)-th row, the first included."""
-    g = Window.partitionBy(*per)
-    step = F.ceil(F.count("*").over(g) / samples)
-    return df.withColumn("_step", step).withColumn("_row", F.row_number().over(g.orderBy(*order))).filter("(_row - 1) % _step = 0").drop("_row", "_step")
+def every_nth(df: DataFrame, order: list[str], per: list[str], samples: int = 50) -> DataFrame:
+    """Of each group every ceil(n / samples)-th row, the first included; groups are numbered in parts."""
+    rows = numbered(df, per, order, "_number", "_rows")
+    return rows.filter((F.col("_number") - 1) % F.ceil(F.col("_rows") / samples) == 0).drop("_number", "_rows")
 
 
 def last_wins(left: DataFrame, right: DataFrame, on: list[str], ordinal: str, columns: list[str]) -> DataFrame:

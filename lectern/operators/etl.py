@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from lectern.functions.parsing import split_footnotes, strip_footnote_marks, strip_trailing_headings
 from lectern.functions.text import fold_letters, strip_diacritics, to_western_digits
 from lectern.operators.catalog import first_per_group
+from lectern.operators.ranks import numbered
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,29 +95,57 @@ def page_at(positions: DataFrame, breaks: DataFrame, per: list[str]) -> DataFram
 def budget_chunks(df: DataFrame, per: list[str], order: str, tokens: str, budget: int) -> DataFrame:
     """df with chunk, from 0: a chunk closes before the row that would take it over the budget.
 
-    What a row does depends on all before it, which no window expresses; each group is numbered in one pandas step.
+    What a row does depends on all before it, which no window expresses. Groups are sorted by Spark and pass through a
+    task in batches, which keeps the running chunk alone; ends of chunks are looked up in running sums.
     """
-
-    def number(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        chunk, total, out = 0, 0, []
-        for i, n in enumerate(rows[tokens].fillna(0)):
-            if i and total + n > budget:
-                chunk, total = chunk + 1, 0
-            total += n
-            out.append(chunk)
-        return rows.assign(chunk=out)
-
-    return df.groupBy(*per).applyInPandas(number, df.withColumn("chunk", F.lit(0).cast("long")).schema)
+    names = [c.name for c in df.schema]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, chunk, used = None, 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            sizes = pc.fill_null(batch.column(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            sums = np.append(0, np.cumsum(sizes))
+            new = np.zeros(n, bool)
+            for c in per:
+                x = batch.column(c)
+                same = pc.fill_null(pc.equal(x[1:], x[:-1]), False).to_numpy(zero_copy_only=False) | (x.is_null()[1:].to_numpy(zero_copy_only=False) & x.is_null()[:-1].to_numpy(zero_copy_only=False))
+                new[1:] |= ~same
+            first = tuple(batch.column(c)[0].as_py() for c in per) if n else key
+            if n and first != key:
+                new[0] = True
+            out, ends = np.empty(n, np.int64), [*np.flatnonzero(new[1:]) + 1, n]
+            i = 0
+            for end in ends:
+                if i < n and new[i]:
+                    chunk, used, opened = 0, 0, False
+                else:
+                    opened = True
+                while i < end:
+                    # Rows up to j fit into the open chunk; a chunk takes one row at least.
+                    j = int(np.searchsorted(sums[: end + 1], sums[i] + budget - used, side="right")) - 1
+                    if j <= i and opened:
+                        chunk, used, opened = chunk + 1, 0, False
+                        continue
+                    j = max(j, i + 1)
+                    out[i:j] = chunk
+                    used, opened, i = used + int(sums[j] - sums[i]), True, j
+            if n:
+                key = tuple(batch.column(c)[n - 1].as_py() for c in per)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*names, "chunk"])
+
+    grouped = df.repartition(*per).sortWithinPartitions(*per, order)
+    return grouped.mapInArrow(run, df.withColumn("chunk", F.lit(0).cast("long")).schema)
 
 
 def overlapping_chunks(df: DataFrame, per: list[str], order: str, size: int, overlap: int) -> DataFrame:
-    """df with a row for each chunk, from 1, that holds it: chunks of `size` rows start every size - overlap rows."""
-    step = size - overlap
-    row = F.row_number().over(Window.partitionBy(*per).orderBy(order)) - 1
-    numbered = df.withColumn("_row", row)
-    first = F.greatest(F.floor((F.col("_row") - size) / step) + 1, F.lit(0))
-    return numbered.withColumn("chunk", F.explode(F.sequence(first + 1, F.floor(F.col("_row") / step) + 1))).drop("_row")
+    """df with a row for each chunk, from 1, that holds it: chunks of `size` rows start every size - overlap rows.
+
+    Groups are numbered in parts.
+    """
+    step, row = size - overlap, F.col("_number") - 1
+    first = F.greatest(F.floor((row - size) / step) + 1, F.lit(0))
+    return numbered(df, per, [order], "_number").withColumn("chunk", F.explode(F.sequence(first + 1, F.floor(row / step) + 1))).drop("_number")
 
 
 def renumber(first: DataFrame, second: DataFrame, per: list[str], order: list[str], name: str = "position") -> DataFrame:
@@ -122,6 +154,11 @@ def renumber(first: DataFrame, second: DataFrame, per: list[str], order: list[st
     return both.withColumn(name, F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
 
 
+def relative_timing(segments: Column, start: Column) -> Column:
+    """Segments (word from 1, start, end) of an array as (word from 0, start, end), counted from their verse's start."""
+    return F.transform(segments, lambda s: F.struct((s["word"] - 1).alias("word"), (s["start"] - start).alias("start"), (s["end"] - start).alias("end")))
+
+
 def insert_new(new: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     """Rows of new whose key does not exist yet, the first of each key by its other columns."""
     others = [c for c in new.columns if c not in key]

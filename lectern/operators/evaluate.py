@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lectern.operators.ranks import with_part
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,8 +50,17 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def latency(df: DataFrame, per: str, value: str, share: float = 0.95) -> DataFrame:
-    """Mean of each group, and the element at floor(share * n) of its ordered values, from 0."""
-    w = Window.partitionBy(per).orderBy(value)
-    numbered = df.select(per, value, F.row_number().over(w).alias("_row"), F.count("*").over(Window.partitionBy(per)).alias("_n"))
-    at = F.floor(F.col("_n") * share) + 1
-    return numbered.groupBy(per).agg(F.avg(value).alias(f"avg_{value}"), F.max(F.when(F.col("_row") == at, F.col(value))).alias(f"p95_{value}"))
+    """Mean of each group, and the element at floor(share * n) of its ordered values, from 0.
+
+    Equal values are counted first, in each task; then values are added up in parts of a group.
+    """
+    counted = with_part(df.groupBy(per, value).agg(F.count("*").alias("_c")), [per], value)
+    sizes = counted.groupBy(per, "_part").agg(F.sum("_c").alias("_n"))
+    group = Window.partitionBy(per)
+    before = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(F.col(per).alias("_of"), F.col("_part").alias("_of_part"), before.alias("_before"), F.sum("_n").over(group).alias("_total"))
+    upto = F.sum("_c").over(Window.partitionBy(per, "_part").orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    found = counted.withColumn("_upto", upto).join(sizes, F.col(per).eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_of_part")))
+    reached = F.col("_before") + F.col("_upto") > F.floor(F.col("_total") * share)
+    mean = F.sum(F.col(value) * F.col("_c")) / F.sum(F.when(F.col(value).isNotNull(), F.col("_c")))
+    return found.groupBy(per).agg(mean.alias(f"avg_{value}"), F.min(F.when(reached, F.col(value))).alias(f"p95_{value}"))

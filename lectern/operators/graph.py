@@ -84,15 +84,32 @@ def mentions_of(entities: DataFrame, mentions: DataFrame) -> DataFrame:
     return entities.join(mentions.groupBy("id").agg(F.array_sort(F.collect_set(item)).alias("mentioned_in")), "id", "left")
 
 
+def _without_one(s: Column) -> Column:
+    """A string's variants with one character deleted."""
+    places = F.sequence(F.lit(1), F.length(s))
+    return F.when(F.length(s) > 0, F.transform(places, lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))).otherwise(F.array().cast("array<string>"))
+
+
 def near_duplicate_ids(ids: DataFrame, id_column: str = "id", edits: int = 2) -> DataFrame:
     """(a, b) of ids prefix:slug with one prefix whose slugs contain one another or are within `edits`.
 
-    Pairs meet by prefix, as the check is defined; a prefix of very many ids is split by AQE's skew join.
+    No prefix is paired with itself: slugs within n edits of one another share a variant with at most n characters
+    deleted, and a slug within another is one of its substrings. Both are lists of a slug's own, joined by prefix and
+    text, so that work grows with slugs and what they share, however many ids have a prefix.
     """
     parts = ids.select(F.col(id_column).alias("id"), F.split_part(id_column, F.lit(":"), F.lit(1)).alias("prefix"), F.split_part(id_column, F.lit(":"), F.lit(2)).alias("slug")).distinct()
-    a, b = parts.alias("a"), parts.alias("b")
-    near = F.col("a.slug").contains(F.col("b.slug")) | F.col("b.slug").contains(F.col("a.slug")) | (F.levenshtein("a.slug", "b.slug", edits) >= 0)
-    return a.join(b, (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.id") < F.col("b.id")) & near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    variants, last = F.array("slug"), F.array("slug")
+    for _ in range(edits):
+        last = F.array_distinct(F.flatten(F.transform(last, _without_one)))
+        variants = F.array_union(variants, last)
+    keyed = parts.select("id", "prefix", "slug", F.explode(variants).alias("key"))
+    side = lambda df, x: df.select("prefix", "key", F.col("id").alias(x), F.col("slug").alias(f"slug_{x}"))
+    close = side(keyed, "a").join(side(keyed, "b"), ["prefix", "key"]).filter("a < b").filter(F.levenshtein("slug_a", "slug_b", edits) >= 0).select("a", "b")
+    size = F.length("slug")
+    inside = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda k: F.substring("slug", i, k))))
+    held = parts.select("id", "prefix", F.explode(F.array_union(F.array(F.lit("")), F.when(size > 0, inside).otherwise(F.array(F.lit(""))))).alias("key"))
+    within = held.withColumnRenamed("id", "x").join(parts.select("prefix", F.col("slug").alias("key"), F.col("id").alias("y")), ["prefix", "key"]).filter("x <> y")
+    return close.unionByName(within.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
 
 
 def missing_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -109,6 +126,18 @@ def merge_entities(entities: DataFrame) -> DataFrame:
     return entities.groupBy("id").agg(*(F.min_by(c, "ordinal").alias(c) for c in others), sources.alias("sources"))
 
 
+def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, n_out, n_in) of each node; loops count on both sides."""
+    ends = edges.select(F.col("src").alias("id"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(edges.select(F.col("dst").alias("id"), F.lit(0).alias("o"), F.lit(1).alias("i")))
+    counted = ends.groupBy("id").agg(F.sum("o").alias("n_out"), F.sum("i").alias("n_in"))
+    return nodes.select("id").distinct().join(counted, "id", "left").select("id", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_out", "n_in")))
+
+
+def in_many_files(mentions: DataFrame, least: int = 3) -> DataFrame:
+    """(id, n_files) of entities of mentions (id, file) that stand in `least` files or more."""
+    return mentions.groupBy("id").agg(F.countDistinct("file").alias("n_files")).filter(F.col("n_files") >= least)
+
+
 def category_paths(categories: DataFrame, depth: int = 16) -> DataFrame:
     """(id, depth, path) of categories (id, parent_id, name): from the root down; orphans are roots."""
     known = categories.select(F.col("id").alias("parent_id"))

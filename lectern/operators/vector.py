@@ -36,13 +36,24 @@ def nearest(vectors: DataFrame, query: list[float], k: int, vec_id: str = "vec_i
     return top_k(best.withColumn("_all", F.lit(0)), k, per="_all", key=vec_id).drop("_all")
 
 
+#: Queries that are broadcast together: at 1,000 dimensions some 80 MB.
+MAX_BATCH = 10_000
+
+
 def nearest_batch(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "embedding", least: float | None = None) -> DataFrame:
-    """(qid, vec_id, score, rank) for queries (qid, qvec, floor): k best rows of each query.
+    """(qid, vec_id, score, rank) for queries (qid, qvec): k best rows of each query.
 
-    Each vector meets each query, as exact search must; the queries are the small side, and rows are cut to k for each
-    query in each task before the shuffle.
+    Each vector meets each query, as exact search must. Queries are counted: up to MAX_BATCH they are broadcast; more
+    are dealt into batches of that size, and a copy of each vector joins each batch. Rows are cut to k for each query in
+    each task before the shuffle.
     """
-    pairs = vectors.select(vec_id, vector).crossJoin(queries.select("qid", "qvec"))
+    batches = -(-queries.count() // MAX_BATCH)
+    if batches <= 1:
+        pairs = vectors.select(vec_id, vector).join(F.broadcast(queries.select("qid", "qvec")))
+    else:
+        dealt = queries.select("qid", "qvec", F.pmod(F.xxhash64("qid"), F.lit(batches)).alias("_batch"))
+        copies = vectors.select(vec_id, vector, F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).cast("long").alias("_batch"))
+        pairs = copies.join(dealt, "_batch")
     scored = pairs.select("qid", vec_id, cosine(F.col(vector), F.col("qvec")).alias("score"))
     if least is not None:
         scored = scored.filter(F.col("score") >= least)
