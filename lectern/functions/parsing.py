@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from lectern.functions import morphology as M
@@ -72,12 +73,12 @@ def url(template: str, **parts: Column) -> Column:
 # How dictionaries set off a headword at the start of a line. Group 1 is the headword.
 ENTRY_STYLES = {
     "standard": rf"^({_WORD}{{2,}}):\s",
-    "spaced": r"^((?:[؀-ۿ]\s){2,}[؀-ۿ]):\s",
+    "spaced": rf"^((?:{_WORD}\s){{2,}}{_WORD}):\s",
     "parens": rf"^\(((?:{_WORD}|\s)+)\):\s",
     "short_root": rf"^\s*({_WORD}{{2,6}})\s*$",
     "brackets": rf"^\[((?:{_WORD}|\s)+)\]",
     "leading_parens": rf"^\(({_WORD}+)\)",
-    "spaced_line": r"^\s*((?:[؀-ۿ]\s){2,}[؀-ۿ])\s*$",
+    "spaced_line": rf"^\s*((?:{_WORD}\s){{2,}}{_WORD})\s*$",
     "title_span": r"(?s)<span[^>]*data-type=\"title\"[^>]*>(.*?)</span>",
     "phrase": rf"^({_WORD}(?:{_WORD}|\s){{2,}}):\s",
 }
@@ -92,9 +93,9 @@ def headword(line: Column | str, style: str) -> Column:
         return F.when(F.length(strip_diacritics(found)).between(2, 3), found)
     if style == "title_span":
         plain = trim(F.regexp_replace(found, r"<[^>]+>", ""))
-        return F.when(plain.rlike("[؀-ۿ]"), plain)
+        return F.when(plain.rlike(_WORD), plain)
     if style == "phrase":
-        return F.when((F.regexp_count(found, F.lit("[؀-ۿ]")) >= 2) & (F.length(found) <= 60), found)
+        return F.when((F.regexp_count(found, F.lit(_WORD)) >= 2) & (F.length(found) <= 60), found)
     return found
 
 
@@ -262,15 +263,21 @@ def expand_ligatures(c: Column | str) -> Column:
 def split_at(text: Column | str, start: Column | str) -> Column:
     """Position, from 0, at which a text begins with `start`, diacritics, ligatures and white space aside; or -1.
 
-    The normalised position is mapped back by the shortest head of the text that normalises to as many characters.
+    The normalised position is mapped back by the shortest head of the text that normalises to more characters. Heads
+    normalise to ever more, so it is found by halving, in as many steps as the length has binary digits.
     """
     t, s = col(text), col(start)
     exact = F.instr(t, s) - 1
     norm = lambda x: squeeze(strip_diacritics(expand_ligatures(x)))
     at = F.instr(norm(t), norm(s)) - 1
-    # Lengths of the normalised heads rise with the head, so the first that reaches the position is wanted.
-    heads = F.sequence(F.lit(1), F.length(t))
-    first = F.get(F.filter(heads, lambda k: F.length(F.rtrim(strip_diacritics(expand_ligatures(F.substring(t, F.lit(1), k))))) > at), F.lit(0))
+
+    def halve(r: Column, _: Column) -> Column:
+        middle = F.floor((r["low"] + r["high"]) / 2).cast("int")
+        beyond = F.length(norm(F.substring(t, F.lit(1), middle))) > at
+        return F.when(r["low"] >= r["high"], r).when(beyond, F.struct(r["low"].alias("low"), middle.alias("high"))).otherwise(F.struct((middle + 1).alias("low"), r["high"].alias("high")))
+
+    whole = F.struct(F.lit(1).alias("low"), F.length(t).alias("high"))
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(31)), whole, halve)["low"]
     return F.when(exact > 0, exact).when(at > 0, first - 1).otherwise(-1)
 
 
@@ -323,6 +330,18 @@ def remove_stop_words(c: Column | str, stop_words: list[str], least: float = 0.2
     return F.when(F.size(kept) < F.size(words) * least, col(c)).otherwise(F.array_join(kept, " "))
 
 
+#: Ways to prepare a text for retrieval, by name: Column in, Column out. What takes a model is the caller's.
+TECHNIQUES: dict[str, Callable[[Column], Column]] = {
+    "baseline": normalize_search,
+    "no_diacritics": strip_diacritics,
+    "lexical": normalize_lexical,
+    "roots": lambda c: F.array_join(F.transform(F.split(normalize_lexical(c), r"\s+"), lambda w: F.coalesce(M.extract_root(w), w)), " "),
+    "light_stem": lambda c: F.array_join(F.transform(F.split(normalize_lexical(c), r"\s+"), M.light_stem), " "),
+    "light10_stem": lambda c: M.light10_text(normalize_search(c)),
+    "first_sentences": lambda c: truncate_at_sentence(normalize_search(c)),
+}
+
+
 def best_paragraph(snippet: Column | str, paragraphs: Column) -> Column:
     """Index of the paragraph that contains a snippet, or lies in it; else of the one that shares most of its words.
 

@@ -13,7 +13,10 @@ ALEF, HAMZA, ALEF_MAKSURA, YEH, TEH_MARBUTA, HEH = "ا", "ء", "ى", "ي", "ة",
 ARABIC_SCRIPT = r"[\u0600-\u06FF\u0750-\u077F]"
 ARABIC_ANY = r"[\u0600-\u06FF\u0750-\u077F\u08A0-\u08FF\uFB50-\uFDFF\uFE70-\uFEFF]"
 ARABIC_DIGITS, WESTERN_DIGITS = "٠١٢٣٤٥٦٧٨٩", "0123456789"
-WHITESPACE = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
+_SPACES = r"\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
+WHITESPACE = rf"[\s{_SPACES}]+"
+#: White space that is not a single space: what squeezing has to change.
+_UNEVEN = rf"[\s{_SPACES}]{{2,}}|[\t-\r\x1C-\x1F{_SPACES}]"
 
 
 def col(c: Column | str) -> Column:
@@ -27,7 +30,7 @@ def trim(c: Column | str) -> Column:
 
 def squeeze(c: Column | str) -> Column:
     """Runs of white space become one space; none at either end."""
-    return F.trim(F.regexp_replace(col(c), WHITESPACE, " "))
+    return F.trim(F.regexp_replace(col(c), _UNEVEN, " "))
 
 
 def fold_letters(c: Column | str, drop_hamza: bool = False) -> Column:
@@ -40,9 +43,16 @@ def strip_diacritics(c: Column | str) -> Column:
     return F.regexp_replace(col(c), DIACRITICS, "")
 
 
+def fold_for_search(c: Column | str) -> Column:
+    """No diacritics, folded letters, no hamza: one pass over texts with any Arabic letter, none over others."""
+    marks = "".join(map(chr, [*range(0x64B, 0x660), 0x670]))
+    source = ALEF_FORMS + ALEF_MAKSURA + TEH_MARBUTA + HAMZA + marks
+    return F.when(col(c).rlike(ARABIC_SCRIPT), F.translate(col(c), source, ALEF * len(ALEF_FORMS) + YEH + HEH)).otherwise(col(c))
+
+
 def normalize_search(c: Column | str) -> Column:
     """What search and embeddings compare: no diacritics, folded letters, no hamza, single spaces."""
-    return squeeze(fold_letters(strip_diacritics(c), drop_hamza=True))
+    return squeeze(fold_for_search(c))
 
 
 def normalize_lexical(c: Column | str) -> Column:
@@ -113,6 +123,12 @@ def inline_text(html: Column | str) -> Column:
     return squeeze(resolve_entities(F.regexp_replace(col(html), r"<[^>]+>", "")))
 
 
+def text_with_breaks(html: Column | str) -> Column:
+    """Text of markup whose breaks, paragraphs and divisions end lines; at most one empty line in a row is kept."""
+    t = F.regexp_replace(F.regexp_replace(col(html), r"(?i)<br\s*/?>|</p>|</div>", "\n"), r"<[^>]+>", "")
+    return trim(F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"[ \t]+", " "))
+
+
 def paragraph_texts(html: Column | str) -> Column:
     """Texts of <p> elements, over one character long, in order."""
     found = F.regexp_extract_all(col(html), F.lit(r"(?is)<p[^>]*>(.*?)</p>"), 1)

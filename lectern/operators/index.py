@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from lectern.functions.text import col, fold_letters, strip_diacritics
-from pyspark.sql import Column, DataFrame
+from lectern.functions.text import fold_for_search
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Words that the search index leaves out. The filter runs after letters are folded, so entries that hold
@@ -22,38 +22,90 @@ TOKEN = r"[A-Za-z0-9_\p{L}\p{M}\p{N}]+"
 
 def analyze(text: Column | str, stop_words: list[str] | None = None) -> Column:
     """Array of index terms in order: diacritics stripped, letters folded, split, lower-cased, stop words left out."""
-    plain = fold_letters(strip_diacritics(col(text)), drop_hamza=True)
-    terms = F.regexp_extract_all(F.lower(F.coalesce(plain, F.lit(""))), F.lit(TOKEN), F.lit(0))
+    terms = F.regexp_extract_all(F.lower(F.coalesce(fold_for_search(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
     if stop_words is None:
         return terms
     return F.filter(terms, lambda t: ~t.isin(stop_words))
 
 
+#: Terms up to which a lookup in a stored index names them, so that row groups without any are left out.
+MAX_NAMED_TERMS = 2000
+
+
 @dataclass(frozen=True)
 class Index:
-    """Analysed documents: doc_id, terms (array in order), dl (their number), and columns to filter by."""
+    """Analysed documents: doc_id, terms (array in order), dl (their number), and columns to filter by.
+
+    A stored index has documents without terms, and the tables that write() made: postings (term, doc_id, dl, tf,
+    positions) sorted by term, terms (term, df, size), and one row of stats (n_docs, avgdl).
+    """
 
     docs: DataFrame
+    stored: dict[str, DataFrame] | None = None
 
     @classmethod
     def build(cls, df: DataFrame, doc_id: str, text: str, keep: list[str] | None = None, stop_words: list[str] | None = None) -> Index:
         terms = df.select(F.col(doc_id).alias("doc_id"), *(keep or []), analyze(text, stop_words).alias("terms"))
         return cls(terms.withColumn("dl", F.size("terms")))
 
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Index:
+        """An index that write() made."""
+        return cls(spark.read.parquet(f"{path}/documents"), {t: spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "stats")})
+
+    def write(self, path: str, buckets: int | None = None) -> None:
+        """Postings with positions, in ranges of terms and sorted by term, so that a term's rows are found by the
+        statistics of row groups; terms; documents; and the corpus's statistics."""
+        places = self.places()
+        places = places.repartitionByRange(buckets, "term", "doc_id") if buckets else places.repartitionByRange("term", "doc_id")
+        places.sortWithinPartitions("term", "doc_id").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/postings")
+        postings = self.docs.sparkSession.read.parquet(f"{path}/postings")
+        terms = postings.groupBy("term").agg(F.count("*").alias("df")).withColumn("size", F.length("term"))
+        terms.repartitionByRange("size", "term").sortWithinPartitions("size", "term").write.parquet(f"{path}/terms")
+        self.docs.drop("terms").write.parquet(f"{path}/documents")
+        self.docs.sparkSession.read.parquet(f"{path}/documents").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl")).write.parquet(f"{path}/stats")
+
     def where(self, condition: Column | str) -> Index:
         """Hits are limited to these documents, but so are the statistics: filter results where those should stay."""
+        if self.stored:
+            raise ValueError("a stored index is not limited: filter its results")
         return Index(self.docs.filter(condition))
 
     def tokens(self) -> DataFrame:
         return self.docs.select("doc_id", F.posexplode("terms").alias("pos", "term"))
 
-    def postings(self) -> DataFrame:
-        """(term, doc_id, tf, dl): one shuffle, by document and term, combined in each task."""
-        return self.docs.select("doc_id", "dl", F.explode("terms").alias("term")).groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
-
-    def term_stats(self) -> DataFrame:
-        return self.docs.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    def places(self, terms: DataFrame | None = None) -> DataFrame:
+        """(term, doc_id, dl, tf, positions), of some terms (term) or all: one shuffle, by document and term."""
+        if self.stored:
+            return self._named("postings", terms)
+        each = self.docs.select("doc_id", "dl", F.posexplode("terms").alias("pos", "term"))
+        each = each if terms is None else each.join(terms, "term", "left_semi")
+        return each.groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
+
+    def postings(self, terms: DataFrame | None = None) -> DataFrame:
+        """(term, doc_id, tf, dl), of some terms (term) or all: combined in each task before the shuffle."""
+        if self.stored:
+            return self._named("postings", terms).select("term", "doc_id", "dl", "tf")
+        each = self.docs.select("doc_id", "dl", F.explode("terms").alias("term"))
+        each = each if terms is None else each.join(terms, "term", "left_semi")
+        return each.groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
+
+    def term_stats(self, terms: DataFrame | None = None) -> DataFrame:
+        """(term, df), of some terms or all."""
+        if self.stored:
+            return self._named("terms", terms).select("term", "df")
+        each = self.docs.select(F.explode(F.array_distinct("terms")).alias("term"))
+        each = each if terms is None else each.join(terms, "term", "left_semi")
+        return each.groupBy("term").agg(F.count("*").alias("df"))
 
     def corpus_stats(self) -> DataFrame:
         """One row: documents, and their mean length."""
-        return self.docs.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
+        return self.stored["stats"] if self.stored else self.docs.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
+
+    def _named(self, table: str, terms: DataFrame | None) -> DataFrame:
+        """Rows of a stored table, of some terms: named in the scan's filter while they are few."""
+        rows = self.stored[table]
+        if terms is None:
+            return rows
+        named = [r["term"] for r in terms.limit(MAX_NAMED_TERMS + 1).collect()]
+        return rows.join(terms, "term", "left_semi") if len(named) > MAX_NAMED_TERMS else rows.filter(F.col("term").isin(named))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from lectern.functions.text import col
 from lectern.operators.index import Index
 from pyspark.sql import Column, DataFrame, Window
@@ -25,41 +23,17 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("qid", F.explode("terms").alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
 
 
-#: Rows (query, term) up to which a batch is taken to the driver, to be looked up as literals and broadcast.
-MAX_LITERAL_TERMS = 2000
-
-
 def _scored(index: Index, wanted: DataFrame) -> DataFrame:
     """(qid, doc_id, score) by BM25 of wanted (qid, term, weight), a term's weight multiplying its score.
 
-    A small batch is checked by its size and read first. A document's terms are one row, so its occurrences of few
-    terms are counted within the row; statistics come back as a row for each term; the weights are broadcast, and what
-    is shuffled are partial scores. A large batch is joined to the exploded tokens instead.
+    Postings of the wanted terms alone are read or made; their statistics come by joins. Partial scores are added up in
+    each task before they are shuffled. Spark broadcasts the weights where it finds them small.
     """
-    rows = wanted.limit(MAX_LITERAL_TERMS + 1).collect()
-    if len(rows) > MAX_LITERAL_TERMS:
-        return _scored_by_joins(index, wanted)
-    listed = sorted({r["term"] for r in rows})
-    held = index.docs.select("doc_id", "dl", F.filter("terms", lambda t: t.isin(listed)).alias("found"))
-    each = held.select("dl", F.explode(F.concat(F.array_distinct("found"), F.array(F.lit(None).cast("string")))).alias("term"))
-    counts = {r["term"]: r for r in each.groupBy("term").agg(F.count("*").alias("n"), F.sum("dl").alias("dl")).collect()}
-    n_docs = counts[None]["n"] if counts else 0
-    avgdl = (counts[None]["dl"] or 0) / n_docs if n_docs else 0.0
-    weigh = lambda r: float(r["weight"]) * math.log(1 + (n_docs - counts[r["term"]]["n"] + 0.5) / (counts[r["term"]]["n"] + 0.5))
-    kinds = dict(wanted.dtypes)
-    weights = wanted.sparkSession.createDataFrame([(r["qid"], r["term"], weigh(r)) for r in rows if r["term"] in counts], f"qid {kinds['qid']}, term string, weight double")
-    counted = F.transform(F.array_distinct("found"), lambda t: F.struct(t.alias("term"), F.size(F.filter("found", lambda x: x == t)).alias("tf")))
-    tf = held.select("doc_id", "dl", F.explode(counted).alias("t")).select("doc_id", "t.term", bm25_weight(F.col("t.tf"), F.col("dl"), F.lit(avgdl)).alias("part"))
-    return tf.join(F.broadcast(weights), "term").groupBy("qid", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
-
-
-def _scored_by_joins(index: Index, wanted: DataFrame) -> DataFrame:
-    tokens = index.docs.select("doc_id", "dl", F.explode("terms").alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
-    tf = tokens.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    weighted = wanted.join(df, "term").join(F.broadcast(index.corpus_stats()))  # statistics are one row
-    part = F.col("weight") * idf(F.col("n_docs"), F.col("df")) * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl"))
-    return tf.join(weighted, "term").withColumn("part", part).groupBy("qid", "doc_id").agg(F.sum("part").alias("score"))
+    terms = wanted.select("term").distinct()
+    weighted = wanted.join(index.term_stats(terms), "term").join(F.broadcast(index.corpus_stats()))  # statistics are one row
+    weighted = weighted.select("qid", "term", "avgdl", (F.col("weight") * idf(F.col("n_docs"), F.col("df"))).alias("weight"))
+    part = F.col("weight") * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl"))
+    return index.postings(terms).join(weighted, "term").withColumn("part", part).groupBy("qid", "doc_id").agg(F.sum("part").alias("score"))
 
 
 def bm25_scores(index: Index, queries: DataFrame) -> DataFrame:
@@ -76,25 +50,32 @@ def top_k(scores: DataFrame, k: int, by: str = "score", per: str = "qid", key: s
     return scores.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
-def phrase_count(terms: Column, words: list[str]) -> Column:
-    """How often words stand in a row in an array of terms: matches that may overlap in the joined terms.
+def phrase_scores(index: Index, queries: DataFrame) -> DataFrame:
+    """(qid, doc_id, score) of documents that hold every phrase of a query (qid, phrases), its words next to one another
+    and in order. The score is BM25 with each phrase as one term; a phrase that stands twice in a query counts once.
 
-    Terms hold letters, marks, digits and underscores only, so spaces part them and nothing needs escaping.
+    phrases are of analysed words, as parse_query gives them. Each word of a phrase brings the places at which the
+    phrase would start; a document holds it where all words agree. Queries without a phrase have no row.
     """
-    return F.regexp_count(F.concat(F.lit(" "), F.array_join(terms, "  "), F.lit(" ")), F.lit(f"(?= {'  '.join(words)} )"))
+    each = queries.select("qid", F.explode(F.array_distinct("phrases")).alias("phrase"))
+    listed = each.select("phrase").distinct().withColumn("words", F.split("phrase", " "))
+    words = listed.select("phrase", F.size("words").alias("n"), F.posexplode("words").alias("i", "term"))
+    places = index.places(words.select("term").distinct()).join(words, "term")
+    starts = places.select("phrase", "n", "doc_id", "dl", F.transform("positions", lambda p: p - F.col("i")).alias("starts"))
+    found = starts.groupBy("phrase", "n", "doc_id", "dl").agg(F.collect_list("starts").alias("s")).filter(F.size("s") == F.col("n"))
+    agreed = F.aggregate(F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(1))), F.get("s", F.lit(0)), lambda a, x: F.array_intersect(a, x))
+    found = found.select("phrase", "doc_id", "dl", F.size(agreed).alias("tf")).filter("tf > 0")
+    stats = found.groupBy("phrase").agg(F.count("*").alias("df")).join(F.broadcast(index.corpus_stats()))  # statistics are one row
+    scored = found.join(stats, "phrase").withColumn("part", idf(F.col("n_docs"), F.col("df")) * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl")))
+    sizes = each.groupBy("qid").agg(F.count("*").alias("phrases"))
+    out = scored.join(each, "phrase").groupBy("qid", "doc_id").agg(F.sum("part").alias("score"), F.count("*").alias("held"))
+    return out.join(sizes, "qid").filter("held = phrases").select("qid", "doc_id", "score")
 
 
 def phrase_search(index: Index, phrases: list[str]) -> DataFrame:
-    """(doc_id, score) of documents that hold every phrase, its words next to one another and in order.
-
-    The score is BM25 with each phrase as one term. phrases are of analysed words, as parse_query gives them.
-    """
-    counts = [phrase_count(F.col("terms"), p.split()).alias(f"n{i}") for i, p in enumerate(phrases)]
-    found = index.docs.select("doc_id", "dl", *counts)
-    stats = found.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"n{i}") > 0).alias(f"df{i}") for i in range(len(phrases))))
-    hits = found.filter(" and ".join(f"n{i} > 0" for i in range(len(phrases)))).join(F.broadcast(stats))
-    parts = [idf(F.col("n_docs"), F.col(f"df{i}")) * bm25_weight(F.col(f"n{i}"), F.col("dl"), F.col("avgdl")) for i in range(len(phrases))]
-    return hits.select("doc_id", sum(parts[1:], parts[0]).alias("score"))
+    """(doc_id, score) of documents that hold every phrase, as phrase_scores of one query."""
+    one = index.docs.sparkSession.createDataFrame([(0, phrases)], "qid int, phrases array<string>")
+    return phrase_scores(index, one).select("doc_id", "score")
 
 
 def edits_allowed(term: Column) -> Column:
@@ -109,7 +90,7 @@ def fuzzy_terms(index: Index, queries: DataFrame) -> DataFrame:
     """
     wanted = query_terms(queries).select("qid", F.col("term").alias("query_term")).withColumn("most", edits_allowed(F.col("query_term")))
     near = wanted.withColumn("size", F.explode(F.sequence(F.greatest(F.length("query_term") - F.col("most"), F.lit(1)), F.length("query_term") + F.col("most"))))
-    vocabulary = index.term_stats().select("term", F.length("term").alias("size"))
+    vocabulary = index.stored["terms"].select("term", "size") if index.stored else index.term_stats().select("term", F.length("term").alias("size"))
     edits = F.levenshtein("term", "query_term")
     return vocabulary.join(near, "size").withColumn("edits", edits).filter("edits <= most").select("qid", "term", "query_term", "edits")
 

@@ -1,9 +1,14 @@
-"""Search queries, parsed on the driver: a query is a literal, not data."""
+"""Search queries: parsed on the driver where a query is a literal, as columns where queries are a table."""
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
+
+from lectern.functions import text
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # Quotation marks, script ranges and thresholds of the query rules.
 _QUOTES = "\"\u00AB\u00BB\u201E\u201C\u201D"
@@ -15,14 +20,14 @@ MIN_CHARS_FOR_SEMANTIC = 4
 SIMILARITY_FLOORS = [(3, 0.55), (6, 0.40), (12, 0.30)]
 
 
-def normalize(text: str) -> str:
+def normalize(query: str) -> str:
     """The driver's counterpart of functions.text.normalize_search."""
-    folded = _DIACRITICS.sub("", text).translate(str.maketrans("آأإٱىة", "اااايه", "ء"))
+    folded = _DIACRITICS.sub("", query).translate(str.maketrans("آأإٱىة", "اااايه", "ء"))
     return " ".join(folded.split())
 
 
-def _terms(text: str) -> list[str]:
-    return [t for w in normalize(text).split() if (t := _NOT_WORD.sub("", w))]
+def _terms(query: str) -> list[str]:
+    return [t for w in normalize(query).split() if (t := _NOT_WORD.sub("", w))]
 
 
 @dataclass(frozen=True)
@@ -76,9 +81,9 @@ def similarity_floor(query: str, base: float) -> float:
     return next((max(base, floor) for most, floor in SIMILARITY_FLOORS if chars <= most), base)
 
 
-def parse_range_list(text: str | None, least: int = 1, most: int | None = None) -> list[int]:
+def parse_range_list(listed: str | None, least: int = 1, most: int | None = None) -> list[int]:
     """Whole numbers of a comma-separated list that lie in a range; others are left out."""
-    found = [int(p) for p in (text or "").split(",") if re.fullmatch(r"\s*\d+\s*", p)]
+    found = [int(p) for p in (listed or "").split(",") if re.fullmatch(r"\s*\d+\s*", p)]
     return [n for n in found if n >= least and (most is None or n <= most)]
 
 
@@ -87,6 +92,35 @@ def edition_or_language(value: str) -> dict[str, str]:
     return {"edition": value} if "-" in value else {"language": value}
 
 
+# --- the same rules for queries that are rows of a table ----------------------------------------------------------
+
+
+def query_parts(c: Column | str) -> Column:
+    """Struct (phrases, terms) of a query, as parse_query gives them; terms in the order of the query."""
+    marked = F.regexp_replace(text.col(c), f"[{_QUOTES}]([^\n\r\u2028\u2029]*?)[{_QUOTES}]", "\u0001\u0002$1\u0001")
+    words = lambda t: F.filter(F.transform(F.split(text.normalize_search(t), " "), lambda w: F.regexp_replace(w, _NOT_WORD.pattern, "")), lambda w: w != "")
+    parts = F.transform(F.split(marked, "\u0001"), lambda p: F.struct(p.startswith("\u0002").alias("quoted"), words(F.replace(p, F.lit("\u0002"))).alias("words")))
+    phrase = lambda p: p["quoted"] & (F.size(p["words"]) > 1)
+    phrases = F.transform(F.filter(parts, phrase), lambda p: F.array_join(p["words"], " "))
+    return F.struct(phrases.alias("phrases"), F.flatten(F.transform(F.filter(parts, lambda p: ~phrase(p)), lambda p: p["words"])).alias("terms"))
+
+
+def query_rules(c: Column | str, base: float) -> Column:
+    """Struct of a query's rules: is_arabic, strategy, has_quotes, skips_semantic, similarity_floor."""
+    q, plain = text.col(c), text.normalize_search(c)
+    arabic, quoted = q.rlike(_ARABIC.pattern), q.rlike(f"[{_QUOTES}][^\n\r\u2028\u2029]*?[{_QUOTES}]")
+    chars = F.length(F.replace(plain, F.lit(" ")))
+    counted = F.when(~plain.contains(" ") & (plain != ""), F.least(chars, F.lit(6))).otherwise(chars)
+    floor = reduce(lambda acc, x: acc.when(counted <= x[0], F.lit(max(base, x[1]))), SIMILARITY_FLOORS, F.when(F.lit(False), 0.0)).otherwise(base)
+    return F.struct(
+        arabic.alias("is_arabic"),
+        F.when(arabic, "hybrid").otherwise("semantic_only").alias("strategy"),
+        quoted.alias("has_quotes"),
+        (quoted | (chars < MIN_CHARS_FOR_SEMANTIC)).alias("skips_semantic"),
+        floor.alias("similarity_floor"),
+    )
+
+
 @dataclass(frozen=True)
 class SearchParams:
     """Validated parameters of a search."""

@@ -47,22 +47,23 @@ class Corpus:
     least: float = 0.0
 
 
-def keyword_side(corpus: Corpus, queries: DataFrame, phrases: list[str], k: int, fuzzy: bool) -> DataFrame:
-    """(qid, doc_id, bm25_score, keyword_rank): BM25 of terms, among documents that hold every phrase, if any is given.
+def keyword_side(corpus: Corpus, queries: DataFrame, k: int, fuzzy: bool) -> DataFrame:
+    """(qid, doc_id, bm25_score, keyword_rank) of queries (qid, terms, phrases): BM25 of terms, among documents that hold
+    every phrase of the query, if it has any.
 
     Fuzzy terms are tried for queries without a hit. Ranks follow exclusions.
     """
     scores = keyword.with_fuzzy_fallback(corpus.index, queries) if fuzzy else keyword.bm25_scores(corpus.index, queries)
-    if phrases:
-        held = keyword.phrase_search(corpus.index, phrases).withColumnRenamed("score", "_phrase")
-        every = queries.select("qid").distinct().join(F.broadcast(held))
-        scores = every.join(scores.select("qid", "doc_id", "score"), ["qid", "doc_id"], "left")
-        scores = scores.select("qid", "doc_id", (F.col("_phrase") + F.coalesce("score", F.lit(0.0))).alias("score"))
+    held = keyword.phrase_scores(corpus.index, queries).withColumnRenamed("score", "_phrase")
+    phrased = queries.filter(F.size("phrases") > 0).select("qid")
+    both = held.join(scores.select("qid", "doc_id", "score"), ["qid", "doc_id"], "left")
+    both = both.select("qid", "doc_id", (F.col("_phrase") + F.coalesce("score", F.lit(0.0))).alias("score"))
+    scores = scores.select("qid", "doc_id", "score").join(phrased, "qid", "left_anti").unionByName(both)
     if corpus.condition:
         scores = scores.join(corpus.index.docs.filter(corpus.condition).select("doc_id"), "doc_id", "left_semi")
     if corpus.excluded:
         scores = scores.filter(~F.col("doc_id").isin(corpus.excluded))
-    best = keyword.top_k(scores.select("qid", "doc_id", "score"), k)
+    best = keyword.top_k(scores, k)
     return best.select("qid", "doc_id", F.col("score").alias("bm25_score"), F.col("rank").alias("keyword_rank"))
 
 
@@ -84,9 +85,9 @@ class Searcher:
     def _sides(self, corpus: Corpus, texts: list[str], params: SearchParams, cutoff: float) -> tuple[DataFrame, DataFrame]:
         spark = corpus.index.docs.sparkSession
         parsed = [parse_query(t) for t in texts]
-        rows = [(i, p.terms) for i, p in enumerate(parsed)]
-        queries = spark.createDataFrame(rows, "qid int, terms array<string>")
-        words = keyword_side(corpus, queries, parsed[0].phrases, FETCH, params.fuzzy)
+        rows = [(i, p.terms, p.phrases) for i, p in enumerate(parsed)]
+        queries = spark.createDataFrame(rows, "qid int, terms array<string>, phrases array<string>")
+        words = keyword_side(corpus, queries, FETCH, params.fuzzy)
         if params.mode == "semantic" or not keyword_enabled(texts[0], params.keyword_gate):
             words = words.limit(0)
         if self.embed is None or corpus.vectors is None or params.mode == "keyword" or skips_semantic(texts[0]):

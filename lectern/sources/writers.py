@@ -1,9 +1,8 @@
-"""Sinks: append of new rows, upsert, partitions replaced, index tables."""
+"""Sinks: append of new rows, upsert, partitions replaced. An index writes itself: operators.index."""
 
 from __future__ import annotations
 
 from lectern.operators.etl import insert_new, upsert
-from lectern.operators.index import Index
 from pyspark.sql import DataFrame
 
 
@@ -20,11 +19,3 @@ def upserted(existing_path: str, new: DataFrame, key: list[str], out_path: str)
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Overwrite only the partitions that df holds."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
-
-def write_index(index: Index, path: str, buckets: int | None = None) -> None:
-    """Postings sorted by term, so that a term's rows are found by row-group statistics, and document lengths."""
-    postings = index.postings()
-    postings = postings.repartitionByRange(buckets, "term") if buckets else postings.repartitionByRange("term")
-    postings.sortWithinPartitions("term").write.parquet(f"{path}/postings")
-    index.docs.select("doc_id", "dl").write.parquet(f"{path}/documents")
