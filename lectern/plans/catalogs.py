@@ -278,14 +278,18 @@ def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH c AS (SELECT substr(c_name, 1, length(c_name) - 2) AS prefix, substr(c_name, length(c_name) - 1) AS slug FROM customer)
+    """WITH n AS (SELECT DISTINCT p_name AS x FROM part UNION SELECT p_type FROM part UNION SELECT replace(p_brand, '#', ' ') FROM part),
+c AS (SELECT string_split(x, ' ')[1] AS prefix, substr(x, length(string_split(x, ' ')[1]) + 2) AS slug FROM n)
 SELECT a.prefix || ':' || a.slug AS a, b.prefix || ':' || b.slug AS b FROM c a JOIN c b ON a.prefix = b.prefix AND a.slug < b.slug
-WHERE contains(a.slug, b.slug) OR contains(b.slug, a.slug) OR levenshtein(a.slug, b.slug) <= 1"""
+WHERE contains(a.slug, b.slug) OR contains(b.slug, a.slug) OR levenshtein(a.slug, b.slug) <= 2"""
 )
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, size = F.col("c_name"), F.length("c_name")
-    ids = table(spark, sf_dir, "customer").select(F.concat(F.substring(name, F.lit(1), size - 2), F.lit(":"), F.substring(name, size - 1, F.lit(2))).alias("id"))
-    return graph.near_duplicate_ids(ids, edits=1)
+    """Names, types and brands of parts: the first word is the prefix."""
+    part = table(spark, sf_dir, "part")
+    names = part.select(F.explode(F.array("p_name", "p_type", F.replace("p_brand", F.lit("#"), F.lit(" ")))).alias("x"))
+    first = F.substring_index("x", " ", 1)
+    ids = names.distinct().select(F.concat(first, F.lit(":"), F.substring(F.col("x"), F.length(first) + 2, F.length("x"))).alias("id"))
+    return graph.near_duplicate_ids(ids)
 
 
 @query(

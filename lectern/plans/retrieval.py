@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lectern.operators import fusion, keyword, vector
+from lectern.operators import fusion, graph, keyword, search, vector
 from lectern.operators.index import Index
-from lectern.operators.query import parse_query
+from lectern.operators.query import SearchParams, parse_query, query_parts, query_rules
 from lectern.plans.registry import query, table
+from lectern.sources.store import table_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def _values(queries: dict[str, str]) -> str:
 
 def bm25_best(spark: SparkSession, sf_dir: str, queries: dict[str, str], k: int) -> DataFrame:
     """The k best documents of each query; scores are rounded before they are ranked, so that ties are ties."""
-    scores = keyword.bm25_scores(documents_index(spark, sf_dir), queries_table(spark, queries))
+    scores = keyword.bm25_scores(stored_index(spark, sf_dir), queries_table(spark, queries))
     return keyword.top_k(scores.withColumn("score", F.round("score", 9)), k)
 
 
@@ -45,8 +46,22 @@ def _bm25(queries: dict[str, str]) -> str:
     return _BM25.replace("@queries", _values(queries))
 
 
+#: Paths of stored indexes by session and table: an index is written by the first query that asks for it.
+_stored: dict[tuple[str, str], str] = {}
+
+
 def documents_index(spark: SparkSession, sf_dir: str) -> Index:
-    return Index.build(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return Index.build(table(spark, sf_dir, "documents"), "doc_id", "text", ["lang"])
+
+
+def stored_index(spark: SparkSession, sf_dir: str) -> Index:
+    """The documents' index as tables, which stays for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = table_path(spark, "index")
+        documents_index(spark, sf_dir).write(path)
+        _stored[key] = path
+    return Index.read(spark, _stored[key])
 
 
 def queries_table(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
@@ -94,7 +109,7 @@ SELECT doc_id, round(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 -
 )
 def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     phrases = parse_query('"of the"').phrases
-    return keyword.phrase_search(documents_index(spark, sf_dir), phrases).select("doc_id", F.round("score", 6).alias("score"))
+    return keyword.phrase_search(stored_index(spark, sf_dir), phrases).select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -104,7 +119,7 @@ SELECT term, query_term, CAST(levenshtein(translate(term, 'éèêçüöäßñó
 WHERE levenshtein(translate(term, 'éèêçüöäßñóíáú', 'ABCDEFGHIJKLM'), query_term) <= CASE WHEN length(query_term) <= 2 THEN 0 WHEN length(query_term) <= 5 THEN 1 ELSE 2 END"""
 )
 def fuzzy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyword.fuzzy_terms(documents_index(spark, sf_dir), queries_table(spark, {"q": "quelle wher the"})).select("term", "query_term", "edits")
+    return keyword.fuzzy_terms(stored_index(spark, sf_dir), queries_table(spark, {"q": "quelle wher the"})).select("term", "query_term", "edits")
 
 
 @query("SELECT doc_id, substr(text, 1, 300) AS snippet, regexp_replace(substr(text, 1, 300), '\\b(the|and)\\b', '<mark>\\1</mark>', 'g') AS marked FROM documents")
@@ -216,3 +231,142 @@ def multi_query_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = spark.createDataFrame([("q1", 1.0), ("q2", 0.5), ("q3", 0.5), ("q4", 0.1)], "qid string, weight double")
     merged = fusion.merge_queries(hits.withColumnRenamed("score", "bm25_score").join(weights, "qid"), ["doc_id"])
     return merged.select("doc_id", F.round("weighted_rrf", 6).alias("weighted_rrf"), F.round("bm25_score", 6).alias("bm25_score"))
+
+
+# --- queries as rows, highlights, fields, whole searches ----------------------------------------------------------
+
+_QUERY_TEXT = "CASE conv_id % 3 WHEN 0 THEN '\"' || regexp_replace(text, '[\"\\r\\n]', ' ', 'g') || '\" قول' WHEN 1 THEN '\"one\" ' || text ELSE substr(text, 1, CAST(turn + 1 AS INTEGER)) END"
+_NORMAL = "trim(regexp_replace(translate(regexp_replace(@, '[\\x{064B}-\\x{065F}\\x{0670}]', '', 'g'), 'آأإٱىةء', 'اااايه'), '\\s+', ' ', 'g'))"
+_WORDS_OF = "list_filter(list_transform(string_split(" + _NORMAL + ", ' '), lambda w: regexp_replace(w, '[^\\x{0600}-\\x{06FF}A-Za-z0-9_]', '', 'g')), lambda w: w <> '')"
+
+
+@query(
+    f"""WITH q AS (SELECT conv_id, turn, {_QUERY_TEXT} AS q, regexp_replace(text, '["\\r\\n]', ' ', 'g') AS line, text FROM conversations WHERE NOT regexp_matches(text, '["«»„“”]')),
+w AS (SELECT *, {_WORDS_OF.replace("@", "line")} AS inner_words, {_WORDS_OF.replace("@", "text")} AS all_words, {_WORDS_OF.replace("@", "q")} AS q_words, {_NORMAL.replace("@", "q")} AS plain FROM q),
+c AS (SELECT *, length(replace(plain, ' ', '')) AS chars, CASE WHEN NOT contains(plain, ' ') AND plain <> '' THEN least(length(plain), 6) ELSE length(replace(plain, ' ', '')) END AS counted FROM w)
+SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 AND len(inner_words) > 1 THEN array_to_string(inner_words, ' ') ELSE '' END AS phrases,
+array_to_string(CASE conv_id % 3 WHEN 0 THEN CASE WHEN len(inner_words) > 1 THEN [] ELSE inner_words END || ['قول'] WHEN 1 THEN ['one'] || all_words ELSE q_words END, ' ') AS terms,
+conv_id % 3 = 0 AS is_arabic, CASE WHEN conv_id % 3 = 0 THEN 'hybrid' ELSE 'semantic_only' END AS strategy, conv_id % 3 < 2 AS has_quotes, conv_id % 3 < 2 OR chars < 4 AS skips_semantic,
+CASE WHEN counted <= 3 THEN 0.55 WHEN counted <= 6 THEN 0.4 WHEN counted <= 12 THEN 0.3 ELSE 0.25 END::DOUBLE AS similarity_floor FROM c"""
+)
+def parsed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as queries: quoted, with a quoted word, or cut short."""
+    turns = table(spark, sf_dir, "conversations").filter(~F.col("text").rlike('["«»„“”]'))
+    line = F.regexp_replace("text", '["\r\n]', " ")
+    q = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit('"'), line, F.lit('" قول'))).when(F.col("conv_id") % 3 == 1, F.concat(F.lit('"one" '), "text"))
+    asked = turns.select("conv_id", "turn", q.otherwise(F.substring("text", F.lit(1), (F.col("turn") + 1).cast("int"))).alias("q"))
+    found = asked.select("conv_id", "turn", query_parts("q").alias("p"), query_rules("q", 0.25).alias("r"))
+    return found.select("conv_id", "turn", F.array_join("p.phrases", "|").alias("phrases"), F.array_join("p.terms", " ").alias("terms"), "r.*")
+
+
+_EDGE = r"[^\p{L}\p{N}_\x01\x02]"
+_MARKED = f"regexp_replace(@, '(^|{_EDGE})(?i:(the|and))({_EDGE}|$)', '\\1' || chr(1) || '\\2' || chr(2) || '\\3', 'g')"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, text, length(regexp_extract(' ' || text || ' ', '(?s)^(.*?[^\\p{{L}}\\p{{N}}_])(?i:the|and)[^\\p{{L}}\\p{{N}}_]', 1)) AS place FROM documents),
+w AS (SELECT doc_id, place, substr(text, greatest(place - 50, 1), 200) AS x FROM d)
+SELECT doc_id, CASE WHEN place > 0 THEN replace(replace({_MARKED.replace("@", _MARKED.replace("@", "x"))}, chr(1), '<mark>'), chr(2), '</mark>') END AS highlighted FROM w"""
+)
+def highlighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", keyword.highlight("text", ["the", "and"]).alias("highlighted"))
+
+
+_FIELDS = f"""
+WITH {_TOKENS}, src AS (SELECT doc_id, regexp_extract_all(lower(coalesce(source, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS terms FROM documents),
+f AS (SELECT 'text' AS field, 1.0::DOUBLE AS boost, * FROM tok UNION ALL SELECT 'source', 3.0::DOUBLE, * FROM src),
+st AS (SELECT field, count(*) AS n, avg(len(terms)) AS avgdl FROM f GROUP BY field),
+q AS (SELECT * FROM (VALUES ('src1'), ('which')) t(term)),
+ex AS (SELECT field, boost, doc_id, len(terms) AS dl, unnest(terms) AS term FROM f),
+tf AS (SELECT field, boost, doc_id, dl, term, count(*) AS tf FROM ex WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT field, term, count(*) AS df FROM tf GROUP BY field, term),
+sc AS (SELECT field, doc_id, boost * sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))) AS score FROM tf JOIN df USING (field, term) JOIN st USING (field) GROUP BY field, doc_id, boost)
+SELECT doc_id, round(max(score), 6) AS score FROM sc GROUP BY doc_id"""
+
+
+@query(_FIELDS)
+def best_of_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text and source as fields, the source counting three times: the better of a document's two scores."""
+    fields = {"text": (stored_index(spark, sf_dir), 1.0), "source": (Index.build(table(spark, sf_dir, "documents"), "doc_id", "source"), 3.0)}
+    found = keyword.best_field(fields, queries_table(spark, {"q": "src1 which"}), fuzzy=False)
+    return found.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query(
+    f"""WITH {_TOKENS}, st AS (SELECT count(*) AS n, avg(len(terms)) AS avgdl FROM tok), ex AS (SELECT doc_id, len(terms) AS dl, unnest(terms) AS term FROM tok),
+v AS (SELECT term, translate(term, 'éèêçüöäßñóíáú', 'ABCDEFGHIJKLM') AS t FROM (SELECT DISTINCT term FROM ex)),
+near AS (SELECT term, 1 - levenshtein(t, 'quellez') / 7.0::DOUBLE AS weight FROM v WHERE levenshtein(t, 'quellez') <= 2),
+tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM ex JOIN near USING (term) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+bf AS (SELECT doc_id, dl, count(*) AS tf FROM ex WHERE term = 'que' GROUP BY ALL)
+SELECT 'far' AS qid, doc_id, round(sum(weight * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score, true AS fuzzy FROM tf JOIN df USING (term) JOIN near USING (term) CROSS JOIN st GROUP BY doc_id
+UNION ALL SELECT 'near', doc_id, round(ln(1 + (n - (SELECT count(*) FROM bf) + 0.5) / ((SELECT count(*) FROM bf) + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl)), 6), false FROM bf CROSS JOIN st"""
+)
+def fuzzy_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A word that stands in the texts is met exactly; one that does not, by terms within two edits."""
+    found = keyword.with_fuzzy_fallback(stored_index(spark, sf_dir), queries_table(spark, {"near": "que", "far": "quellez"}))
+    return found.select("qid", "doc_id", F.round("score", 6).alias("score"), "fuzzy")
+
+
+def _searcher(spark: SparkSession, sf_dir: str, **expand) -> search.Searcher:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    first = _first_vector(spark, sf_dir)
+    return search.Searcher({"page": search.Corpus(stored_index(spark, sf_dir), vectors)}, lambda texts: [first] * len(texts), **expand)
+
+
+_STANDARD = _HYBRID.replace("@semantic", "(SELECT * FROM s WHERE semantic_score >= 0.3)").replace("@keyword", "k")
+
+
+@query(f"WITH r AS ({_STANDARD}) SELECT *, CAST(row_number() OVER (ORDER BY fused_score DESC, rrf_score DESC, doc_id) AS INTEGER) AS rank FROM r")
+def standard_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = SearchParams(QUERY, book_limit=20, similarity_cutoff=0.3, fuzzy=False, keyword_gate="none")
+    found = _searcher(spark, sf_dir).standard(params)["page"]
+    return found.select("doc_id", F.round("fused_score", 6).alias("fused_score"), F.round("rrf_score", 6).alias("rrf_score"), "match_type", "rank")
+
+
+_WORDINGS = {"0": "the and which", "1": "dans les pour"}
+_REFINED = f"""{_bm25(_WORDINGS)},
+k AS (SELECT qid, doc_id, score AS bm25_score, rank AS keyword_rank FROM rk WHERE rank <= 50),
+qv AS (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 0),
+cs AS (SELECT vec_id AS doc_id, list_cosine_similarity(embedding::DOUBLE[], qv) AS semantic_score FROM embeddings, qv),
+s1 AS (SELECT *, row_number() OVER (ORDER BY semantic_score DESC, doc_id) AS semantic_rank FROM cs WHERE semantic_score >= 0.3 ORDER BY semantic_score DESC, doc_id LIMIT 50),
+s AS (SELECT * FROM s1 CROSS JOIN (VALUES ('0'), ('1')) t(qid)),
+j AS (SELECT coalesce(s.qid, k.qid) AS qid, coalesce(s.doc_id, k.doc_id) AS doc_id, semantic_score, semantic_rank, bm25_score, keyword_rank FROM s FULL JOIN k ON s.doc_id = k.doc_id AND s.qid = k.qid),
+f AS (SELECT *, CASE WHEN semantic_rank IS NOT NULL AND keyword_rank IS NOT NULL THEN 0.4 * semantic_score + 0.7 * bm25_score / (bm25_score + 3)
+    WHEN semantic_rank IS NOT NULL THEN semantic_score ELSE bm25_score / (bm25_score + 3) END AS fused_score, coalesce(1.0::DOUBLE / (60 + semantic_rank), 0) + coalesce(1.0::DOUBLE / (60 + keyword_rank), 0) AS rrf_score FROM j),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY fused_score DESC, rrf_score DESC, doc_id) AS place FROM f QUALIFY place <= 50),
+m AS (SELECT doc_id, sum(CASE qid WHEN '0' THEN 1.0 ELSE 0.5 END::DOUBLE / (60 + place)) AS score FROM r GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 30)
+SELECT 'page' AS type, CAST(doc_id AS VARCHAR) AS doc_key, round(score, 6) AS score FROM m ORDER BY m.score DESC, doc_key LIMIT 10"""
+
+
+@query(_REFINED)
+def refined_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query and one other wording of it, merged by weight."""
+    expand = lambda q: [(q, 1.0), (_WORDINGS["1"], 0.5)]
+    params = SearchParams(_WORDINGS["0"], refine=True, fuzzy=False, keyword_gate="none")
+    return _searcher(spark, sf_dir, expand=expand).refined(params).select("type", "doc_key", F.round("score", 6).alias("score"))
+
+
+@query(
+    f"""WITH r AS (SELECT *, CAST(row_number() OVER (ORDER BY fused_score DESC, rrf_score DESC, doc_id) AS INTEGER) AS rank FROM ({_STANDARD})) SELECT rank, doc_id, fused_score AS score, match_type,
+substr(text, 1, 300) AS text_snippet, substr(text, 1, 300) AS highlighted_snippet FROM r JOIN documents USING (doc_id)"""
+)
+def formatted_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = SearchParams(QUERY, book_limit=20, similarity_cutoff=0.3, fuzzy=False, keyword_gate="none")
+    found = _searcher(spark, sf_dir).standard(params)["page"].join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return search.formatted(found, "hybrid").withColumn("score", F.round("score", 6))
+
+
+@query(
+    f"""WITH p AS (SELECT DISTINCT 'p' || p_partkey AS id, regexp_extract_all(lower(p_name), '[a-z]+') AS n, regexp_extract_all(lower(p_type), '[a-z]+') AS t FROM part),
+f AS (SELECT 'n' AS field, id, n AS terms FROM p UNION ALL SELECT 't', id, t FROM p), st AS (SELECT field, count(*) AS n, avg(len(terms)) AS avgdl FROM f GROUP BY field),
+tf AS (SELECT field, id, len(terms) AS dl, term, count(*) AS tf FROM (SELECT field, id, terms, unnest(terms) AS term FROM f) WHERE term IN ('ring', 'brass') GROUP BY ALL),
+df AS (SELECT field, term, count(*) AS df FROM tf GROUP BY ALL),
+sc AS (SELECT field, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 9) AS score FROM tf JOIN df USING (field, term) JOIN st USING (field) GROUP BY field, id),
+m AS (SELECT id, max(score) AS score FROM sc GROUP BY id HAVING max(score) > 0.5)
+SELECT 'q' AS qid, id, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY round(score, 6) DESC, id) AS INTEGER) AS rank FROM m QUALIFY rank <= 5"""
+)
+def entity_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by their names and types: of each part the better name counts."""
+    nodes = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id"), "p_name", "p_type")
+    found = graph.search_entities(nodes, ["p_name", "p_type"], queries_table(spark, {"q": "ring brass"}), k=100_000)
+    return keyword.top_k(found.withColumn("score", F.round("score", 6)), 5, key="id")
