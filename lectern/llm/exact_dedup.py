@@ -125,13 +125,16 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     """
     index = DigestIndex(docs.sparkSession).insert(docs).entries()
     bits = bit_filter(index.filter("copies > 1").select(F.col("digest").alias("_digest")), "_digest")
-    flagged = with_match(docs.withColumn("_digest", digest(F.col("text"))), "_digest", bits, "_hit")
-    others = [c for c in docs.columns if c != "text"]
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*others, *(F.col(c).isNull() for c in others)), F.col("text").isNull())
-    row = F.min_by(F.struct(*others, F.col("text").isNull().alias("_null")), order).alias("row")
-    groups = flagged.filter("_hit").groupBy("_digest", F.coalesce("text", F.lit("")).alias("_text")).agg(row)
-    groups = groups.select(*(F.expr("if(row._null, null, _text) AS text") if c == "text" else F.col(f"row.{c}") for c in docs.columns))
-    return flagged.filter("not _hit").select(*docs.columns).unionByName(groups)
+    # Columns are renamed, so that they never meet those made here.
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain, text = docs.toDF(*names.values()), names["text"]
+    flagged = with_match(plain.withColumn("_digest", digest(F.col(text))), "_digest", bits, "_hit")
+    others, doc_id, none = [c for c in plain.columns if c != text], F.col(names["doc_id"]), F.col(text).isNull()
+    order = F.struct(doc_id.isNull(), doc_id, F.xxhash64(*others, *(F.col(c).isNull() for c in others)), none)
+    row = F.min_by(F.struct(*others, none.alias("_null")), order).alias("row")
+    groups = flagged.filter("_hit").groupBy("_digest", F.coalesce(text, F.lit("")).alias("_text")).agg(row)
+    groups = groups.select(*(F.expr("if(row._null, null, _text)").alias(c) if c == text else F.col(f"row.{c}") for c in plain.columns))
+    return flagged.filter("not _hit").select(*plain.columns).unionByName(groups).toDF(*docs.columns)
 
 
 SQL = """

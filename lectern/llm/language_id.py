@@ -202,8 +202,10 @@ def predict(docs: DataFrame, model: Model | None, lang_pred: str = "lang_pred",
                 p[some] = found.max(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(p)], [*batch.schema.names, lang_pred, score])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    # Arrow functions take no column whose name has a dot.
+    named = docs.toDF(*(f"_dotted{i}" if "." in c else c for i, c in enumerate(docs.columns)))
+    schema = T.StructType([*named.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    return named.mapInArrow(run, schema).toDF(*docs.columns, lang_pred, score)
 
 
 def identify_language(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> DataFrame:

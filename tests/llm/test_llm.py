@@ -819,6 +819,21 @@ def near_components(rows):
     return len({c for _, c in near_brute([(i, t) for t, i in kept.items()]).values()})
 
 
+def test_pipeline_keeps_columns_whatever_their_names(spark):
+    import corpus_pipeline
+    from lectern.llm._store import written
+
+    names = ["_row", "_n", "_again", "_digest", "_hit", "_text", "_lang_pred", "_lang_score", "_bucket", "_bits", "row", "rest", "doc", "class", "position", "block", "key", "node", "a.b"]
+    rows = [(i, sentences(i % 4, 30) if i % 5 else "words " * i, "xx", f"s{i % 2}", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.concat(F.lit(f"{c}-"), "doc_id") for c in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, ""), "stage")
+        assert docs.columns == [*(c.split()[0] for c in SCHEMA.split(", ")), *names]
+        found = docs.collect()
+        assert found and all(r[c] == f"{c}-{r['doc_id']}" for r in found for c in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= len(found)
+
+
 def test_pipeline_mix_keeps_all_rows_in_order(spark):
     import corpus_pipeline
 
