@@ -30,6 +30,8 @@ INPUTS, CLUSTERS, FIRST = int(SIZES.sum()), len(SIZES), np.cumsum(SIZES) - SIZES
 CLUSTER_OF = np.repeat(np.arange(CLUSTERS, dtype=np.uint8), SIZES)
 #: Rounds of training; windows in a step; rate of the steps, and what it is multiplied by in each further round.
 ROUNDS, BATCH, RATE, DECAY = 8, 512, 0.08, 0.7
+#: Steps that a small block is cut into, by smaller ones at a lower rate; a full block has more.
+LEAST_STEPS = 64
 #: Text bytes of a block of documents. Each block of training documents is the share of one local run.
 BLOCK_BYTES = 4 << 20
 #: Parameters travel in parts of so many, and are added up in groups of so many blocks.
@@ -421,9 +423,10 @@ def add_up(rows: DataFrame, n: int) -> dict[int, np.ndarray]:
 def train_locally(p: Parameters, coding: Coding, e: Encoded, seed: int) -> int:
     """Adam steps over the windows of texts, in a random order; p is changed. Returns the number of targets."""
     x, y, _ = windows(e, 0, len(e.starts) - 1, coding)
-    adam, order = Adam(p, RATE * DECAY**seed), np.random.default_rng(seed).permutation(len(x))
-    for i in range(0, len(x), BATCH):
-        at = order[i : i + BATCH]
+    size = min(BATCH, max(16, len(x) // LEAST_STEPS))
+    adam, order = Adam(p, RATE * DECAY**seed * (size / BATCH) ** 0.5), np.random.default_rng(seed).permutation(len(x))
+    for i in range(0, len(x), size):
+        at = order[i : i + size]
         adam.step(gradients(p, x[at], y[at]))
     return int((y >= 0).sum())
 
