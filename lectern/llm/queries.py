@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, private_data, quality_rules, substring_dedup, warc
+from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, private_data, quality_rules, substring_dedup, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(_documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_lm_scoring,
         op10_warc,
+        op13_fill_middle,
     )
 }
 
@@ -74,4 +79,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": substring_dedup.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op10_warc": warc.SQL,
+    "op13_fill_middle": fill_middle.SQL,
 }
