@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, private_data, quality_rules, substring_dedup, warc
+from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, periodic_runs, private_data, quality_rules, substring_dedup, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.collapse_runs(_documents(spark, sf_dir), tails=True)
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(_documents(spark, sf_dir)))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_lm_scoring,
         op10_warc,
+        op12_periodic_runs,
         op13_fill_middle,
     )
 }
