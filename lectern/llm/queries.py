@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, periodic_runs, private_data, quality_rules, substring_dedup, warc
+from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, periodic_runs, private_data, quality_rules, substring_dedup, top_search, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_top_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_search.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.collapse_runs(_documents(spark, sf_dir), tails=True)
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_lm_scoring,
         op10_warc,
+        op11_top_search,
         op12_periodic_runs,
         op13_fill_middle,
     )
@@ -84,5 +89,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": substring_dedup.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op10_warc": warc.SQL,
+    "op11_top_search": top_search.SQL,
     "op13_fill_middle": fill_middle.SQL,
 }
