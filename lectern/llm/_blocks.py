@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.llm._filter import bit_filter, with_match
+
 #: Text bytes in a block of documents; a block, and a bucket of about as many hashes, each fit in one task, whose arrays
 #: take about 40 times as much. Larger blocks send fewer and longer rows, where executors have the memory.
 BLOCK_BYTES = 4 << 20
@@ -18,19 +20,38 @@ BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 1 << 16
 
 
+#: Shuffle partitions and buckets at most, however many blocks there are: a task then gets several blocks, one by one.
+MOST_PARTITIONS, MOST_BUCKETS = 1 << 14, 1 << 16
+
+
 def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES, least: int = 1) -> tuple[DataFrame, int]:
     """docs (doc_id, text, ...) with the number of its block; how many blocks there are, `least` at least.
 
     Rows are dealt by a hash of doc_id and text, whatever the partitions of docs. So rows without a doc_id, or with one
-    that recurs, spread by their texts; rows that are empty as well are dealt by where they stand, as nothing is in
-    them to compare. Rows that repeat both stay together.
+    that recurs, spread by their texts. Rows that repeat both spread by their number among these: they are alike, so
+    that it doesn't matter which of them gets which.
     """
-    size = F.octet_length(F.coalesce("text", F.lit("")))
-    total = docs.agg(F.sum(size), F.count("*")).first()
-    n = max(least, -(-(total[0] or 0) // block_bytes), -(-total[1] // BLOCK_ROWS))
-    salt = F.when(size == 0, F.monotonically_increasing_id()).otherwise(0)
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", salt), F.lit(n)).cast("int"))
-    return dealt.repartition(n, "block"), n
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    counts = keyed.groupBy("_key").agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    total, rows, most = counts.agg(F.sum("size"), F.sum("n"), F.max("n")).first()
+    n = max(least, -(-(total or 0) // block_bytes), -(-(rows or 0) // BLOCK_ROWS))
+    numbered = keyed.withColumn("_copy", F.lit(0)) if (most or 0) < 2 else _copies_numbered(keyed, counts.filter("n > 1").select("_key"))
+    dealt = numbered.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", "_copy"), F.lit(n)).cast("int")).drop("_key", "_copy")
+    return dealt.repartition(min(n, MOST_PARTITIONS), "block"), n
+
+
+def _copies_numbered(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """keyed with _copy: 0, 1, ... among rows of a _key, 0 for those that are alone. A key's rows are numbered within
+    each partition, after those of the partitions before it, so that no task gets all of them."""
+    flagged = with_match(keyed, "_key", bit_filter(repeated, "_key"), "_some")
+    some = flagged.filter("_some").withColumn("_of", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    each = Window.partitionBy("_key", "_of")
+    before = F.sum("_n").over(Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = some.groupBy("_key", "_of").agg(F.count("*").alias("_n")).select("_key", "_of", F.coalesce(before, F.lit(0)).alias("_before"))
+    joined = some.withColumn("_nth", F.row_number().over(each.orderBy("_row"))).join(sizes, ["_key", "_of"])
+    copies = joined.withColumn("_copy", (F.col("_before") + F.col("_nth") - 1).cast("int")).drop("_of", "_row", "_nth", "_before")
+    return flagged.filter("not _some").withColumn("_copy", F.lit(0)).unionByName(copies).drop("_some")
 
 
 def in_order(block: pa.Table, *columns: str) -> pa.Table:
@@ -73,7 +94,7 @@ def counted(dealt: DataFrame, n: int, distinct: Callable[[pa.Table], Distinct],
     def send(block: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()  # what the worker kept of the block before
         d = distinct(block)
-        some = bucketed(d.values, n)
+        some = bucketed(d.values, min(n, MOST_BUCKETS))
         counts = np.minimum(d.counts, 65535).astype(np.uint16)
         return pa.table(
             {

@@ -14,7 +14,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from lectern.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, private_data, quality_rules, substring_dedup, warc
+from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, periodic_runs, private_data, quality_rules, substring_dedup, warc
 from lectern.llm._blocks import deal
 from lectern.llm._components import components
 from lectern.llm._counters import summed
@@ -674,6 +674,19 @@ def test_model_beats_the_base_whatever_the_partitions(spark):
     assert all(many[i] == pytest.approx(x["score"], abs=1e-6) for i, x in one.items())
 
 
+def test_scores_depend_on_the_table_alone(spark):
+    rows = [(i, sentences(i, 40), None, None, None) for i in range(300)]
+    rows += [(300 + i, "" if i % 2 else None, None, None, None) for i in range(60)] + rows[:20] * 3 + [(None, None, None, None, None)] * 50
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = []
+    for n in (1, 8, 32):
+        got = lm_scoring.score_documents(df.repartition(n), block_bytes=8_000).collect()
+        found.append(sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"], r["attention_score"], r["base_score"]) for r in got))
+    assert all(len(x) == len(rows) and np.allclose(x, found[0], atol=1e-6, rtol=0) for x in found)
+    for _, score, attention, base in found[0]:
+        assert score == pytest.approx(max(attention, base) + math.log10((1 + 10 ** -abs(attention - base)) / 2))
+
+
 def test_sums_add_up_in_a_tree(spark):
     r = np.random.default_rng(0)
     each = r.standard_normal((500, 3))
@@ -691,6 +704,17 @@ def test_blocks_spread_rows_without_identifiers(spark):
     assert n == 6 and len(sizes) == n and max(sizes) < 2 * min(sizes)
 
 
+def test_copies_of_a_row_spread_over_blocks(spark):
+    rows = [(1, "a text of some words")] * 3000 + [(i, f"text {i}") for i in range(2, 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for parts in (1, 7):
+        dealt, n = deal(df.repartition(parts), 8_000)
+        found.append(sorted((r["block"], r["count"]) for r in dealt.filter("doc_id = 1").groupBy("block").count().collect()))
+        assert dealt.count() == len(rows) and n > 5 and len(found[-1]) == n and max(k for _, k in found[-1]) < 2 * 3000 / n
+    assert found[0] == found[1]
+
+
 # --- 10 WARC ---
 
 
@@ -775,7 +799,7 @@ def test_written_tables_can_be_discarded(spark, docs):
 def test_null_identifiers_and_columns(spark):
     rows = [(None, None, None, None, None), (None, "some words that stand here more than once", None, None, 3), (7, "some words that stand here more than once", "xx", None, None), (None, "x" * 200_000, "xx", "s", None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    operators = [mixing.mix, quality_rules.score_repetition, private_data.find_private_data, ngram_join.join_near_duplicates, substring_dedup.dedup_substrings, exact_dedup.dedup_exact, language_id.identify_language, lm_scoring.score_documents]
+    operators = [mixing.mix, quality_rules.score_repetition, private_data.find_private_data, ngram_join.join_near_duplicates, substring_dedup.dedup_substrings, exact_dedup.dedup_exact, language_id.identify_language, lm_scoring.score_documents, periodic_runs.collapse_runs, fill_middle.fill_in_middle]
     for f in operators:
         assert f(df).count() == len(rows), f.__name__
     assert packing.pack(df).select("doc_id").distinct().count() == 2
@@ -862,3 +886,10 @@ def test_pipeline_decides_by_row(spark):
         got = sorted(((r[0], r[1]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()), key=key)
         assert [x for x in got if x[1] not in (d, near_d)] == [(0, b), (1, a), (None, c)]
         assert len([x for x in got if x[1] in (d, near_d)]) == 1
+
+
+def test_pipeline_takes_many_equal_rows(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, sentences(1, 60), "x", "s", 1)] * 3000 + [(2, sentences(2, 60), "x", "s", 1)], SCHEMA)
+    assert corpus_pipeline.drop_near_copies(spark, docs, "").count() == 2
