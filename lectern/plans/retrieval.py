@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.operators import fusion, graph, keyword, search, vector
 from lectern.operators.index import Index
 from lectern.operators.query import SearchParams, parse_query, query_parts, query_rules
+from lectern.operators.vector_index import VectorIndex
 from lectern.plans.registry import query, table
 from lectern.sources.store import table_path
 from pyspark.sql import DataFrame, SparkSession
@@ -370,3 +371,44 @@ def entity_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id"), "p_name", "p_type")
     found = graph.search_entities(nodes, ["p_name", "p_type"], queries_table(spark, {"q": "ring brass"}), k=100_000)
     return keyword.top_k(found.withColumn("score", F.round("score", 6)), 5, key="id")
+
+
+_BATCH = """WITH s AS (
+    SELECT q.vec_id AS qid, e.vec_id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score
+    FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0 @and
+), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT qid, vec_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10"""
+
+
+def _every_fiftieth(vectors: DataFrame) -> DataFrame:
+    return vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+
+
+def _vector_index(spark: SparkSession, sf_dir: str) -> tuple[VectorIndex, DataFrame]:
+    vectors = table(spark, sf_dir, "embeddings")
+    return VectorIndex.build(vectors, table_path(spark, "vectors"), keep=["label"]), _every_fiftieth(vectors)
+
+
+def _found(df: DataFrame) -> DataFrame:
+    return df.select("qid", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query(_BATCH.replace("@and", ""))
+def indexed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index with all cells read: as exact as without one."""
+    index, queries = _vector_index(spark, sf_dir)
+    return _found(index.nearest(queries, 10, probes=len(index.centres())))
+
+
+@query(_BATCH.replace("@and", "AND e.label <> 1 AND e.vec_id NOT IN (0, 7) AND list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) >= 0.1"))
+def indexed_vectors_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A condition, exclusions and a threshold, on the stored index."""
+    index, queries = _vector_index(spark, sf_dir)
+    return _found(index.nearest(queries, 10, probes=len(index.centres()), condition="label <> 1", excluded=[0, 7], least=0.1))
+
+
+@query()
+def approximate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index as it is meant to be used; tests hold its recall to 0.9."""
+    index, queries = _vector_index(spark, sf_dir)
+    return _found(index.nearest(queries, 10))
