@@ -109,30 +109,72 @@ def resolve_entities(c: Column | str) -> Column:
     return out
 
 
+def _opened(part: Column, opener: str) -> tuple[Column, Column]:
+    """Where the first tag that begins as `opener` starts in a part of markup, and where it ends; 0 where there is none."""
+    start = F.regexp_instr(part, F.lit(opener))
+    return start, F.when(start > 0, F.position(F.lit(">"), part, start)).otherwise(0)
+
+
+def _pieces(markup: Column, closer: str) -> tuple[Column, Column]:
+    """The parts of markup that end with a closing tag, without it, and the rest after the last: what an opening tag may
+    belong to is its part, so that one pass finds all elements, however many tags are never closed."""
+    parts = F.split(markup, closer)
+    return F.slice(parts, 1, F.size(parts) - 1), F.element_at(parts, -1)
+
+
+def without_elements(markup: Column, tag: str) -> Column:
+    """Markup without the elements of a tag: from the first opening tag to the next closing one."""
+    parts, rest = _pieces(markup, f"(?i)</{tag}>")
+
+    def kept(part: Column) -> Column:
+        start, end = _opened(part, f"(?i)<{tag}")
+        return F.when(end > 0, F.substring(part, F.lit(1), start - 1)).otherwise(F.concat(part, F.lit(f"</{tag}>")))
+
+    return F.concat(F.array_join(F.transform(parts, kept), ""), rest)
+
+
+def elements(markup: Column, tag: str) -> Column:
+    """What stands in the elements of a tag, in order."""
+    parts, _ = _pieces(markup, f"(?i)</{tag}>")
+
+    def content(part: Column) -> Column:
+        _, end = _opened(part, f"(?i)<{tag}")
+        return F.when(end > 0, F.substring(part, end + 1, F.length(part)))
+
+    return F.array_compact(F.transform(parts, content))
+
+
+def _tags_replaced(markup: Column, *replaced: tuple[str, str]) -> Column:
+    """Patterns of whole tags replaced, up to the last end of a tag: what follows has none, and is not searched for one."""
+    last = F.length(markup) - F.instr(F.reverse(markup), ">") + 1
+    last = F.when(F.contains(markup, F.lit(">")), last).otherwise(0)
+    head = F.substring(markup, F.lit(1), last)
+    for pattern, by in replaced:
+        head = F.regexp_replace(head, pattern, by)
+    return F.concat(head, F.substring(markup, last + 1, F.length(markup)))
+
+
 def html_to_text(html: Column | str) -> Column:
     """Plain text of markup: scripts and styles go, blocks and breaks part lines, lines are trimmed and not empty."""
-    t = F.regexp_replace(col(html), r"(?is)<script[^>]*>.*?</script>", "")
-    t = resolve_entities(F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", ""))
-    t = F.regexp_replace(t, r"(?i)</?(p|div|br|h[1-6]|li|tr)[^>]*>", "\n")
-    t = F.regexp_replace(F.regexp_replace(t, r"<[^>]+>", ""), r"[ \t]+", " ")
-    return F.array_join(F.filter(F.transform(F.split(t, "\n"), trim), lambda x: x != ""), "\n")
+    t = resolve_entities(without_elements(without_elements(col(html), "script"), "style"))
+    t = _tags_replaced(t, (r"(?i)</?(p|div|br|h[1-6]|li|tr)[^>]*>", "\n"), (r"<[^>]+>", ""))
+    return F.array_join(F.filter(F.transform(F.split(F.regexp_replace(t, r"[ \t]+", " "), "\n"), trim), lambda x: x != ""), "\n")
 
 
 def inline_text(html: Column | str) -> Column:
     """Text of inline markup on one line."""
-    return squeeze(resolve_entities(F.regexp_replace(col(html), r"<[^>]+>", "")))
+    return squeeze(resolve_entities(_tags_replaced(col(html), (r"<[^>]+>", ""))))
 
 
 def text_with_breaks(html: Column | str) -> Column:
     """Text of markup whose breaks, paragraphs and divisions end lines; at most one empty line in a row is kept."""
-    t = F.regexp_replace(F.regexp_replace(col(html), r"(?i)<br\s*/?>|</p>|</div>", "\n"), r"<[^>]+>", "")
+    t = _tags_replaced(F.regexp_replace(col(html), r"(?i)<br\s*/?>|</p>|</div>", "\n"), (r"<[^>]+>", ""))
     return trim(F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"[ \t]+", " "))
 
 
 def paragraph_texts(html: Column | str) -> Column:
     """Texts of <p> elements, over one character long, in order."""
-    found = F.regexp_extract_all(col(html), F.lit(r"(?is)<p[^>]*>(.*?)</p>"), 1)
-    plain = F.transform(found, lambda x: squeeze(F.replace(F.regexp_replace(x, r"<[^>]+>", ""), F.lit("&nbsp;"), F.lit(" "))))
+    plain = F.transform(elements(col(html), "p"), lambda x: squeeze(F.replace(_tags_replaced(x, (r"<[^>]+>", "")), F.lit("&nbsp;"), F.lit(" "))))
     return F.filter(plain, lambda x: F.length(x) > 1)
 
 
@@ -151,10 +193,20 @@ def paragraphs(html: Column | str, script: str = ARABIC_ANY) -> Column:
         all_parts = F.transform(parts, lambda x, i: F.struct(i.alias("index"), inline_text(x).alias("text")))
         return F.filter(all_parts, lambda p: is_meaningful(p["text"], script))
 
-    elements = kept(F.regexp_extract_all(col(html), F.lit(r"(?is)<p[^>]*>(.*?)</p>"), 1))
-    # A line end inside a title span is one that a closing tag follows before any other title span opens.
-    joined = F.regexp_replace(col(html), r"(?s)\n(?=(?:(?!<span\s+data-type=['\"]title['\"]).)*?</span>)(?<=<span\s{1,9}data-type=['\"]title['\"][^<]{0,2000})", " ")
-    return F.when(F.size(elements) > 0, elements).otherwise(kept(F.split(joined, "\n")))
+    found = kept(elements(col(html), "p"))
+    return F.when(F.size(found) > 0, found).otherwise(kept(F.split(titles_on_one_line(col(html)), "\n")))
+
+
+def titles_on_one_line(markup: Column) -> Column:
+    """Markup in which line ends inside title spans, from the opening tag to the next closing one, are spaces."""
+    parts, rest = _pieces(markup, "</span>")
+
+    def joined(part: Column) -> Column:
+        start, end = _opened(part, r"<span\s+data-type=['\"]title['\"]")
+        inside = F.replace(F.substring(part, start, F.length(part)), F.lit("\n"), F.lit(" "))
+        return F.concat(F.when(end > 0, F.concat(F.substring(part, F.lit(1), start - 1), inside)).otherwise(part), F.lit("</span>"))
+
+    return F.concat(F.array_join(F.transform(parts, joined), ""), rest)
 
 
 # --- language and content flags ----------------------------------------------------------------------------------

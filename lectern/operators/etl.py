@@ -34,20 +34,22 @@ def longest_wins(df: DataFrame, key: list[str], text: str, ordinal: str) -> Data
 
 
 def letter_suffix(n: Column) -> Column:
-    """Bijective base 26: 0 is empty, 1 a, 26 z, 27 aa; up to three letters."""
-    letter = lambda x: F.chr(F.lit(97) + x % 26)
-    one, two, three = n - 1, F.floor((n - 1) / 26) - 1, F.floor((F.floor((n - 1) / 26) - 1) / 26) - 1
-    return F.concat(
-        F.when(n > 702, letter(three)).otherwise(""),
-        F.when(n > 26, letter(two)).otherwise(""),
-        F.when(n > 0, letter(one)).otherwise(""),
-    )
+    """Bijective base 26: 0 is empty, 1 a, 26 z, 27 aa, 703 aaa, and so on for any number."""
+    start = F.struct(n.cast("long").alias("left"), F.lit("").alias("letters"))
+
+    def letter(state: Column, _: Column) -> Column:
+        left = state["left"] - 1
+        added = F.concat(F.chr(F.lit(97) + left % 26), state["letters"])
+        more = F.struct(F.call_function("div", left, F.lit(26)).alias("left"), added.alias("letters"))
+        return F.when(left < 0, state).otherwise(more)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, letter, lambda state: state["letters"])
 
 
 def unique_numbers(df: DataFrame, per: list[str], number: str, ordinal: str, name: str = "unique_number") -> DataFrame:
-    """Repeats of a number get letters: 8, 8a, 8b."""
-    w = Window.partitionBy(*per, number).orderBy(ordinal)
-    return df.withColumn(name, F.concat(F.col(number).cast("string"), letter_suffix(F.row_number().over(w) - 1)))
+    """Repeats of a number get letters: 8, 8a, 8b. Rows of one number are counted in parts, however many there are."""
+    counted = numbered(df, [*per, number], [ordinal], "_repeat")
+    return counted.withColumn(name, F.concat(F.col(number).cast("string"), letter_suffix(F.col("_repeat") - 1))).drop("_repeat")
 
 
 def carry_forward(df: DataFrame, per: list[str], order: str, outer: Column, inner: Column) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from lectern.functions.text import to_western_digits
 from lectern.operators.index import Index
 from lectern.operators.keyword import bm25_scores, top_k
+from lectern.sources.store import delete_table, table_path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,17 +139,52 @@ def in_many_files(mentions: DataFrame, least: int = 3) -> DataFrame:
     return mentions.groupBy("id").agg(F.countDistinct("file").alias("n_files")).filter(F.col("n_files") >= least)
 
 
-def category_paths(categories: DataFrame, depth: int = 16) -> DataFrame:
-    """(id, depth, path) of categories (id, parent_id, name): from the root down; orphans are roots."""
-    known = categories.select(F.col("id").alias("parent_id"))
-    roots = categories.join(known, "parent_id", "left_anti")
-    level = roots.select("id", F.lit(0).alias("depth"), F.col("name").alias("path"))
-    out = level
-    for d in range(1, depth):
-        level = categories.join(level.select(F.col("id").alias("parent_id"), F.col("path").alias("_up")), "parent_id")
-        level = level.select("id", F.lit(d).alias("depth"), F.concat_ws(" / ", "_up", "name").alias("path"))
-        out = out.unionByName(level)
-    return out
+def _climbed(categories: DataFrame, paths: bool) -> DataFrame:
+    """(id, up, n, path) of categories (id, parent_id, name): the ancestor that was reached, null above a root, how many
+    levels lie below it, and, if asked for, their names.
+
+    Each round doubles the levels that are climbed: a category goes on from where its ancestor has come. After as many
+    rounds as the logarithm of their number only those in a cycle, or below one, have not reached a root. Rounds are
+    written, as each reads the one before twice.
+    """
+    spark = categories.sparkSession
+    known = categories.select(F.col("id").alias("_id")).distinct()
+    path = F.col("name") if paths else F.lit(None).cast("string")
+    state = categories.join(known, F.col("parent_id") == F.col("_id"), "left").select("id", F.col("_id").alias("up"), F.lit(1).cast("long").alias("n"), path.alias("path"))
+    most, read = 1, None
+    while True:
+        out = table_path(spark, "climbed")
+        state.write.parquet(out)
+        if read:
+            delete_table(spark, read)
+        read, climbed = out, spark.read.parquet(out)
+        left, rows = climbed.agg(F.count("up"), F.count("*")).first()
+        if not left or most > rows:
+            return climbed
+        most *= 2
+        upper = climbed.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("n").alias("_n"), F.col("path").alias("_path"))
+        named = F.concat_ws(" / ", "_path", "path") if paths else F.col("path")
+        higher = climbed.filter("up is not null").join(upper, F.col("up") == F.col("_id")).select("id", F.col("_up").alias("up"), (F.col("n") + F.col("_n")).alias("n"), named.alias("path"))
+        state = climbed.filter("up is null").unionByName(higher)
+
+
+def category_paths(categories: DataFrame, levels: int | None = None) -> DataFrame:
+    """(id, depth, path) of categories (id, parent_id, name), as deep as they go: names from the root down; orphans are
+    roots. Categories in a cycle or below one have no root and no row: category_cycles reports them. levels: only those
+    of so many upper levels."""
+    rooted = _climbed(categories, paths=False).filter("up is null").select(F.col("id").alias("_id"), F.col("n").alias("_n")).distinct()
+    rooted = rooted if levels is None else rooted.filter(F.col("_n") <= levels)
+    inside = categories.join(rooted, F.col("id") == F.col("_id"), "left_semi")
+    found = _climbed(inside, paths=True)
+    return found.select("id", (F.col("n") - 1).cast("int").alias("depth"), "path")
+
+
+def category_cycles(categories: DataFrame) -> DataFrame:
+    """(id, on_cycle) of categories that no root is above: those on a cycle, and those below one."""
+    lost = _climbed(categories, paths=False).filter("up is not null")
+    # A walk of more steps than there are categories ends on a cycle, and from its own categories on any of them.
+    ends = lost.select(F.col("up").alias("_end"), F.lit(True).alias("_hit")).distinct()
+    return lost.join(ends, F.col("id") == F.col("_end"), "left").select("id", F.coalesce("_hit", F.lit(False)).alias("on_cycle"))
 
 
 def substitute_markers(texts: DataFrame, verses: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -337,6 +337,29 @@ def category_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.category_paths(region.unionByName(nation).unionByName(supplier), 3).select("path", "depth")
 
 
+@query(
+    """SELECT c_custkey AS id, CAST(c_custkey % 1000 AS INTEGER) AS depth,
+md5(string_agg(c_name, ' / ') OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey)) AS path_md5 FROM customer"""
+)
+def deep_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in chains of a thousand, each below the one before."""
+    key = F.col("c_custkey")
+    chains = table(spark, sf_dir, "customer").select(key.alias("id"), F.when(key % 1000 > 0, key - 1).alias("parent_id"), F.col("c_name").alias("name"))
+    return graph.category_paths(chains).select("id", "depth", F.md5("path").alias("path_md5"))
+
+
+@query("SELECT c_custkey AS id, c_custkey % 50 < 5 AS on_cycle FROM customer WHERE c_custkey // 50 % 2 = 1 AND c_custkey // 50 < (SELECT max(c_custkey) // 50 FROM customer)")
+def category_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in blocks of fifty: in every other block the first five stand in a cycle, and the others below it."""
+    key, nth = F.col("c_custkey"), F.col("c_custkey") % 50
+    whole = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit(1).alias("one"))
+    last = whole.agg(F.floor(F.max("c_custkey") / 50).alias("last"))
+    cyclic = (F.floor(key / 50) % 2 == 1) & (F.floor(key / 50) < F.col("last"))
+    parent = F.when(cyclic & (nth < 5), key - nth + (nth + 1) % 5).when(nth > 0, key - 1)
+    nodes = whole.join(F.broadcast(last)).select(key.alias("id"), parent.alias("parent_id"), F.col("c_name").alias("name"))
+    return graph.category_cycles(nodes)
+
+
 @query("SELECT l_orderkey AS src, l_suppkey AS dst FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
 def missing_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_suppkey").alias("dst"), F.lit("SUPPLIED").alias("type"))

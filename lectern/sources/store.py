@@ -22,3 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
 def table_path(spark: SparkSession, name: str) -> str:
     """A new path for a written table."""
     return f"{shared_folder(spark).rstrip('/')}/lectern/{name}-{uuid.uuid4().hex}"
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing still to be computed reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
