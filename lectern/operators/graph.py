@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lectern.functions.edits import variants
 from lectern.functions.text import to_western_digits
 from lectern.operators.index import Index
 from lectern.operators.keyword import bm25_scores, top_k
@@ -85,12 +86,6 @@ def mentions_of(entities: DataFrame, mentions: DataFrame) -> DataFrame:
     return entities.join(mentions.groupBy("id").agg(F.array_sort(F.collect_set(item)).alias("mentioned_in")), "id", "left")
 
 
-def _without_one(s: Column) -> Column:
-    """A string's variants with one character deleted."""
-    places = F.sequence(F.lit(1), F.length(s))
-    return F.when(F.length(s) > 0, F.transform(places, lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))).otherwise(F.array().cast("array<string>"))
-
-
 def near_duplicate_ids(ids: DataFrame, id_column: str = "id", edits: int = 2) -> DataFrame:
     """(a, b) of ids prefix:slug with one prefix whose slugs contain one another or are within `edits`.
 
@@ -99,11 +94,7 @@ def near_duplicate_ids(ids: DataFrame, id_column: str = "id", edits: int = 2) ->
     text, so that work grows with slugs and what they share, however many ids have a prefix.
     """
     parts = ids.select(F.col(id_column).alias("id"), F.split_part(id_column, F.lit(":"), F.lit(1)).alias("prefix"), F.split_part(id_column, F.lit(":"), F.lit(2)).alias("slug")).distinct()
-    variants, last = F.array("slug"), F.array("slug")
-    for _ in range(edits):
-        last = F.array_distinct(F.flatten(F.transform(last, _without_one)))
-        variants = F.array_union(variants, last)
-    keyed = parts.select("id", "prefix", "slug", F.explode(variants).alias("key"))
+    keyed = parts.select("id", "prefix", "slug", F.explode(variants(F.col("slug"), edits)).alias("key"))
     side = lambda df, x: df.select("prefix", "key", F.col("id").alias(x), F.col("slug").alias(f"slug_{x}"))
     close = side(keyed, "a").join(side(keyed, "b"), ["prefix", "key"]).filter("a < b").filter(F.levenshtein("slug_a", "slug_b", edits) >= 0).select("a", "b")
     size = F.length("slug")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from lectern.functions.edits import word_variants
 from lectern.functions.text import fold_for_search
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,9 @@ def analyze(text: Column | str, stop_words: list[str] | None = None) -> Column:
     return F.filter(terms, lambda t: ~t.isin(stop_words))
 
 
+#: Edits that fuzzy terms may be apart at most.
+MOST_EDITS = 2
+
 #: Terms up to which a lookup in a stored index names them, so that row groups without any are left out.
 MAX_NAMED_TERMS = 2000
 
@@ -37,7 +41,7 @@ class Index:
     """Analysed documents: doc_id, terms (array in order), dl (their number), and columns to filter by.
 
     A stored index has documents without terms, and the tables that write() made: postings (term, doc_id, dl, tf,
-    positions) sorted by term, terms (term, df, size), and one row of stats (n_docs, avgdl).
+    positions) sorted by term, terms (term, df, size), variants (variant, term), and one row of stats (n_docs, avgdl).
     """
 
     docs: DataFrame
@@ -51,19 +55,26 @@ class Index:
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> Index:
         """An index that write() made."""
-        return cls(spark.read.parquet(f"{path}/documents"), {t: spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "stats")})
+        return cls(spark.read.parquet(f"{path}/documents"), {t: spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "variants", "stats")})
+
+    def write(self, path: str, buckets: int | None = None, words: bool = False) -> None:
+        """The index as tables, see write_tables; words: documents keep their distinct terms."""
+        docs = self.docs.withColumn("words", F.array_distinct("terms")) if words else self.docs
+        self.write_tables(path, self.places(), docs.drop("terms"), buckets)
+        docs.sparkSession.read.parquet(f"{path}/documents").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl")).write.parquet(f"{path}/stats")
 
-    def write(self, path: str, buckets: int | None = None) -> None:
+    @staticmethod
+    def write_tables(path: str, places: DataFrame, docs: DataFrame, buckets: int | None = None) -> None:
         """Postings with positions, in ranges of terms and sorted by term, so that a term's rows are found by the
-        statistics of row groups; terms; documents; and the corpus's statistics."""
-        places = self.places()
+        statistics of row groups; terms; the terms' variants, sorted likewise; and documents."""
+        spark = docs.sparkSession
         places = places.repartitionByRange(buckets, "term", "doc_id") if buckets else places.repartitionByRange("term", "doc_id")
         places.sortWithinPartitions("term", "doc_id").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/postings")
-        postings = self.docs.sparkSession.read.parquet(f"{path}/postings")
-        terms = postings.groupBy("term").agg(F.count("*").alias("df")).withColumn("size", F.length("term"))
+        terms = spark.read.parquet(f"{path}/postings").groupBy("term").agg(F.count("*").alias("df")).withColumn("size", F.length("term"))
         terms.repartitionByRange("size", "term").sortWithinPartitions("size", "term").write.parquet(f"{path}/terms")
-        self.docs.drop("terms").write.parquet(f"{path}/documents")
-        self.docs.sparkSession.read.parquet(f"{path}/documents").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl")).write.parquet(f"{path}/stats")
+        variants = spark.read.parquet(f"{path}/terms").select(F.explode(word_variants(F.col("term"), MOST_EDITS)).alias("variant"), "term")
+        variants.repartitionByRange("variant", "term").sortWithinPartitions("variant", "term").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/variants")
+        docs.write.parquet(f"{path}/documents")
 
     def where(self, condition: Column | str) -> Index:
         """Hits are limited to these documents, but so are the statistics: filter results where those should stay."""
@@ -98,14 +109,21 @@ class Index:
         each = each if terms is None else each.join(terms, "term", "left_semi")
         return each.groupBy("term").agg(F.count("*").alias("df"))
 
+    def variants(self, wanted: DataFrame | None = None) -> DataFrame:
+        """(variant, term) of the index's terms, of some variants (variant) or all."""
+        if self.stored:
+            return self._named("variants", wanted, "variant")
+        each = self.term_stats().select(F.explode(word_variants(F.col("term"), MOST_EDITS)).alias("variant"), "term")
+        return each if wanted is None else each.join(wanted, "variant", "left_semi")
+
     def corpus_stats(self) -> DataFrame:
         """One row: documents, and their mean length."""
         return self.stored["stats"] if self.stored else self.docs.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
 
-    def _named(self, table: str, terms: DataFrame | None) -> DataFrame:
-        """Rows of a stored table, of some terms: named in the scan's filter while they are few."""
+    def _named(self, table: str, wanted: DataFrame | None, column: str = "term") -> DataFrame:
+        """Rows of a stored table, of some terms or variants: named in the scan's filter while they are few."""
         rows = self.stored[table]
-        if terms is None:
+        if wanted is None:
             return rows
-        named = [r["term"] for r in terms.limit(MAX_NAMED_TERMS + 1).collect()]
-        return rows.join(terms, "term", "left_semi") if len(named) > MAX_NAMED_TERMS else rows.filter(F.col("term").isin(named))
+        named = [r[0] for r in wanted.select(column).limit(MAX_NAMED_TERMS + 1).collect()]
+        return rows.join(wanted.select(column), column, "left_semi") if len(named) > MAX_NAMED_TERMS else rows.filter(F.col(column).isin(named))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from lectern.functions.edits import PREFIX, alignment, word_variants
+from lectern.functions.highlights import highlight  # noqa: F401
 from lectern.functions.text import col
-from lectern.operators.index import Index
+from lectern.operators.index import MOST_EDITS, Index
+from lectern.sources.store import table_path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,23 +87,35 @@ def edits_allowed(term: Column) -> Column:
 
 
 def fuzzy_terms(index: Index, queries: DataFrame) -> DataFrame:
-    """(qid, term, query_term, edits): index terms near to each query term.
+    """(qid, term, query_term, edits): index terms near to each query term, where a swap of neighbours is one edit.
 
-    The vocabulary, not the documents, meets the query terms; lengths that differ by over two never do.
+    Both sides meet by their variants with letters deleted: those of the index's terms are stored, so that a query term
+    reads a few dozen ranges of them, and only terms that share one are compared.
     """
-    wanted = query_terms(queries).select("qid", F.col("term").alias("query_term")).withColumn("most", edits_allowed(F.col("query_term")))
-    near = wanted.withColumn("size", F.explode(F.sequence(F.greatest(F.length("query_term") - F.col("most"), F.lit(1)), F.length("query_term") + F.col("most"))))
-    vocabulary = index.stored["terms"].select("term", "size") if index.stored else index.term_stats().select("term", F.length("term").alias("size"))
-    edits = F.levenshtein("term", "query_term")
-    return vocabulary.join(near, "size").withColumn("edits", edits).filter("edits <= most").select("qid", "term", "query_term", "edits")
+    wanted = query_terms(queries).select("qid", F.col("term").alias("query_term"))
+    each = wanted.select("query_term").distinct().withColumn("most", edits_allowed(F.col("query_term")))
+    shared = F.when(F.col("most") == 0, F.array(F.substring("query_term", 1, PREFIX)))
+    for n in range(1, MOST_EDITS + 1):
+        shared = shared.when(F.col("most") == n, word_variants(F.col("query_term"), n))
+    asked = each.select("query_term", "most", F.explode(shared).alias("variant"))
+    met = index.variants(asked.select("variant").distinct()).join(asked, "variant").select("query_term", "most", "term").distinct()
+    apart = F.abs(F.length("term") - F.length("query_term")) <= F.col("most")
+    near = met.filter(apart).withColumn("edits", alignment(F.col("term"), F.col("query_term"))).filter("edits <= most")
+    if index.stored:  # variants may be of terms that no document has any more
+        near = near.join(index.term_stats(near.select("term").distinct()).select("term"), "term", "left_semi")
+    return wanted.join(near, "query_term").select("qid", "term", "query_term", "edits")
 
 
 def fuzzy_scores(index: Index, queries: DataFrame) -> DataFrame:
-    """(qid, doc_id, score): BM25 over near terms, each weighted by 1 - edits / its query term's length."""
+    """(qid, doc_id, score): BM25 over near terms, each weighted by 1 - edits / its query term's length.
+
+    Near terms are written once, as both their statistics and their postings ask for them.
+    """
     near = fuzzy_terms(index, queries)
     weight = 1 - F.col("edits") / F.length("query_term")
-    near = near.groupBy("qid", "term").agg(F.max(weight).alias("weight"))
-    return _scored(index, near)
+    path = table_path(index.docs.sparkSession, "near")
+    near.groupBy("qid", "term").agg(F.max(weight).alias("weight")).write.parquet(path)
+    return _scored(index, index.docs.sparkSession.read.parquet(path))
 
 
 def with_fuzzy_fallback(index: Index, queries: DataFrame) -> DataFrame:
@@ -137,13 +152,3 @@ def contains_text(c: Column | str, text: str) -> Column:
 
 def snippet(text: Column | str, size: int = 300) -> Column:
     return F.substring(col(text), 1, size)
-
-
-def highlight(text: Column | str, terms: list[str], size: int = 200) -> Column:
-    """The window of `size` characters around the first term, with each term marked; null if there is none."""
-    import re
-
-    either = "(?i)(?<![\\p{L}\\p{N}_])(" + "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True)) + ")(?![\\p{L}\\p{N}_])"
-    at = F.regexp_instr(col(text), F.lit(either))
-    start = F.greatest(at - size // 4, F.lit(1))
-    return F.when(at > 0, F.regexp_replace(F.substring(col(text), start, F.lit(size)), either, "<mark>$1</mark>"))

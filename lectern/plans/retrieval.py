@@ -5,9 +5,10 @@ from __future__ import annotations
 from lectern.operators import fusion, graph, keyword, search, vector
 from lectern.operators.index import Index
 from lectern.operators.query import SearchParams, parse_query, query_parts, query_rules
+from lectern.operators.segments import SegmentedIndex
 from lectern.operators.vector_index import VectorIndex
 from lectern.plans.registry import query, table
-from lectern.sources.store import table_path
+from lectern.sources.store import fingerprint, table_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +48,8 @@ def _bm25(queries: dict[str, str]) -> str:
     return _BM25.replace("@queries", _values(queries))
 
 
-#: Paths of stored indexes by session and table: an index is written by the first query that asks for it.
-_stored: dict[tuple[str, str], str] = {}
+#: Stored indexes by session and table, with the fingerprint of the documents that they hold.
+_stored: dict[tuple[str, str], tuple[SegmentedIndex, tuple]] = {}
 
 
 def documents_index(spark: SparkSession, sf_dir: str) -> Index:
@@ -56,13 +57,15 @@ def documents_index(spark: SparkSession, sf_dir: str) -> Index:
 
 
 def stored_index(spark: SparkSession, sf_dir: str) -> Index:
-    """The documents' index as tables, which stays for the session."""
+    """The documents' index as tables, which stays for the session: the first query that asks for it writes it, and one
+    that finds the documents' files changed brings it up to date."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        path = table_path(spark, "index")
-        documents_index(spark, sf_dir).write(path)
-        _stored[key] = path
-    return Index.read(spark, _stored[key])
+    found = fingerprint(spark, f"{sf_dir}/documents.parquet")
+    index, held = _stored.get(key) or (SegmentedIndex(spark, table_path(spark, "index"), keep=["lang"]), None)
+    if held != found:
+        index.sync(table(spark, sf_dir, "documents"))
+        _stored[key] = index, found
+    return index.index()
 
 
 def queries_table(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
@@ -115,12 +118,14 @@ def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_TOKENS}, v AS (SELECT DISTINCT unnest(terms) AS term FROM tok),
-q AS (SELECT * FROM (VALUES ('quelle'), ('wher'), ('the')) t(query_term))
-SELECT term, query_term, CAST(levenshtein(translate(term, 'éèêçüöäßñóíáú', 'ABCDEFGHIJKLM'), query_term) AS INTEGER) AS edits FROM v, q
-WHERE levenshtein(translate(term, 'éèêçüöäßñóíáú', 'ABCDEFGHIJKLM'), query_term) <= CASE WHEN length(query_term) <= 2 THEN 0 WHEN length(query_term) <= 5 THEN 1 ELSE 2 END"""
+q AS (SELECT * FROM (VALUES ('quelle'), ('wher'), ('the'), ('whcih'), ('teh'), ('al'), ('pcoa'), ('dnas')) t(query_term)),
+d AS (SELECT term, query_term, CAST(damerau_levenshtein(translate(term, 'éèêçüöäßñóíáú', 'ABCDEFGHIJKLM'), query_term) AS INTEGER) AS edits FROM v, q)
+SELECT term, query_term, edits FROM d WHERE edits <= CASE WHEN length(query_term) <= 2 THEN 0 WHEN length(query_term) <= 5 THEN 1 ELSE 2 END"""
 )
 def fuzzy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyword.fuzzy_terms(stored_index(spark, sf_dir), queries_table(spark, {"q": "quelle wher the"})).select("term", "query_term", "edits")
+    """Index terms near to words, some of them with two letters swapped."""
+    asked = queries_table(spark, {"q": "quelle wher the whcih teh al pcoa dnas"})
+    return keyword.fuzzy_terms(stored_index(spark, sf_dir), asked).select("term", "query_term", "edits")
 
 
 @query("SELECT doc_id, substr(text, 1, 300) AS snippet, regexp_replace(substr(text, 1, 300), '\\b(the|and)\\b', '<mark>\\1</mark>', 'g') AS marked FROM documents")
@@ -260,19 +265,38 @@ def parsed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "turn", F.array_join("p.phrases", "|").alias("phrases"), F.array_join("p.terms", " ").alias("terms"), "r.*")
 
 
-_EDGE = r"[^\p{L}\p{N}_\x01\x02]"
-_MARKED = f"regexp_replace(@, '(^|{_EDGE})(?i:(the|and))({_EDGE}|$)', '\\1' || chr(1) || '\\2' || chr(2) || '\\3', 'g')"
+_WORD_CHARS = "A-Za-z0-9_\\p{L}\\p{M}\\p{N}"
+_FRAGMENTS = f"""WITH d AS (SELECT doc_id, @text AS text FROM documents),
+t AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(text, '[{_WORD_CHARS}]+|[^{_WORD_CHARS}]+'), lambda x: x <> '')) AS piece,
+    generate_subscripts(list_filter(regexp_extract_all(text, '[{_WORD_CHARS}]+|[^{_WORD_CHARS}]+'), lambda x: x <> ''), 1) AS i FROM d),
+p AS (SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    CASE WHEN @term IN (@terms) THEN @term END AS term FROM t),
+h AS (SELECT doc_id, start, start + length(piece) AS stop, term FROM p WHERE term IS NOT NULL),
+w AS (SELECT a.doc_id, greatest(a.start - 50, 0) AS low, count(DISTINCT b.term) AS n_terms, count(*) AS n_hits FROM h a JOIN h b ON a.doc_id = b.doc_id AND b.start >= greatest(a.start - 50, 0)
+    AND b.stop <= greatest(a.start - 50, 0) + 200 GROUP BY a.doc_id, a.start),
+best AS (SELECT doc_id, low FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n_terms DESC, n_hits DESC, low) = 1),
+out AS (SELECT doc_id, string_agg(CASE WHEN term IS NOT NULL AND start >= low AND start + length(piece) <= low + 200 THEN '<mark>' || piece || '</mark>'
+    ELSE substr(piece, CAST(greatest(low - start, 0) + 1 AS BIGINT), CAST(least(start + length(piece), low + 200) - greatest(start, low) AS BIGINT)) END, '' ORDER BY i) AS highlighted
+    FROM p JOIN best USING (doc_id) WHERE start < low + 200 AND start + length(piece) > low GROUP BY doc_id)
+SELECT doc_id, highlighted FROM d LEFT JOIN out USING (doc_id)"""
 
 
-@query(
-    f"""WITH d AS (SELECT doc_id, text, length(regexp_extract(' ' || text || ' ', '(?s)^(.*?[^\\p{{L}}\\p{{N}}_])(?i:the|and)[^\\p{{L}}\\p{{N}}_]', 1)) AS place FROM documents),
-w AS (SELECT doc_id, place, substr(text, greatest(place - 50, 1), 200) AS x FROM d)
-SELECT doc_id, CASE WHEN place > 0 THEN replace(replace({_MARKED.replace("@", _MARKED.replace("@", "x"))}, chr(1), '<mark>'), chr(2), '</mark>') END AS highlighted FROM w"""
-)
+def _fragment_sql(text: str, terms: list[str]) -> str:
+    return _FRAGMENTS.replace("@text", text).replace("@terms", ", ".join(f"'{t}'" for t in terms)).replace("@term", "lower(piece)")
+
+
+@query(_fragment_sql("text", ["the", "and"]))
 def highlighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", keyword.highlight("text", ["the", "and"]).alias("highlighted"))
 
 
+@query(_fragment_sql("CASE WHEN doc_id % 2 = 0 THEN translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE text END", ["of", "which", "pour", "dans", "der", "nicht", "para", "que"]))
+def highlighted_in_capitals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other text in capitals: the terms are met as the index has them, and marked as the text has them."""
+    shown = F.when(F.col("doc_id") % 2 == 0, F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", keyword.highlight(shown, ["of", "which", "pour", "dans", "der", "nicht", "para", "que"]).alias("highlighted"))
+
+
 _FIELDS = f"""
 WITH {_TOKENS}, src AS (SELECT doc_id, regexp_extract_all(lower(coalesce(source, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS terms FROM documents),
 f AS (SELECT 'text' AS field, 1.0::DOUBLE AS boost, * FROM tok UNION ALL SELECT 'source', 3.0::DOUBLE, * FROM src),
@@ -296,7 +320,7 @@ def best_of_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {_TOKENS}, st AS (SELECT count(*) AS n, avg(len(terms)) AS avgdl FROM tok), ex AS (SELECT doc_id, len(terms) AS dl, unnest(terms) AS term FROM tok),
 v AS (SELECT term, translate(term, 'éèêçüöäßñóíáú', 'ABCDEFGHIJKLM') AS t FROM (SELECT DISTINCT term FROM ex)),
-near AS (SELECT term, 1 - levenshtein(t, 'quellezq') / 8.0::DOUBLE AS weight FROM v WHERE levenshtein(t, 'quellezq') <= 2),
+near AS (SELECT term, 1 - damerau_levenshtein(t, 'quellezq') / 8.0::DOUBLE AS weight FROM v WHERE damerau_levenshtein(t, 'quellezq') <= 2),
 tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM ex JOIN near USING (term) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 bf AS (SELECT doc_id, dl, count(*) AS tf FROM ex WHERE term = 'que' GROUP BY ALL)
 SELECT 'far' AS qid, doc_id, round(sum(weight * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score, true AS fuzzy FROM tf JOIN df USING (term) JOIN near USING (term) CROSS JOIN st GROUP BY doc_id
@@ -412,3 +436,53 @@ def approximate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored index as it is meant to be used; tests hold its recall to 0.9."""
     index, queries = _vector_index(spark, sf_dir)
     return _found(index.nearest(queries, 10))
+
+
+_CHANGED = _BM25.replace(
+    _TOKENS,
+    """
+tok AS (
+    SELECT doc_id, regexp_extract_all(lower(CASE WHEN doc_id % 4 = 2 THEN coalesce(text, '') || ' the which' ELSE coalesce(text, '') END), '[\\p{L}\\p{M}\\p{N}_]+') AS terms
+    FROM documents WHERE doc_id % 8 <> 7
+)""",
+).replace("@queries", _values(QUERIES))
+
+
+def _changed_index(spark: SparkSession, sf_dir: str) -> SegmentedIndex:
+    """An index of three quarters of the documents; then the others are added, a quarter is changed, an eighth goes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    index = SegmentedIndex(spark, table_path(spark, "segments"), keep=["lang"])
+    index.upsert(docs.filter("doc_id % 4 <> 1"))
+    index.upsert(docs.filter("doc_id % 4 = 1"))
+    index.upsert(docs.filter("doc_id % 4 = 2").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" the which"))))
+    index.delete(docs.filter("doc_id % 8 = 7"))
+    return index
+
+
+def _bm25_of(index: Index, spark: SparkSession) -> DataFrame:
+    scores = keyword.bm25_scores(index, queries_table(spark, QUERIES))
+    found = keyword.top_k(scores.withColumn("score", F.round("score", 9)), 20)
+    return found.select("qid", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query(_CHANGED + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM rk WHERE rank <= 20")
+def bm25_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores over segments and deletions equal those of an index made anew."""
+    return _bm25_of(_changed_index(spark, sf_dir).index(), spark)
+
+
+@query(_CHANGED + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM rk WHERE rank <= 20")
+def bm25_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, once small segments are merged and what nothing names any more is deleted."""
+    index = _changed_index(spark, sf_dir)
+    index.compact()
+    index.vacuum()
+    return _bm25_of(index.index(), spark)
+
+
+@query(_BM25.replace("@queries", _values(QUERIES)) + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM rk WHERE rank <= 20")
+def bm25_after_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index brought back to what the documents are: changes, additions and deletions are found by comparison."""
+    index = _changed_index(spark, sf_dir)
+    index.sync(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return _bm25_of(index.index(), spark)

@@ -28,3 +28,14 @@ def delete_table(spark: SparkSession, path: str) -> None:
     """Delete a written table that nothing still to be computed reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of each file of a table: another tuple once the table was written again or added to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(target, True)
+    out = []
+    while found.hasNext():
+        s = found.next()
+        out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
