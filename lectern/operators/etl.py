@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from lectern.functions.parsing import split_footnotes, strip_footnote_marks, strip_trailing_headings
 from lectern.functions.text import fold_letters, strip_diacritics, to_western_digits
 from lectern.operators.catalog import first_per_group
-from lectern.operators.ranks import numbered
+from lectern.operators.ranks import before_part, joined_by_part, numbered, ranged
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,28 +53,54 @@ def unique_numbers(df: DataFrame, per: list[str], number: str, ordinal: str, nam
 
 
 def carry_forward(df: DataFrame, per: list[str], order: str, outer: Column, inner: Column) -> DataFrame:
-    """df with the last heading of each level at or before a row; a new outer heading clears the inner one."""
-    w = Window.partitionBy(*per).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("outer_heading", F.last(outer, ignorenulls=True).over(w)).withColumn("_section", F.count(outer).over(w))
-    inside = Window.partitionBy(*per, "_section").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return out.withColumn("inner_heading", F.last(F.when(outer.isNull(), inner), ignorenulls=True).over(inside)).drop("_section")
+    """df with the last heading of each level at or before a row; a new outer heading clears the inner one.
+
+    A group is scanned in parts: each is summed up by the headings that it leaves behind, which are carried over the
+    parts after it; then rows take what their own part has, or what was carried into it.
+    """
+    rows = ranged(df.withColumn("_outer", outer).withColumn("_inner", F.when(outer.isNull(), inner)), per, [order])
+    part = Window.partitionBy(*per, "_part").orderBy(order, "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_section", F.count("_outer").over(part)).withColumn("_own_outer", F.last("_outer", ignorenulls=True).over(part))
+    section = Window.partitionBy(*per, "_part", "_section").orderBy(order, "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_own_inner", F.last("_inner", ignorenulls=True).over(section))
+    place = F.struct(order, "_tie")
+    left = rows.groupBy(*per, "_part").agg(F.max_by("_own_outer", place).alias("_left_outer"), F.max_by("_own_inner", place).alias("_left_inner"))
+    left = left.withColumn("_run", F.count("_left_outer").over(Window.partitionBy(*per).orderBy("_part")))
+    into = before_part(left, per, _in_outer=lambda w: F.last("_left_outer", ignorenulls=True).over(w))
+    # The inner heading that comes in is the last one since the part with the last outer heading.
+    inner_of = left.groupBy(*per, "_run", "_part").agg(F.first("_left_inner").alias("_left_inner"))
+    upto = Window.partitionBy(*per, "_run").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    inner_of = inner_of.withColumn("_run_inner", F.last("_left_inner", ignorenulls=True).over(upto))
+    last_inner = before_part(inner_of, per, _in_inner=lambda w: F.last("_run_inner").over(w))
+    rows = joined_by_part(joined_by_part(rows, into, per, ["_in_outer"]), last_inner, per, ["_in_inner"])
+    out = rows.withColumn("outer_heading", F.coalesce("_own_outer", "_in_outer"))
+    out = out.withColumn("inner_heading", F.when(F.col("_section") > 0, F.col("_own_inner")).otherwise(F.coalesce("_own_inner", "_in_inner")))
+    return out.select(*df.columns, "outer_heading", "inner_heading")
 
 
 def group_short(df: DataFrame, per: list[str], order: str, words: Column, most: int = 5) -> DataFrame:
-    """df with group_id: a row of at most so many words joins the rows after it, up to the first longer one."""
-    whole = Window.partitionBy(*per)
-    closes = (words > most) | (F.col(order) == F.max(order).over(whole))
-    before = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_closes", closes.cast("int")).withColumn("group_id", F.coalesce(F.sum("_closes").over(before), F.lit(0))).drop("_closes")
+    """df with group_id: a row of at most so many words joins the rows after it, up to the first longer one. Groups are
+    scanned in parts: a row's number is what its part closes before it, and what earlier parts close."""
+    rows = ranged(df.withColumn("_long", (words > most).cast("int")), per, [order])
+    # The last row of a group closes as well.
+    last = rows.groupBy(*per).agg(F.max(order).alias("_last")).select(*(F.col(c).alias(f"_g_{c}") for c in per), "_last")
+    rows = rows.join(last, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in per], "left").withColumn("_closes", F.when(F.col(order) == F.col("_last"), 1).otherwise(F.col("_long")))
+    into = before_part(rows.groupBy(*per, "_part").agg(F.sum("_closes").alias("_closed")), per, _before=lambda w: F.sum("_closed").over(w))
+    part = Window.partitionBy(*per, "_part").orderBy(order, "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    out = joined_by_part(rows.withColumn("_own", F.sum("_closes").over(part)), into, per, ["_before"])
+    return out.select(*df.columns, (F.coalesce("_own", F.lit(0)) + F.coalesce("_before", F.lit(0))).alias("group_id"))
 
 
 def entries_from_lines(lines: DataFrame, per: list[str], order: str, line: str, heads: Column, least: int = 3) -> DataFrame:
     """(per, entry, headword, text, last): a line with a headword opens an entry, which later lines continue.
 
-    heads: the headword of a line, or null. Lines before the first headword, and entries under `least` characters, go.
+    heads: the headword of a line, or null; groups are scanned in parts. Lines before the first headword, and entries under `least` characters, go.
     """
-    w = Window.partitionBy(*per).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = lines.withColumn("_head", heads).withColumn("entry", F.count("_head").over(w)).filter("entry > 0")
+    rows = ranged(lines.withColumn("_head", heads), per, [order])
+    into = before_part(rows.groupBy(*per, "_part").agg(F.count("_head").alias("_heads")), per, _before=lambda w: F.sum("_heads").over(w))
+    part = Window.partitionBy(*per, "_part").orderBy(order, "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    counted = joined_by_part(rows.withColumn("_own", F.count("_head").over(part)), into, per, ["_before"])
+    numbered = counted.withColumn("entry", F.col("_own") + F.coalesce("_before", F.lit(0))).filter("entry > 0")
     rows = F.array_sort(F.collect_list(F.struct(order, line)))
     out = numbered.groupBy(*per, "entry").agg(F.max("_head").alias("headword"), F.array_join(F.transform(rows, lambda r: r[line]), "\n").alias("text"), F.max(order).alias("last"))
     return out.filter(F.length("text") >= least)
@@ -94,35 +120,103 @@ def page_at(positions: DataFrame, breaks: DataFrame, per: list[str]) -> DataFram
     return both.withColumn("page", F.last("page", ignorenulls=True).over(w)).filter("_kind = 1").drop("_kind")
 
 
+def _chunk_starts(sums: np.ndarray, budget: int) -> np.ndarray:
+    """Of each row, where the next chunk starts if one starts there; sums: of the sizes before each row, and of all."""
+    return np.maximum(np.arange(1, len(sums)), np.searchsorted(sums, sums[:-1] + budget, side="right") - 1)
+
+
+def _part_summary(sizes: np.ndarray, budget: int) -> tuple[list[int], list[int], list[int], list[int], int]:
+    """What a part does to the chunk that comes into it: (row, size before it, chunks from there on, size of the last) of
+    each row at which that chunk may have to close, by what it has used so far; and the size of all rows.
+
+    There are at most as many such rows as the budget has units, and the first row.
+    """
+    sums = np.append(0, np.cumsum(sizes))
+    m = len(sizes)
+    after, count, last = _chunk_starts(sums, budget), np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    for i in range(m - 1, -1, -1):
+        j = after[i]
+        count[i], last[i] = (1 + count[j], last[j]) if j < m else (1, sums[m] - sums[i])
+    rows = np.flatnonzero((sums <= budget) & (np.append(sums[1:], sums[-1] + 1) > sums))
+    rows = np.union1d([0], rows)
+    return rows.tolist(), sums[rows].tolist(), count[rows].tolist(), last[rows].tolist(), int(sums[m])
+
+
+def _composed(parts: list[tuple], budget: int) -> list[tuple[int, int]]:
+    """(chunk, size so far) that come into each part of a group, from those of the parts before it; the first starts."""
+    into, chunk, used = [], 0, None
+    for _, before, count, last, total in parts:
+        into.append((chunk, used))
+        if used is None:
+            chunk, used = count[0] - 1, last[0]
+            continue
+        at = max(0, int(np.searchsorted(before, budget - used, side="right")) - 1)
+        if count[at]:
+            chunk, used = chunk + count[at], last[at]
+        else:
+            used += total
+    return into
+
+
+def _cut_groups(rows: DataFrame, per: list[str], tokens: str, budget: int) -> DataFrame:
+    """(per, _part, _chunk, _used): what comes into the parts of those groups that lie in several.
+
+    Parts are ranges of the whole order, so that these are two for each part at most, besides those that one group fills.
+    """
+    sizes = rows.groupBy(*per, "_part").agg(F.count("*").alias("_n"))
+    several = sizes.withColumn("_parts", F.count("*").over(Window.partitionBy(*per))).filter("_parts > 1")
+    asked = joined_by_part(rows.select(*per, "_part", "_tie", "_order", F.coalesce(F.col(tokens), F.lit(0)).cast("long").alias("_size")), several, per, ["_parts"]).filter("_parts is not null").drop("_parts")
+    types = ", ".join(f"`{n}` {t}" for n, t in asked.dtypes if n in per)
+    keys = [*per, "_part"]
+
+    def summary(part: pa.Table) -> pa.Table:
+        sizes = part.sort_by([("_order", "ascending"), ("_tie", "ascending")])["_size"].to_numpy()
+        found = _part_summary(sizes, budget)
+        return pa.table({**{c: part[c][:1] for c in keys}, **{c: pa.array([x], pa.list_(pa.int64())) for c, x in zip(("_rows", "_before", "_count", "_last"), found, strict=False)}, "_total": [found[-1]]})
+
+    def compose(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_part")
+        parts = list(zip(*(group[c].to_pylist() for c in ("_rows", "_before", "_count", "_last", "_total")), strict=True))
+        into = _composed(parts, budget)
+        return pa.table({**{c: group[c] for c in keys}, "_chunk": pa.array([c for c, _ in into], pa.int64()), "_used": pa.array([u for _, u in into], pa.int64())})
+
+    lists = ", ".join(f"{c} array<long>" for c in ("_rows", "_before", "_count", "_last"))
+    summaries = asked.groupBy(*keys).applyInArrow(summary, f"{types}, _part int, {lists}, _total long")
+    return summaries.groupBy(*per).applyInArrow(compose, f"{types}, _part int, _chunk long, _used long")
+
+
 def budget_chunks(df: DataFrame, per: list[str], order: str, tokens: str, budget: int) -> DataFrame:
     """df with chunk, from 0: a chunk closes before the row that would take it over the budget.
 
-    What a row does depends on all before it, which no window expresses. Groups are sorted by Spark and pass through a
-    task in batches, which keeps the running chunk alone; ends of chunks are looked up in running sums.
+    What a row does depends on all before it, which no window expresses. Groups are scanned in parts. Of a group that
+    lies in several, each part is summed up by what it does to any chunk that may come into it, and these are composed;
+    then rows pass through tasks in order, each part from what comes into it.
     """
-    names = [c.name for c in df.schema]
+    rows = ranged(df.withColumn("_order", F.col(order)), per, [order])
+    rows = joined_by_part(rows, _cut_groups(rows, per, tokens, budget), per, ["_chunk", "_used"])
+    names, keys = [c.name for c in df.schema], [*per, "_part"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, chunk, used = None, 0, 0
         for batch in batches:
             n = batch.num_rows
+            if not n:
+                continue
             sizes = pc.fill_null(batch.column(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             sums = np.append(0, np.cumsum(sizes))
             new = np.zeros(n, bool)
-            for c in per:
+            for c in keys:
                 x = batch.column(c)
                 same = pc.fill_null(pc.equal(x[1:], x[:-1]), False).to_numpy(zero_copy_only=False) | (x.is_null()[1:].to_numpy(zero_copy_only=False) & x.is_null()[:-1].to_numpy(zero_copy_only=False))
                 new[1:] |= ~same
-            first = tuple(batch.column(c)[0].as_py() for c in per) if n else key
-            if n and first != key:
-                new[0] = True
+            new[0] = tuple(batch.column(c)[0].as_py() for c in keys) != key
             out, ends = np.empty(n, np.int64), [*np.flatnonzero(new[1:]) + 1, n]
             i = 0
             for end in ends:
-                if i < n and new[i]:
-                    chunk, used, opened = 0, 0, False
-                else:
-                    opened = True
+                opened = True
+                if new[i]:
+                    chunk, used = batch.column("_chunk")[i].as_py() or 0, batch.column("_used")[i].as_py()
+                    opened, used = used is not None, used or 0
                 while i < end:
                     # Rows up to j fit into the open chunk; a chunk takes one row at least.
                     j = int(np.searchsorted(sums[: end + 1], sums[i] + budget - used, side="right")) - 1
@@ -132,11 +226,10 @@ def budget_chunks(df: DataFrame, per: list[str], order: str, tokens: str, budget
                     j = max(j, i + 1)
                     out[i:j] = chunk
                     used, opened, i = used + int(sums[j] - sums[i]), True, j
-            if n:
-                key = tuple(batch.column(c)[n - 1].as_py() for c in per)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*names, "chunk"])
+            key = tuple(batch.column(c)[n - 1].as_py() for c in keys)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "chunk"])
 
-    grouped = df.repartition(*per).sortWithinPartitions(*per, order)
+    grouped = rows.repartition(*keys).sortWithinPartitions(*keys, "_order", "_tie")
     return grouped.mapInArrow(run, df.withColumn("chunk", F.lit(0).cast("long")).schema)
 
 

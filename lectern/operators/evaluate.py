@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.operators.ranks import with_part
+from lectern.operators.ranks import ranged
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +54,7 @@ def latency(df: DataFrame, per: str, value: str, share: float = 0.95) -> DataFra
 
     Equal values are counted first, in each task; then values are added up in parts of a group.
     """
-    counted = with_part(df.groupBy(per, value).agg(F.count("*").alias("_c")), [per], value)
+    counted = ranged(df.groupBy(per, value).agg(F.count("*").alias("_c")), [per], [value])
     sizes = counted.groupBy(per, "_part").agg(F.sum("_c").alias("_n"))
     group = Window.partitionBy(per)
     before = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from lectern.functions.edits import variants
 from lectern.functions.text import to_western_digits
 from lectern.operators.index import Index
 from lectern.operators.keyword import bm25_scores, top_k
@@ -86,22 +85,76 @@ def mentions_of(entities: DataFrame, mentions: DataFrame) -> DataFrame:
     return entities.join(mentions.groupBy("id").agg(F.array_sort(F.collect_set(item)).alias("mentioned_in")), "id", "left")
 
 
+#: Letters of the grams by which a slug is looked for in others.
+GRAM = 3
+
+
+def _grams(s: Column, sizes: list[int]) -> Column:
+    """Distinct substrings of so many letters."""
+
+    def of_size(n: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.length(s) - n + 1), lambda i: F.substring(s, i, F.lit(n)))
+        return F.when(F.length(s) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*(of_size(n) for n in sizes)))
+
+
+def containing(parts: DataFrame) -> DataFrame:
+    """(a, b) of rows (id, prefix, slug) of which a's slug contains b's, under one prefix.
+
+    A slug is looked for by the one of its grams that fewest others have: only those that hold it are searched. Work
+    grows with the slugs' lengths and with what their rarest grams share. Slugs shorter than a gram are grams of their
+    own length; an empty one is in all.
+    """
+    held = parts.select("id", "prefix", "slug", F.explode(F.array_union(F.array(F.lit("")), _grams(F.col("slug"), list(range(1, GRAM + 1))))).alias("gram"))
+    spread = held.groupBy("prefix", "gram").agg(F.count("*").alias("n"))
+    own = F.when(F.length("slug") >= GRAM, _grams(F.col("slug"), [GRAM])).otherwise(F.array("slug"))
+    needles = parts.select("id", "prefix", "slug", F.explode(own).alias("gram")).join(spread, ["prefix", "gram"])
+    needles = needles.groupBy("id", "prefix", "slug").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    needles = needles.select(F.col("id").alias("b"), "prefix", F.col("slug").alias("inner"), "gram")
+    found = held.select(F.col("id").alias("a"), "prefix", F.col("slug").alias("outer"), "gram").join(needles, ["prefix", "gram"])
+    return found.filter(F.col("a") != F.col("b")).filter(F.contains("outer", "inner")).select("a", "b")
+
+
+def within_edits(parts: DataFrame, edits: int = 2) -> DataFrame:
+    """(a, b), each twice, of rows (id, prefix, slug) whose slugs are within `edits` of one another, under one prefix.
+
+    A slug is cut into edits + 1 segments: one of them stands unchanged in any slug so near, at most `edits` places from
+    its own. Each slug thus has edits + 1 rows as one of the pair, and some dozens as the other, however long it is.
+    """
+    size, n = F.length("slug"), edits + 1
+
+    def segment(length: Column, i: int) -> tuple[Column, Column]:
+        """Where the i-th segment of a slug of some length begins, and its length: later ones take what is left over."""
+        base, more = F.call_function("div", length, F.lit(n)), F.greatest(length % n - (n - i), F.lit(0))
+        return (base * i + more).cast("int"), (base + (length % n >= n - i).cast("int")).cast("int")
+
+    listed = []
+    for i in range(n):
+        start, long = segment(size, i)
+        listed.append(F.struct(F.lit(i).alias("i"), F.substring("slug", start + 1, long).alias("text")))
+    cut = parts.select(F.col("id").alias("a"), "prefix", F.col("slug").alias("_a"), size.alias("size"), F.explode(F.array(*listed)).alias("s")).select("a", "prefix", "_a", "size", "s.*")
+    lengths = parts.select("id", "prefix", "slug", F.explode(F.sequence(F.greatest(size - edits, F.lit(0)), size)).alias("size"))
+    tried = []
+    for i in range(n):
+        start, long = segment(F.col("size"), i)
+        for shift in range(-edits, edits + 1):
+            inside = (start + shift >= 0) & (start + shift + long <= size)
+            tried.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.substring("slug", start + shift + 1, long).alias("text"))))
+    probes = lengths.select(F.col("id").alias("b"), "prefix", F.col("slug").alias("_b"), "size", F.explode(F.array_distinct(F.array_compact(F.array(*tried)))).alias("s")).select("b", "prefix", "_b", "size", "s.*")
+    met = cut.join(probes, ["prefix", "size", "i", "text"]).filter(F.col("a") != F.col("b")).select("a", "b", "_a", "_b").distinct()
+    near = met.filter(F.levenshtein("_a", "_b", edits) >= 0)
+    return near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+
+
 def near_duplicate_ids(ids: DataFrame, id_column: str = "id", edits: int = 2) -> DataFrame:
     """(a, b) of ids prefix:slug with one prefix whose slugs contain one another or are within `edits`.
 
-    No prefix is paired with itself: slugs within n edits of one another share a variant with at most n characters
-    deleted, and a slug within another is one of its substrings. Both are lists of a slug's own, joined by prefix and
-    text, so that work grows with slugs and what they share, however many ids have a prefix.
+    No prefix is paired with itself: slugs meet by segments and by rare grams, however many ids have a prefix.
     """
     parts = ids.select(F.col(id_column).alias("id"), F.split_part(id_column, F.lit(":"), F.lit(1)).alias("prefix"), F.split_part(id_column, F.lit(":"), F.lit(2)).alias("slug")).distinct()
-    keyed = parts.select("id", "prefix", "slug", F.explode(variants(F.col("slug"), edits)).alias("key"))
-    side = lambda df, x: df.select("prefix", "key", F.col("id").alias(x), F.col("slug").alias(f"slug_{x}"))
-    close = side(keyed, "a").join(side(keyed, "b"), ["prefix", "key"]).filter("a < b").filter(F.levenshtein("slug_a", "slug_b", edits) >= 0).select("a", "b")
-    size = F.length("slug")
-    inside = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda k: F.substring("slug", i, k))))
-    held = parts.select("id", "prefix", F.explode(F.array_union(F.array(F.lit("")), F.when(size > 0, inside).otherwise(F.array(F.lit(""))))).alias("key"))
-    within = held.withColumnRenamed("id", "x").join(parts.select("prefix", F.col("slug").alias("key"), F.col("id").alias("y")), ["prefix", "key"]).filter("x <> y")
-    return close.unionByName(within.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+    both = within_edits(parts, edits).unionByName(containing(parts))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def missing_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.functions import morphology as M
 from lectern.functions.text import DIACRITICS, fold_hamza, has_diacritics, normalize_lexical, normalize_vocalized
+from lectern.sources.store import table_path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,22 +30,20 @@ IMPERFECT_FORMS = [
 ALL_FORMS = VERB_FORMS + NOUN_FORMS + IMPERFECT_FORMS
 
 
-def _step(tier: str, confidence: str, mode: str, candidates: Column, condition: Column | None = None) -> Column:
-    listed = candidates if condition is None else F.when(condition, candidates)
-    return F.struct(F.lit(tier).alias("tier"), F.lit(confidence).alias("confidence"), F.lit(mode).alias("mode"), listed.alias("candidates"))
+def _step(tier: str, confidence: str, mode: str, form: Column, condition: Column | None = None) -> Column:
+    """A step that tries a form: as a known word, as what its own letters may stand for, by its pattern, or as a guess."""
+    tried = form if condition is None else F.when(condition, form)
+    return F.struct(F.lit(tier).alias("tier"), F.lit(confidence).alias("confidence"), F.lit(mode).alias("mode"), tried.alias("form"))
 
 
-def _verb_steps(word: Column, with_patterns: bool) -> Column:
+def _verb_steps(stems: Column, with_patterns: bool) -> Column:
     """Steps of each imperfect stem in turn: as a root if it has three letters, as a word, and as a pattern."""
 
     def steps(stem: Column) -> Column:
-        three = _step("verb_stem", "medium", "root", M.weak_roots(stem), F.length(stem) == 3)
-        found = [three, _step("verb_stem", "medium", "word", F.array(stem))]
-        if with_patterns:
-            found.append(_step("verb_stem", "medium", "root", M.weak_roots(M.extract_root(stem))))
-        return F.array(*found)
+        found = [_step("verb_stem", "medium", "letters", stem, F.length(stem) == 3), _step("verb_stem", "medium", "word", stem)]
+        return F.array(*found, *([_step("verb_stem", "medium", "pattern", stem)] if with_patterns else []))
 
-    return F.flatten(F.transform(M.imperfect_stems(word), steps))
+    return F.flatten(F.transform(stems, steps))
 
 
 def resolve_roots(words: DataFrame, word_roots: DataFrame, roots: DataFrame) -> DataFrame:
@@ -53,41 +52,44 @@ def resolve_roots(words: DataFrame, word_roots: DataFrame, roots: DataFrame) ->
     word_roots (word, root) lists known words' roots; roots (root) is what counts as a root. The steps are those of a
     careful reader: the word itself, then without article, stemmed, as a verb, by its pattern, stemmed and by pattern;
     a carrier of hamza is tried as alef first. If none is known, the pattern's guess is given with low confidence.
-    All steps of all words are candidates of one table, which meets each lookup table in one join.
+
+    Steps name forms alone. All words' distinct forms are written, and each is read by its letters and by its pattern
+    once, however many words and steps name it; then steps meet what their forms may be.
     """
+    spark = words.sparkSession
     w = words.select("word").distinct()
-    normal, bare = normalize_lexical("word"), fold_hamza(normalize_lexical("word"))
-    w = w.select("word", normal.alias("n"), bare.alias("h"), M.strip_article("word").alias("s"), M.light_stem("word").alias("m"), M.light_stem(bare).alias("hm"))
+    bare = fold_hamza(normalize_lexical("word"))
+    w = w.select("word", normalize_lexical("word").alias("n"), bare.alias("h"), M.strip_article("word").alias("s"), M.light_stem("word").alias("m"), M.light_stem(bare).alias("hm"))
     n, h, s, m, hm = (F.col(c) for c in ("n", "h", "s", "m", "hm"))
-    hamza = h != n
+    hamza, no_step = h != n, F.array().cast("array<struct<tier:string,confidence:string,mode:string,form:string>>")
     steps = F.concat(
+        F.array(_step("direct", "high", "word", n), _step("stripped", "high", "word", s, s != n)),
+        F.when(hamza, _verb_steps(M.imperfect_stems(h), False)).otherwise(no_step),
+        F.array(_step("stemmed", "medium", "word", hm, hamza & (hm != n)), _step("stemmed", "medium", "word", m, (m != n) & (m != s))),
+        _verb_steps(M.imperfect_stems(n), True),
         F.array(
-            _step("direct", "high", "word", F.array(n)),
-            _step("stripped", "high", "word", F.array(s), s != n),
-        ),
-        F.when(hamza, _verb_steps(h, False)).otherwise(F.array().cast("array<struct<tier:string,confidence:string,mode:string,candidates:array<string>>>")),
-        F.array(
-            _step("stemmed", "medium", "word", F.array(hm), hamza & (hm != n)),
-            _step("stemmed", "medium", "word", F.array(m), (m != n) & (m != s)),
-        ),
-        _verb_steps(n, True),
-        F.array(
-            _step("pattern", "medium", "root", M.weak_roots(M.extract_root(n))),
-            _step("pattern", "medium", "root", M.weak_roots(M.extract_root(s))),
-            _step("pattern", "medium", "root", M.weak_roots(M.extract_root(h)), hamza),
-            _step("stem_pattern", "low", "root", M.weak_roots(M.extract_root(m)), m != n),
+            _step("pattern", "medium", "pattern", n),
+            _step("pattern", "medium", "pattern", s),
+            _step("pattern", "medium", "pattern", h, hamza),
+            _step("stem_pattern", "low", "pattern", m, m != n),
+            *(_step("pattern", "low", "guess", x) for x in (n, s, m)),
         ),
     )
-    guess = F.coalesce(M.extract_root(n), M.extract_root(s), M.extract_root(m))
-    tried = w.select("word", F.posexplode(steps).alias("step", "s")).select("word", "step", "s.*")
-    tried = tried.select("word", "step", "tier", "confidence", "mode", F.posexplode("candidates").alias("place", "candidate"))
-    by_word = tried.filter("mode = 'word'").join(word_roots.select(F.col("word").alias("candidate"), "root"), "candidate")
-    by_root = tried.filter("mode = 'root'").join(roots.select(F.col("root").alias("candidate")).distinct(), "candidate", "left_semi").withColumn("root", F.col("candidate"))
-    columns = ["word", "step", "tier", "confidence", "root"]
-    guessed = w.select("word", F.lit(1 << 20).alias("step"), F.lit("pattern").alias("tier"), F.lit("low").alias("confidence"), guess.alias("root")).filter("root is not null")
-    found = by_word.select(columns).unionByName(by_root.select(columns)).unionByName(guessed)
-    first = found.withColumn("_first", F.min("step").over(Window.partitionBy("word"))).filter("step = _first")
-    return first.select("word", "root", "confidence", "tier").distinct()
+    path = table_path(spark, "steps")
+    w.select("word", F.posexplode(steps).alias("step", "s")).select("word", "step", "s.*").filter("form is not null").write.parquet(path)
+    tried = spark.read.parquet(path)
+    forms, known = tried.filter("mode <> 'word'").select("form").distinct(), roots.select(F.col("root").alias("candidate")).distinct()
+    by_pattern = table_path(spark, "forms")
+    forms.withColumn("root", M.extract_root("form")).write.parquet(by_pattern)
+    read = spark.read.parquet(by_pattern)
+    letters = tried.filter("mode = 'letters'").select("form").distinct().select("form", F.lit("letters").alias("mode"), F.explode(M.weak_roots("form")).alias("candidate"))
+    patterns = read.filter("root is not null").select("form", F.lit("pattern").alias("mode"), F.explode(M.weak_roots("root")).alias("candidate"))
+    held = letters.unionByName(patterns).join(known, "candidate", "left_semi").withColumnRenamed("candidate", "root")
+    held = held.unionByName(word_roots.select(F.col("word").alias("form"), F.lit("word").alias("mode"), "root"))
+    held = held.unionByName(read.filter("root is not null").select("form", F.lit("guess").alias("mode"), "root"))
+    found = tried.join(held, ["form", "mode"]).select("word", "step", "tier", "confidence", "root")
+    first = found.groupBy("word").agg(F.min("step").alias("step"))
+    return found.join(first, ["word", "step"]).select("word", "root", "confidence", "tier").distinct()
 
 
 def lookup(words: DataFrame, entries: DataFrame, sub_entries: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
@@ -111,14 +113,10 @@ def lookup(words: DataFrame, entries: DataFrame, sub_entries: DataFrame, resolve
     tried = w.select("word", F.explode(keys).alias("k")).select("word", "k.*").filter("key is not null")
     if resolved is not None:
         tried = tried.unionByName(resolved.select("word", F.lit(3).alias("tier"), F.lit("root").alias("how"), F.col("root").alias("key")).distinct())
-    ways = F.array(
-        F.struct(F.lit("vocalized").alias("how"), F.col("vocalized").alias("key")),
-        F.struct(F.lit("exact").alias("how"), F.col("plain").alias("key")),
-        F.struct(F.lit("stripped").alias("how"), F.col("plain").alias("key")),
-        F.struct(F.lit("root").alias("how"), F.col("root").alias("key")),
-    )
-    keyed = all_entries.withColumn("w", F.explode(ways)).select("kind", "precision", "entry_id", "source", "headword", "definition", F.col("w.how").alias("how"), F.col("w.key").alias("key"))
-    hits = tried.join(keyed, ["how", "key"])
+    by = F.when(F.col("how") == "stripped", "exact").otherwise(F.col("how"))
+    ways = F.array(*(F.struct(F.lit(how).alias("by"), F.col(c).alias("key")) for how, c in (("vocalized", "vocalized"), ("exact", "plain"), ("root", "root"))))
+    keyed = all_entries.withColumn("w", F.explode(ways)).select("kind", "precision", "entry_id", "source", "headword", "definition", F.col("w.by").alias("by"), F.col("w.key").alias("key"))
+    hits = tried.withColumn("by", by).join(keyed, ["by", "key"]).drop("by")
     order = F.struct("tier", "precision")
     best = hits.withColumn("_best", F.min(order).over(Window.partitionBy("word"))).filter(order == F.col("_best"))
     one = Window.partitionBy("word", "source").orderBy("precision", "entry_id")

@@ -2,45 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from collections.abc import Callable
 
-#: Parts of a group; how closely their bounds are found.
-PARTS, ACCURACY = 32, 1000
+from lectern.sources.store import table_path
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 
-def with_part(df: DataFrame, per: list[str], by: str, parts: int = PARTS) -> DataFrame:
-    """df with _part: of rows of a group, those with a larger value of `by` have a larger part, or the same.
+def ranged(df: DataFrame, per: list[str], order: list[str]) -> DataFrame:
+    """df, written, with _part: ranges of the whole order of group and order columns, of any type, so that a group of any
+    size, and rows that tie, spread over many; and _tie, which puts ties in an order that stays. Within a group, later
+    rows have a larger part, or the same.
 
-    Bounds are approximate quantiles of the group's values, one row for each group. They balance the parts and decide
-    nothing else. A column that is no number has one part.
+    Written, as bounds of ranges are sampled, and every reader must see the same ones.
     """
-    if not isinstance(df.schema[by].dataType, NumericType):
-        return df.withColumn("_part", F.lit(0))
-    bounds = df.groupBy(*per).agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], ACCURACY).alias("_bounds"))
-    bounds = bounds.select("_bounds", *(F.col(c).alias(f"_in_{c}") for c in per))
-    joined = df.join(bounds, [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in per], "left").drop(*(f"_in_{c}" for c in per))
-    part = F.aggregate("_bounds", F.lit(0), lambda n, b: n + (b < F.col(by)).cast("int"))
-    return joined.withColumn("_part", F.coalesce(part, F.lit(0))).drop("_bounds")
+    spark = df.sparkSession
+    path = table_path(spark, "ranged")
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    placed = tied.repartitionByRange(*(F.col(c) for c in [*per, *order]), "_tie").withColumn("_part", F.spark_partition_id())
+    placed.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def before_part(summary: DataFrame, per: list[str], **values: Callable[[Window], Column]) -> DataFrame:
+    """summary (per, _part, ...), a row for each part of a group, with values over the parts before it: each is made of a
+    window that holds these in order."""
+    w = Window.partitionBy(*per).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return summary.withColumns({name: f(w) for name, f in values.items()})
+
+
+def joined_by_part(rows: DataFrame, summary: DataFrame, per: list[str], columns: list[str]) -> DataFrame:
+    """rows with columns of their part's summary; nulls in group columns are equal."""
+    keys = [*per, "_part"]
+    right = summary.select(*(F.col(c).alias(f"_of_{c}") for c in keys), *columns)
+    return rows.join(right, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys], "left").drop(*(f"_of_{c}" for c in keys))
 
 
-def numbered(df: DataFrame, per: list[str], order: list[str], name: str, total: str | None = None, parts: int = PARTS) -> DataFrame:
+def numbered(df: DataFrame, per: list[str], order: list[str], name: str, total: str | None = None) -> DataFrame:
     """df with the number of each row in its group, from 1, in the order of columns; total: the group's rows as well.
 
     Each part of a group is numbered by itself, and starts after the rows of the parts before it.
     """
-    own = "_r"  # what columns made on the way begin with, and no other does
-    while any(c.lower().startswith(own) for c in df.columns):
-        own += "_"
-    of, rows, before, whole = f"{own}of", f"{own}rows", f"{own}before", f"{own}total"
-    dealt = with_part(df, per, order[0], parts)
-    sizes = dealt.groupBy(*per, "_part").agg(F.count("*").alias(rows))
-    group = Window.partitionBy(*per)
-    earlier = F.sum(rows).over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    keys = [F.col(c).alias(f"{of}_{c}") for c in [*per, "_part"]]
-    sizes = sizes.select(*keys, F.coalesce(earlier, F.lit(0)).alias(before), F.sum(rows).over(group).alias(whole))
-    numbers = dealt.withColumn(f"{own}row", F.row_number().over(Window.partitionBy(*per, "_part").orderBy(*order)))
-    joined = numbers.join(sizes, [F.col(c).eqNullSafe(F.col(f"{of}_{c}")) for c in [*per, "_part"]])
-    extra = [F.col(whole).alias(total)] if total else []
-    return joined.select(*(F.col(f"`{c}`") for c in df.columns), (F.col(before) + F.col(f"{own}row")).alias(name), *extra)
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}  # so that no column meets those made on the way
+    keys, by = [names[c] for c in per], [names[c] for c in order]
+    rows = ranged(df.toDF(*names.values()), keys, by)
+    sizes = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_rows"))
+    sizes = before_part(sizes, keys, _before=lambda w: F.sum("_rows").over(w), _total=lambda w: F.sum("_rows").over(Window.partitionBy(*keys)))
+    own = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by, "_tie"))
+    found = joined_by_part(rows.withColumn("_own", own), sizes, keys, ["_before", "_total"])
+    extra = [F.col("_total").alias(total)] if total else []
+    return found.select(*(F.col(v).alias(c) for c, v in names.items()), (F.col("_own") + F.coalesce("_before", F.lit(0))).alias(name), *extra)

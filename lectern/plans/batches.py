@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from lectern.functions.morphology import ARTICLES, extract_root
+from lectern.functions.morphology import extract_root
 from lectern.functions.parsing import best_paragraph
 from lectern.operators import catalog, etl, fusion, graph, lexicon, rerank, search
 from lectern.operators.query import edition_or_language, parse_range_list
 from lectern.plans.registry import query, table
-from lectern.plans.texts import _WORDS, _affix_sql, _root_sql, arabic_words
+from lectern.plans.texts import _WORDS, _root_sql, arabic_words
 from lectern.sources import readers, writers
 from lectern.sources.store import table_path
 from lectern.streaming import events as ev
@@ -318,14 +318,14 @@ def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS x FROM documents WHERE lang = 'en'),
+    """WITH p AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS x FROM documents WHERE text IS NOT NULL),
 q AS (SELECT doc_id, i, trim(regexp_replace(x, '\\s+', ' ', 'g')) AS x FROM p), m AS (SELECT doc_id, max(i) AS last FROM q GROUP BY doc_id),
 s AS (SELECT q.doc_id, q.x AS clean FROM q JOIN m ON m.doc_id = q.doc_id AND i = last)
 SELECT doc_id, CAST(min(i) AS INTEGER) AS best FROM q JOIN s USING (doc_id) WHERE contains(x, clean) OR contains(clean, x) GROUP BY doc_id"""
 )
 def best_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The paragraph of an English document that its last line stands in, marked up."""
-    docs = table(spark, sf_dir, "documents").filter("lang = 'en' and text is not null").withColumn("ps", F.split("text", "\n"))
+    """The paragraph of a document that its last line stands in, marked up."""
+    docs = table(spark, sf_dir, "documents").filter("text is not null").withColumn("ps", F.split("text", "\n"))
     snippet = F.concat(F.lit("<mark>"), F.element_at("ps", -1), F.lit("</mark>"))
     return docs.select("doc_id", best_paragraph(snippet, F.col("ps")).alias("best"))
 
@@ -361,9 +361,8 @@ _ENTRIES = f"""w AS {_WORDS}, e AS (SELECT word, 's' || length(word) % 3 AS sour
 
 
 @query(
-    f"""WITH {_ENTRIES}, b AS (SELECT word, {_affix_sql("word", ARTICLES, 3, True)} AS s FROM w),
-q AS (SELECT 'ال' || word AS word, word AS n FROM w WHERE length(word) >= 3)
-SELECT q.word, 'stripped' AS matched, e.kind, e.source, e.word AS headword FROM q JOIN e ON e.word = q.n WHERE 'ال' || q.n NOT IN (SELECT word FROM w)"""
+    f"""WITH w AS MATERIALIZED {_WORDS}, q AS (SELECT 'ال' || word AS word, word AS n FROM w WHERE length(word) >= 3)
+SELECT q.word, 'stripped' AS matched, CASE WHEN length(n) <= 4 THEN 'full' ELSE 'sub_entry' END AS kind, 's' || length(n) % 3 AS source, n AS headword FROM q ANTI JOIN w ON w.word = q.word"""
 )
 def dictionary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words with an article before them, which no entry has: found by the tier that strips it."""

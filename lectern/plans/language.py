@@ -169,12 +169,11 @@ def chain_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", text.is_chain_variation(_ar()).alias("plain"), text.is_chain_variation(F.concat(_ar(), F.lit(" بمثله"))).alias("with_phrase"))
 
 
-_FLAG_TEXT = "CASE doc_id % 5 WHEN 0 THEN 'قال: ' WHEN 1 THEN '{آية} ' WHEN 2 THEN 'حدثنا ' WHEN 3 THEN '12 - ' ELSE '' END || source"
+#: Whole texts, after a phrase that one flag asks for in most of them.
+_FLAG_TEXT = "CASE doc_id % 5 WHEN 0 THEN 'قال: ' WHEN 1 THEN '{آية} ' WHEN 2 THEN 'حدثنا ' ELSE '' END || coalesce(text, '')"
 
 
-@query(
-    """SELECT doc_id, doc_id % 5 = 3 AS has_poetry, doc_id % 5 = 2 AS has_narration, doc_id % 5 = 1 AS has_scripture, doc_id % 5 = 0 AS has_dialogue FROM documents"""
-)
+@query(f"WITH d AS (SELECT doc_id, {_FLAG_TEXT} AS t FROM documents) SELECT doc_id, {', '.join(f"regexp_matches(t, '{p}') AS {name}" for name, p in text.PAGE_FLAGS.items())} FROM d")
 def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("t", F.expr(_FLAG_TEXT))
     return docs.select("doc_id", text.content_flags("t", text.PAGE_FLAGS).alias("f")).select("doc_id", "f.*")
@@ -269,12 +268,12 @@ def headwords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH w AS {_WORDS}, e AS (SELECT length(word) % 7 AS k FROM w)
-SELECT ['empty', 'page_zero', 'number_headword', 'footnote_as_headword', 'section_header', 'page_ref_only', 'ok'][k + 1] AS reason, count(*) AS n FROM e GROUP BY k"""
+    f"""WITH w AS {_WORDS}, e AS (SELECT length(word) % 7 AS k, length(word) + CASE WHEN length(word) % 7 = 4 THEN 4 ELSE 0 END > 40 AS long FROM w)
+SELECT CASE WHEN long AND k >= 4 THEN 'headword_too_long' ELSE ['empty', 'page_zero', 'number_headword', 'footnote_as_headword', 'section_header', 'page_ref_only', 'ok'][k + 1] END AS reason, count(*) AS n FROM e GROUP BY ALL"""
 )
 def definition_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = arabic_words(spark, sf_dir).withColumn("k", F.length("word") % 7)
-    head = F.expr("CASE k WHEN 2 THEN '١٢ - 3' WHEN 3 THEN concat(word, ' (^1)') WHEN 4 THEN concat('باب ', left(word, 9)) ELSE left(word, 30) END")
+    head = F.expr("CASE k WHEN 2 THEN '١٢ - 3' WHEN 3 THEN concat(word, ' (^1)') WHEN 4 THEN concat('باب ', word) ELSE word END")
     definition = F.expr("CASE k WHEN 0 THEN ' ' WHEN 5 THEN '12, ١٣' ELSE concat('معنى ', word) END")
     faults = parsing.definition_faults(head, parsing.clean_definition(definition), F.expr("if(k = 1, 0, 7)"))
     return etl.reject_reasons(words, faults)

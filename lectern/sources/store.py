@@ -39,3 +39,8 @@ def fingerprint(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], .
         s = found.next()
         out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
     return tuple(sorted(out))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -15,7 +15,7 @@ def test_rows_are_numbered_in_parts(spark):
     r = random.Random(1)
     rows = [(r.choice(["a", "a", "a", "b", None]), r.choice([None, 1.5, *range(50)]), i, "x") for i in range(600)]
     df = spark.createDataFrame([(g, None if v is None else float(v), i, x) for g, v, i, x in rows], "g string, v double, i int, _before string")
-    got = {x["i"]: (x["n"], x["t"]) for x in ranks.numbered(df, ["g"], ["v", "i"], "n", "t", parts=7).collect()}
+    got = {x["i"]: (x["n"], x["t"]) for x in ranks.numbered(df, ["g"], ["v", "i"], "n", "t").collect()}
     for g in ("a", "b", None):
         mine = sorted((x for x in rows if x[0] == g), key=lambda x: (x[1] is not None, x[1] or 0, x[2]))
         assert [got[x[2]] for x in mine] == [(k + 1, len(mine)) for k in range(len(mine))]
