@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 #: What ends a statement, with the line end after it.
 END = ";\n"
 _STRING = r"'[^'\\]*+(?:(?:\\[\s\S]|'')[^'\\]*+)*+'|\"[^\"\\]*+(?:(?:\\[\s\S]|\"\")[^\"\\]*+)*+\""
-_VALUE = rf"(?:{_STRING}|[^,()'\"]++)"
+_VALUE = rf"(?:\s*+(?:{_STRING})\s*+|[^,()'\"]++)"
 _NAME = r"[`\"]?{}[`\"]?"
 # What a backslash and a letter stand for inside a string.
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "0": "\0", "Z": "\x1a"}
