@@ -9,6 +9,7 @@ from typing import Protocol
 from lectern.operators import fusion, keyword, rerank, vector
 from lectern.operators.index import Index
 from lectern.operators.query import SearchParams, keyword_enabled, parse_query, similarity_floor, skips_semantic
+from lectern.operators.vector_index import VectorIndex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def no_expansion(query: str) -> list[tuple[str, float]]:
 class Corpus:
     """Documents of one type: their index, and their vectors (doc_id, embedding) if they have any.
 
-    excluded: documents never found. condition: on the index's and the vectors' columns, for every search.
+    excluded: documents never found. condition: on the index's and the vectors' columns, for every search. cells: a
+    stored index of the vectors, of which a search reads `probes` cells, or as many as it was measured to need.
     """
 
     index: Index
@@ -45,6 +47,8 @@ class Corpus:
     excluded: list = field(default_factory=list)
     condition: str | None = None
     least: float = 0.0
+    cells: VectorIndex | None = None
+    probes: int | None = None
 
 
 def keyword_side(corpus: Corpus, queries: DataFrame, k: int, fuzzy: bool) -> DataFrame:
@@ -69,6 +73,9 @@ def keyword_side(corpus: Corpus, queries: DataFrame, k: int, fuzzy: bool) -> Dat
 
 def semantic_side(corpus: Corpus, queries: DataFrame, k: int, least: float) -> DataFrame:
     """(qid, doc_id, semantic_score, semantic_rank) of queries (qid, qvec)."""
+    if corpus.cells is not None:
+        found = corpus.cells.nearest(queries, k, corpus.probes, corpus.condition, corpus.excluded, max(least, corpus.least))
+        return found.select("qid", F.col(corpus.cells.vec_id).alias("doc_id"), F.col("score").alias("semantic_score"), F.col("rank").alias("semantic_rank"))
     rows = corpus.vectors if corpus.condition is None else corpus.vectors.filter(corpus.condition)
     if corpus.excluded:
         rows = rows.filter(~F.col("doc_id").isin(corpus.excluded))
@@ -90,7 +97,7 @@ class Searcher:
         words = keyword_side(corpus, queries, FETCH, params.fuzzy)
         if params.mode == "semantic" or not keyword_enabled(texts[0], params.keyword_gate):
             words = words.limit(0)
-        if self.embed is None or corpus.vectors is None or params.mode == "keyword" or skips_semantic(texts[0]):
+        if self.embed is None or (corpus.vectors is None and corpus.cells is None) or params.mode == "keyword" or skips_semantic(texts[0]):
             none = "qid int, doc_id long, semantic_score double, semantic_rank int"
             return spark.createDataFrame([], none).withColumn("doc_id", F.col("doc_id").cast(dict(words.dtypes)["doc_id"])), words
         vectors = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(self.embed(texts))], "qid int, qvec array<double>")
@@ -131,10 +138,12 @@ class Searcher:
         return self.refined(params) if params.refines else self.standard(params)
 
 
-def formatted(results: DataFrame, mode: str, text: str = "text") -> DataFrame:
-    """Results with score (of the mode's side, or fused), snippet and highlighted snippet, in order of rank."""
+def formatted(results: DataFrame, mode: str, text: str = "text", terms: list[str] | None = None) -> DataFrame:
+    """Results with score (of the mode's side, or fused), snippet and highlighted snippet, in order of rank: the fragment
+    in which analysed terms are marked, if terms are given and found, or the snippet."""
     score = {"semantic": F.col("semantic_score"), "keyword": fusion.normalize_bm25(F.col("bm25_score"), fusion.BM25_NORM_K)}.get(mode, F.col("fused_score"))
     marked = F.col("highlighted_snippet") if "highlighted_snippet" in results.columns else keyword.snippet(text)
+    marked = F.coalesce(keyword.highlight(text, terms), marked) if terms else marked
     return results.select("rank", "doc_id", F.coalesce(score, F.lit(0.0)).alias("score"), "match_type", keyword.snippet(text).alias("text_snippet"), marked.alias("highlighted_snippet")).orderBy("rank")
 
 

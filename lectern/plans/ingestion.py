@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.operators import models
 from lectern.plans.registry import query, table
+from lectern.sources.dumps import read_dump
 from lectern.sources.store import table_path
 from lectern.streaming.ingest import UpsertTable, searches_with_clicks
 from pyspark.sql import DataFrame, SparkSession
@@ -68,3 +69,14 @@ def reranked_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = results.select("qid").distinct().withColumn("query", F.lit("which is best?"))
     found = models.rerank_all(results, queries, _by_first_words, table_path(spark, "answers"), "by-first-words", "t", 10)
     return found.select("qid", "doc_id", "old_rank", "rank")
+
+
+@query("SELECT c_custkey, c_name || ';' || chr(10) || ' its customer''s' AS c_name, c_acctbal FROM customer")
+def dumped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by way of a SQL dump, whose statements span lines and whose columns the dump declares."""
+    path = table_path(spark, "dump")
+    created = "CREATE TABLE `customer` (\n  `c_custkey` bigint NOT NULL,\n  `c_name` text,\n  `c_acctbal` decimal(12,2),\n  PRIMARY KEY (`c_custkey`)\n)"
+    spark.createDataFrame([(created,)], "value string").write.option("lineSep", ";\n").text(path)
+    row = F.concat(F.lit("INSERT INTO `customer` VALUES\n("), "c_custkey", F.lit(", '"), "c_name", F.lit(";\n its customer''s', "), "c_acctbal", F.lit(")"))
+    table(spark, sf_dir, "customer").select(row.alias("value")).write.mode("append").option("lineSep", ";\n").text(path)
+    return read_dump(spark, path, "customer")

@@ -48,8 +48,8 @@ def _bm25(queries: dict[str, str]) -> str:
     return _BM25.replace("@queries", _values(queries))
 
 
-#: Stored indexes by session and table, with the fingerprint of the documents that they hold.
-_stored: dict[tuple[str, str], tuple[SegmentedIndex, tuple]] = {}
+#: Stored indexes by session and table, with the fingerprint of the documents that they hold, and their last version.
+_stored: dict[tuple[str, str], tuple[SegmentedIndex, tuple, Index]] = {}
 
 
 def documents_index(spark: SparkSession, sf_dir: str) -> Index:
@@ -61,11 +61,12 @@ def stored_index(spark: SparkSession, sf_dir: str) -> Index:
     that finds the documents' files changed brings it up to date."""
     key = (spark.sparkContext.applicationId, sf_dir)
     found = fingerprint(spark, f"{sf_dir}/documents.parquet")
-    index, held = _stored.get(key) or (SegmentedIndex(spark, table_path(spark, "index"), keep=["lang"]), None)
+    index, held, last = _stored.get(key) or (SegmentedIndex(spark, table_path(spark, "index"), keep=["lang"]), None, None)
     if held != found:
         index.sync(table(spark, sf_dir, "documents"))
-        _stored[key] = index, found
-    return index.index()
+        last = index.index()
+        _stored[key] = index, found, last
+    return last
 
 
 def queries_table(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
@@ -486,3 +487,27 @@ def bm25_after_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _changed_index(spark, sf_dir)
     index.sync(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return _bm25_of(index.index(), spark)
+
+
+@query(f"WITH r AS ({_STANDARD}) SELECT *, CAST(row_number() OVER (ORDER BY fused_score DESC, rrf_score DESC, doc_id) AS INTEGER) AS rank FROM r")
+def standard_search_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole search whose vectors come from the stored index, all cells read."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    cells = VectorIndex.build(vectors, table_path(spark, "vectors"), vec_id="doc_id")
+    first = _first_vector(spark, sf_dir)
+    corpus = search.Corpus(stored_index(spark, sf_dir), cells=cells, probes=len(cells.centres()))
+    searcher = search.Searcher({"page": corpus}, lambda texts: [first] * len(texts))
+    found = searcher.standard(SearchParams(QUERY, book_limit=20, similarity_cutoff=0.3, fuzzy=False, keyword_gate="none"))["page"]
+    return found.select("doc_id", F.round("fused_score", 6).alias("fused_score"), F.round("rrf_score", 6).alias("rrf_score"), "match_type", "rank")
+
+
+@query(
+    f"""WITH r AS (SELECT *, CAST(row_number() OVER (ORDER BY fused_score DESC, rrf_score DESC, doc_id) AS INTEGER) AS rank FROM ({_STANDARD})), m AS ({_fragment_sql("text", QUERY.split())})
+SELECT rank, doc_id, fused_score AS score, match_type, substr(text, 1, 300) AS text_snippet, coalesce(highlighted, substr(text, 1, 300)) AS highlighted_snippet
+FROM r JOIN documents USING (doc_id) JOIN m USING (doc_id)"""
+)
+def formatted_with_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results with the best fragment of their text, in which the query's terms are marked."""
+    params = SearchParams(QUERY, book_limit=20, similarity_cutoff=0.3, fuzzy=False, keyword_gate="none")
+    found = _searcher(spark, sf_dir).standard(params)["page"].join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return search.formatted(found, "hybrid", terms=parse_query(QUERY).terms).withColumn("score", F.round("score", 6))
