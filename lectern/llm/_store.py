@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,16 @@ def discard(spark: SparkSession, since: int = 0, keep: DataFrame | None = None)
             _delete(spark, path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the tables that were written within: results are to be written elsewhere before."""
+    began = tables_written()
+    try:
+        yield
+    finally:
+        discard(spark, began)
+
+
 def release(*tables: DataFrame | None) -> None:
     """Delete written tables that nothing still to be computed reads."""
     for df in tables:

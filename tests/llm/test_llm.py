@@ -796,6 +796,16 @@ def test_written_tables_can_be_discarded(spark, docs):
 # --- nulls ---
 
 
+def test_tables_written_within_are_deleted(spark, docs, tmp_path):
+    from lectern.llm._store import tables_written, temporary_tables
+
+    began = tables_written()
+    with temporary_tables(spark):
+        periodic_runs.collapse_runs(docs).write.parquet(str(tmp_path / "out"))
+        assert tables_written() > began
+    assert tables_written() == began and spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
+
+
 def test_null_identifiers_and_columns(spark):
     rows = [(None, None, None, None, None), (None, "some words that stand here more than once", None, None, 3), (7, "some words that stand here more than once", "xx", None, None), (None, "x" * 200_000, "xx", "s", None)]
     df = spark.createDataFrame(rows, SCHEMA)
