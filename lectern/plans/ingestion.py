@@ -31,14 +31,14 @@ def streamed_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH s AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'view'), c AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'click')
-SELECT s.event_id AS search_event, c.event_id AS click_event FROM s LEFT JOIN c ON s.user_id = c.user_id AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 6 HOURS"""
+SELECT s.event_id AS search_event, coalesce(c.event_id, -1) AS click_event FROM s LEFT JOIN c ON s.user_id = c.user_id AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 6 HOURS"""
 )
 def views_with_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each view with its user's clicks of the six hours after it, as the streams join them."""
+    """Each view with its user's clicks of the six hours after it, or -1, as the streams join them."""
     events = table(spark, sf_dir, "events").select(F.col("user_id").alias("search_id"), "ts", "event_id", "event_type")
     views = events.filter("event_type = 'view'").select("search_id", "ts", F.col("event_id").alias("search_event"))
     clicks = events.filter("event_type = 'click'").select("search_id", "ts", F.col("event_id").alias("click_event"))
-    return searches_with_clicks(views, clicks, "6 hours").select("search_event", "click_event")
+    return searches_with_clicks(views, clicks, "6 hours").select("search_event", F.coalesce("click_event", F.lit(-1)).alias("click_event"))
 
 
 def _by_first_words(requests: list[str]) -> list[str]:
