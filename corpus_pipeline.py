@@ -68,7 +68,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: all rows, in the order of their Pfair slots.
+    """Mixing: all rows, in the order of their Pfair slots, which packing follows.
 
     Target weights are rows ** TEMPERATURE of each source. While all sources last, each holds its target weight; when
     one has run out, the others share its slots.
@@ -81,8 +81,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: pieces of token ids, placed in windows."""
-    return packing.pack(docs)
+    """Packing: pieces of token ids, placed in windows that follow the order of docs."""
+    return packing.pack_in_order(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

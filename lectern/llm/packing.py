@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm._ranks import ranked
@@ -21,6 +22,9 @@ WINDOW, TOKENIZER, END_ID = 1024, "byte_bpe_50k", 0
 GRID, ROUNDS = 32, 400
 #: Pieces of one length are ranked in parts of about so many rows.
 PART_ROWS = 1 << 20
+#: Successive pieces that are packed together where the order of documents counts; rows of one file are numbered in
+#: parts of so many.
+STRETCH, PART_OF_FILE = 1 << 13, 1 << 14
 
 # What the fast tokenizer would not split as the reference one does, or only slowly.
 _ODD = re.compile(r"<\||\S{2000}|\s{2000}")
@@ -52,24 +56,30 @@ def encoder(path: Callable[[str], str] = public_tokenizers.path, name: str = TOK
     return encode
 
 
-def cut_pieces(docs: DataFrame, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
-    """Pieces of each document's ids and end id: full windows, and one remainder that may be full as well."""
+def cut_pieces(docs: DataFrame, window: int = WINDOW, with_ids: bool = False, carried: str = "") -> DataFrame:
+    """Pieces of each document's ids and end id: full windows, and one remainder that may be full as well. carried: names
+    and types of columns of docs that its pieces keep."""
+    kept = [c.split() for c in carried.split(", ") if c]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()  # in a twentieth of a second
         for batch in slices(batches):
             out: list[tuple] = []
+            sizes: list[int] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = np.append(encode(text or ""), END_ID).astype("<u4")
+                sizes.append(-(-len(ids) // window))
                 for s in range(0, len(ids), window):
                     piece = ids[s : s + window]
                     out.append((doc_id, s, len(piece), zlib.crc32(piece.tobytes()), len(ids), *([piece.astype(np.int32)] if with_ids else [])))
             cols = list(zip(*out, strict=True))
             arrays = [pa.array(c, pa.int64()) for c in cols[:5]] + [pa.array(c, pa.list_(pa.int32())) for c in cols[5:]]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids])
+            row_of = np.repeat(np.arange(len(sizes)), sizes)
+            arrays += [batch.column(c).take(pa.array(row_of)) for c, _ in kept]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids, *(c for c, _ in kept)])
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids + "".join(f", {c} {t}" for c, t in kept)
+    return docs.select("doc_id", "text", *(c for c, _ in kept)).mapInArrow(run, schema)
 
 
 def combinations(present: np.ndarray, window: int = WINDOW, grid: int = GRID) -> np.ndarray:
@@ -145,6 +155,28 @@ def plan_windows(counts: np.ndarray, window: int = WINDOW) -> list[tuple[dict[in
     return plan
 
 
+class Layout:
+    """A plan's place for each piece, by its length and its rank within that length."""
+
+    def __init__(self, counts: np.ndarray, window: int):
+        rows, first, sequence = [], np.zeros(window + 1, np.int64), 0
+        for pattern, times in plan_windows(counts, window):
+            offset = 0
+            for length, k in sorted(pattern.items(), reverse=True):
+                rows.append((length, first[length], k, sequence, offset))
+                first[length] += k * times
+                offset += k * length
+            sequence += times
+        self.plan = np.array(sorted(rows), np.int64).reshape(-1, 5)
+        self.keys = (self.plan[:, 0] << 48) | self.plan[:, 1]
+
+    def place(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sequence and offset of each piece."""
+        at = np.searchsorted(self.keys, (length << 48) | rank, side="right") - 1
+        _, start, k, base, offset = self.plan[at].T
+        return base + (rank - start) // k, offset + (rank - start) % k * length
+
+
 def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents (doc_id, text), placed in windows; one row for each piece.
 
@@ -160,34 +192,73 @@ def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = False) -> DataF
     counts = np.zeros(window + 1, np.int64)
     for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():
         counts[r["length"]] = r["n"]
-    rows, first, sequence = [], np.zeros(window + 1, np.int64), 0
-    for pattern, times in plan_windows(counts, window):
-        offset = 0
-        for length, k in sorted(pattern.items(), reverse=True):
-            rows.append((length, first[length], k, sequence, offset))
-            first[length] += k * times
-            offset += k * length
-        sequence += times
-    plan = np.array(sorted(rows), np.int64).reshape(-1, 5)
-    keys = (plan[:, 0] << 48) | plan[:, 1]
+    layout = Layout(counts, window)
 
     n_parts = max(16, -(-int(counts.max()) // PART_ROWS))
     ranked_pieces = ranked(pieces, "length", F.xxhash64("doc_id", "start"), ["doc_id", "start"], n_parts)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
-            at = np.searchsorted(keys, (length << 48) | rank, side="right") - 1
-            _, start, k, base, offset = plan[at].T
-            sequence = base + (rank - start) // k
-            cols = [*batch.columns[:-1], pa.array(sequence), pa.array(offset + (rank - start) % k * length)]
-            yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names[:-1], "sequence_id", "offset"])
+            sequence, offset = layout.place(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
     types = ", ".join(f"{c} {'array<int>' if c == 'ids' else 'long'}" for c in [*names, "sequence_id", "offset"])
     return ranked_pieces.select(*names, "rank").mapInArrow(place, types)
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with _file and _at: where each row stands. Of tables that were just read, the file, in the
+    order that Spark numbers those it writes, and the row there; of others, the partition and the row there."""
+    try:
+        told = docs.metadataColumn("_metadata")
+    except AnalysisException:  # not a table as it was read
+        rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+        part = F.lpad(F.shiftright("_row", 33).cast("string"), 12, "0")
+        return rows.select("doc_id", "text", part.alias("_file"), F.col("_row").bitwiseAND((1 << 33) - 1).alias("_at"))
+    name = told["file_name"]
+    number = F.lpad(F.regexp_extract(name, r"^part-(\d+)", 1), 12, "0")
+    return docs.select("doc_id", "text", F.concat(number, name).alias("_file"), told["row_index"].alias("_at"))
+
+
+def pack_in_order(docs: DataFrame, window: int = WINDOW, stretch: int | None = None) -> DataFrame:
+    """As pack, but windows follow the order of the rows of docs, as far as packing lets them.
+
+    Pieces are numbered in that order, and STRETCH successive ones are packed among themselves. Windows of a stretch
+    come after those of the stretches before it, and are ordered by the earliest piece that they hold. So any share that
+    holds for each stretch of rows holds for the windows as they are read, and a window holds rows that stand near.
+
+    A stretch is bounded, whatever the table; no task sees more than one at a time. Numbers are made in parts of files.
+    """
+    pieces = written(cut_pieces(in_file_order(docs), window, carried="_file string, _at long"), "pieces")
+    parted = pieces.withColumn("_part", F.floor(F.col("_at") / PART_OF_FILE))
+    before = F.sum("_n").over(Window.orderBy("_file", "_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = parted.groupBy("_file", "_part").agg(F.count("*").alias("_n")).select("_file", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    row = F.row_number().over(Window.partitionBy("_file", "_part").orderBy("_at", "start"))
+    n = (F.col("_before") + F.col("_own") - 1).alias("n")
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    numbered = parted.withColumn("_own", row).join(sizes, ["_file", "_part"]).select(*names, n)
+
+    def place(found: pa.Table) -> pa.Table:
+        found = found.sort_by("n")
+        length = found["length"].to_numpy()
+        counts = np.bincount(length, minlength=window + 1)
+        by_length, rank = np.argsort(length, kind="stable"), np.empty(len(length), np.int64)
+        rank[by_length] = np.arange(len(length)) - (np.cumsum(counts) - counts)[length[by_length]]
+        sequence, offset = Layout(counts, window).place(length, rank)
+        _, first, of = np.unique(sequence, return_index=True, return_inverse=True)
+        order = np.empty(len(first), np.int64)
+        order[np.argsort(first)] = np.arange(len(first))
+        return found.drop_columns(["n"]).append_column("sequence_id", pa.array(order[of])).append_column("offset", pa.array(offset))
+
+    types = ", ".join(f"{c} long" for c in ["stretch", *names, "sequence_id", "offset"])
+    placed = numbered.select(F.floor(F.col("n") / (stretch or STRETCH)).alias("stretch"), *names, "n").groupBy("stretch").applyInArrow(place, types)
+    placed = written(placed, "placed")
+    before = F.sum("_n").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = placed.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("_n")).select("stretch", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(sizes, "stretch").select(*names, (F.col("_before") + F.col("sequence_id")).alias("sequence_id"), "offset")
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """Whole windows of a result of pack(with_ids=True): sequence_id, ids without padding."""
     parts = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))

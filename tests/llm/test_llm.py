@@ -903,3 +903,32 @@ def test_pipeline_takes_many_equal_rows(spark):
 
     docs = spark.createDataFrame([(1, sentences(1, 60), "x", "s", 1)] * 3000 + [(2, sentences(2, 60), "x", "s", 1)], SCHEMA)
     assert corpus_pipeline.drop_near_copies(spark, docs, "").count() == 2
+
+
+@pytest.mark.parametrize("kept", ["as made", "written", "many files"])
+def test_pipeline_windows_follow_the_mix(spark, monkeypatch, kept):
+    import corpus_pipeline
+    from lectern.llm._store import written
+
+    monkeypatch.setattr(packing, "STRETCH", 64)
+    rows = [(i, sentences(i, 5 + i % 90), "xx", "s0" if i < 600 else "s1" if i < 800 else None, 0) for i in range(900)]
+    rows += [(None, None, "xx", "s0", 0), (900, sentences(900, 3000), "xx", "s0", 0), rows[0]]
+    mixed = corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, SCHEMA), "")
+    order = [r["doc_id"] for r in mixed.collect()]
+    docs = mixed if kept == "as made" else written(mixed if kept == "written" else spark.createDataFrame([tuple(r) for r in mixed.collect()], SCHEMA).repartitionByRange(9, F.monotonically_increasing_id()), "mixed")
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    pieces, places = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        pieces[r["doc_id"]].append(r)
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert pieces.keys() == set(order) and len(pieces[0]) == 2
+    assert all(sum(r["length"] for r in found) == found[0]["doc_tokens"] * order.count(i) for i, found in pieces.items())
+    for spans in places.values():
+        ends = np.cumsum([length for _, length in sorted(spans)])
+        assert [offset for offset, _ in sorted(spans)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert sorted(places) == list(range(len(places)))
+    # Windows of each stretch of pieces, in the order of the mix, come before those of the next.
+    mine = {i: iter(sorted(x["sequence_id"] for x in found)) for i, found in pieces.items()}
+    in_mix = [next(mine[i]) for i in order for _ in range(len(pieces[i]) // order.count(i))]
+    stretches = [in_mix[k : k + 64] for k in range(0, len(in_mix), 64)]
+    assert len(in_mix) == len(got) and all(max(a) < min(b) for a, b in zip(stretches, stretches[1:], strict=False))
