@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,30 +129,44 @@ def _sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[-1], x.dtype)
 
 
-def _scores(u: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Exponents of the output for u, which lies within -1 and 1; weights that could pass the limit are rare."""
+def _scores(u: np.ndarray, weights: np.ndarray, bias: np.ndarray, far: bool) -> np.ndarray:
+    """Exponents of the output for u, which lies within -1 and 1; weights that could pass the limit (far) are rare."""
     z = u @ weights
     z += bias
-    if float((np.abs(weights).sum(axis=0) + np.abs(bias)).max()) > _OUTPUT:
-        np.clip(z, -_OUTPUT, _OUTPUT, out=z)
-    return z
+    return np.clip(z, -_OUTPUT, _OUTPUT, out=z) if far else z
+
+
+def _far(weights: np.ndarray, bias: np.ndarray, first: np.ndarray) -> list[bool]:
+    """Of ranges of outputs that start there, which could pass the limit."""
+    return (np.maximum.reduceat(np.abs(weights).sum(axis=0) + np.abs(bias), first) > _OUTPUT).tolist()
+
+
+def _late(p: Parameters) -> np.ndarray:
+    """What makes an embedding a query, as its keys would meet it, and what it adds to its own position: (WIDTH, 2 WIDTH).
+
+    A query meets keys as late @ query @ (e @ key).T, so that both are one product, and keys are the embeddings.
+    """
+    return np.hstack([p["query"] @ p["key"].T, p["self"]])
 
 
 def attend(p: Parameters, x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Masked attention of the scored positions over windows of rows x: (batch, SPAN). Values are the embeddings."""
-    e = np.take(p["embed"], x, axis=0)
-    late = np.ascontiguousarray(e[:, OVERLAP:]).reshape(-1, WIDTH)
-    k = (e.reshape(-1, WIDTH) @ p["key"]).reshape(e.shape)
-    q = (late @ p["query"]).reshape(len(x), _STEP, WIDTH)
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    if len(x) and float(np.abs(q).max() * np.abs(k).max()) * WIDTH > _CONTENT:
+    """Masked attention of the scored positions over windows of rows x: (batch, SPAN). Keys and values are the embeddings.
+
+    Returns these, queries, exponentials, one over their sums, what was read, and the result.
+    """
+    asked = p["embed"] @ _late(p)  # of each row, once
+    e, late = np.take(p["embed"], x, axis=0), np.take(asked, x[:, OVERLAP:], axis=0)
+    q = late[..., :WIDTH]
+    a = np.matmul(q, e.transpose(0, 2, 1))
+    if len(x) and float(np.abs(asked[:, :WIDTH]).max() * np.abs(p["embed"]).max()) * WIDTH > _CONTENT:
         np.clip(a, -_CONTENT, _CONTENT, out=a)
     a += np.clip(p["distance"], -_FAR, _FAR)[_DISTANCE] + _AHEAD
     np.exp(a, out=a)
-    a *= (1 / _sums(a))[..., None]
-    h = np.matmul(a, e)
-    h += (late @ p["self"]).reshape(h.shape)
-    return e, late, q, k, a, np.tanh(h, out=h)
+    part = (1 / _sums(a))[..., None]
+    read = np.matmul(a, e)
+    read *= part
+    h = read + late[..., WIDTH:]
+    return e, q, a, part, read, np.tanh(h, out=h)
 
 
 def _by_cluster(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
@@ -171,12 +186,13 @@ def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray
     real, cluster, ranges = _by_cluster(y)
     target = y.ravel()[real]
     u = np.take(attend(p, x)[-1].reshape(-1, WIDTH), real, axis=0)
-    z = _scores(u, p["cluster"], p["cluster_bias"])
+    z = _scores(u, p["cluster"], p["cluster_bias"], *_far(p["cluster"], p["cluster_bias"], FIRST[:1]))
     found = z[np.arange(len(z)), cluster]
     total, inner = _sums(np.exp(z, out=z)), np.empty(len(z), z.dtype)
+    far = _far(p["slot"], p["slot_bias"], FIRST)
     for c, i, j in ranges:
         a, b = FIRST[c], FIRST[c] + SIZES[c]
-        z = _scores(u[i:j], p["slot"][:, a:b], p["slot_bias"][a:b])
+        z = _scores(u[i:j], p["slot"][:, a:b], p["slot_bias"][a:b], far[c])
         found[i:j] += z[np.arange(j - i), target[i:j] - a]
         inner[i:j] = _sums(np.exp(z, out=z))
     out = np.zeros(y.size)
@@ -184,13 +200,24 @@ def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray
     return out.reshape(y.shape)
 
 
+def _by_row(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of values, one for each entry of x, over the entries with the same row."""
+    at = x.ravel().astype(np.uint16)
+    order = np.argsort(at, kind="stable")
+    ranked = at[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    out = np.zeros((INPUTS, values.shape[-1]), values.dtype)
+    out[ranked[first]] = np.add.reduceat(np.take(values.reshape(at.size, -1), order, axis=0), first, axis=0)
+    return out
+
+
 def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> Parameters:
     """Of the mean loss over scored positions with y >= 0."""
-    e, late, q, k, a, h = attend(p, x)
+    e, q, a, part, read, h = attend(p, x)
     real, cluster, ranges = _by_cluster(y)
     target = y.ravel()[real]
     u = np.take(h.reshape(-1, WIDTH), real, axis=0)
-    scale = np.float32(1 / max(1, len(target)))
+    scale = h.dtype.type(1 / max(1, len(target)))
 
     def of_scores(z: np.ndarray, at: np.ndarray) -> np.ndarray:
         np.exp(z, out=z)
@@ -198,52 +225,56 @@ def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> Parameters:
         z[np.arange(len(z)), at] -= scale
         return z
 
-    dz = of_scores(_scores(u, p["cluster"], p["cluster_bias"]), cluster)
+    dz = of_scores(_scores(u, p["cluster"], p["cluster_bias"], *_far(p["cluster"], p["cluster_bias"], FIRST[:1])), cluster)
     grads = {"cluster": u.T @ dz, "cluster_bias": _sums(dz.T), "slot": np.zeros_like(p["slot"]), "slot_bias": np.zeros_like(p["slot_bias"])}
     du = dz @ p["cluster"].T
+    far = _far(p["slot"], p["slot_bias"], FIRST)
     for c, i, j in ranges:
         s, t = FIRST[c], FIRST[c] + SIZES[c]
         weights = p["slot"][:, s:t]
-        dz = of_scores(_scores(u[i:j], weights, p["slot_bias"][s:t]), target[i:j] - s)
+        dz = of_scores(_scores(u[i:j], weights, p["slot_bias"][s:t], far[c]), target[i:j] - s)
         grads["slot"][:, s:t], grads["slot_bias"][s:t] = u[i:j].T @ dz, _sums(dz.T)
         du[i:j] += dz @ weights.T
     u *= u
     du *= np.subtract(1, u, out=u)
-    dh = np.zeros((h.size // WIDTH, WIDTH), h.dtype)
-    dh[real] = du
-    dh = dh.reshape(h.shape)
+    late = np.zeros((*h.shape[:2], 2 * WIDTH), h.dtype)  # gradients of q and, beside them, of h
+    late.reshape(-1, 2 * WIDTH)[real, WIDTH:] = du
+    dh = late[..., WIDTH:] * part
     ds = np.matmul(dh, e.transpose(0, 2, 1))
-    ds -= np.einsum("bij,bij->bi", ds, a)[..., None]
+    ds -= np.einsum("bij,bij->bi", dh, read)[..., None]
     ds *= a
     grads["distance"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=SPAN).astype(h.dtype)
-    dq = np.matmul(ds, k).reshape(-1, WIDTH)
-    dk = np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, WIDTH)
-    grads["key"], grads["query"], grads["self"] = e.reshape(-1, WIDTH).T @ dk, late.T @ dq, late.T @ dh.reshape(-1, WIDTH)
+    late[..., :WIDTH] = np.matmul(ds, e)
     de = np.matmul(a.transpose(0, 2, 1), dh)
-    de += (dk @ p["key"].T).reshape(e.shape)
-    de[:, OVERLAP:] += (dq @ p["query"].T + dh.reshape(-1, WIDTH) @ p["self"].T).reshape(h.shape)
-    at = x.ravel().astype(np.uint16)
-    order = np.argsort(at, kind="stable")
-    ranked = at[order]
-    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    grads["embed"] = np.zeros_like(p["embed"])
-    grads["embed"][ranked[first]] = np.add.reduceat(np.take(de.reshape(-1, WIDTH), order, axis=0), first, axis=0)
+    de += np.matmul(ds.transpose(0, 2, 1), q)
+    late = _by_row(x[:, OVERLAP:], late)
+    grads["embed"] = _by_row(x, de) + late @ _late(p).T
+    both, grads["self"] = np.hsplit(p["embed"].T @ late, 2)
+    grads["query"], grads["key"] = both @ p["key"], both.T @ p["query"]
     return grads
 
 
 class Adam:
+    """Steps of parameters, which become views of one array."""
+
     def __init__(self, p: Parameters, rate: float = RATE):
-        self.p, self.rate, self.t = p, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in p.items()}
+        self.flat, self.names, self.rate, self.t = np.concatenate([v.ravel() for v in p.values()]), list(p), rate, 0
+        self.m, self.v, self.at = np.zeros_like(self.flat), np.zeros_like(self.flat), np.empty_like(self.flat)
+        ends = np.cumsum([v.size for v in p.values()])
+        p.update({k: x.reshape(p[k].shape) for k, x in zip(p, np.split(self.flat, ends[:-1]), strict=True)})
 
     def step(self, grads: Parameters) -> None:
         self.t += 1
         scale = self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
-        for k, g in grads.items():
-            self.m[k] += np.float32(0.1) * (g - self.m[k])
-            self.v[k] += np.float32(0.01) * (g * g - self.v[k])
-            self.p[k] -= np.float32(scale) * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-8))
+        g, at = np.concatenate([grads[k].ravel() for k in self.names]), self.at
+        self.m += np.multiply(np.subtract(g, self.m, out=at), np.float32(0.1), out=at)
+        g *= g
+        self.v += np.multiply(np.subtract(g, self.v, out=at), np.float32(0.01), out=at)
+        np.sqrt(self.v, out=at)
+        at += np.float32(1e-8)
+        np.divide(self.m, at, out=at)
+        at *= np.float32(scale)
+        self.flat -= at
 
 
 class Encoded(NamedTuple):
@@ -276,7 +307,7 @@ def windows(e: Encoded, a: int, b: int, coding: Coding) -> tuple[np.ndarray, np.
     x[at + 1] = coding.row[flat]  # what was the target is the input of the next position; the first has none
     of = np.repeat(np.arange(len(size)), count)
     first = base[of] + (np.arange(len(of)) - (np.cumsum(count) - count)[of]) * _STEP
-    return x[first[:, None] + np.arange(SPAN)], y[first[:, None] + np.arange(OVERLAP, SPAN)], of
+    return sliding_window_view(x, SPAN)[first], sliding_window_view(y[OVERLAP:], _STEP)[first], of
 
 
 def steps(starts: np.ndarray, size: int = 1 << 18) -> Iterator[tuple[int, int]]:
@@ -355,7 +386,7 @@ def read_blocks(dealt: DataFrame, n_blocks: int) -> DataFrame:
 
     kind 'words' and 'ids': a block's Telling and Spelling, in a row each. kind 'hashes': for a bucket of hashes (at), a
     block's distinct words that fall there and their counts in training documents. kind 'subwords': a part (at) of the
-    array of counts of subword ids in training documents.
+    array of counts of subword ids in training documents. Rows of one training round lie in files of their own.
     """
 
     def run(block: pa.Table) -> pa.Table:
@@ -370,10 +401,10 @@ def read_blocks(dealt: DataFrame, n_blocks: int) -> DataFrame:
         columns = {"block": pa.array([number] * len(rows), pa.int32()), "at": pa.array([r.get("at") for r in rows], pa.int32())}
         for name in ["hashes", "counts", *_FIELDS]:
             columns[name] = pa.array([binary(r.get(name)) for r in rows], pa.binary())
-        return pa.table(columns | {"kind": pa.array([r["kind"] for r in rows], pa.string())})
+        return pa.table(columns | {"kind": pa.array([r["kind"] for r in rows], pa.string()), "round": pa.array([number % ROUNDS] * len(rows), pa.int32())})
 
-    schema = f"block int, at int, hashes binary, counts binary, {', '.join(f'{f} binary' for f in _FIELDS)}, kind string"
-    return written(dealt.groupBy("block").applyInArrow(run, schema), "blocks", partition_by=["kind"], compression="zstd")
+    schema = f"block int, at int, hashes binary, counts binary, {', '.join(f'{f} binary' for f in _FIELDS)}, kind string, round int"
+    return written(dealt.groupBy("block").applyInArrow(run, schema), "blocks", partition_by=["kind", "round"], compression="zstd")
 
 
 def count_words(read: DataFrame) -> DataFrame:
@@ -445,7 +476,7 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
     p = initial(coding)
     shape = {k: v.shape for k, v in p.items()}
     ends = np.cumsum([v.size for v in p.values()])
-    texts = read.filter("kind = 'ids'").select("block", *Spelling._fields)
+    texts = read.filter("kind = 'ids'")
 
     for seed in range(ROUNDS):
         sent: Broadcast = spark.sparkContext.broadcast((p, tuple(coding)))  # about 2 MB
@@ -465,7 +496,7 @@ def train(read: DataFrame, n_blocks: int, coding: Coding) -> Parameters:
                     at = pa.array([block.as_py() // ROUNDS] * len(blobs), pa.int32())
                     yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int32()), at, pa.array(blobs, pa.binary())], ["part", "at", "sums"])
 
-        chosen = texts.filter(F.col("block") % ROUNDS == seed)
+        chosen = texts.filter(F.col("round") == seed).select("block", *Spelling._fields)
         found = add_up(chosen.mapInArrow(run, "part int, at int, sums binary"), -(-n_blocks // ROUNDS))
         if found:
             flat = np.concatenate([found[k] for k in sorted(found)])

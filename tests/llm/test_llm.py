@@ -636,6 +636,37 @@ def test_probabilities_sum_to_one():
     assert np.allclose(np.bincount(coding.slot, weights=np.exp(coding.log_share), minlength=lm_scoring.INPUTS)[np.unique(coding.slot)], 1)
 
 
+def test_attention_equals_keys_and_queries_apart():
+    p = {k: v.astype(np.float64) for k, v in lm_scoring.initial(lm_scoring.Coding.of(np.arange(3000) % 50, 3)).items()}
+    p["embed"] *= 4
+    x = np.random.default_rng(1).integers(0, lm_scoring.INPUTS, (5, lm_scoring.SPAN))
+    for far in (1, 100):  # products that pass the limit, too
+        p["query"] *= far
+        e = p["embed"][x]
+        a = np.clip(e @ p["query"] @ (e @ p["key"]).transpose(0, 2, 1), -50, 50)
+        back = np.arange(lm_scoring.SPAN)[:, None] - np.arange(lm_scoring.SPAN)
+        a = np.exp(a + np.where(back < 0, -np.inf, p["distance"][np.maximum(back, 0)]))
+        expected = np.tanh(a / a.sum(axis=-1, keepdims=True) @ e + e @ p["self"])[:, lm_scoring.OVERLAP :]
+        _, _, a, part, _, h = lm_scoring.attend(p, x)
+        assert np.allclose(h, expected) and np.allclose((a * part).sum(axis=-1), 1)
+
+
+def test_adam_steps_one_array():
+    r = np.random.default_rng(2)
+    p = {"a": r.standard_normal((3, 4)).astype(np.float32), "b": r.standard_normal(5).astype(np.float32)}
+    plain, m, v = ({k: x.astype(np.float64) * f for k, x in p.items()} for f in (1, 0, 0))
+    adam = lm_scoring.Adam(p, 0.1)
+    assert all(x.base is adam.flat or x.base.base is adam.flat for x in p.values())
+    for t in range(1, 6):
+        g = {k: r.standard_normal(x.shape).astype(np.float32) for k, x in reversed(p.items())}
+        adam.step(g)
+        for k in plain:
+            m[k] += 0.1 * (g[k] - m[k])
+            v[k] += 0.01 * (g[k] ** 2 - v[k])
+            plain[k] -= 0.1 * np.sqrt(1 - 0.99**t) / (1 - 0.9**t) * m[k] / (np.sqrt(v[k]) + 1e-8)
+    assert all(np.allclose(p[k], plain[k], atol=1e-5) for k in plain)
+
+
 def test_windows_score_each_id_once():
     subwords = lm_scoring.Subwords()
     coding = lm_scoring.Coding.of(np.zeros(subwords.size, np.int64), 1)
