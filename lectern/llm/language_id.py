@@ -27,8 +27,8 @@ FEATURES, ORDERS = 1 << 15, (1, 2, 3)
 FIT_DOCUMENTS = 1000
 #: What the sample's features may take on the driver, about; beyond it fewer documents of each language are drawn.
 FIT_BYTES = 256 << 20
-#: Text bytes of a step; n-gram hashes take about 40 times as much.
-STEP_BYTES = 3 << 20
+#: Text bytes of a step; its arrays take about 25 times as much.
+STEP_BYTES = 1 << 20
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.1
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -44,7 +44,7 @@ def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
         # The hash of k code points that end here; those that begin in the text before are cut off below.
         gram = (np.append(np.uint32(0), gram[:-1]) if k > 1 else np.zeros_like(gram)) + code + np.uint32(k)
         gram = (gram ^ (gram >> np.uint32(15))) * _K
-        hashed.append((gram >> np.uint32(17)).astype(np.int64))
+        hashed.append((gram >> np.uint32(17)).astype(np.uint16))
     end = 0
     for t in padded:
         start, end = end, end + len(t)

@@ -9,6 +9,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -555,6 +556,17 @@ def test_language(spark, empty):
     assert language_id.identify_language(empty).count() == 0
 
 
+def test_language_steps_take_little_memory():
+    """A step's arrays share an executor's memory with those of its other worker and of the stages before."""
+    text = sentences(3, 1000)
+    texts = [text] * (language_id.STEP_BYTES // len(text))
+    tracemalloc.start()
+    n = sum(1 for _ in language_id.features(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 40 << 20
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert language_id.identify_language(df).first()["lang_pred"] == "und"
