@@ -72,7 +72,7 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
 
 def hashes(values: pa.Array) -> np.ndarray:
     """64-bit hashes of strings, the same in every task."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, values.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(values))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ SPAN, OVERLAP = 32, 8
 WIDTH = 16
 SIZES = np.repeat([16, 32, 64, 128, 512], [4, 6, 4, 4, 2])
 INPUTS, CLUSTERS, FIRST = int(SIZES.sum()), len(SIZES), np.cumsum(SIZES) - SIZES
-CLUSTER_OF = np.repeat(np.arange(CLUSTERS, dtype=np.uint8), SIZES)
+CLUSTER_OF = np.append(np.repeat(np.arange(CLUSTERS, dtype=np.uint8), SIZES), np.uint8(CLUSTERS))  # no target, -1: the last
 #: Rounds of training; windows in a step; rate of the steps, and what it is multiplied by in each further round.
 ROUNDS, BATCH, RATE, DECAY = 8, 512, 0.08, 0.7
 #: Steps that a small block is cut into, by smaller ones at a lower rate; a full block has more.
@@ -91,7 +91,7 @@ class Coding(NamedTuple):
         slot[n] = INPUTS - 1
         weight = np.append(counts + 0.5, ends + 0.5)
         total = np.bincount(slot, weights=weight, minlength=INPUTS)
-        return cls(row, slot, np.log(weight / total[slot]), np.log((total + 0.5) / (total + 0.5).sum()))
+        return cls(row.astype(np.int16), slot.astype(np.int16), np.log(weight / total[slot]), np.log((total + 0.5) / (total + 0.5).sum()))
 
 
 Parameters = dict[str, np.ndarray]
@@ -130,12 +130,18 @@ def _sums(x: np.ndarray) -> np.ndarray:
 
 
 def _scores(u: np.ndarray, weights: np.ndarray, bias: np.ndarray, far: bool) -> np.ndarray:
-    """Exponents of the output for u, which lies within -1 and 1; weights that could pass the limit (far) are rare."""
-    z = u @ weights
-    z += bias
+    """Exponents of the output, (outputs, positions), for u, which lies within -1 and 1; weights that could pass the limit
+    (far) are rare. Outputs come first so that what is done to each position runs along many of them."""
+    z = weights.T @ u.T
+    z += bias[:, None]
     return np.clip(z, -_OUTPUT, _OUTPUT, out=z) if far else z
 
 
+def _totals(z: np.ndarray) -> np.ndarray:
+    """Sums over the first axis, as a product with ones."""
+    return np.ones(len(z), z.dtype) @ z
+
+
 def _far(weights: np.ndarray, bias: np.ndarray, first: np.ndarray) -> list[bool]:
     """Of ranges of outputs that start there, which could pass the limit."""
     return (np.maximum.reduceat(np.abs(weights).sum(axis=0) + np.abs(bias), first) > _OUTPUT).tolist()
@@ -152,34 +158,36 @@ def _late(p: Parameters) -> np.ndarray:
 def attend(p: Parameters, x: np.ndarray) -> tuple[np.ndarray, ...]:
     """Masked attention of the scored positions over windows of rows x: (batch, SPAN). Keys and values are the embeddings.
 
-    Returns these, queries, exponentials, one over their sums, what was read, and the result.
+    Returns these, both as rows and turned, with a row of ones below; queries, exponentials, one over their sums, what
+    was read, and the result.
     """
-    asked = p["embed"] @ _late(p)  # of each row, once
-    e, late = np.take(p["embed"], x, axis=0), np.take(asked, x[:, OVERLAP:], axis=0)
-    q = late[..., :WIDTH]
-    a = np.matmul(q, e.transpose(0, 2, 1))
-    if len(x) and float(np.abs(asked[:, :WIDTH]).max() * np.abs(p["embed"]).max()) * WIDTH > _CONTENT:
+    asked, own = (np.ascontiguousarray(v) for v in np.hsplit(p["embed"] @ _late(p), 2))  # of each row, once
+    e, q, own = np.take(p["embed"], x, axis=0), np.take(asked, x[:, OVERLAP:], axis=0), np.take(own, x[:, OVERLAP:], axis=0)
+    turned = np.empty((len(x), WIDTH + 1, SPAN), e.dtype)  # in one piece, which halves the time of its products
+    turned[:, :WIDTH], turned[:, WIDTH] = e.transpose(0, 2, 1), 1
+    a = np.matmul(q, turned[:, :WIDTH])
+    if len(x) and float(np.abs(asked).max() * np.abs(p["embed"]).max()) * WIDTH > _CONTENT:
         np.clip(a, -_CONTENT, _CONTENT, out=a)
     a += np.clip(p["distance"], -_FAR, _FAR)[_DISTANCE] + _AHEAD
     np.exp(a, out=a)
     part = (1 / _sums(a))[..., None]
     read = np.matmul(a, e)
     read *= part
-    h = read + late[..., WIDTH:]
-    return e, q, a, part, read, np.tanh(h, out=h)
+    h = np.add(read, own, out=own)
+    return (e, turned), q, a, part, read, np.tanh(h, out=h)
 
 
 def _by_cluster(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
     """The positions with a target, by its cluster; the clusters; and each cluster's range among them."""
-    real = np.flatnonzero(y.ravel() >= 0)
-    cluster = CLUSTER_OF[y.ravel()[real]]
-    order = np.argsort(cluster, kind="stable")
-    n = np.bincount(cluster, minlength=CLUSTERS)
-    return real[order], cluster[order], [(c, int(b - k), int(b)) for c, (b, k) in enumerate(zip(np.cumsum(n), n, strict=True)) if k]
+    cluster = CLUSTER_OF[y.ravel()]
+    n = np.bincount(cluster, minlength=CLUSTERS)[:CLUSTERS]
+    ends = np.cumsum(n)
+    order = np.argsort(cluster, kind="stable")[: ends[-1]]
+    return order, np.repeat(np.arange(CLUSTERS), n), [(c, int(b - k), int(b)) for c, (b, k) in enumerate(zip(ends, n, strict=True)) if k]
 
 
 def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probability of slot y at each scored position of windows x; y < 0: 0.
+    """Natural logarithms of the probability of slot y at each scored position of windows x; y = -1: 0.
 
     A slot's probability is its cluster's times its own within the cluster; both depend on what was read.
     """
@@ -187,33 +195,37 @@ def log_probabilities(p: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray
     target = y.ravel()[real]
     u = np.take(attend(p, x)[-1].reshape(-1, WIDTH), real, axis=0)
     z = _scores(u, p["cluster"], p["cluster_bias"], *_far(p["cluster"], p["cluster_bias"], FIRST[:1]))
-    found = z[np.arange(len(z)), cluster]
-    total, inner = _sums(np.exp(z, out=z)), np.empty(len(z), z.dtype)
+    found = z[cluster, np.arange(len(real))]
+    total, inner = _totals(np.exp(z, out=z)), np.empty(len(real), z.dtype)
     far = _far(p["slot"], p["slot_bias"], FIRST)
     for c, i, j in ranges:
         a, b = FIRST[c], FIRST[c] + SIZES[c]
         z = _scores(u[i:j], p["slot"][:, a:b], p["slot_bias"][a:b], far[c])
-        found[i:j] += z[np.arange(j - i), target[i:j] - a]
-        inner[i:j] = _sums(np.exp(z, out=z))
+        found[i:j] += z[target[i:j] - a, np.arange(j - i)]
+        inner[i:j] = _totals(np.exp(z, out=z))
     out = np.zeros(y.size)
     out[real] = found - np.log(total) - np.log(inner)
     return out.reshape(y.shape)
 
 
-def _by_row(x: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of values, one for each entry of x, over the entries with the same row."""
+def _by_row(x: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Sums of each of some values, one for each entry of x, over the entries with the same row."""
     at = x.ravel().astype(np.uint16)
     order = np.argsort(at, kind="stable")
     ranked = at[order]
     first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    out = np.zeros((INPUTS, values.shape[-1]), values.dtype)
-    out[ranked[first]] = np.add.reduceat(np.take(values.reshape(at.size, -1), order, axis=0), first, axis=0)
-    return out
+    found = []
+    for v in values:
+        out = np.zeros((INPUTS, v.shape[-1]), v.dtype)
+        pairs = np.result_type(v.dtype, 1j)  # two numbers are added at a time, as parts of a complex one
+        out.view(pairs)[ranked[first]] = np.add.reduceat(np.take(v.reshape(at.size, -1).view(pairs), order, axis=0), first, axis=0)
+        found.append(out)
+    return found
 
 
 def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> Parameters:
-    """Of the mean loss over scored positions with y >= 0."""
-    e, q, a, part, read, h = attend(p, x)
+    """Of the mean loss over scored positions with y other than -1."""
+    (e, turned), q, a, part, read, h = attend(p, x)
     real, cluster, ranges = _by_cluster(y)
     target = y.ravel()[real]
     u = np.take(h.reshape(-1, WIDTH), real, axis=0)
@@ -221,34 +233,35 @@ def gradients(p: Parameters, x: np.ndarray, y: np.ndarray) -> Parameters:
 
     def of_scores(z: np.ndarray, at: np.ndarray) -> np.ndarray:
         np.exp(z, out=z)
-        z *= (scale / _sums(z))[:, None]
-        z[np.arange(len(z)), at] -= scale
+        z *= scale / _totals(z)
+        z[at, np.arange(len(at))] -= scale
         return z
 
     dz = of_scores(_scores(u, p["cluster"], p["cluster_bias"], *_far(p["cluster"], p["cluster_bias"], FIRST[:1])), cluster)
-    grads = {"cluster": u.T @ dz, "cluster_bias": _sums(dz.T), "slot": np.zeros_like(p["slot"]), "slot_bias": np.zeros_like(p["slot_bias"])}
-    du = dz @ p["cluster"].T
+    grads = {"cluster": u.T @ dz.T, "cluster_bias": _sums(dz), "slot": np.zeros_like(p["slot"]), "slot_bias": np.zeros_like(p["slot_bias"])}
+    du = dz.T @ p["cluster"].T
     far = _far(p["slot"], p["slot_bias"], FIRST)
     for c, i, j in ranges:
         s, t = FIRST[c], FIRST[c] + SIZES[c]
         weights = p["slot"][:, s:t]
         dz = of_scores(_scores(u[i:j], weights, p["slot_bias"][s:t], far[c]), target[i:j] - s)
-        grads["slot"][:, s:t], grads["slot_bias"][s:t] = u[i:j].T @ dz, _sums(dz.T)
-        du[i:j] += dz @ weights.T
+        grads["slot"][:, s:t], grads["slot_bias"][s:t] = u[i:j].T @ dz.T, _sums(dz)
+        du[i:j] += dz.T @ weights.T
     u *= u
     du *= np.subtract(1, u, out=u)
-    late = np.zeros((*h.shape[:2], 2 * WIDTH), h.dtype)  # gradients of q and, beside them, of h
-    late.reshape(-1, 2 * WIDTH)[real, WIDTH:] = du
-    dh = late[..., WIDTH:] * part
-    ds = np.matmul(dh, e.transpose(0, 2, 1))
-    ds -= np.einsum("bij,bij->bi", dh, read)[..., None]
+    place = np.full(y.size, len(real))
+    place[real] = np.arange(len(real))
+    du = np.take(np.vstack([du, np.zeros((1, WIDTH), du.dtype)]), place, axis=0).reshape(h.shape)
+    dh = np.empty((*h.shape[:2], WIDTH + 1), h.dtype)  # beside gradients, what the row of ones takes away
+    np.multiply(du, part, out=dh[..., :WIDTH])
+    np.negative(np.einsum("bij,bij->bi", dh[..., :WIDTH], read), out=dh[..., WIDTH])
+    ds = np.matmul(dh, turned)
     ds *= a
-    grads["distance"] = np.bincount(_DISTANCE.ravel(), weights=ds.sum(axis=0).ravel(), minlength=SPAN).astype(h.dtype)
-    late[..., :WIDTH] = np.matmul(ds, e)
-    de = np.matmul(a.transpose(0, 2, 1), dh)
+    grads["distance"] = np.bincount(_DISTANCE.ravel(), weights=_totals(ds.reshape(len(ds), -1)), minlength=SPAN).astype(h.dtype)
+    de = np.matmul(a.transpose(0, 2, 1), dh[..., :WIDTH])
     de += np.matmul(ds.transpose(0, 2, 1), q)
-    late = _by_row(x[:, OVERLAP:], late)
-    grads["embed"] = _by_row(x, de) + late @ _late(p).T
+    late = np.hstack(_by_row(x[:, OVERLAP:], np.matmul(ds, e), du))  # gradients of q and, beside them, of h
+    grads["embed"] = _by_row(x, de)[0] + late @ _late(p).T
     both, grads["self"] = np.hsplit(p["embed"].T @ late, 2)
     grads["query"], grads["key"] = both @ p["key"], both.T @ p["query"]
     return grads
@@ -300,11 +313,11 @@ def windows(e: Encoded, a: int, b: int, coding: Coding) -> tuple[np.ndarray, np.
     count = -(-(size + 1) // _STEP)
     room = OVERLAP + count * _STEP
     base = np.cumsum(room) - room
-    x, y = np.full(room.sum() + SPAN, INPUTS - 1, np.int32), np.full(room.sum() + SPAN, -1, np.int32)
+    x, y = np.full(room.sum() + SPAN, INPUTS - 1, np.int16), np.full(room.sum() + SPAN, -1, np.int16)
     at = np.arange(len(flat)) + np.repeat(base + OVERLAP - (e.starts[a:b] - e.starts[a]), size)
     y[at] = coding.slot[flat]
     y[base + OVERLAP + size] = INPUTS - 1
-    x[at + 1] = coding.row[flat]  # what was the target is the input of the next position; the first has none
+    x[1:][at] = coding.row[flat]  # what was the target is the input of the next position; the first has none
     of = np.repeat(np.arange(len(size)), count)
     first = base[of] + (np.arange(len(of)) - (np.cumsum(count) - count)[of]) * _STEP
     return sliding_window_view(x, SPAN)[first], sliding_window_view(y[OVERLAP:], _STEP)[first], of

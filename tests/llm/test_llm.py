@@ -15,11 +15,12 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from lectern.llm import exact_dedup, fill_middle, language_id, lm_scoring, mixing, ngram_join, packing, periodic_runs, private_data, quality_rules, substring_dedup, warc
 from lectern.llm._blocks import deal
 from lectern.llm._components import components
 from lectern.llm._counters import summed
-from lectern.llm._words import rolling, words
+from lectern.llm._words import hashes, rolling, words
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -663,6 +664,40 @@ def test_attention_equals_keys_and_queries_apart():
         assert np.allclose(h, expected) and np.allclose((a * part).sum(axis=-1), 1)
 
 
+def test_gradients_are_summed_by_row():
+    r = np.random.default_rng(4)
+    x = r.integers(0, 40, (6, 5))
+    one, two = r.standard_normal((6, 5, 4)).astype(np.float32), r.standard_normal((6, 5, 2))
+    found = lm_scoring._by_row(x, one, two)
+    for got, v in zip(found, (one, two), strict=True):
+        expected = np.zeros((lm_scoring.INPUTS, v.shape[-1]))
+        np.add.at(expected, x.ravel(), v.reshape(30, -1))
+        assert got.dtype == v.dtype and np.allclose(got, expected, atol=1e-6)
+
+
+def test_targets_by_cluster_leave_out_those_without():
+    y = np.array([[5, -1, 2000], [lm_scoring.INPUTS - 1, 0, -1]], np.int16)
+    real, cluster, ranges = lm_scoring._by_cluster(y)
+    assert real.tolist() == [0, 4, 2, 3] and cluster.tolist() == lm_scoring.CLUSTER_OF[[5, 0, 2000, 2047]].tolist()
+    assert ranges == [(0, 0, 2), (lm_scoring.CLUSTERS - 1, 2, 4)]
+    assert all(v.size == 0 for v in lm_scoring._by_cluster(np.full((2, 3), -1))[:2])
+
+
+def test_hashes_make_no_lists():
+    values = pa.array([f"word{i}é" for i in range(100_000)])
+    by_list = lambda: np.fromiter(map(xxhash.xxh3_64_intdigest, values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
+
+    took = []
+    for _ in range(7):
+        began = time.process_time()
+        found = hashes(values)
+        between = time.process_time()
+        expected = by_list()
+        took.append((between - began, time.process_time() - between))
+    assert (found == expected).all() and (hashes(values[70_000:]) == expected[70_000:]).all()
+    assert min(a for a, _ in took) < 0.7 * min(b for _, b in took)
+
+
 def test_adam_steps_one_array():
     r = np.random.default_rng(2)
     p = {"a": r.standard_normal((3, 4)).astype(np.float32), "b": r.standard_normal(5).astype(np.float32)}
