@@ -39,10 +39,13 @@ MIXED = 0.5
 BLOCK_BYTES = 4 << 20
 #: Parameters travel in parts of so many, and are added up in groups of so many blocks.
 PART, FAN = 1 << 14, 64
+#: Words whose subwords a worker remembers at most, and bytes of the longest of them: some 50 MB.
+KNOWN, KNOWN_BYTES = 1 << 20, 32
 
 
 class Subwords:
-    """Ids of words, each as if after a space, by the ranks of a byte-level BPE vocabulary. Each worker reads its own."""
+    """Ids of words, each as if after a space, by the ranks of a byte-level BPE vocabulary. Each worker reads its own, and
+    remembers words: a block shares most of its own with the blocks before it."""
 
     def __init__(self, path: Callable[[str], str] = public_tokenizers.path, name: str = TOKENIZER):
         import tiktoken
@@ -53,8 +56,35 @@ class Subwords:
         self.size = max(ranks.values()) + 1
         self.begins = np.zeros(self.size, bool)
         self.begins[[i for b, i in ranks.items() if b[:1] == b" "]] = True
-
-    def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        self.words, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, np.uint16), np.zeros(1, np.int64)
+        self.hashes, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # of the words, by ascending hash
+
+    def __call__(self, vocab: pa.Array, distinct: Distinct) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids; where among them those of each word start, and how many these are. distinct: the words' hashes.
+
+        A hash finds a word that is remembered; it is taken only if it is the same."""
+        at = np.full(len(vocab), -1)
+        if len(self.words):
+            near = self.place[np.minimum(np.searchsorted(self.hashes, distinct.values), len(self.hashes) - 1)][distinct.at]
+            at = np.where(pc.equal(self.words.take(pa.array(near)), vocab).to_numpy(zero_copy_only=False), near, -1)
+        new = np.flatnonzero(at < 0)
+        short = pc.less_equal(pc.binary_length(vocab.take(pa.array(new))), KNOWN_BYTES).to_numpy(zero_copy_only=False)
+        new = np.append(new[short], new[~short])  # those to remember come first
+        fresh, n = vocab.take(pa.array(new)), len(self.words)
+        kept = min(int(short.sum()), KNOWN - n)
+        found, first = self.encode(fresh)
+        at[new] = np.arange(n, n + len(new))
+        ids, ends = np.append(self.ids, found.astype(np.uint16)), np.append(self.ends, self.ends[-1] + first[1:])
+        if kept:
+            h = distinct.values[distinct.at[new[:kept]]]
+            order = np.argsort(h)
+            to = np.searchsorted(self.hashes, h[order])
+            self.hashes, self.place = np.insert(self.hashes, to, h[order]), np.insert(self.place, to, n + order)
+            self.words, self.ends = pa.concat_arrays([self.words, fresh[:kept]]), ends[: n + kept + 1].copy()
+            self.ids = ids[: self.ends[-1]].copy()
+        return ids, ends[at], ends[at + 1] - ends[at]
+
+    def encode(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All words' ids, and where those of each word start (one more than words)."""
         if not len(vocab):
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -297,12 +327,12 @@ class Encoded(NamedTuple):
     starts: np.ndarray
 
 
-def encoded(w: Words, subwords: Subwords) -> Encoded:
-    ids, first = subwords(w.vocab)
-    length = np.diff(first)[w.ids]
+def encoded(w: Words, subwords: Subwords, distinct: Distinct | None = None) -> Encoded:
+    ids, first, length = subwords(w.vocab, distinct or Distinct(hashes(w.vocab)))
+    length = length[w.ids]
     ends = np.cumsum(length)
     flat = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64) + np.repeat(first[w.ids] - (ends - length), length)
-    return Encoded(ids.astype(np.int32)[flat], np.append(0, ends)[w.starts])
+    return Encoded(ids[flat], np.append(0, ends)[w.starts])
 
 
 def windows(e: Encoded, a: int, b: int, coding: Coding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -405,8 +435,8 @@ def read_blocks(dealt: DataFrame, n_blocks: int) -> DataFrame:
     def run(block: pa.Table) -> pa.Table:
         keep_freed_memory()
         x, subwords, number = _Block(block), per_worker(Subwords), block["block"][0].as_py()
-        counts, e = x.training_counts().astype(np.int32), encoded(x.words, subwords)
-        telling, spelling = Telling.of(x), Spelling(x.held_out, e.ids.astype(np.uint16), np.diff(e.starts).astype(np.uint32))
+        counts, e = x.training_counts().astype(np.int32), encoded(x.words, subwords, x.distinct)
+        telling, spelling = Telling.of(x), Spelling(x.held_out, e.ids, np.diff(e.starts).astype(np.uint32))
         rows = [{"kind": "hashes", "at": b, "hashes": x.distinct.values[i:j], "counts": counts[i:j]} for b, i, j in bucketed(x.distinct.values, min(n_blocks, MOST_BUCKETS))]
         rows += [{"kind": "subwords", "at": part, "counts": b} for part, b in parts(np.bincount(spelling.training().ids, minlength=subwords.size))]
         rows += [{"kind": "words", **telling._asdict()}, {"kind": "ids", **spelling._asdict()}]

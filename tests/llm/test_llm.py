@@ -714,6 +714,23 @@ def test_adam_steps_one_array():
     assert all(np.allclose(p[k], plain[k], atol=1e-5) for k in plain)
 
 
+def test_remembered_words_are_not_cut_again(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "KNOWN", 60)
+    once, cut = lm_scoring.Subwords(), []
+    encode = once.encode
+    monkeypatch.setattr(once, "encode", lambda vocab: (cut.append(vocab.to_pylist()), encode(vocab))[1])
+    long = "x" * (lm_scoring.KNOWN_BYTES + 1)
+    first, second = [long, "a\xa0b", "Ünïcode", *map(str, range(40))], ["b", *map(str, range(20, 70)), long, "Ünïcode"]
+    for part in (first, second, second, [], first[::-1]):
+        w = words(pa.array([" ".join(part), None, " ".join(part[:3])]))
+        expected, got = lm_scoring.encoded(w, lm_scoring.Subwords()), lm_scoring.encoded(w, once)
+        assert got.ids.tolist() == expected.ids.tolist() and got.starts.tolist() == expected.starts.tolist()
+    assert cut[1] == ["b", *map(str, range(40, 70)), long] and len(once.words) == 60  # those that came first
+    assert cut[2] == [*map(str, range(57, 70)), long] and cut[3] == [] and cut[4] == [long]
+    once.hashes = np.zeros_like(once.hashes)  # a hash that finds another word does no harm
+    assert lm_scoring.encoded(w, once).ids.tolist() == expected.ids.tolist()
+
+
 def test_windows_score_each_id_once():
     subwords = lm_scoring.Subwords()
     coding = lm_scoring.Coding.of(np.zeros(subwords.size, np.int64), 1)
