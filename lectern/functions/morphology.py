@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lectern.functions.text import ALEF, col, normalize_lexical
+from lectern.functions.text import ALEF, SPACE, col, normalize_lexical
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,8 +63,22 @@ def light10_stem(word: Column | str) -> Column:
     return strip_suffix(strip_prefix(col(word), LIGHT10_PREFIXES, 2), LIGHT10_SUFFIXES, 2)
 
 
+def _stems_of_text(text: Column, prefixes: list[str], suffixes: list[str], least: int) -> Column:
+    """strip_prefix and strip_suffix of each word of a text, in one pass over it."""
+    stem = rf"(?<!\S)(?:(?:{'|'.join(prefixes)})(?=\S{{{least}}}))?+(\S{{{least},}}?)(?:{'|'.join(suffixes)})?(?!\S)"
+    return F.regexp_replace(text, stem, "$1")
+
+
+def light_text(text: Column | str) -> Column:
+    """light_stem of each word of a text, by passes over the whole text: no word is a value of its own."""
+    spaced = F.regexp_replace(normalize_lexical(text), r"\s+", " ")
+    trimmed = F.regexp_replace(spaced, rf"(?={SPACE})(?:{SPACE}+(?!\S)|(?<!\S){SPACE}+)", "")
+    return _stems_of_text(trimmed, PREFIXES, SUFFIXES, 3)
+
+
 def light10_text(text: Column | str) -> Column:
-    return F.array_join(F.transform(F.split(col(text), r"\s+"), light10_stem), " ")
+    """light10_stem of each word of a text."""
+    return _stems_of_text(F.regexp_replace(col(text), r"\s+", " "), LIGHT10_PREFIXES, LIGHT10_SUFFIXES, 2)
 
 
 def imperfect_stems(word: Column | str) -> Column:
@@ -83,31 +97,49 @@ def _imperfect_stems(w: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(*found)))
 
 
-def pattern_regex(pattern: str) -> tuple[str, str]:
-    """A word pattern as a regular expression, and its root as a replacement: digits become groups."""
-    out, seen = "", []
-    for p in pattern:
-        if not p.isdigit():
-            out += f"[{''.join(IMPERFECT_PREFIXES)}]" if p == "P" else p
-        elif p in seen:
-            out += f"\\{seen.index(p) + 1}"
-        else:
-            seen.append(p)
-            out += "(.)"
-    return f"^{out}$", "".join(f"${seen.index(d) + 1}" for d in sorted(seen))
+def root_regex(letter: str, end: str) -> tuple[str, str]:
+    """All word patterns as one regular expression, and a word's root as a replacement: the first pattern that fits wins.
+
+    letter matches a letter, end what follows the word. Alternatives are tried among patterns of the word's length;
+    letters of the root become groups, of which only the fitting pattern's are not empty.
+    """
+    groups, by_length = 0, []
+    for n in sorted({len(p) for p in ROOT_PATTERNS}):
+        fits = []
+        for pattern in (p for p in ROOT_PATTERNS if len(p) == n):
+            out, seen, last = "", {}, ""
+            for p in pattern:
+                if not p.isdigit():
+                    out += f"[{''.join(IMPERFECT_PREFIXES)}]" if p == "P" else p
+                elif p in seen:
+                    out += f"\\{seen[p]}"
+                elif last.isdigit() and pattern.count(p) == pattern.count(last) == 1:  # letters in a row are one group
+                    out, seen[p] = f"{out[:-1]}{letter})", groups
+                else:
+                    groups += 1
+                    out, seen[p] = f"{out}({letter})", groups
+                last = p
+            assert list(seen) == sorted(seen)  # groups stand in the order of the root's letters
+            fits.append(out)
+        by_length.append(f"(?={letter}{{{n}}}{end})(?:{'|'.join(fits)})")
+    return f"(?:{'|'.join(by_length)}){end}", "".join(f"${i + 1}" for i in range(groups))
 
 
 def extract_root(word: Column | str) -> Column:
-    """Root letters by the first pattern that fits, or null: one ordered CASE, no Python at run time."""
+    """Root letters by the first pattern that fits, or null: one regular expression, no Python at run time."""
+    regex, root = root_regex(".", "$")
+    w = normalize_lexical(word)
+    return F.when(w.rlike(f"^{regex}"), F.regexp_replace(w, f"^{regex}", root))
+
 
-    def first_fit(w: Column) -> Column:
-        out = F.when(F.lit(False), w)
-        for pattern in ROOT_PATTERNS:
-            regex, root = pattern_regex(pattern)
-            out = out.when(w.rlike(regex), F.regexp_replace(w, regex, root))
-        return out
+def roots_of_text(text: Column | str) -> Column:
+    """Each word of a text as its root, or as it is where no pattern fits, by passes over the whole text.
 
-    return once(normalize_lexical(word), first_fit)
+    Words of three characters are their own roots, and are passed over.
+    """
+    regex, root = root_regex(r"\S", rf"(?<!{SPACE}){SPACE}*+(?!\S)")
+    spaced = F.regexp_replace(normalize_lexical(text), r"\s+", " ")
+    return F.regexp_replace(spaced, rf"(?<!\S)(?=\S{{4}}){SPACE}*+{regex}", root)
 
 
 def weak_roots(root: Column | str) -> Column:

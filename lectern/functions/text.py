@@ -13,10 +13,15 @@ ALEF, HAMZA, ALEF_MAKSURA, YEH, TEH_MARBUTA, HEH = "ا", "ء", "ى", "ي", "ة",
 ARABIC_SCRIPT = r"[\u0600-\u06FF\u0750-\u077F]"
 ARABIC_ANY = r"[\u0600-\u06FF\u0750-\u077F\u08A0-\u08FF\uFB50-\uFDFF\uFE70-\uFEFF]"
 ARABIC_DIGITS, WESTERN_DIGITS = "٠١٢٣٤٥٦٧٨٩", "0123456789"
-_SPACES = r"\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
-WHITESPACE = rf"[\s{_SPACES}]+"
+#: White space beyond what \\s matches, as the inside of a class.
+SPACES = r"\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
+#: White space, Unicode's included, as characters.
+WHITE = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+#: One such character; letters of most scripts fail by two comparisons, before the long class is asked.
+_WHITE = rf"[\x00-\x20\u00A0\u1680-\uFEFF&&[\s{SPACES}]]"
+SPACE = rf"[\u00A0\u1680-\uFEFF&&[{SPACES}]]"
 #: White space that is not a single space: what squeezing has to change.
-_UNEVEN = rf"[\s{_SPACES}]{{2,}}|[\t-\r\x1C-\x1F{_SPACES}]"
+_UNEVEN = rf" {_WHITE}+|(?! ){_WHITE}+|[\x1C-\x1F]"
 
 
 def col(c: Column | str) -> Column:
@@ -25,7 +30,7 @@ def col(c: Column | str) -> Column:
 
 def trim(c: Column | str) -> Column:
     """Without white space, Unicode's included, at either end."""
-    return F.regexp_replace(col(c), f"^{WHITESPACE}|{WHITESPACE}$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def squeeze(c: Column | str) -> Column:

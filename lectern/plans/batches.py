@@ -7,7 +7,7 @@ from lectern.functions.parsing import best_paragraph
 from lectern.operators import catalog, etl, fusion, graph, lexicon, rerank, search
 from lectern.operators.query import edition_or_language, parse_range_list
 from lectern.plans.registry import query, table
-from lectern.plans.texts import _WORDS, _root_sql, arabic_words
+from lectern.plans.texts import _WORDS, _root_sql, arabic_words, rooted_words
 from lectern.sources import readers, writers
 from lectern.sources.store import table_path
 from lectern.streaming import events as ev
@@ -352,8 +352,8 @@ def merged_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Words of the documents as two kinds of entries: short ones have full entries, longer ones are sub-entries."""
-    words = arabic_words(spark, sf_dir)
-    entry = words.select(F.crc32("word").alias("entry_id"), F.concat(F.lit("s"), F.length("word") % 3).alias("source"), F.col("word").alias("headword"), F.coalesce(extract_root("word"), F.lit("")).alias("root"), F.lit("d").alias("definition"))
+    words = rooted_words(spark, sf_dir)
+    entry = words.select(F.crc32("word").alias("entry_id"), F.concat(F.lit("s"), F.length("word") % 3).alias("source"), F.col("word").alias("headword"), F.coalesce("root", F.lit("")).alias("root"), F.lit("d").alias("definition"))
     return entry.filter("length(headword) <= 4"), entry.filter("length(headword) > 4")
 
 
@@ -385,8 +385,7 @@ def root_families(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_ENTRIES}, k AS (SELECT word AS w, root FROM e WHERE root <> '') SELECT DISTINCT w AS word, root, 'high' AS confidence, 'direct' AS tier FROM k UNION ALL SELECT DISTINCT 'ال' || w, root, 'high', 'stripped' FROM k WHERE length(w) >= 3 AND 'ال' || w NOT IN (SELECT w FROM k)")
 def resolved_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a list knows, and the same with an article before them."""
-    words = arabic_words(spark, sf_dir)
-    known = words.select("word", extract_root("word").alias("root")).filter("root is not null")
+    known = rooted_words(spark, sf_dir).filter("root is not null")
     articled = known.filter("length(word) >= 3").select(F.concat(F.lit("ال"), "word").alias("word"))
     return lexicon.resolve_roots(known.select("word").union(articled), known, known.select("root").distinct())
 

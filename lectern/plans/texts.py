@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lectern.functions import hashing, morphology, text
 from lectern.plans.registry import query, table
+from lectern.sources.store import delete_table, table_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,21 @@ _WORDS = f"(SELECT DISTINCT translate(lower(w), '{_LATIN}', '{_ARABIC}') AS word
 
 
 def arabic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w"))
+    """(word) of the documents, in Arabic letters. Words are told apart first, and transliterated after that."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w")).distinct()
     return words.select(F.translate(F.lower("w"), _LATIN, _ARABIC).alias("word")).distinct()
 
 
+def rooted_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(word, root) of the documents' words, null where no pattern fits. They are written once: what asks for roots would
+    otherwise read the texts each time, and its conditions would be moved below the distinct words, to every occurrence."""
+    words, path = table_path(spark, "words"), table_path(spark, "roots")
+    arabic_words(spark, sf_dir).write.parquet(words)
+    spark.read.parquet(words).withColumn("root", morphology.extract_root("word")).write.parquet(path)
+    delete_table(spark, words)
+    return spark.read.parquet(path)
+
+
 def _affix_sql(column: str, affixes: list[str], least: int, prefix: bool) -> str:
     whens = []
     for a in affixes:
