@@ -14,18 +14,25 @@ from pyspark.sql import functions as F
 MANIFEST = "kind string, name string, n_docs long, n_terms long"
 #: Segments up to so many documents are merged by compact().
 SMALL = 1_000_000
+#: Up to so many ids are sent to every task, so that texts and postings that they are compared with are not shuffled.
+SENT = 2_000_000
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _ids(ids: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(ids) if n <= SENT else ids
+
+
 @dataclass(frozen=True)
 class SegmentedIndex:
     """An index of documents (doc_id, text, kept columns) in a folder.
 
-    A change writes what is new as a segment, as Index.write makes it; what is gone as a delta, with the documents that
-    a segment has lost and the terms that they had, negative; and a manifest that names all that counts. Statistics are
+    A change writes what is new as a segment, as Index.write makes it, with postings in sorted runs; compact() brings
+    them into ranges of terms. What is gone is a delta, with the documents that a segment has lost and the terms that they
+    had, negative; and a manifest that names all that counts. Statistics are
     sums over both, so that scores equal those of an index made anew. Readers of a version are not disturbed by later
     ones; of two writers of one version the second fails.
     """
@@ -83,7 +90,7 @@ class SegmentedIndex:
         return found.join(gone.select("segment", "doc_id"), ["segment", "doc_id"], "left_anti")
 
     def documents(self, version: int | None = None) -> DataFrame | None:
-        """(segment, doc_id, kept columns, dl, words, digest) of the documents of a version."""
+        """(segment, doc_id, kept columns, dl, digest) of the documents of a version."""
         return self._live(self.manifest(version), "documents")
 
     def index(self, version: int | None = None) -> Index:
@@ -96,9 +103,10 @@ class SegmentedIndex:
         terms = terms.groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0").withColumn("size", F.length("term"))
         n_docs, n_terms = (sum(r[i] for r in rows) for i in (2, 3))
         stats = self.spark.createDataFrame([(n_docs, n_terms / n_docs if n_docs else None)], "n_docs long, avgdl double")
-        variants = self._tables(rows, "variants").select("variant", "term").distinct()
+        segments = [f"{self.path}/segments/{name}" for kind, name, _, _ in rows if kind == "segment"]
+        variants = lambda: _union([Index.read_variants(self.spark, path) for path in segments]).distinct()
         stored = {"postings": self._live(rows, "postings").drop("segment"), "terms": terms, "variants": variants, "stats": stats}
-        return Index(self._live(rows, "documents").drop("segment", "words", "digest"), stored)
+        return Index(self._live(rows, "documents").drop("segment", "digest"), stored)
 
     # --- changes ------------------------------------------------------------------------------------------------
 
@@ -115,7 +123,7 @@ class SegmentedIndex:
             out = f"{self.path}/segments/{name}"
             docs = Index.build(added.withColumn("_digest", self._digest()), self.doc_id, self.text, [*self.keep, "_digest"], self.stop_words)
             docs = Index(docs.docs.withColumnRenamed("_digest", "digest"))
-            docs.write(out, words=True)
+            docs.write(out)
             stored = self.spark.read.parquet(f"{out}/documents")
             n, n_terms, n_ids = stored.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0)), F.countDistinct("doc_id")).first()
             if n_ids < n:
@@ -131,14 +139,16 @@ class SegmentedIndex:
         if live is not None and gone is not None:
             name = uuid.uuid4().hex
             out = f"{self.path}/deltas/{name}"
-            lost = live.join(gone, "doc_id", "left_semi").select("segment", "doc_id", "dl", "words")
-            lost.write.parquet(f"{out}/lost")
-            lost = self.spark.read.parquet(f"{out}/lost")
+            live.join(gone, "doc_id", "left_semi").select("segment", "doc_id", "dl").write.parquet(f"{out}/deleted")
+            lost = self.spark.read.parquet(f"{out}/deleted")
             n, n_terms = lost.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
             if n:
-                lost.select("segment", "doc_id", "dl").write.parquet(f"{out}/deleted")
-                lost.select("segment", F.explode("words").alias("term")).groupBy("segment", "term").agg((-F.count("*")).alias("df")).write.parquet(f"{out}/terms")
-                delete_table(self.spark, f"{out}/lost")
+                terms = []  # those of lost documents, as their segments' postings tell
+                for segment, m in lost.groupBy("segment").count().collect():
+                    held = self.spark.read.parquet(f"{self.path}/segments/{segment}/postings").select("term", "doc_id")
+                    held = held.join(_ids(lost.filter(F.col("segment") == segment).select("doc_id"), m), "doc_id", "left_semi")
+                    terms.append(held.groupBy("term").agg((-F.count("*")).alias("df")).select(F.lit(segment).alias("segment"), "term", "df"))
+                _union(terms).write.parquet(f"{out}/terms")
                 new.append(("delta", name, -n, -n_terms))
             else:
                 delete_table(self.spark, out)
@@ -159,10 +169,18 @@ class SegmentedIndex:
         if live is None:
             return self.upsert(docs)
         held = live.select("doc_id", F.col("digest").alias("_held"))
-        joined = docs.join(held, F.col(self.doc_id) == F.col("doc_id") if self.doc_id != "doc_id" else "doc_id", "left")
-        changed = joined.filter(F.col("_held").isNull() | (F.col("_held") != self._digest())).select(*docs.columns)
-        missing = held.join(docs.select(F.col(self.doc_id).alias("doc_id")), "doc_id", "left_anti").select("doc_id")
-        return self._change(changed, missing)
+        found = docs.select(F.col(self.doc_id).alias("doc_id"), self._digest().alias("_digest")).join(held, "doc_id", "full")
+        aside = f"{self.path}/deltas/_{uuid.uuid4().hex}"  # ids alone are compared, so that texts stay where they are
+        differ = F.col("_digest").isNull() | F.col("_held").isNull() | (F.col("_held") != F.col("_digest"))
+        found.filter(differ).select(F.col("doc_id").alias("_id"), F.col("_digest").isNull().alias("missing")).write.parquet(aside)
+        try:
+            changed, missing = (self.spark.read.parquet(aside).filter(F.col("missing") == x).select("_id") for x in (False, True))
+            n, n_ids = changed.agg(F.count("*"), F.count("_id")).first()
+            if n_ids < n:
+                raise ValueError("a doc_id is null")
+            return self._change(docs.join(_ids(changed, n), F.col(self.doc_id) == F.col("_id"), "left_semi"), missing.withColumnRenamed("_id", "doc_id"))
+        finally:
+            delete_table(self.spark, aside)
 
     def compact(self, small: int = SMALL) -> int:
         """Segments of up to `small` documents become one, without what they have lost; others keep their deltas."""
@@ -174,7 +192,14 @@ class SegmentedIndex:
         name = uuid.uuid4().hex
         out = f"{self.path}/segments/{name}"
         of = F.col("segment").isin(merged)
-        Index.write_tables(out, self._live(rows, "postings").filter(of).drop("segment"), self._live(rows, "documents").filter(of).drop("segment"))
+        lost = self._deltas(rows, "deleted")
+        n_lost = -sum(n for kind, _, n, _ in rows if kind == "delta")
+        parts = []
+        for segment in merged:
+            part = self.spark.read.parquet(f"{self.path}/segments/{segment}/postings")
+            parts.append(part if lost is None else part.join(_ids(lost.filter(F.col("segment") == segment).select("doc_id"), n_lost), "doc_id", "left_anti").select(part.columns))
+        Index.write_ranges(out, _union(parts))
+        Index.write_terms(out, self._live(rows, "documents").filter(of).drop("segment"))
         stored = self.spark.read.parquet(f"{out}/documents")
         n, n_terms = stored.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         new = [r for r in rows if r[0] == "segment" and r[1] not in merged] + ([("segment", name, n, n_terms)] if n else [])

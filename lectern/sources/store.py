@@ -44,3 +44,9 @@ def fingerprint(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], .
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def rename_table(spark: SparkSession, path: str, to: str) -> bool:
+    """Whether a written table got its new path."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    return new(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(new(path), new(to))
