@@ -44,7 +44,7 @@ MAX_NAMED_TERMS = 2000
 
 
 #: Terms in their order, of whole documents, that a map task sorts at a time.
-RUN_TERMS = 1 << 21
+RUN_TERMS = 1 << 20
 #: Rows of a batch that goes back to Spark.
 _ROWS = 1 << 16
 
@@ -122,7 +122,7 @@ class Index:
         they are dealt in so many ranges of terms. doc_id is unique."""
         spark = self.docs.sparkSession
         if buckets:
-            self.write_ranges(path, self.places(), buckets)
+            self.write_merged(path, self.places().repartitionByRange(buckets, "term", "doc_id"))
         else:
             found = self.docs.select("doc_id", "terms")
             schema = StructType([found.schema["doc_id"], *StructType.fromDDL("dl int, tf long, positions array<int>")])
@@ -139,9 +139,8 @@ class Index:
         postings.write.option("parquet.block.size", 8 << 20).option("compression", "zstd").parquet(path)
 
     @classmethod
-    def write_ranges(cls, path: str, places: DataFrame, buckets: int | None = None) -> None:
-        """Postings with positions, in ranges of terms and sorted by term."""
-        places = places.repartitionByRange(buckets, "term", "doc_id") if buckets else places.repartitionByRange("term", "doc_id")
+    def write_merged(cls, path: str, places: DataFrame) -> None:
+        """Postings, those of each partition as one run, which is sorted where it is read."""
         cls._put(places.sortWithinPartitions("term", "doc_id"), f"{path}/postings")
 
     @staticmethod

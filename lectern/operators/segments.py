@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 MANIFEST = "kind string, name string, n_docs long, n_terms long"
 #: Segments up to so many documents are merged by compact().
 SMALL = 1_000_000
+#: Terms, as they stand in documents, of a run that compact() makes.
+MERGED_TERMS = 1 << 23
 #: Up to so many ids are sent to every task, so that texts and postings that they are compared with are not shuffled.
 SENT = 2_000_000
 
@@ -30,8 +32,8 @@ def _ids(ids: DataFrame, n: int) -> DataFrame:
 class SegmentedIndex:
     """An index of documents (doc_id, text, kept columns) in a folder.
 
-    A change writes what is new as a segment, as Index.write makes it, with postings in sorted runs; compact() brings
-    them into ranges of terms. What is gone is a delta, with the documents that a segment has lost and the terms that they
+    A change writes what is new as a segment, as Index.write makes it, with postings in sorted runs; compact() merges
+    them into longer ones. What is gone is a delta, with the documents that a segment has lost and the terms that they
     had, negative; and a manifest that names all that counts. Statistics are
     sums over both, so that scores equal those of an index made anew. Readers of a version are not disturbed by later
     ones; of two writers of one version the second fails.
@@ -198,7 +200,8 @@ class SegmentedIndex:
         for segment in merged:
             part = self.spark.read.parquet(f"{self.path}/segments/{segment}/postings")
             parts.append(part if lost is None else part.join(_ids(lost.filter(F.col("segment") == segment).select("doc_id"), n_lost), "doc_id", "left_anti").select(part.columns))
-        Index.write_ranges(out, _union(parts))
+        n_terms = sum(n for kind, name, _, n in rows if kind == "segment" and name in merged)
+        Index.write_merged(out, _union(parts).coalesce(max(1, -(-n_terms // MERGED_TERMS))))
         Index.write_terms(out, self._live(rows, "documents").filter(of).drop("segment"))
         stored = self.spark.read.parquet(f"{out}/documents")
         n, n_terms = stored.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()

@@ -54,7 +54,7 @@ def test_changes_send_ids_alone(spark, tmp_path):
     assert not [p for p in (tmp_path / "index" / "deltas").iterdir() if p.name.startswith("_")]
 
 
-def test_merged_segments_have_ranges_and_no_variants(spark, tmp_path):
+def test_merged_segments_have_one_run_and_no_variants(spark, tmp_path):
     make = lambda rows: spark.createDataFrame(rows, SCHEMA)
     index = SegmentedIndex(spark, str(tmp_path / "index"))
     index.upsert(make([(i, f"w{i} w{i % 5} salt") for i in range(40)]))
@@ -64,6 +64,9 @@ def test_merged_segments_have_ranges_and_no_variants(spark, tmp_path):
     index.vacuum()
     (segment,) = (tmp_path / "index" / "segments").iterdir()
     assert not (segment / "variants").exists()
+    (run,) = (segment / "postings").glob("*.parquet")
+    keys = [(r["term"].encode(), r["doc_id"]) for r in spark.read.parquet(str(run)).collect()]
+    assert keys == sorted(keys)
     counts = {r["term"]: r["df"] for r in index.index().term_stats().collect()}
     live = {i: f"v{i} salt" if i >= 30 else f"w{i} w{i % 5} salt" for i in range(60) if i % 6}
     assert counts == {t: sum(t in x.split() for x in live.values()) for t in {t for x in live.values() for t in x.split()}}
