@@ -335,8 +335,8 @@ TECHNIQUES: dict[str, Callable[[Column], Column]] = {
     "baseline": normalize_search,
     "no_diacritics": strip_diacritics,
     "lexical": normalize_lexical,
-    "roots": lambda c: F.array_join(F.transform(F.split(normalize_lexical(c), r"\s+"), lambda w: F.coalesce(M.extract_root(w), w)), " "),
-    "light_stem": lambda c: F.array_join(F.transform(F.split(normalize_lexical(c), r"\s+"), M.light_stem), " "),
+    "roots": M.roots_of_text,
+    "light_stem": M.light_text,
     "light10_stem": lambda c: M.light10_text(normalize_search(c)),
     "first_sentences": lambda c: truncate_at_sentence(normalize_search(c)),
 }

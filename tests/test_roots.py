@@ -43,3 +43,9 @@ def test_texts_equal_their_words(spark):
         M.light10_text("t"), each(F.col("t"), M.light10_stem),
     ).collect()
     assert [r for r in rows if r[1] != r[2] or r[3] != r[4] or r[5] != r[6]] == []
+
+
+def test_techniques_take_whole_texts(spark):
+    """No word is a value of its own: functions of array elements are interpreted, pattern by pattern."""
+    plan = QUERIES["text_techniques"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "regexp_replace" in plan and "lambda" not in plan
